@@ -335,7 +335,7 @@ idle_priced AS (
 idle_reco AS (
   SELECT resource_id, 'GKE_IDLE' AS rule_code,
          'Idle GKE node pool — delete or scale to 0 nodes (current: ' || machine_type || ')' AS recommendation,
-         annual AS current_annual, 0.0 AS target_annual, annual AS annual_savings, false AS is_fallback,
+         annual AS current_annual, CAST(0 AS DOUBLE) AS target_annual, annual AS annual_savings, false AS is_fallback,
          monthly AS monthly_savings, node_count FROM idle_priced)
 """
 
