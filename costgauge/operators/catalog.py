@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from costgauge.functions.numeric import half_even, number
 from costgauge.functions.prices import annual_of, hourly_price, machine_hourly, monthly_of
 from costgauge.functions.text import COMPUTE_FAMILIES, WORKER_FAMILIES, family_in_description, family_substring
-from costgauge.operators.scale import DEFAULT, Limits, dense_ranks, dim_join
+from costgauge.operators.scale import DEFAULT, Limits, dense_ranks, dim_join, row_numbers
 
 # Resource groups that carry compute prices.
 COMPUTE_GROUPS = (
@@ -173,12 +173,20 @@ def specs(entries: DataFrame) -> DataFrame:
     )
 
 
-def nested(catalog: DataFrame) -> DataFrame:
-    """One row per family with its machines in price order, the shape of the catalog file."""
+def nested(catalog: DataFrame, chunk_rows: int = 1_000, limits: Limits = DEFAULT) -> DataFrame:
+    """One row per family with its machines in price order, the shape of the catalog file.
+
+    A family beyond ``chunk_rows`` machines takes several rows, so no row grows
+    with the catalog; readers explode the lists anyway.
+    """
     entry = F.struct(
-        "ordinal", "machine_type", "vcpus", "ram_gb", "hourly_price", "monthly_price", "annual_price"
+        "ordinal", "machine_type", "family", "vcpus", "ram_gb", "hourly_price", "monthly_price", "annual_price"
+    )
+    placed = row_numbers(catalog, ["family"], ["ordinal", "machine_type"], "_place", limits)
+    chunk = F.floor((F.col("_place") - 1) / chunk_rows).cast("int")
+    return placed.groupBy("family", chunk.alias("chunk")).agg(
+        F.array_sort(F.collect_list(entry)).alias("machine_types")
     )
-    return catalog.groupBy("family").agg(F.array_sort(F.collect_list(entry)).alias("machine_types"))
 
 
 def summary(catalog: DataFrame) -> DataFrame:

@@ -39,11 +39,19 @@ def distinct_specs(specs: DataFrame) -> DataFrame:
     return specs.groupBy(*key).agg(F.min("unit").alias("unit"))
 
 
-def align(points: DataFrame, series: Sequence[str], interval: Column | int | str, value: str = "value") -> DataFrame:
-    """Mean of each series per interval, as columns ``bucket`` and ``value``."""
+def align(
+    points: DataFrame,
+    series: Sequence[str],
+    interval: Column | int | str,
+    value: str = "value",
+    aggregation: str = "Average",
+) -> DataFrame:
+    """One value of each series per interval, as columns ``bucket`` and ``value``; the mean by default."""
     minutes = iso_minutes(F.lit(interval)) if isinstance(interval, str) else interval
     bucket = floor_to_interval(F.col("ts"), minutes)
-    return points.groupBy(*series, bucket.alias("bucket")).agg(F.avg(value).alias("value"))
+    return points.groupBy(*series, bucket.alias("bucket")).agg(
+        reducer(aggregation, F.col(value), F.col("ts")).alias("value")
+    )
 
 
 def requested_percentile(percentile: int | None, compat: bool = False) -> float:
@@ -57,7 +65,7 @@ def reducer(aggregation: str, value: Column, at: Column | None = None, compat: b
     """Aggregate for a declared aggregation name; unknown names average.
 
     Without ``compat`` the names ``Sum`` and ``Gauge`` do what they say: total,
-    and last value by time.
+    and last value by time (where a time is given; equal times give the larger value).
     """
     known = {
         "Average": F.avg(value),
@@ -69,7 +77,7 @@ def reducer(aggregation: str, value: Column, at: Column | None = None, compat: b
     if not compat:
         known["Sum"] = F.sum(value)
         if at is not None:
-            known["Gauge"] = F.max_by(value, at)
+            known["Gauge"] = F.max_by(value, F.struct(at, value))
     return known.get(aggregation, F.avg(value))
 
 
@@ -85,10 +93,10 @@ def reduce_series(
     keys = [*group, "bucket"]
     if aggregation == "Percentile":
         return percentiles(aligned, keys, "value", {"value": requested_percentile(percentile, compat)}, limits)
-    return aligned.groupBy(*keys).agg(reducer(aggregation, F.col("value"), F.col("bucket"), compat).alias("value"))
+    return aligned.groupBy(*keys).agg(reducer(aggregation, F.col("value"), None, compat).alias("value"))
 
 
 def reduce_all(aligned: DataFrame, group: Sequence[str], aggregations: dict[str, str]) -> DataFrame:
     """Several non-percentile reductions in one pass; output name -> aggregation name."""
-    columns = [reducer(a, F.col("value"), F.col("bucket")).alias(name) for name, a in aggregations.items()]
+    columns = [reducer(a, F.col("value")).alias(name) for name, a in aggregations.items()]
     return aligned.groupBy(*group, "bucket").agg(*columns)

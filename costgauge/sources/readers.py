@@ -25,7 +25,11 @@ def resources(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 
 def billing_skus(spark: SparkSession, path: str) -> DataFrame:
     """Every price of every exported billing page."""
-    pages = spark.read.schema(schemas.BILLING_PAGE).option("multiLine", True).json(path)
+    return explode_pages(spark.read.schema(schemas.BILLING_PAGE).option("multiLine", True).json(path))
+
+
+def explode_pages(pages: DataFrame) -> DataFrame:
+    """The price entries of all pages."""
     return pages.select(F.explode("skus").alias("sku")).select("sku.*")
 
 

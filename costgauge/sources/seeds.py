@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from costgauge.operators.rules import Condition, Rule
 from costgauge.schemas import SERVICE_CONFIG
+from costgauge.sources.readers import explode_job_catalog
 
 # Machine sizes per family and shape, as (vCPUs listed, GB of RAM per vCPU).
 COMPUTE_SHAPES = {
@@ -152,19 +153,23 @@ def worker_machines(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(machine_rows(WORKER_SHAPES), MACHINE_COLUMNS)
 
 
+_LISTED = "array<struct<machine_type: string, family: string, vcpus: double, ram_gb: double, hourly_price: double, ordinal: int>>"
+
+
+def worker_sections(spark: SparkSession) -> DataFrame:
+    """The pipeline worker price list in the shape of its file: one row, a section per job type."""
+
+    def section(workers: tuple) -> tuple:
+        entries = [(name, None, float(v), float(ram), price, place) for place, (name, v, ram, price) in enumerate(workers, 1)]
+        return (entries,)
+
+    schema = f"batch struct<machine_types: {_LISTED}>, streaming struct<machine_types: {_LISTED}>"
+    return spark.createDataFrame([(section(BATCH_WORKERS), section(STREAMING_WORKERS))], schema)
+
+
 def worker_catalog(spark: SparkSession) -> DataFrame:
     """The pipeline worker price list as flat rows; the ordinal is the place in the list."""
-    rows = []
-    for priority, (job_type, workers) in enumerate((("batch", BATCH_WORKERS), ("streaming", STREAMING_WORKERS))):
-        rows += [
-            (job_type, priority, name, float(v), float(r), price, place)
-            for place, (name, v, r, price) in enumerate(workers, start=1)
-        ]
-    return spark.createDataFrame(
-        rows,
-        "job_type string, priority int, machine_type string, vcpus double, ram_gb double, "
-        "hourly_price double, ordinal int",
-    )
+    return explode_job_catalog(worker_sections(spark))
 
 
 def components(spark: SparkSession) -> DataFrame:

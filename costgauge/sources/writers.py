@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from costgauge.operators.ingest import conform
+from costgauge.operators.scale import DEFAULT, Limits, dim_join
 from costgauge.operators.upsert import latest_per_key, reload, upsert
 from costgauge.schemas import OBSERVATION, RECOMMENDATION_COLUMNS, parsed
 from costgauge.session import ensure_checkpoint_dir
@@ -100,14 +101,31 @@ def reload_path(incoming: DataFrame, path: str, key: str = "service_code") -> No
     incoming.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
 
 
-def export_flat(clusters: DataFrame, metrics: DataFrame, on: Sequence[str], points: str = "data_points") -> DataFrame:
-    """Clusters joined to their metrics, one row per point; metrics without points keep one row."""
-    joined = clusters.join(metrics, list(on), "left")
-    kept = [c for c in joined.columns if c != points]
-    rows = joined.select(*kept, F.explode_outer(points).alias("_point"))
-    return rows.select(
-        *kept, F.col("_point.timestamp").alias("metric_timestamp"), F.col("_point.value").alias("metric_value")
-    )
+def export_flat(
+    clusters: DataFrame,
+    metrics: Mapping[str, Mapping[str, str]],
+    points: DataFrame,
+    key: str = "resource_id",
+    limits: Limits = DEFAULT,
+) -> DataFrame:
+    """One row per cluster, metric and point; a metric without points keeps one row.
+
+    ``metrics`` maps metric names to their constant columns (unit, interval and
+    so on). Points are joined to the cluster rows, pairs without points are
+    added, so no list of points is ever built.
+    """
+    pairs = clusters.select(key, F.explode(F.array(*[F.lit(name) for name in metrics])).alias("metric_name"))
+    listed = points.where(F.col("metric_name").isin(*metrics))
+    empty = pairs.join(listed.select(key, "metric_name").distinct(), [key, "metric_name"], "left_anti")
+    rows = listed.unionByName(empty, allowMissingColumns=True)
+    joined = dim_join(rows, clusters, [key], "inner", limits)
+    fixed = sorted({column for constants in metrics.values() for column in constants})
+    for column in fixed:
+        value = F.coalesce(
+            *[F.when(F.col("metric_name") == name, F.lit(constants.get(column))) for name, constants in metrics.items()]
+        )
+        joined = joined.withColumn(column, value)
+    return joined
 
 
 def write_observations(rows: DataFrame, path: str) -> None:
