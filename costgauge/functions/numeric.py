@@ -28,6 +28,16 @@ def half_even(x: Column, digits: int) -> Column:
     return rounded / scale
 
 
+def stable(x: Column, digits: int) -> Column:
+    """Round an aggregate so that the order of summation does not show.
+
+    Sums differ in their last bits from run to run; where the true value is a
+    tie that would tip the result. Rounding four digits finer first settles it.
+    """
+    finer = float(10 ** (digits + 4))
+    return half_even(F.rint(x.cast("double") * finer) / finer, digits)
+
+
 def number(x: Column) -> Column:
     """Any value as a double; missing, blank or unparseable gives 0.0."""
     return F.coalesce(x.try_cast("double"), F.lit(0.0))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costgauge.functions.numeric import half_even
+from costgauge.functions.numeric import half_even, let, stable
 from costgauge.operators.scale import DEFAULT, Limits, row_numbers
 
 # Monitoring names the rules know under a short name.
@@ -29,7 +29,7 @@ def utilisation(points: DataFrame, keys: Sequence[str], names: Mapping[str, str]
     means = positive.groupBy(*keys).agg(
         *[F.avg(F.when(F.col("metric_name") == m, F.col(value))).alias(f"_{n}") for m, n in names.items()]
     )
-    return means.select(*keys, *[half_even(F.col(f"_{n}") * 100, 4).alias(n) for n in names.values()])
+    return means.select(*keys, *[stable(F.col(f"_{n}") * 100, 4).alias(n) for n in names.values()])
 
 
 def as_map(df: DataFrame, names: Sequence[str], out: str = "metrics") -> DataFrame:
@@ -65,8 +65,9 @@ def weekly_growth(points: DataFrame, key: str, ts: str, value: str) -> DataFrame
     adjacent = F.col("_before.week") == F.col("_last.week") - F.expr("INTERVAL 7 DAYS")
     previous = F.nullif(F.when(adjacent, F.col("_before.amount")), F.lit(0.0))
     growth = F.try_divide((F.col("_last.amount") - previous) * 100, previous)
-    return latest.withColumn("_growth", growth).select(
-        key, F.col("_last.week").alias("week"), half_even(F.col("_growth"), 4).alias("growth_pct_per_week")
+    grown = let(latest, _growth=growth)
+    return let(grown, growth_pct_per_week=stable(F.col("_growth"), 4)).select(
+        key, F.col("_last.week").alias("week"), "growth_pct_per_week"
     )
 
 
@@ -96,3 +97,16 @@ def staleness(rows: DataFrame, keys: Sequence[str], ts: str, run_ts: Column, is_
         F.sum(F.when(recent, 1).otherwise(0)).cast("int").alias("read_ops_30d"),
         (F.sum(F.when(is_read, 1.0).otherwise(0.0)) / months).alias("reads_per_month"),
     )
+
+
+def counts(
+    rows: DataFrame, keys: Sequence[str], active: Column, member: str, names: tuple[str, str, str]
+) -> DataFrame:
+    """All members, active members and distinct members per resource."""
+    total, running, distinct = names
+    per_member = rows.groupBy(*keys, member).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(active).alias("_active")
+    )
+    return per_member.groupBy(*keys).agg(
+        F.sum("_n").alias(total), F.sum("_active").alias(running), F.count(member).alias(distinct)
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costgauge.functions.numeric import number
-from costgauge.operators.scale import DEFAULT, Limits, is_small
+from costgauge.operators.scale import DEFAULT, Limits, dim_join, is_small
 from costgauge.schemas import RULE_LOGIC
 
 
@@ -151,6 +151,12 @@ def evaluate(
     ).drop("_rule")
 
 
+def with_service_config(rules: DataFrame, services: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
+    """Active rules of active services, with the service's tables and recommender."""
+    active = services.where(F.col("is_active")).drop("is_active")
+    return dim_join(rules.where(F.col("is_active")), active, ["service_code"], "inner", limits)
+
+
 def healthy(resources: DataFrame, fired: DataFrame) -> DataFrame:
     """Resources with metrics on which no rule fired."""
     tested = resources.where(F.size("metrics") > 0)

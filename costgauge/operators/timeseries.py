@@ -39,6 +39,11 @@ def distinct_specs(specs: DataFrame) -> DataFrame:
     return specs.groupBy(*key).agg(F.min("unit").alias("unit"))
 
 
+def bucket_start(ts: Column, interval: Column | int | str) -> Column:
+    """Start of the interval a timestamp falls in; the interval as ISO text or minutes."""
+    return floor_to_interval(ts, iso_minutes(F.lit(interval)) if isinstance(interval, str) else interval)
+
+
 def align(
     points: DataFrame,
     series: Sequence[str],
@@ -47,9 +52,7 @@ def align(
     aggregation: str = "Average",
 ) -> DataFrame:
     """One value of each series per interval, as columns ``bucket`` and ``value``; the mean by default."""
-    minutes = iso_minutes(F.lit(interval)) if isinstance(interval, str) else interval
-    bucket = floor_to_interval(F.col("ts"), minutes)
-    return points.groupBy(*series, bucket.alias("bucket")).agg(
+    return points.groupBy(*series, bucket_start(F.col("ts"), interval).alias("bucket")).agg(
         reducer(aggregation, F.col(value), F.col("ts")).alias("value")
     )
 
@@ -96,6 +99,21 @@ def reduce_series(
     return aligned.groupBy(*keys).agg(reducer(aggregation, F.col("value"), None, compat).alias("value"))
 
 
+def reduce_points(
+    bucketed: DataFrame,
+    group: Sequence[str],
+    aggregation: str,
+    percentile: int | None = None,
+    compat: bool = False,
+    limits: Limits = DEFAULT,
+) -> DataFrame:
+    """Reduce raw points (``ts``, ``value``, ``bucket``) per group and bucket in one step."""
+    keys = [*group, "bucket"]
+    if aggregation == "Percentile":
+        return percentiles(bucketed, keys, "value", {"value": requested_percentile(percentile, compat)}, limits)
+    return bucketed.groupBy(*keys).agg(reducer(aggregation, F.col("value"), F.col("ts"), compat).alias("value"))
+
+
 def reduce_all(aligned: DataFrame, group: Sequence[str], aggregations: dict[str, str]) -> DataFrame:
     """Several non-percentile reductions in one pass; output name -> aggregation name."""
     columns = [reducer(a, F.col("value")).alias(name) for name, a in aggregations.items()]

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costgauge.functions.numeric import half_even
+from costgauge.functions.numeric import stable
 from costgauge.operators.matching import Catalog
 from costgauge.plans import machines, messaging, network, storage
 from costgauge.plans.contract import as_report
@@ -89,6 +89,6 @@ def summary(recommendations: DataFrame) -> DataFrame:
     return totals.select(
         "rule_code",
         "recommendations",
-        half_even(F.col("_savings"), 2).alias("total_annual_savings"),
-        half_even(F.col("_once"), 2).alias("savings_once"),
+        stable(F.col("_savings"), 2).alias("total_annual_savings"),
+        stable(F.col("_once"), 2).alias("savings_once"),
     )

@@ -11,7 +11,7 @@ from costgauge.operators.features import METRIC_NAMES, utilisation
 from costgauge.operators.matching import Catalog, own_family_first
 from costgauge.operators.scale import DEFAULT, is_small
 from costgauge.sources import seeds
-from costgauge.workload.registry import r
+from costgauge.workload.registry import r, rs
 
 CPU, MEMORY, POD_CPU, POD_MEMORY = METRIC_NAMES
 UNMAPPED = "kubernetes.io/pod/volume/total_bytes"
@@ -125,7 +125,7 @@ def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _utilisation_sql(keys: str, source: str) -> str:
     columns = ", ".join(
-        f"{r(f'''avg(value) FILTER (WHERE metric_name = '{m}') * 100''', 4)} AS {n}" for m, n in METRIC_NAMES.items()
+        f"{rs(f'''avg(value) FILTER (WHERE metric_name = '{m}') * 100''', 4)} AS {n}" for m, n in METRIC_NAMES.items()
     )
     return f"SELECT {keys}, {columns} FROM {source} WHERE value > 0 AND metric_name <> '' GROUP BY {keys}"
 

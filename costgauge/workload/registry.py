@@ -27,3 +27,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def r(expression: str, digits: int) -> str:
     """SQL for rounding half to even on the exact value: through fixed-decimal text."""
     return f"(CAST(format('{{:.{digits}f}}', CAST({expression} AS DOUBLE)) AS DOUBLE) + 0.0)"
+
+
+def rs(expression: str, digits: int) -> str:
+    """SQL for rounding an aggregate: four digits finer first, so that summation order does not show."""
+    return r(r(expression, digits + 4), digits)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costgauge.functions.numeric import half_even
+from costgauge.functions.numeric import half_even, stable
 from costgauge.operators import features
 from costgauge.operators.scale import percentiles
 from costgauge.plans import machines as plan
@@ -15,7 +15,7 @@ from costgauge.sources import seeds
 from costgauge.workload import compute
 from costgauge.workload import models as m
 from costgauge.workload.compute import MACHINE_DETAILS, RECO_COLUMNS, with_details
-from costgauge.workload.registry import SQL, query, r
+from costgauge.workload.registry import SQL, query, r, rs
 
 ZERO = "CAST(0 AS DOUBLE)"
 
@@ -34,7 +34,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("job-"), key).alias("job_name"),
         F.when(key % 37 == 0, F.lit("")).otherwise(F.col("machine_type")).alias("machine_type"),
         (key % 7).cast("double").alias("current_num_vcpus"),
-        half_even(F.col("mean_price") / 5000 * ((key % 5) / 4.0), 4).alias("cpu_utilization_p95"),
+        stable(F.col("mean_price") / 5000 * ((key % 5) / 4.0), 4).alias("cpu_utilization_p95"),
         m.pick(key % 3, {0: 0.0, 1: 40.0, 2: 90.0}, 0.0).alias("memory_utilization_avg"),
     )
 
@@ -54,7 +54,7 @@ jobs AS (
   SELECT CAST(o_custkey AS VARCHAR) AS resource_id, 'job-' || o_custkey AS job_name,
          CASE WHEN o_custkey % 37 = 0 THEN 'n1-standard-4' ELSE machine_type END AS machine_type,
          CASE WHEN o_custkey % 7 = 0 THEN CAST(1 AS DOUBLE) ELSE CAST(o_custkey % 7 AS DOUBLE) END AS n,
-         {r('mean_price / 5000 * ((o_custkey % 5) / CAST(4 AS DOUBLE))', 4)} AS cpu,
+         {rs('mean_price / 5000 * ((o_custkey % 5) / CAST(4 AS DOUBLE))', 4)} AS cpu,
          CASE o_custkey % 3 WHEN 0 THEN CAST(0 AS DOUBLE) WHEN 1 THEN CAST(40 AS DOUBLE) ELSE CAST(90 AS DOUBLE) END AS mem
   FROM (SELECT o_custkey, avg(o_totalprice) AS mean_price FROM orders GROUP BY o_custkey) o
   JOIN batch ON ordinal = o_custkey % {len(seeds.BATCH_WORKERS)} + 1)"""
@@ -187,7 +187,7 @@ def router_nat(spark: SparkSession, sf_dir: str) -> DataFrame:
         "resource_id",
         F.concat(F.lit("router-"), key).alias("router_name"),
         (key % 16 + 1).alias("nat_ip_count"),
-        F.when(key % 7 == 0, 0.0).otherwise(half_even(F.col("p95"), 6)).alias("nat_port_usage_p95"),
+        F.when(key % 7 == 0, 0.0).otherwise(stable(F.col("p95"), 6)).alias("nat_port_usage_p95"),
         "nat_allocated_ports_avg",
     )
     return network.router_nat(routers, seeds.components(spark))
@@ -198,7 +198,7 @@ def router_nat(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH routers AS (
   SELECT l_suppkey, CAST(l_suppkey % 16 + 1 AS DOUBLE) AS ips, max(l_quantity) AS allocated,
          CASE WHEN l_suppkey % 7 = 0 THEN CAST(0 AS DOUBLE)
-              ELSE {r('quantile_cont(l_quantity * l_discount * 10, 0.95)', 6)} END AS used
+              ELSE {rs('quantile_cont(l_quantity * l_discount * 10, 0.95)', 6)} END AS used
   FROM lineitem GROUP BY l_suppkey),
 needed AS (
   SELECT *, greatest(1, {r('CASE WHEN allocated > 0 AND used > 0 THEN ips * (used / allocated) * 1.2 ELSE ips * 0.5 END', 0)})
@@ -250,7 +250,7 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = percentiles(samples, ["resource_id", "metric_name"], "value", {"p25": 0.25, "p95": 0.95})
 
     def of(name: str, level: str) -> Column:
-        return half_even(F.max(F.when(F.col("metric_name") == name, F.col(level))), 4)
+        return stable(F.max(F.when(F.col("metric_name") == name, F.col(level))), 4)
 
     levels = found.groupBy("resource_id").agg(
         of("backlog", "p95").alias("num_undelivered_messages_p95"),
@@ -261,18 +261,18 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return volumes.join(levels, "resource_id").select(
         "*",
         F.concat(F.lit("topic-"), key).alias("topic_name"),
-        half_even(F.col("_quantity") / 75, 4).alias("monthly_data_gb"),
+        stable(F.col("_quantity") / 75, 4).alias("monthly_data_gb"),
         F.greatest(F.lit(1), F.col("subscription_count") - key % 3).alias("active_subscription_count"),
     ).drop("_quantity")
 
 
 TOPICS = f"""topics AS (
-  SELECT l_partkey, {r('sum(l_quantity) / 75', 4)} AS gb, CAST(count(*) AS DOUBLE) AS subs,
+  SELECT l_partkey, {rs('sum(l_quantity) / 75', 4)} AS gb, CAST(count(*) AS DOUBLE) AS subs,
          CAST(greatest(1, count(*) - l_partkey % 3) AS DOUBLE) AS active,
-         {r('quantile_cont(l_extendedprice / 6, 0.95)', 4)} AS backlog,
-         {r('quantile_cont(l_quantity * l_tax * 100, 0.95)', 4)} AS age,
-         {r('quantile_cont(l_quantity * l_discount, 0.95)', 4)} AS cost_p95,
-         {r('quantile_cont(l_quantity * l_discount, 0.25)', 4)} AS cost_base
+         {rs('quantile_cont(l_extendedprice / 6, 0.95)', 4)} AS backlog,
+         {rs('quantile_cont(l_quantity * l_tax * 100, 0.95)', 4)} AS age,
+         {rs('quantile_cont(l_quantity * l_discount, 0.95)', 4)} AS cost_p95,
+         {rs('quantile_cont(l_quantity * l_discount, 0.25)', 4)} AS cost_base
   FROM lineitem GROUP BY l_partkey)"""
 
 
@@ -285,7 +285,7 @@ def pubsub_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "resource_id",
         F.concat(F.lit("topic-"), F.col("resource_id")).alias("topic_name"),
         "subscription_count",
-        half_even(F.col("_quantity") / 75, 4).alias("monthly_data_gb"),
+        stable(F.col("_quantity") / 75, 4).alias("monthly_data_gb"),
     )
     return messaging.pubsub_idle(rows)
 
@@ -293,7 +293,7 @@ def pubsub_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "reco_pubsub_idle",
     f"""WITH topics AS (
-  SELECT l_partkey, {r('sum(l_quantity) / 75', 4)} AS gb, CAST(count(*) AS DOUBLE) AS subs FROM lineitem GROUP BY l_partkey),
+  SELECT l_partkey, {rs('sum(l_quantity) / 75', 4)} AS gb, CAST(count(*) AS DOUBLE) AS subs FROM lineitem GROUP BY l_partkey),
 monthly AS (SELECT *, {r('(greatest(CAST(0 AS DOUBLE), gb - 10) * subs) * 0.04', 4)} AS cost FROM topics),
 annual AS (SELECT *, {r('cost * 12', 2)} AS yearly FROM monthly)
 SELECT CAST(l_partkey AS VARCHAR) AS resource_id, 'PUBSUB_IDLE' AS rule_code,
@@ -471,7 +471,7 @@ numbered AS (
   FROM weekly WINDOW w AS (PARTITION BY l_suppkey ORDER BY week)),
 growth AS (
   SELECT l_suppkey, week, CASE WHEN previous_week = week - INTERVAL 7 DAY AND previous <> 0
-    THEN {r('(amount - previous) * 100 / previous', 4)} END AS growth FROM numbered WHERE back = 1)"""
+    THEN {rs('(amount - previous) * 100 / previous', 4)} END AS growth FROM numbered WHERE back = 1)"""
 BUCKETS = f"""sized AS (
   SELECT l_suppkey, CASE WHEN l_suppkey % 10 = 9 THEN CAST(0 AS DOUBLE) ELSE sum(l_quantity) END AS gb,
          CASE l_suppkey % 5 WHEN 1 THEN 'NEARLINE' WHEN 2 THEN 'COLDLINE' WHEN 3 THEN 'ARCHIVE' ELSE 'STANDARD' END AS class,
@@ -573,8 +573,8 @@ def origins(spark: SparkSession, sf_dir: str, latency: bool = True) -> DataFrame
     rows = counted.withColumns(
         {
             "resource_id": F.col("user_id").cast("string"),
-            "egress_gb_monthly": half_even(F.col("_value") / 100, 4),
-            "sent_bytes_gb": half_even(F.col("_sent") / 100, 4),
+            "egress_gb_monthly": stable(F.col("_value") / 100, 4),
+            "sent_bytes_gb": stable(F.col("_sent") / 100, 4),
             "request_count_monthly": F.col("requests"),
             "cache_hit_ratio": F.coalesce(hit, F.lit(0.0)),
             "miss_ratio_pct": F.coalesce(missed, F.lit(0.0)),
@@ -582,17 +582,17 @@ def origins(spark: SparkSession, sf_dir: str, latency: bool = True) -> DataFrame
         }
     )
     if latency:
-        rows = rows.withColumn("backend_latency_p95_ms", half_even(F.col("backend_latency_p95_ms"), 4))
+        rows = rows.withColumn("backend_latency_p95_ms", stable(F.col("backend_latency_p95_ms"), 4))
     named = rows.join(places, "resource_id").withColumn("origin_name", F.concat(F.lit("origin-"), F.col("user_id")))
     return named.withColumn("resource_id", F.concat_ws("|", "resource_id", "day")).drop("user_id", "day", "_value", "_sent")
 
 
 ORIGINS = f"""counted AS (
-  SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, {r('sum(value) / 100', 4)} AS egress,
-         {r("sum(CASE WHEN event_type = 'purchase' THEN value ELSE 0 END) / 100", 4)} AS sent,
+  SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, {rs('sum(value) / 100', 4)} AS egress,
+         {rs("sum(CASE WHEN event_type = 'purchase' THEN value ELSE 0 END) / 100", 4)} AS sent,
          CAST(count(*) FILTER (WHERE event_type = 'view') AS DOUBLE) AS requests,
          CAST(count(*) FILTER (WHERE event_type = 'error') AS DOUBLE) AS misses,
-         {r('quantile_cont(value * 10, 0.95)', 4)} AS latency
+         {rs('quantile_cont(value * 10, 0.95)', 4)} AS latency
   FROM events GROUP BY 1, 2),
 origins AS (
   SELECT CAST(user_id AS VARCHAR) || '|' || day AS resource_id, 'origin-' || user_id AS origin_name, egress, sent, requests,
@@ -811,8 +811,8 @@ best AS (SELECT rule_code, sum(annual_savings) AS once FROM (
   SELECT *, row_number() OVER (PARTITION BY resource_id ORDER BY annual_savings DESC, rule_code DESC) AS rn FROM reco)
   WHERE rn = 1 GROUP BY rule_code),
 plain AS (SELECT rule_code, count(*) AS n, sum(annual_savings) AS savings FROM reco GROUP BY rule_code)
-SELECT rule_code, CAST(sum(n) AS BIGINT) AS recommendations, {r('sum(savings)', 2)} AS total_annual_savings,
-       {r('sum(coalesce(once, 0))', 2)} AS savings_once
+SELECT rule_code, CAST(sum(n) AS BIGINT) AS recommendations, {rs('sum(savings)', 2)} AS total_annual_savings,
+       {rs('sum(coalesce(once, 0))', 2)} AS savings_once
 FROM plain LEFT JOIN best USING (rule_code) GROUP BY ROLLUP (rule_code)""",
 )
 def savings_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
