@@ -19,13 +19,14 @@ def half_even(x: Column, digits: int) -> Column:
     generated code; bind ``x`` to a column first when it is a long expression.
     """
     x = x.cast("double")
-    scale = F.lit(float(10**digits))
+    scale = float(10**digits)
     product = x * scale
+    even = F.rint(product)
+    gap = product - even
     head = x.cast("float").cast("double")
     error = (head * scale - product) + (x - head) * scale
-    on_tie = (product - F.floor(product)) == F.lit(0.5)
-    rounded = F.when(on_tie & (error != 0), product + F.signum(error) * 0.5).otherwise(F.rint(product))
-    return rounded / scale
+    beyond_tie = (gap * gap == 0.25) & (error * gap > 0)
+    return (even + F.when(beyond_tie, gap * 2).otherwise(0.0)) / scale
 
 
 def stable(x: Column, digits: int) -> Column:

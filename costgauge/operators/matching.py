@@ -17,7 +17,8 @@ from costgauge.functions.numeric import half_even
 from costgauge.functions.text import machine_family
 from costgauge.operators.scale import DEFAULT, Limits, dense_ranks, dim_join, is_small
 
-ENTRY = ("machine_type", "vcpus", "ram_gb", "hourly_cost", "monthly_cost", "annual_cost", "ordinal")
+# A machine with the fields in front that decide between two that fit.
+RANKED = ("vcpus", "ram_gb", "ordinal", "machine_type", "hourly_cost", "monthly_cost", "annual_cost")
 
 
 @dataclass(frozen=True)
@@ -27,13 +28,15 @@ class Catalog:
     ``entries`` holds a type once per ``group``, the set inside which cheaper
     machines are sought. ``small`` says that all entries together fit a
     broadcast; otherwise every reduced form is checked by itself. ``dense`` says
-    the ordinals are dense ranks already.
+    the ordinals are dense ranks already, ``unique`` that no type occurs in two
+    groups.
     """
 
     entries: DataFrame
     group: str = "family"
     small: bool = False
     dense: bool = True
+    unique: bool = False
     limits: Limits = DEFAULT
 
     def fits(self, reduced: DataFrame) -> bool:
@@ -48,11 +51,15 @@ def lookup(workloads: DataFrame, catalog: Catalog) -> DataFrame:
     """
     present = catalog.entries.columns
     columns = [c for c in present if c not in ("machine_type", "priority")]
-    order = [c for c in ("priority", "family", "ordinal") if c in present]
-    best = F.min_by(F.struct(*columns), F.struct(*order)).alias("_entry")
-    entries = catalog.entries.groupBy("machine_type").agg(best)
-    joined = dim_join(workloads, entries, ["machine_type"], "inner", catalog.limits, catalog.fits(entries))
-    return joined.select(*workloads.columns, *[F.col(f"_entry.{c}").alias(f"cur_{c}") for c in columns])
+    if catalog.unique:
+        entries = catalog.entries.select("machine_type", *[F.col(c).alias(f"cur_{c}") for c in columns])
+    else:
+        order = [c for c in ("priority", "family", "ordinal") if c in present]
+        best = F.min_by(F.struct(*columns), F.struct(*order)).alias("_entry")
+        entries = catalog.entries.groupBy("machine_type").agg(best).select(
+            "machine_type", *[F.col(f"_entry.{c}").alias(f"cur_{c}") for c in columns]
+        )
+    return dim_join(workloads, entries, ["machine_type"], "inner", catalog.limits, catalog.fits(entries))
 
 
 def own_family_first(entries: DataFrame) -> DataFrame:
@@ -67,30 +74,16 @@ def missing_types(workloads: DataFrame, catalog: Catalog) -> DataFrame:
     return workloads.join(usable, "machine_type", "left_anti")
 
 
-def _candidates(catalog: DataFrame, group: str) -> DataFrame:
-    """The entries that can be a best answer: per size, the two cheapest of different type.
+def _candidates(catalog: Catalog) -> DataFrame:
+    """The entries that can be a best answer: per size, the two cheapest.
 
     The second one answers for workloads that already run the first. The row
     number filter is applied before the shuffle as well, so each task sends at
     most two entries per size.
     """
-    entry = F.struct("ordinal", *[c for c in ENTRY if c != "ordinal"])
-    per_type = catalog.groupBy(group, "vcpus", "ram_gb", "machine_type").agg(F.min(entry).alias("best"))
-    place = Window.partitionBy(group, "vcpus", "ram_gb").orderBy("best.ordinal", "machine_type")
-    return per_type.withColumn("_place", F.row_number().over(place)).where("_place <= 2").select(group, "best")
-
-
-def _ranked(entry: Column) -> Column:
-    """Entry with the fields that decide in front: vCPUs, RAM, ordinal, type."""
-    return F.struct(
-        entry["vcpus"].alias("vcpus"),
-        entry["ram_gb"].alias("ram_gb"),
-        entry["ordinal"].alias("ordinal"),
-        entry["machine_type"].alias("machine_type"),
-        entry["hourly_cost"].alias("hourly_cost"),
-        entry["monthly_cost"].alias("monthly_cost"),
-        entry["annual_cost"].alias("annual_cost"),
-    )
+    place = Window.partitionBy(catalog.group, "vcpus", "ram_gb").orderBy("ordinal", "machine_type")
+    placed = catalog.entries.withColumn("_place", F.row_number().over(place)).where("_place <= 2")
+    return placed.select(catalog.group, F.struct(*RANKED).alias("entry"))
 
 
 def _first_fit(entries: Column) -> Column:
@@ -114,7 +107,7 @@ def best_fit(workloads: DataFrame, catalog: Catalog) -> DataFrame:
     travel in blocks, each block answers for itself and the smallest answer wins.
     """
     group, limits = catalog.group, catalog.limits
-    candidates = _candidates(catalog.entries, group).select(group, _ranked(F.col("best")).alias("entry"))
+    candidates = _candidates(catalog)
     if catalog.fits(candidates):
         index = candidates.groupBy(group).agg(F.array_sort(F.collect_list("entry")).alias("_entries"))
         return (
@@ -161,7 +154,7 @@ def closest_cheaper(catalog: Catalog, keep: int = 3) -> DataFrame:
         steps = catalog.entries.withColumn("_step", F.col("ordinal"))
     else:
         steps = dense_ranks(catalog.entries, [group], "ordinal", "_step", catalog.limits, catalog.small)
-    entry = F.struct((-F.col("ordinal")).alias("_down"), *ENTRY)
+    entry = F.struct((-F.col("ordinal")).alias("_down"), F.col("machine_type").alias("_name"), *RANKED)
     place = Window.partitionBy(group, "_step").orderBy("machine_type")
     firsts = (
         steps.withColumn("_place", F.row_number().over(place))
@@ -174,8 +167,9 @@ def closest_cheaper(catalog: Catalog, keep: int = 3) -> DataFrame:
     cheaper = handed.groupBy(group, "_step").agg(
         F.slice(F.array_sort(F.collect_list("_entry")), 1, keep + 1).alias("cheaper")
     )
-    own_steps = firsts.select(group, "_step", "ordinal").distinct()
-    return own_steps.join(cheaper, [group, "_step"]).drop("_step")
+    if catalog.dense:
+        return cheaper.withColumnRenamed("_step", "ordinal")
+    return firsts.select(group, "_step", "ordinal").distinct().join(cheaper, [group, "_step"]).drop("_step")
 
 
 def fallback_targets(cheaper: Column, own_type: Column, keep: int = 3) -> Column:

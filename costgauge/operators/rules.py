@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ class Rule:
     is_active: bool = True
 
 
+OPERATORS = ("lt", "lte", "gt", "gte", "eq")
 RULE_COLUMNS = (
     "rule_code string, service_code string, logic string, "
     "conditions array<struct<metric: string, operator: string, threshold: double>>, "
@@ -106,6 +108,19 @@ def fires(metrics: Column, logic: Column, conditions: Column, missing_is_zero: b
     return (F.size(outcomes) > 0) & both
 
 
+def as_filter(rule: Rule, missing_is_zero: bool = True) -> Column:
+    """A rule declared in code as a predicate on wide metric columns, for use without a rules table."""
+    outcomes = []
+    for c in rule.conditions:
+        value = F.coalesce(F.col(c.metric), F.lit(0.0)) if missing_is_zero else F.col(c.metric)
+        outcomes.append(compare(value, F.lit(c.operator), F.lit(float(c.threshold))))
+    known = [o for o, c in zip(outcomes, rule.conditions) if c.operator in OPERATORS]
+    if not known:
+        return F.lit(False)
+    both = (lambda a, b: a & b) if rule.logic.upper() == "AND" else (lambda a, b: a | b)
+    return reduce(both, known)
+
+
 def evaluate(
     resources: DataFrame,
     rules: DataFrame,

@@ -21,7 +21,7 @@ class Limits:
     """Sizes at which plans change; tests lower them to force the other way."""
 
     broadcast_rows: int = 200_000
-    group_rows: int = 5_000_000
+    group_rows: int = 1_000_000
     max_buckets: int = 1_024
     block_rows: int = 4_096
     salts: int = 16
@@ -142,53 +142,69 @@ def dense_ranks(
 
 
 def percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, float], limits: Limits = DEFAULT
+    df: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[str, float]], limits: Limits = DEFAULT
 ) -> DataFrame:
-    """Exact interpolated percentiles per group, one output column per entry of ``wanted``.
+    """Exact interpolated percentiles per group; ``wanted`` maps output names to (column, fraction).
 
-    Groups of bounded size use the built-in aggregate. If any group is beyond
-    the bound, values are counted per bucket and only the buckets that hold the
-    wanted positions are ordered.
+    Groups of bounded size use the built-in aggregate, one buffer per column. If
+    any group is beyond the bound, see ``_percentiles_by_bucket``.
     """
-    rows = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    biggest, _ = group_sizes(rows, keys)
-    if biggest <= limits.group_rows:
-        return rows.groupBy(*keys).agg(*[F.percentile("_v", p).alias(name) for name, p in wanted.items()])
+    biggest, _ = group_sizes(df, keys)
+    if biggest > limits.group_rows:
+        return _percentiles_by_bucket(df, keys, wanted, bucket_count(biggest, limits))
+    fractions: dict[str, list[float]] = {}
+    for column, p in wanted.values():
+        fractions.setdefault(column, []).append(p)
+    found = df.groupBy(*keys).agg(
+        *[F.percentile(c, F.array(*[F.lit(float(p)) for p in ps])).alias(f"_at_{c}") for c, ps in fractions.items()]
+    )
+    return found.select(
+        *keys, *[F.get(f"_at_{c}", F.lit(fractions[c].index(p))).alias(name) for name, (c, p) in wanted.items()]
+    )
 
-    cuts = split_points(rows, "_v", bucket_count(biggest, limits))
-    counted = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+
+def _percentiles_by_bucket(
+    df: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[str, float]], buckets: int
+) -> DataFrame:
+    """The same for groups too big for one task.
+
+    Columns become rows, equal values are counted, and only the value buckets
+    that hold a wanted position are ordered, each by its own task.
+    """
+    columns = sorted({c for c, _ in wanted.values()})
+    each = [F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in columns]
+    rows = df.select(*keys, F.inline(F.array(*each))).where(F.col("_v").isNotNull())
+    by = [*keys, "_c"]
+    cuts = split_points(rows, "_v", buckets * len(columns))
+    counted = rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
     counted = counted.withColumn("_bucket", bucket_of(F.col("_v"), cuts))
-    totals = counted.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_in"))
-    group = Window.partitionBy(*keys)
-    before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumns(
-        {"_before": F.coalesce(F.sum("_in").over(before), F.lit(0)), "_total": F.sum("_in").over(group)}
+    group = Window.partitionBy(*by)
+    lower = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        counted.groupBy(*by, "_bucket")
+        .agg(F.sum("_n").alias("_in"))
+        .withColumns({"_before": F.coalesce(F.sum("_in").over(lower), F.lit(0)), "_total": F.sum("_in").over(group)})
     )
 
-    def positions(p: float) -> tuple[Column, Column, Column]:
-        at = (F.col("_total") - 1) * F.lit(float(p))
-        return at, F.floor(at), F.ceil(at)
-
-    def holds(position: Column) -> Column:
-        return (position >= F.col("_before")) & (position < F.col("_before") + F.col("_in"))
+    def position(p: float) -> Column:
+        return (F.col("_total") - 1) * F.lit(float(p))
 
     needed = F.lit(False)
-    for p in wanted.values():
-        _, low, high = positions(p)
-        needed = needed | holds(low) | holds(high)
-    inside = Window.partitionBy(*keys, "_bucket").orderBy("_v")
-    start = F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = counted.join(totals.where(needed), [*keys, "_bucket"]).withColumn("_start", F.col("_before") + start)
-
-    def value_at(position: Column) -> Column:
-        hit = (position >= F.col("_start")) & (position < F.col("_start") + F.col("_n"))
-        return F.max(F.when(hit, F.col("_v")))
+    for column, p in wanted.values():
+        for at in (F.floor(position(p)), F.ceil(position(p))):
+            inside = (at >= F.col("_before")) & (at < F.col("_before") + F.col("_in"))
+            needed = needed | ((F.col("_c") == column) & inside)
+    smaller = Window.partitionBy(*by, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("_before") + F.coalesce(F.sum("_n").over(smaller), F.lit(0))
+    placed = counted.join(totals.where(needed), [*by, "_bucket"]).withColumn("_start", start)
 
     picks = []
-    for name, p in wanted.items():
-        at, low, high = positions(p)
-        picks += [value_at(low).alias(f"_lo_{name}"), value_at(high).alias(f"_hi_{name}")]
-        picks.append(F.max(at - low).alias(f"_part_{name}"))
+    for name, (column, p) in wanted.items():
+        own, at = F.col("_c") == column, position(p)
+        for label, index in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            hit = own & (index >= F.col("_start")) & (index < F.col("_start") + F.col("_n"))
+            picks.append(F.max(F.when(hit, F.col("_v"))).alias(f"_{label}_{name}"))
+        picks.append(F.max(F.when(own, at - F.floor(at))).alias(f"_part_{name}"))
     found = placed.groupBy(*keys).agg(*picks)
     return found.select(
         *keys,

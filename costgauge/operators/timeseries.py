@@ -95,7 +95,7 @@ def reduce_series(
     """Reduce aligned series across a group per bucket."""
     keys = [*group, "bucket"]
     if aggregation == "Percentile":
-        return percentiles(aligned, keys, "value", {"value": requested_percentile(percentile, compat)}, limits)
+        return percentiles(aligned, keys, {"value": ("value", requested_percentile(percentile, compat))}, limits)
     return aligned.groupBy(*keys).agg(reducer(aggregation, F.col("value"), None, compat).alias("value"))
 
 
@@ -110,7 +110,7 @@ def reduce_points(
     """Reduce raw points (``ts``, ``value``, ``bucket``) per group and bucket in one step."""
     keys = [*group, "bucket"]
     if aggregation == "Percentile":
-        return percentiles(bucketed, keys, "value", {"value": requested_percentile(percentile, compat)}, limits)
+        return percentiles(bucketed, keys, {"value": ("value", requested_percentile(percentile, compat))}, limits)
     return bucketed.groupBy(*keys).agg(reducer(aggregation, F.col("value"), F.col("ts"), compat).alias("value"))
 
 

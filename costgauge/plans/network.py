@@ -21,20 +21,18 @@ ZONE_FEE_PER_MONTH = 0.20
 FREE_ZONES = 25
 
 
-def _component(prices: DataFrame, name: str) -> DataFrame:
-    """The one price row of a component; without it there is no recommendation."""
-    return prices.where(F.col("component") == name).select(number(F.col("hourly_price")).alias("_hourly")).limit(1)
-
-
-def _with_price(rows: DataFrame, prices: DataFrame, component: str) -> DataFrame:
-    """The component's price on every row: an equi join with a single broadcast row."""
-    price = _component(prices, component).withColumn("_component", F.lit(component))
-    return rows.withColumn("_component", F.lit(component)).join(F.broadcast(price), "_component").drop("_component")
+def _with_price(rows: DataFrame, prices: DataFrame, component: str, default: float) -> DataFrame:
+    """The component's hourly price on every row, as a scalar subquery; no rows where the component is not listed."""
+    listed = prices.where(F.col("component") == component)
+    price = listed.agg(
+        F.when(F.count(F.lit(1)) > 0, number(F.coalesce(F.first("hourly_price", ignorenulls=True), F.lit(default))))
+    )
+    return rows.withColumn("_hourly", price.scalar()).where(F.col("_hourly").isNotNull())
 
 
 def router_idle(routers: DataFrame, prices: DataFrame) -> DataFrame:
     """Idle routers cost their VPN tunnels."""
-    rows = _with_price(routers, prices, "vpn_tunnel")
+    rows = _with_price(routers, prices, "vpn_tunnel", 0.05)
     rows = rows.withColumn("_tunnels", count_or_one(optional(rows, "vpn_tunnel_count", 1.0)))
     rows = rows.withColumns(
         {
@@ -68,7 +66,7 @@ def router_idle(routers: DataFrame, prices: DataFrame) -> DataFrame:
 
 def router_nat(routers: DataFrame, prices: DataFrame) -> DataFrame:
     """Fewer NAT addresses where the ports in use need fewer; no row without a gain."""
-    rows = _with_price(routers, prices, "nat_ip")
+    rows = _with_price(routers, prices, "nat_ip", 0.004)
     rows = rows.withColumns(
         {
             "_ips": count_or_one(optional(rows, "nat_ip_count", 1.0)),

@@ -68,25 +68,30 @@ def recommend_fired(fired: DataFrame, codes: list[str], prices: Prices) -> DataF
 
 
 def summary(recommendations: DataFrame) -> DataFrame:
-    """Recommendations and savings per rule and in all (null rule).
+    """Recommendations and savings per rule and in all (null rule), in one pass over the report.
 
     ``savings_once`` counts a resource's best recommendation only, because an
     idle resource is overprovisioned as well.
     """
-    best = recommendations.groupBy("resource_id").agg(
-        F.max_by(F.struct("rule_code", "annual_savings"), F.struct("annual_savings", "rule_code")).alias("b")
+    per_rule = recommendations.groupBy("resource_id", "rule_code").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("annual_savings").alias("savings"), F.max("annual_savings").alias("top")
     )
-    once = best.groupBy(F.col("b.rule_code").alias("rule_code")).agg(F.sum("b.annual_savings").alias("once"))
-    plain = recommendations.groupBy("rule_code").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("annual_savings").alias("savings")
+    # One entry per rule that fired on the resource.
+    per_resource = per_rule.groupBy("resource_id").agg(
+        F.max(F.struct("top", "rule_code")).alias("best"),
+        F.collect_list(F.struct("rule_code", "n", "savings")).alias("entries"),
     )
-    both = plain.join(once, "rule_code", "left")
-    totals = both.rollup("rule_code").agg(
+    rows = per_resource.select("best", F.inline("entries"))
+    once = F.when(F.col("rule_code") == F.col("best.rule_code"), F.col("best.top"))
+    totals = rows.groupBy("rule_code").agg(
+        F.sum("n").alias("n"), F.sum("savings").alias("savings"), F.sum(once).alias("once")
+    )
+    both = totals.rollup("rule_code").agg(
         F.sum("n").alias("recommendations"),
         F.sum("savings").alias("_savings"),
-        F.sum(F.coalesce("once", F.lit(0.0))).alias("_once"),
+        F.coalesce(F.sum("once"), F.lit(0.0)).alias("_once"),
     )
-    return totals.select(
+    return both.select(
         "rule_code",
         "recommendations",
         stable(F.col("_savings"), 2).alias("total_annual_savings"),

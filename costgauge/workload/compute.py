@@ -248,13 +248,11 @@ over_reco AS (
 """
 
 
-def _over_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users the overprovisioned rule fires on; the rule is compiled into the filter."""
+def over_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users the overprovisioned rule fires on; a rule declared in code is compiled into the filter."""
     rule = seeds.GKE_RULES[1]
-    outcome = F.lit(False)
-    for c in rule.conditions:
-        outcome = outcome | (F.coalesce(F.col(c.metric), F.lit(0.0)) < c.threshold)
-    return m.users(spark, sf_dir).where(outcome).withColumn("template", F.lit(rule.recommendation_template))
+    fired = m.users(spark, sf_dir).where(rules.as_filter(rule))
+    return fired.withColumn("template", F.lit(rule.recommendation_template))
 
 
 @query(
@@ -262,7 +260,7 @@ def _over_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     _OVER + "SELECT resource_id, machine_type, target_type, target_vcpus, target_ram, target_ordinal FROM direct",
 )
 def sku_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matched = plan.with_targets(_over_users(spark, sf_dir), m.compute_catalog(spark, sf_dir), plan.GKE)
+    matched = plan.with_targets(over_users(spark, sf_dir), m.compute_catalog(spark, sf_dir), plan.GKE)
     target = F.get("targets", F.lit(0))
     return matched.where(~F.col("is_fallback")).select(
         "resource_id",
@@ -279,7 +277,7 @@ def sku_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     _OVER + "SELECT resource_id, CAST(rn AS INTEGER) AS place, target_type, target_ordinal FROM fallback",
 )
 def sku_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matched = plan.with_targets(_over_users(spark, sf_dir), m.compute_catalog(spark, sf_dir), plan.GKE)
+    matched = plan.with_targets(over_users(spark, sf_dir), m.compute_catalog(spark, sf_dir), plan.GKE)
     placed = matched.where("is_fallback").select("resource_id", F.posexplode("targets").alias("pos", "target"))
     return placed.select(
         "resource_id",
@@ -313,7 +311,14 @@ def with_details(recommendations: DataFrame, names: dict[str, str]) -> DataFrame
 
 
 def gke_overprovisioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan.overprovisioned(_over_users(spark, sf_dir), m.compute_catalog(spark, sf_dir), plan.GKE)
+    return plan.overprovisioned(over_users(spark, sf_dir), m.compute_catalog(spark, sf_dir), plan.GKE)
+
+
+def idle_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User days the idle rule fires on."""
+    rule = seeds.GKE_RULES[0]
+    fired = m.windows(spark, sf_dir).where(rules.as_filter(rule))
+    return fired.withColumn("template", F.lit(rule.recommendation_template))
 
 
 @query("reco_gke_overprovisioned", _OVER + "SELECT * FROM over_reco WHERE NOT is_fallback")
@@ -341,12 +346,7 @@ idle_reco AS (
 
 
 def gke_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rule = seeds.GKE_RULES[0]
-    outcome = F.lit(True)
-    for c in rule.conditions:
-        outcome = outcome & (F.coalesce(F.col(c.metric), F.lit(0.0)) < c.threshold)
-    found = m.windows(spark, sf_dir).where(outcome).withColumn("template", F.lit(rule.recommendation_template))
-    return plan.idle(found, m.compute_catalog(spark, sf_dir), plan.GKE)
+    return plan.idle(idle_windows(spark, sf_dir), m.compute_catalog(spark, sf_dir), plan.GKE)
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from costgauge.functions.numeric import half_even
 from costgauge.operators.catalog import specs, with_ordinals
 from costgauge.operators.features import METRIC_NAMES, utilisation
-from costgauge.operators.matching import Catalog, own_family_first
+from costgauge.operators.matching import Catalog
 from costgauge.operators.scale import DEFAULT, is_small
 from costgauge.sources import seeds
 from costgauge.workload.registry import r, rs
@@ -20,8 +20,24 @@ RAM_FACTOR = {"ECONOMY": 1, "SMALL": 2, "MEDIUM": 3, "STANDARD": 4, "LARGE": 6}
 RUN_TS = "2024-01-31 00:00:00"
 
 
+# Schemas of the given tables that are read here; a declared schema saves a job per reader.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pick(value: Column, table: dict, other: object) -> Column:
@@ -104,7 +120,8 @@ def compute_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     base = machines(spark, sf_dir)
     small = is_small(base.select("machine_type"), DEFAULT.broadcast_rows)
     entries = specs(with_ordinals(base, small=small)).drop("hourly_price")
-    return Catalog(own_family_first(entries), "family", small)
+    # A part is listed once, so its type needs no choice between families.
+    return Catalog(entries, "family", small, unique=True)
 
 
 def worker_catalog(spark: SparkSession) -> Catalog:

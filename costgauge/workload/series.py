@@ -147,7 +147,7 @@ def reduce_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p95": timeseries.requested_percentile(95),
         "p95_compat": timeseries.requested_percentile(95, compat=True),
     }
-    found = percentiles(aligned, ["metric_name", "bucket"], "value", wanted)
+    found = percentiles(aligned, ["metric_name", "bucket"], {n: ("value", p) for n, p in wanted.items()})
     return found.select(
         "metric_name", iso_text(F.col("bucket")).alias("bucket"), *[stable(F.col(n), 6).alias(n) for n in wanted]
     )
@@ -239,7 +239,8 @@ PERCENTILES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
     + " FROM points GROUP BY 1, 2",
 )
 def feature_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = percentiles(m.points(spark, sf_dir), ["resource_id", "metric_name"], "value", PERCENTILES)
+    wanted = {n: ("value", p) for n, p in PERCENTILES.items()}
+    found = percentiles(m.points(spark, sf_dir), ["resource_id", "metric_name"], wanted)
     return found.select("resource_id", "metric_name", *[stable(F.col(n), 6).alias(n) for n in PERCENTILES])
 
 

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from costgauge.functions.numeric import half_even, stable
 from costgauge.operators import features
+from costgauge.operators.rules import savings_by_formula
 from costgauge.operators.scale import percentiles
 from costgauge.plans import machines as plan
 from costgauge.plans import messaging, network, pipeline, storage
-from costgauge.plans.contract import as_report
 from costgauge.sources import seeds
 from costgauge.workload import compute
 from costgauge.workload import models as m
@@ -18,6 +18,10 @@ from costgauge.workload.compute import MACHINE_DETAILS, RECO_COLUMNS, with_detai
 from costgauge.workload.registry import SQL, query, r, rs
 
 ZERO = "CAST(0 AS DOUBLE)"
+# When the rules of these services fire.
+JOB_IDLE = "cpu_utilization_p95 = 0"
+JOB_OVER = "cpu_utilization_p95 < 25"
+ORIGIN_IDLE = "request_count_monthly = 0 OR sent_bytes_gb = 0 OR cache_hit_ratio = 0"
 
 # Data pipeline jobs: one per ordering customer -------------------------------------------------
 
@@ -61,7 +65,7 @@ jobs AS (
 
 
 def dataflow_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idle = jobs(spark, sf_dir).where(F.col("cpu_utilization_p95") == 0)
+    idle = jobs(spark, sf_dir).where(JOB_IDLE)
     return plan.idle(idle, m.worker_catalog(spark), plan.DATAFLOW)
 
 
@@ -129,7 +133,7 @@ FROM priced"""
 
 
 def dataflow_overprovisioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    busy = jobs(spark, sf_dir).where(F.col("cpu_utilization_p95") < 25)
+    busy = jobs(spark, sf_dir).where(JOB_OVER)
     return plan.overprovisioned(busy, m.worker_catalog(spark), plan.DATAFLOW)
 
 
@@ -146,13 +150,16 @@ def reco_dataflow_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Routers: one per supplier ---------------------------------------------------------------------
 
 
-def router_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = m.table(spark, sf_dir, "supplier").select(
+def routers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m.table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("resource_id"),
         F.col("s_name").alias("router_name"),
         (F.col("s_suppkey") % 4).alias("vpn_tunnel_count"),
     )
-    return network.router_idle(rows, seeds.components(spark))
+
+
+def router_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return network.router_idle(routers(spark, sf_dir), seeds.components(spark))
 
 
 @query(
@@ -174,23 +181,26 @@ def reco_router_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def router_nat(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nat_routers(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = m.table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("resource_id"),
         (F.col("l_quantity") * F.col("l_discount") * 10).alias("ports"),
         "l_quantity",
     )
-    used = percentiles(lineitem, ["resource_id"], "ports", {"p95": 0.95})
+    used = percentiles(lineitem, ["resource_id"], {"p95": ("ports", 0.95)})
     allocated = lineitem.groupBy("resource_id").agg(F.max("l_quantity").alias("nat_allocated_ports_avg"))
     key = F.col("resource_id")
-    routers = used.join(allocated, "resource_id").select(
+    return used.join(allocated, "resource_id").select(
         "resource_id",
         F.concat(F.lit("router-"), key).alias("router_name"),
         (key % 16 + 1).alias("nat_ip_count"),
         F.when(key % 7 == 0, 0.0).otherwise(stable(F.col("p95"), 6)).alias("nat_port_usage_p95"),
         "nat_allocated_ports_avg",
     )
-    return network.router_nat(routers, seeds.components(spark))
+
+
+def router_nat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return network.router_nat(nat_routers(spark, sf_dir), seeds.components(spark))
 
 
 @query(
@@ -234,30 +244,23 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("l_quantity").alias("_quantity"), F.count(F.lit(1)).alias("subscription_count")
     )
 
-    def sample(name: str, value: Column) -> Column:
-        return F.struct(F.lit(name).alias("metric_name"), value.alias("value"))
-
     samples = lineitem.select(
         F.col("l_partkey").alias("resource_id"),
-        F.inline(
-            F.array(
-                sample("backlog", F.col("l_extendedprice") / 6),
-                sample("age", F.col("l_quantity") * F.col("l_tax") * 100),
-                sample("byte_cost", F.col("l_quantity") * F.col("l_discount")),
-            )
-        ),
+        (F.col("l_extendedprice") / 6).alias("backlog"),
+        (F.col("l_quantity") * F.col("l_tax") * 100).alias("age"),
+        (F.col("l_quantity") * F.col("l_discount")).alias("byte_cost"),
     )
-    found = percentiles(samples, ["resource_id", "metric_name"], "value", {"p25": 0.25, "p95": 0.95})
-
-    def of(name: str, level: str) -> Column:
-        return stable(F.max(F.when(F.col("metric_name") == name, F.col(level))), 4)
-
-    levels = found.groupBy("resource_id").agg(
-        of("backlog", "p95").alias("num_undelivered_messages_p95"),
-        of("age", "p95").alias("oldest_unacked_message_age_p95_seconds"),
-        of("byte_cost", "p95").alias("byte_cost_p95"),
-        of("byte_cost", "p25").alias("byte_cost_baseline"),
+    levels = percentiles(
+        samples,
+        ["resource_id"],
+        {
+            "num_undelivered_messages_p95": ("backlog", 0.95),
+            "oldest_unacked_message_age_p95_seconds": ("age", 0.95),
+            "byte_cost_p95": ("byte_cost", 0.95),
+            "byte_cost_baseline": ("byte_cost", 0.25),
+        },
     )
+    levels = levels.select("resource_id", *[stable(F.col(c), 4).alias(c) for c in levels.columns if c != "resource_id"])
     return volumes.join(levels, "resource_id").select(
         "*",
         F.concat(F.lit("topic-"), key).alias("topic_name"),
@@ -563,9 +566,8 @@ def origins(spark: SparkSession, sf_dir: str, latency: bool = True) -> DataFrame
         total(kind == "error", F.lit(1.0)).alias("misses"),
     )
     if latency:
-        slow = percentiles(
-            keyed.withColumn("ms", F.col("value") * 10), keys, "ms", {"backend_latency_p95_ms": 0.95}
-        )
+        timed = keyed.withColumn("ms", F.col("value") * 10)
+        slow = percentiles(timed, keys, {"backend_latency_p95_ms": ("ms", 0.95)})
         counted = counted.join(slow, keys)
     hit = F.try_divide(F.col("requests") * 100, F.col("requests") + F.col("misses"))
     missed = F.try_divide(F.col("misses") * 100, F.col("requests") + F.col("misses"))
@@ -604,8 +606,7 @@ origins AS (
 
 
 def cdn_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unused = (F.col("request_count_monthly") == 0) | (F.col("sent_bytes_gb") == 0) | (F.col("cache_hit_ratio") == 0)
-    return network.cdn_idle(origins(spark, sf_dir, latency=False).where(unused))
+    return network.cdn_idle(origins(spark, sf_dir, latency=False).where(ORIGIN_IDLE))
 
 
 @query(
@@ -766,24 +767,24 @@ def reco_dns_overprovisioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The portfolio ---------------------------------------------------------------------------------
 
-_PARTS = {
-    "reco_gke_idle": compute.gke_idle,
-    "reco_gke_overprovisioned": compute.gke_overprovisioned,
-    "reco_dataflow_idle": dataflow_idle,
-    "reco_dataflow_overprovisioned": dataflow_overprovisioned,
-    "reco_router_idle": router_idle,
-    "reco_router_nat": router_nat,
-    "reco_pubsub_idle": pubsub_idle,
-    "reco_pubsub_overprovisioned": pubsub_overprovisioned,
-    "reco_scheduler_idle": scheduler_idle,
-    "reco_scheduler_overprovisioned": scheduler_overprovisioned,
-    "reco_storage_idle": storage_idle,
-    "reco_storage_overprovisioned": storage_overprovisioned,
-    "reco_cdn_idle": cdn_idle,
-    "reco_cdn_overprovisioned": cdn_overprovisioned,
-    "reco_dns_idle": dns_idle,
-    "reco_dns_overprovisioned": dns_overprovisioned,
-}
+_PARTS = (
+    "reco_gke_idle",
+    "reco_gke_overprovisioned",
+    "reco_dataflow_idle",
+    "reco_dataflow_overprovisioned",
+    "reco_router_idle",
+    "reco_router_nat",
+    "reco_pubsub_idle",
+    "reco_pubsub_overprovisioned",
+    "reco_scheduler_idle",
+    "reco_scheduler_overprovisioned",
+    "reco_storage_idle",
+    "reco_storage_overprovisioned",
+    "reco_cdn_idle",
+    "reco_cdn_overprovisioned",
+    "reco_dns_idle",
+    "reco_dns_overprovisioned",
+)
 _FALLBACKS = ("reco_gke_fallback", "reco_dataflow_fallback")
 ALL_SQL = "\nUNION ALL\n".join(
     f"SELECT {', '.join(RECO_COLUMNS)} FROM ({SQL[name]}) AS {name}" for name in (*_PARTS, *_FALLBACKS)
@@ -791,12 +792,29 @@ ALL_SQL = "\nUNION ALL\n".join(
 
 
 def portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every recommendation of every service."""
-    parts = [fn(spark, sf_dir).select(*RECO_COLUMNS) for fn in _PARTS.values()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Every recommendation of every service: the fired rows of each rule through the dispatcher."""
+    over = (spark, sf_dir)
+    job, topic, task, bucket, origin, zone = (f(*over) for f in (jobs, topics, scheduled, buckets, origins, zones))
+    fired = {
+        "GKE_IDLE": compute.idle_windows(*over),
+        "GKE_OVERPROVISIONED": compute.over_users(*over),
+        "DATAFLOW_IDLE": job.where(JOB_IDLE),
+        "DATAFLOW_OVERPROVISIONED": job.where(JOB_OVER),
+        "CLOUDROUTER_IDLE": routers(*over),
+        "CLOUDROUTER_NAT_OVERPROVISIONED": nat_routers(*over),
+        "PUBSUB_IDLE": topic,
+        "PUBSUB_OVERPROVISIONED": topic,
+        "CLOUDSCHEDULER_IDLE": task,
+        "CLOUDSCHEDULER_OVERPROVISIONED": task,
+        "CLOUDSTORAGE_IDLE": bucket,
+        "CLOUDSTORAGE_OVERPROVISIONED": bucket,
+        "CLOUDCDN_IDLE": origin.where(ORIGIN_IDLE),
+        "CLOUDCDN_OVERPROVISIONED": origin,
+        "CLOUDDNS_IDLE": zone,
+        "CLOUDDNS_OVERPROVISIONED": zone,
+    }
+    prices = pipeline.Prices(m.compute_catalog(*over), m.worker_catalog(spark), seeds.components(spark))
+    return pipeline.recommend(fired, prices).select(*RECO_COLUMNS)
 
 
 @query("recommendations_all", ALL_SQL)
@@ -826,8 +844,6 @@ SELECT rule_code, resource_id, CASE WHEN rule_code LIKE '%IDLE' THEN {r('current
   ELSE {r('current_annual - target_annual', 2)} END AS estimated_savings FROM reco""",
 )
 def savings_formula(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from costgauge.operators.rules import savings_by_formula
-
     idle, over = (rule.estimated_savings_formula for rule in seeds.GKE_RULES)
     rows = portfolio(spark, sf_dir).select(
         "rule_code",
@@ -839,6 +855,3 @@ def savings_formula(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     done = savings_by_formula(rows, [idle, over])
     return done.select("rule_code", "resource_id", half_even(F.col("estimated_savings"), 2).alias("estimated_savings"))
-
-
-__all__ = ["as_report", "portfolio"]
