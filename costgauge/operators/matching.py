@@ -98,17 +98,25 @@ def _first_fit(entries: Column) -> Column:
     return F.get(fits, F.lit(0))
 
 
-def best_fit(workloads: DataFrame, catalog: Catalog) -> DataFrame:
+def best_fit(workloads: DataFrame, catalog: Catalog, pool: str | None = None) -> DataFrame:
     """Column ``target``: the smallest cheaper machine that fits, null where there is none.
 
     Workloads carry ``workload_id`` (unique), ``machine_type``, ``cur_ordinal``,
     ``required_vcpus``, ``required_ram`` and the ``group`` column. Candidates of
     a group travel as one sorted list while there are few; beyond the bound they
     travel in blocks, each block answers for itself and the smallest answer wins.
+    With ``pool`` all workloads ask in that one group: its list is then a scalar
+    subquery and there is no join at all.
     """
     group, limits = catalog.group, catalog.limits
     candidates = _candidates(catalog)
-    if catalog.fits(candidates):
+    if pool is not None:
+        candidates = candidates.where(F.col(group) == pool)
+        if is_small(candidates, limits.block_rows):
+            entries = candidates.agg(F.array_sort(F.collect_list("entry"))).scalar()
+            listed = workloads.withColumn("_entries", entries)
+            return listed.withColumn("target", _first_fit(F.col("_entries"))).drop("_entries")
+    elif catalog.fits(candidates):
         index = candidates.groupBy(group).agg(F.array_sort(F.collect_list("entry")).alias("_entries"))
         return (
             workloads.join(F.broadcast(index), group, "left")

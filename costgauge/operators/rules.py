@@ -124,41 +124,31 @@ def as_filter(rule: Rule, missing_is_zero: bool = True) -> Column:
 def evaluate(
     resources: DataFrame,
     rules: DataFrame,
+    service: str | None = None,
     missing_is_zero: bool = True,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """One row per resource and fired rule.
 
-    ``resources``: resource_id, service_code, metrics (map); resources without
-    metrics never fire. The active rules of a service travel as one list, so a
-    resource is tested in place and only fired rules become rows. Rule tables
-    beyond the bound travel in blocks, spread by salt.
+    ``resources``: resource_id, metrics (map) and, unless ``service`` names the
+    one service all belong to, service_code. Resources without metrics never
+    fire. The active rules of a service travel as one list, so a resource is
+    tested in place and only fired rules become rows. Rule tables beyond the
+    bound travel in blocks, spread by salt.
     """
     entry = F.struct("rule_code", "logic", "conditions", "recommendation_template")
     active = rules.where(F.col("is_active"))
+    if service is not None:
+        active = active.where(F.col("service_code") == service)
+        resources = resources.withColumn("service_code", F.lit(service))
     tested = resources.where(F.size("metrics") > 0)
-    if is_small(active.select("rule_code"), limits.broadcast_rows):
+    if service is not None and is_small(active, limits.block_rows):
+        joined = tested.withColumn("_rules", active.agg(F.collect_list(entry)).scalar())
+    elif service is None and is_small(active, limits.broadcast_rows):
         lists = active.groupBy("service_code").agg(F.collect_list(entry).alias("_rules"))
         joined = tested.join(F.broadcast(lists), "service_code")
     else:
-        number_of_blocks = max(2, active.count() // limits.block_rows + 1)
-        block = F.pmod(F.xxhash64("rule_code"), F.lit(number_of_blocks)).cast("int")
-        lists = (
-            active.withColumn("_block", block)
-            .groupBy("service_code", "_block")
-            .agg(F.collect_list(entry).alias("_rules"))
-            .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(limits.salts - 1))))
-        )
-        joined = (
-            tested.withColumns(
-                {
-                    "_block": F.explode(F.sequence(F.lit(0), F.lit(number_of_blocks - 1))),
-                    "_salt": F.pmod(F.xxhash64("resource_id"), F.lit(limits.salts)).cast("int"),
-                }
-            )
-            .join(lists, ["service_code", "_block", "_salt"])
-            .drop("_block", "_salt")
-        )
+        joined = _join_rule_blocks(tested, active, entry, limits)
     hits = F.filter("_rules", lambda r: fires(F.col("metrics"), r["logic"], r["conditions"], missing_is_zero))
     fired = joined.withColumn("_rule", F.explode(hits)).drop("_rules")
     return fired.select(
@@ -166,6 +156,24 @@ def evaluate(
     ).drop("_rule")
 
 
+def _join_rule_blocks(tested: DataFrame, active: DataFrame, entry: Column, limits: Limits) -> DataFrame:
+    """Every resource with every block of its service's rules, one row per block."""
+    blocks = max(2, active.count() // limits.block_rows + 1)
+    lists = (
+        active.withColumn("_block", F.pmod(F.xxhash64("rule_code"), F.lit(blocks)).cast("int"))
+        .groupBy("service_code", "_block")
+        .agg(F.collect_list(entry).alias("_rules"))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(limits.salts - 1))))
+    )
+    spread = tested.withColumns(
+        {
+            "_block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))),
+            "_salt": F.pmod(F.xxhash64("resource_id"), F.lit(limits.salts)).cast("int"),
+        }
+    )
+    return spread.join(lists, ["service_code", "_block", "_salt"]).drop("_block", "_salt")
+
+
 def with_service_config(rules: DataFrame, services: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
     """Active rules of active services, with the service's tables and recommender."""
     active = services.where(F.col("is_active")).drop("is_active")

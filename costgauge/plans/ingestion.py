@@ -46,8 +46,7 @@ def snapshot(
     rows = ingest.stamp(rows, params, service.name)
     if table.keep is not None:
         rows = rows.where(table.keep(rows))
-    rows = ingest.conform(rows, parsed(table.ddl))
-    return ingest.fan_out(rows, params.client_ids) if len(params.client_ids) > 1 else rows
+    return ingest.conform(rows, parsed(table.ddl))
 
 
 def _mapped(records: DataFrame, table: ResourceTable, keep: list[str]) -> DataFrame:
@@ -97,9 +96,7 @@ def metric_rows(
         *[F.col(c) if c in resources.columns else F.lit(None).cast("string").alias(c) for c in ("location", "region")],
     )
     enriched = ingest.enrich_points(rows, places, units, service.name, service.namespace, params.run_ts, limits)
-    stamped = ingest.stamp(enriched, params, service.name)
-    conformed = ingest.conform(stamped, parsed(service.metrics_ddl))
-    return ingest.fan_out(conformed, params.client_ids) if len(params.client_ids) > 1 else conformed
+    return ingest.conform(ingest.stamp(enriched, params, service.name), parsed(service.metrics_ddl))
 
 
 def run_service(
@@ -109,7 +106,7 @@ def run_service(
     params: RunParams,
     limits: Limits = DEFAULT,
 ) -> dict[str, DataFrame]:
-    """What a run stores, by table name; nothing is written here."""
+    """What a run stores, by table name, once per tenant; nothing is written here."""
     tables: dict[str, DataFrame] = {}
     primary: DataFrame | None = None
     for table in service.tables:
@@ -120,6 +117,7 @@ def run_service(
         if primary is None:
             primary = tables[table.name]
     if service.specs and primary is not None and points is not None:
-        one_tenant = primary.where(F.col("client_id") == params.client_id)
-        tables[service.metrics_table] = metric_rows(points, one_tenant, service, params, limits)
+        tables[service.metrics_table] = metric_rows(points, primary, service, params, limits)
+    if params.additional_client_id:
+        return {name: ingest.fan_out(rows, params.client_ids) for name, rows in tables.items()}
     return tables

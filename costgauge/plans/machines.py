@@ -140,7 +140,7 @@ def with_targets(workloads: DataFrame, catalog: Catalog, service: MachineService
             "workload_id": F.col("resource_id"),
         }
     )
-    matched = best_fit(needed, catalog)
+    matched = best_fit(needed, catalog, service.pool)
     cheaper = closest_cheaper(catalog).withColumnRenamed("ordinal", "cur_ordinal")
     keys = [catalog.group, "cur_ordinal"]
     offered = dim_join(matched, cheaper, keys, "left", catalog.limits, catalog.fits(cheaper))

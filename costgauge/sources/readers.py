@@ -34,7 +34,7 @@ def explode_pages(pages: DataFrame) -> DataFrame:
 
 
 def _whole_files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("wholetext", True).text(path)
+    return spark.read.text(path, wholetext=True)
 
 
 def explode_family_catalog(catalog: DataFrame, column: str = "catalog") -> DataFrame:

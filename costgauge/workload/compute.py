@@ -40,11 +40,7 @@ def resources_without_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _tested(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = features.as_map(m.daily_metrics(spark, sf_dir), METRIC_COLUMNS)
-    return daily.select(
-        F.concat_ws("|", "resource_id", "day").alias("resource_id"),
-        F.lit("GKE").alias("service_code"),
-        "metrics",
-    )
+    return daily.select(F.concat_ws("|", "resource_id", "day").alias("resource_id"), "metrics")
 
 
 RULE_FIXTURES = (
@@ -88,7 +84,7 @@ UNION ALL SELECT resource_id, 'ODD_LOGIC' FROM tested WHERE cpu > 60 OR mem > 60
 UNION ALL SELECT resource_id, 'UNKNOWN_OPERATOR' FROM tested WHERE pod_mem < 20""",
 )
 def rule_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fired = rules.evaluate(_tested(spark, sf_dir), rules.rule_frame(spark, RULE_FIXTURES))
+    fired = rules.evaluate(_tested(spark, sf_dir), rules.rule_frame(spark, RULE_FIXTURES), "GKE")
     return fired.select("resource_id", "rule_code")
 
 
@@ -98,7 +94,7 @@ def rule_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def healthy_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     tested = _tested(spark, sf_dir)
-    fired = rules.evaluate(tested, rules.rule_frame(spark, seeds.GKE_RULES))
+    fired = rules.evaluate(tested, rules.rule_frame(spark, seeds.GKE_RULES), "GKE")
     return rules.healthy(tested, fired).select(
         "resource_id",
         F.coalesce(F.try_element_at("metrics", F.lit("cpu_utilization_avg")), F.lit(0.0)).alias("cpu"),
@@ -121,7 +117,7 @@ UNION ALL SELECT 'UNKNOWN_OPERATOR' FROM tested WHERE pod_mem < 20)
 SELECT rule_code, count(*) AS n_resources FROM fired GROUP BY rule_code""",
 )
 def unhandled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fired = rules.evaluate(_tested(spark, sf_dir), rules.rule_frame(spark, RULE_FIXTURES))
+    fired = rules.evaluate(_tested(spark, sf_dir), rules.rule_frame(spark, RULE_FIXTURES), "GKE")
     return rules.unhandled(fired, HANDLED).groupBy("rule_code").agg(F.count(F.lit(1)).alias("n_resources"))
 
 

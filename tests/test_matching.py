@@ -80,6 +80,19 @@ def test_best_fit_and_fallback(spark, machines, limits, small):
     assert found == {n[0]: cheaper(rows, n) for n in wanted}
 
 
+@pytest.mark.parametrize("limits", [DEFAULT, BLOCKS])
+def test_best_fit_in_one_pool(spark, machines, limits):
+    catalog = frames(spark, machines, limits, False)
+    rows = ranked(machines)
+    wanted = [n for n in needs(rows) if n[2] == "hot"]
+    workloads = spark.createDataFrame(
+        wanted,
+        "workload_id string, machine_type string, family string, cur_ordinal int, required_vcpus double, required_ram double",
+    )
+    got = {r.workload_id: r.target and r.target.machine_type for r in matching.best_fit(workloads, catalog, "hot").collect()}
+    assert got == {n[0]: best(rows, n) for n in wanted}
+
+
 def test_fallback_with_gaps_in_the_ordinals(spark, machines):
     catalog = frames(spark, machines, DEFAULT, True)
     gaps = catalog.entries.withColumn("ordinal", F.col("ordinal") * 10)
