@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from costgauge.functions.numeric import half_even, number
 from costgauge.functions.prices import annual_of, hourly_price, machine_hourly, monthly_of
 from costgauge.functions.text import COMPUTE_FAMILIES, WORKER_FAMILIES, family_in_description, family_substring
-from costgauge.operators.scale import DEFAULT, Limits, dense_ranks, dim_join, row_numbers
+from costgauge.operators.scale import Limits, dense_ranks, dim_join, row_numbers
 
 # Resource groups that carry compute prices.
 COMPUTE_GROUPS = (
@@ -137,7 +137,7 @@ def with_default_family(prices: DataFrame, region: Column | str | None = None) -
     return prices.unionByName(missing, allowMissingColumns=True)
 
 
-def machine_prices(machines: DataFrame, prices: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
+def machine_prices(machines: DataFrame, prices: DataFrame, limits: Limits | None = None) -> DataFrame:
     """Price every machine of a priced family: hourly, monthly, annual. Families without prices drop."""
     joined = dim_join(machines, prices.select("family", "cpu_hourly_price", "ram_hourly_price_per_gb"), ["family"], "inner", limits)
     priced = joined.withColumn(
@@ -149,7 +149,7 @@ def machine_prices(machines: DataFrame, prices: DataFrame, limits: Limits = DEFA
     ).drop("cpu_hourly_price", "ram_hourly_price_per_gb")
 
 
-def with_ordinals(machines: DataFrame, limits: Limits = DEFAULT, small: bool | None = None) -> DataFrame:
+def with_ordinals(machines: DataFrame, limits: Limits | None = None, small: bool | None = None) -> DataFrame:
     """Rank of the hourly price inside the family, equal prices sharing a rank."""
     return dense_ranks(machines, ["family"], "hourly_price", "ordinal", limits, small)
 
@@ -173,7 +173,7 @@ def specs(entries: DataFrame) -> DataFrame:
     )
 
 
-def nested(catalog: DataFrame, chunk_rows: int = 1_000, limits: Limits = DEFAULT) -> DataFrame:
+def nested(catalog: DataFrame, chunk_rows: int = 1_000, limits: Limits | None = None) -> DataFrame:
     """One row per family with its machines in price order, the shape of the catalog file.
 
     A family beyond ``chunk_rows`` machines takes several rows, so no row grows

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costgauge.functions.numeric import half_even, let, stable
-from costgauge.operators.scale import DEFAULT, Limits, row_numbers
+from costgauge.operators.scale import Limits, row_numbers
 
 # Monitoring names the rules know under a short name.
 METRIC_NAMES = {
@@ -44,7 +44,7 @@ def without_metrics(resources: DataFrame, metrics: DataFrame, key: str) -> DataF
 
 
 def account_positions(
-    df: DataFrame, account: Sequence[str], order: Sequence[str], position: str, total: str, limits: Limits = DEFAULT
+    df: DataFrame, account: Sequence[str], order: Sequence[str], position: str, total: str, limits: Limits | None = None
 ) -> DataFrame:
     """Position of each resource in its account and the size of the account."""
     sizes = df.groupBy(*account).agg(F.count(F.lit(1)).cast("int").alias(total))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from costgauge.functions.numeric import half_even, truthy
 from costgauge.functions.timing import iso_text
-from costgauge.operators.scale import DEFAULT, Limits, dim_join
+from costgauge.operators.scale import Limits, dim_join
 from costgauge.params import RunParams
 
 INHERITED = ("project_id", "location", "cluster_name")
@@ -104,7 +104,7 @@ def inherit_parent(
     parents: DataFrame,
     on: Mapping[str, str],
     fields: Sequence[str] = INHERITED,
-    limits: Limits = DEFAULT,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """Children of known parents, taking over the fields they lack.
 
@@ -185,7 +185,7 @@ def enrich_points(
     service_name: str,
     namespace: str,
     run_ts: Column | datetime,
-    limits: Limits = DEFAULT,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """Metric points with the name, place and unit of their resource; points of unknown resources drop.
 
@@ -216,7 +216,7 @@ def enrich_points(
 
 
 def default_pool(
-    rows: DataFrame, pools: DataFrame, cluster: str = "cluster_name", pool: str = "node_pool_name", limits: Limits = DEFAULT
+    rows: DataFrame, pools: DataFrame, cluster: str = "cluster_name", pool: str = "node_pool_name", limits: Limits | None = None
 ) -> DataFrame:
     """Attach node pool columns: the named pool, else the cluster's only pool, else nulls."""
     columns = [c for c in pools.columns if c not in (cluster, pool)]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from costgauge.functions.numeric import half_even
 from costgauge.functions.text import machine_family
-from costgauge.operators.scale import DEFAULT, Limits, dense_ranks, dim_join, is_small
+from costgauge.operators.scale import Limits, dense_ranks, dim_join, in_use, is_small
 
 # A machine with the fields in front that decide between two that fit.
 RANKED = ("vcpus", "ram_gb", "ordinal", "machine_type", "hourly_cost", "monthly_cost", "annual_cost")
@@ -37,7 +37,11 @@ class Catalog:
     small: bool = False
     dense: bool = True
     unique: bool = False
-    limits: Limits = DEFAULT
+    own_limits: Limits | None = None
+
+    @property
+    def limits(self) -> Limits:
+        return in_use(self.own_limits)
 
     def fits(self, reduced: DataFrame) -> bool:
         return self.small or is_small(reduced, self.limits.broadcast_rows)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costgauge.functions.numeric import number
-from costgauge.operators.scale import DEFAULT, Limits, dim_join, is_small
+from costgauge.operators.scale import Limits, dim_join, in_use, is_small
 from costgauge.schemas import RULE_LOGIC
 
 
@@ -126,7 +126,7 @@ def evaluate(
     rules: DataFrame,
     service: str | None = None,
     missing_is_zero: bool = True,
-    limits: Limits = DEFAULT,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """One row per resource and fired rule.
 
@@ -136,6 +136,7 @@ def evaluate(
     tested in place and only fired rules become rows. Rule tables beyond the
     bound travel in blocks, spread by salt.
     """
+    limits = in_use(limits)
     entry = F.struct("rule_code", "logic", "conditions", "recommendation_template")
     active = rules.where(F.col("is_active"))
     if service is not None:
@@ -174,7 +175,7 @@ def _join_rule_blocks(tested: DataFrame, active: DataFrame, entry: Column, limit
     return spread.join(lists, ["service_code", "_block", "_salt"]).drop("_block", "_salt")
 
 
-def with_service_config(rules: DataFrame, services: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
+def with_service_config(rules: DataFrame, services: DataFrame, limits: Limits | None = None) -> DataFrame:
     """Active rules of active services, with the service's tables and recommender."""
     active = services.where(F.col("is_active")).drop("is_active")
     return dim_join(rules.where(F.col("is_active")), active, ["service_code"], "inner", limits)

@@ -27,7 +27,19 @@ class Limits:
     salts: int = 16
 
 
-DEFAULT = Limits()
+_in_use = Limits()
+
+
+def use(limits: Limits) -> Limits:
+    """Set the limits for everything that is not given its own; returns the former ones."""
+    global _in_use
+    former, _in_use = _in_use, limits
+    return former
+
+
+def in_use(limits: Limits | None = None) -> Limits:
+    """The given limits, or the ones set for everything."""
+    return limits or _in_use
 
 
 def is_small(df: DataFrame, rows: int) -> bool:
@@ -52,7 +64,7 @@ def dim_join(
     dim: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    limits: Limits = DEFAULT,
+    limits: Limits | None = None,
     small: bool | None = None,
 ) -> DataFrame:
     """Join facts to a dimension that is unique on ``on``.
@@ -62,7 +74,7 @@ def dim_join(
     ``salts`` partitions and every dimension row is copied to each of them.
     ``small`` passes on a check already made.
     """
-    on = list(on)
+    on, limits = list(on), in_use(limits)
     if is_small(dim, limits.broadcast_rows) if small is None else small:
         return fact.join(F.broadcast(dim), on, how)
     # A hash of the row, not a random number, so that a recomputed task sends its rows to the same places.
@@ -100,7 +112,7 @@ def row_numbers(
     group: Sequence[str],
     order: Sequence[str],
     out: str,
-    limits: Limits = DEFAULT,
+    limits: Limits | None = None,
     largest: int | None = None,
 ) -> DataFrame:
     """Position of each row in its group; ``order`` starts with a numeric column and is unique in the group.
@@ -108,6 +120,7 @@ def row_numbers(
     With a group beyond ``group_rows`` the numbering runs in value buckets: rows
     are numbered inside (group, bucket) and shifted by the rows of lower buckets.
     """
+    limits = in_use(limits)
     if largest is None:
         largest, _ = group_sizes(df, group)
     if largest <= limits.group_rows:
@@ -125,7 +138,7 @@ def row_numbers(
 
 
 def dense_ranks(
-    df: DataFrame, group: Sequence[str], value: str, out: str, limits: Limits = DEFAULT, small: bool | None = None
+    df: DataFrame, group: Sequence[str], value: str, out: str, limits: Limits | None = None, small: bool | None = None
 ) -> DataFrame:
     """Dense rank of a numeric value inside its group.
 
@@ -135,6 +148,7 @@ def dense_ranks(
     """
     if small:
         return df.withColumn(out, F.dense_rank().over(Window.partitionBy(*group).orderBy(value)))
+    limits = in_use(limits)
     values = df.select(*group, value).distinct()
     largest, total = group_sizes(values, group)
     ranked = row_numbers(values, group, [value], out, limits, largest)
@@ -142,13 +156,14 @@ def dense_ranks(
 
 
 def percentiles(
-    df: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[str, float]], limits: Limits = DEFAULT
+    df: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[str, float]], limits: Limits | None = None
 ) -> DataFrame:
     """Exact interpolated percentiles per group; ``wanted`` maps output names to (column, fraction).
 
     Groups of bounded size use the built-in aggregate, one buffer per column. If
     any group is beyond the bound, see ``_percentiles_by_bucket``.
     """
+    limits = in_use(limits)
     biggest, _ = group_sizes(df, keys)
     if biggest > limits.group_rows:
         return _percentiles_by_bucket(df, keys, wanted, bucket_count(biggest, limits))

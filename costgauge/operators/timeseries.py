@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from costgauge.functions.text import iso_minutes
 from costgauge.functions.timing import floor_to_interval
-from costgauge.operators.scale import DEFAULT, Limits, percentiles
+from costgauge.operators.scale import Limits, percentiles
 
 
 @dataclass(frozen=True)
@@ -90,7 +90,7 @@ def reduce_series(
     aggregation: str,
     percentile: int | None = None,
     compat: bool = False,
-    limits: Limits = DEFAULT,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """Reduce aligned series across a group per bucket."""
     keys = [*group, "bucket"]
@@ -105,7 +105,7 @@ def reduce_points(
     aggregation: str,
     percentile: int | None = None,
     compat: bool = False,
-    limits: Limits = DEFAULT,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """Reduce raw points (``ts``, ``value``, ``bucket``) per group and bucket in one step."""
     keys = [*group, "bucket"]

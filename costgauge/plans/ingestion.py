@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from costgauge.functions.timing import in_window
 from costgauge.operators import ingest, timeseries
-from costgauge.operators.scale import DEFAULT, Limits
+from costgauge.operators.scale import Limits
 from costgauge.params import RunParams
 from costgauge.schemas import parsed
 from costgauge.services import ResourceTable, Service
@@ -23,7 +23,7 @@ def snapshot(
     service: Service,
     params: RunParams,
     parents: DataFrame | None = None,
-    limits: Limits = DEFAULT,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """Conformed rows of one resource table.
 
@@ -58,7 +58,7 @@ def _mapped(records: DataFrame, table: ResourceTable, keep: list[str]) -> DataFr
 
 
 def metric_rows(
-    points: DataFrame, resources: DataFrame, service: Service, params: RunParams, limits: Limits = DEFAULT
+    points: DataFrame, resources: DataFrame, service: Service, params: RunParams, limits: Limits | None = None
 ) -> DataFrame:
     """Conformed metric rows of the primary resources.
 
@@ -104,7 +104,7 @@ def run_service(
     records: Mapping[str, DataFrame],
     points: DataFrame | None,
     params: RunParams,
-    limits: Limits = DEFAULT,
+    limits: Limits | None = None,
 ) -> dict[str, DataFrame]:
     """What a run stores, by table name, once per tenant; nothing is written here."""
     tables: dict[str, DataFrame] = {}

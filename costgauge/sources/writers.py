@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from costgauge.operators.ingest import conform
-from costgauge.operators.scale import DEFAULT, Limits, dim_join
+from costgauge.operators.scale import Limits, dim_join
 from costgauge.operators.upsert import latest_per_key, reload, upsert
 from costgauge.schemas import OBSERVATION, RECOMMENDATION_COLUMNS, parsed
 from costgauge.session import ensure_checkpoint_dir
@@ -106,7 +106,7 @@ def export_flat(
     metrics: Mapping[str, Mapping[str, str]],
     points: DataFrame,
     key: str = "resource_id",
-    limits: Limits = DEFAULT,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """One row per cluster, metric and point; a metric without points keeps one row.
 

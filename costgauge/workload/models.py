@@ -9,7 +9,7 @@ from costgauge.functions.numeric import half_even
 from costgauge.operators.catalog import specs, with_ordinals
 from costgauge.operators.features import METRIC_NAMES, utilisation
 from costgauge.operators.matching import Catalog
-from costgauge.operators.scale import DEFAULT, is_small
+from costgauge.operators.scale import in_use, is_small
 from costgauge.sources import seeds
 from costgauge.workload.registry import r, rs
 
@@ -118,7 +118,7 @@ sku AS (
 def compute_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     """The part-based catalog with ordinals and costs."""
     base = machines(spark, sf_dir)
-    small = is_small(base.select("machine_type"), DEFAULT.broadcast_rows)
+    small = is_small(base.select("machine_type"), in_use().broadcast_rows)
     entries = specs(with_ordinals(base, small=small)).drop("hourly_price")
     # A part is listed once, so its type needs no choice between families.
     return Catalog(entries, "family", small, unique=True)

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from costgauge.operators import catalog as prices
 from costgauge.operators import matching
-from costgauge.operators.scale import DEFAULT, Limits
+from costgauge.operators.scale import Limits
 
+DEFAULT = Limits()
 BLOCKS = Limits(broadcast_rows=0, group_rows=5, block_rows=3, salts=2)
 FIELDS = "family string, machine_type string, vcpus double, ram_gb double, hourly_price double"
 
@@ -58,7 +59,7 @@ def cheaper(rows, need):
 def frames(spark, rows, limits, small):
     base = spark.createDataFrame(rows, FIELDS)
     entries = prices.specs(prices.with_ordinals(base, limits, small)).drop("hourly_price")
-    return matching.Catalog(entries, "family", small, limits=limits)
+    return matching.Catalog(entries, "family", small, own_limits=limits)
 
 
 @pytest.mark.parametrize("limits,small", [(DEFAULT, True), (DEFAULT, False), (BLOCKS, False)])

@@ -7,6 +7,7 @@ import pytest
 
 import check
 from __spark_entry__ import entry, oracle_sql, queries
+from costgauge.operators import scale
 
 ALL = queries()
 SQL = oracle_sql()
@@ -44,3 +45,37 @@ def test_filters_and_columns_reach_the_scan(spark, tiny):
     assert "PushedFilters" in plan and "l_extendedprice" not in plan
     upsert = ALL["upsert_latest"](spark, tiny)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(l_returnflag,A)" in upsert
+
+
+FORCED = scale.Limits(broadcast_rows=0, group_rows=20, block_rows=8, salts=3, max_buckets=16)
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "sku_lookup",
+        "reco_gke_overprovisioned",
+        "reco_gke_fallback",
+        "reco_dataflow_overprovisioned",
+        "rule_eval",
+        "price_ordinal",
+        "catalog_nest",
+        "feature_percentiles",
+        "account_ordinals",
+        "metric_enrich",
+        "parent_inherit",
+        "pool_default_join",
+        "export_flat",
+        "reco_pubsub_overprovisioned",
+    ],
+)
+def test_the_way_for_large_tables_gives_the_same(spark, tiny, connection, name):
+    former = scale.use(FORCED)
+    try:
+        frame = ALL[name](spark, tiny)
+        got = pd.DataFrame([tuple(row) for row in frame.collect()], columns=frame.columns, dtype=object)
+    finally:
+        scale.use(former)
+    found = connection.execute(SQL[name])
+    wanted = pd.DataFrame(found.fetchall(), columns=[d[0] for d in found.description], dtype=object)
+    assert check.differences(got, wanted) is None

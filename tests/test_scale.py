@@ -34,12 +34,12 @@ def test_dim_join(spark, skewed, how):
     facts, frame = skewed
     dim = spark.createDataFrame([(i, f"n{i}") for i in range(20)], "k bigint, name string")
     want = facts.join(dim, "k", how).select("id", "name")
-    for limits in (scale.DEFAULT, SMALL):
+    for limits in (None, SMALL):
         got = scale.dim_join(facts, dim, ["k"], how, limits).select("id", "name")
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
-@pytest.mark.parametrize("limits", [scale.DEFAULT, SMALL])
+@pytest.mark.parametrize("limits", [None, SMALL])
 def test_row_numbers(skewed, limits):
     facts, frame = skewed
     got = scale.row_numbers(facts, ["g"], ["v", "id"], "n", limits).select("id", "n").toPandas().set_index("id")["n"]
@@ -48,7 +48,7 @@ def test_row_numbers(skewed, limits):
     assert (got.sort_index() == want.sort_index()).all()
 
 
-@pytest.mark.parametrize("limits", [scale.DEFAULT, SMALL])
+@pytest.mark.parametrize("limits", [None, SMALL])
 @pytest.mark.parametrize("small", [None, True])
 def test_dense_ranks(skewed, limits, small):
     facts, frame = skewed
@@ -57,7 +57,7 @@ def test_dense_ranks(skewed, limits, small):
     assert (got.sort_index() == want.sort_index()).all()
 
 
-@pytest.mark.parametrize("limits", [scale.DEFAULT, SMALL])
+@pytest.mark.parametrize("limits", [None, SMALL])
 def test_percentiles(skewed, limits):
     facts, frame = skewed
     wanted = {"p50": ("v", 0.5), "p95": ("v", 0.95), "low": ("w", 0.0), "w99": ("w", 0.99)}
@@ -69,7 +69,7 @@ def test_percentiles(skewed, limits):
 
 def test_percentiles_skip_nulls(spark):
     rows = spark.createDataFrame([(1, 1.0), (1, None), (1, 3.0), (2, 5.0)], "k int, v double")
-    for limits in (scale.DEFAULT, scale.Limits(group_rows=1)):
+    for limits in (None, scale.Limits(group_rows=1)):
         got = dict(scale.percentiles(rows, ["k"], {"m": ("v", 0.5)}, limits).collect())
         assert got == {1: 2.0, 2: 5.0}
 
