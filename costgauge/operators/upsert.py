@@ -4,24 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def latest_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row of each key in the given order; one aggregate, combined before the shuffle."""
-    value = [c for c in rows.columns if c not in key]
-    newest = F.max_by(F.struct(*value), F.struct(*order))
-    return rows.groupBy(*key).agg(newest.alias("_row")).select(*[
-        F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in rows.columns
-    ])
+    """The last row of each key in the given order.
+
+    The filter on the row number is applied on each task before the shuffle as
+    well, so a key with many copies sends one row per task.
+    """
+    newest = Window.partitionBy(*key).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    return rows.withColumn("_place", F.row_number().over(newest)).where("_place = 1").drop("_place")
 
 
 def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Target after the merge: source rows win over target rows, the latest source row wins among copies.
 
-    Target and source go through one aggregate on the key, so the merge costs a
-    single shuffle and duplicate source keys cannot fail it.
+    Target and source go through one choice per key, so the merge costs a single
+    shuffle and duplicate source keys cannot fail it.
     """
     both = target.withColumn("_from_source", F.lit(0)).unionByName(source.withColumn("_from_source", F.lit(1)))
     return latest_per_key(both, key, ["_from_source", *order]).drop("_from_source")
