@@ -123,18 +123,17 @@ def component_prices(skus: DataFrame, order: str) -> DataFrame:
     )
 
 
-def with_default_family(prices: DataFrame, region: Column | str | None = None) -> DataFrame:
-    """Add the fixed family prices where the feed lacks that family."""
+def with_default_family(prices: DataFrame) -> DataFrame:
+    """Add the fixed family prices where the feed lacks that family; the feed is read once."""
     family, cpu, ram = DEFAULT_FAMILY
-    spark = prices.sparkSession
-    default = spark.createDataFrame(
+    columns = ["cpu_hourly_price", "ram_hourly_price_per_gb", "n_skus"]
+    default = prices.sparkSession.createDataFrame(
         [(family, cpu, ram, 2)],
         "family string, cpu_hourly_price double, ram_hourly_price_per_gb double, n_skus bigint",
     )
-    if "region" in prices.columns:
-        default = default.withColumn("region", region if isinstance(region, Column) else F.lit(region))
-    missing = default.join(prices.where(F.col("family") == family).select("family"), "family", "left_anti")
-    return prices.unionByName(missing, allowMissingColumns=True)
+    both = prices.select("family", *columns, F.lit(0).alias("_rank")).unionByName(default.withColumn("_rank", F.lit(1)))
+    first = F.min_by(F.struct(*columns), F.col("_rank"))
+    return both.groupBy("family").agg(first.alias("_first")).select("family", "_first.*")
 
 
 def machine_prices(machines: DataFrame, prices: DataFrame, limits: Limits | None = None) -> DataFrame:

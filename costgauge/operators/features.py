@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costgauge.functions.numeric import half_even, let, stable
-from costgauge.operators.scale import Limits, row_numbers
+from costgauge.operators.scale import Limits, dim_join, row_numbers
 
 # Monitoring names the rules know under a short name.
 METRIC_NAMES = {
@@ -25,7 +25,8 @@ def utilisation(points: DataFrame, keys: Sequence[str], names: Mapping[str, str]
     One row per resource with at least one positive sample of any metric; known
     metrics without samples are null.
     """
-    positive = points.where((F.col("metric_name") != "") & (F.col(value) > 0))
+    named = (F.col(keys[0]).cast("string") != "") & (F.col("metric_name") != "")
+    positive = points.where(named & (F.col(value) > 0))
     means = positive.groupBy(*keys).agg(
         *[F.avg(F.when(F.col("metric_name") == m, F.col(value))).alias(f"_{n}") for m, n in names.items()]
     )
@@ -48,7 +49,7 @@ def account_positions(
 ) -> DataFrame:
     """Position of each resource in its account and the size of the account."""
     sizes = df.groupBy(*account).agg(F.count(F.lit(1)).cast("int").alias(total))
-    return row_numbers(df, account, order, position, limits).join(sizes, list(account))
+    return dim_join(row_numbers(df, account, order, position, limits), sizes, account, "inner", limits)
 
 
 def weekly_growth(points: DataFrame, key: str, ts: str, value: str) -> DataFrame:

@@ -75,7 +75,7 @@ def own_family_first(entries: DataFrame) -> DataFrame:
 def missing_types(workloads: DataFrame, catalog: Catalog) -> DataFrame:
     """Workloads whose machine type is not in the catalog or has no vCPUs there."""
     usable = catalog.entries.where(F.col("vcpus") > 0).select("machine_type").distinct()
-    return workloads.join(usable, "machine_type", "left_anti")
+    return dim_join(workloads, usable, ["machine_type"], "left_anti", catalog.limits, catalog.fits(usable))
 
 
 def _candidates(catalog: Catalog) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -114,6 +115,33 @@ def reduce_points(
     return bucketed.groupBy(*keys).agg(reducer(aggregation, F.col("value"), F.col("ts"), compat).alias("value"))
 
 
+def reduce_by_spec(
+    points: DataFrame, specs: Sequence[MetricSpec], keys: Sequence[str], limits: Limits | None = None
+) -> DataFrame:
+    """Raw points reduced as each metric's specs say: keys, metric_name, aggregation_type, bucket, value.
+
+    One pass serves all plain aggregations, one more each percentile asked for.
+    The declared specs are a fixed table.
+    """
+    declared = distinct_specs(spec_frame(points.sparkSession, specs))
+    each = points.join(F.broadcast(declared.drop("unit")), "metric_name")
+    each = each.withColumn("bucket", floor_to_interval(F.col("ts"), iso_minutes(F.col("interval"))))
+    by = [*keys, "metric_name", "interval", "aggregation", "bucket"]
+    names = sorted({s.aggregation for s in specs if s.aggregation != "Percentile"})
+    parts = []
+    if names:
+        plain = each.where(F.col("aggregation") != "Percentile").groupBy(*by)
+        found = plain.agg(*[reducer(n, F.col("value"), F.col("ts")).alias(f"_{n}") for n in names])
+        chosen = F.coalesce(*[F.when(F.col("aggregation") == n, F.col(f"_{n}")) for n in names])
+        parts.append(found.select(*by, chosen.alias("value")))
+    for p in sorted({s.percentile or 99 for s in specs if s.aggregation == "Percentile"}):
+        asked = each.where((F.col("aggregation") == "Percentile") & (F.coalesce("percentile", F.lit(99)) == p))
+        parts.append(percentiles(asked, by, {"value": ("value", p / 100.0)}, limits))
+    return reduce(lambda a, b: a.unionByName(b), parts).drop("interval").withColumnRenamed(
+        "aggregation", "aggregation_type"
+    )
+
+
 def reduce_all(aligned: DataFrame, group: Sequence[str], aggregations: dict[str, str]) -> DataFrame:
     """Several non-percentile reductions in one pass; output name -> aggregation name."""
     columns = [reducer(a, F.col("value")).alias(name) for name, a in aggregations.items()]

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from costgauge.operators.scale import Limits, dim_join
+
 
 def latest_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key in the given order.
@@ -28,7 +30,9 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequ
     return latest_per_key(both, key, ["_from_source", *order]).drop("_from_source")
 
 
-def reload(existing: DataFrame, incoming: DataFrame, key: str = "service_code") -> DataFrame:
+def reload(
+    existing: DataFrame, incoming: DataFrame, key: str = "service_code", limits: Limits | None = None
+) -> DataFrame:
     """Replace every existing row whose key value occurs in the incoming rows."""
-    kept = existing.join(incoming.select(key).distinct(), key, "left_anti")
-    return kept.unionByName(incoming)
+    replaced = incoming.select(key).distinct()
+    return dim_join(existing, replaced, [key], "left_anti", limits).unionByName(incoming)

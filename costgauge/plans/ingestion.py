@@ -69,25 +69,10 @@ def metric_rows(
     run = F.lit(params.run_ts)
     wanted = {s.metric_name for s in service.specs}
     recent = points.where(F.col("metric_name").isin(*wanted) & in_window(F.col("ts"), run, params.window_days))
-    keys = ["resource_id", "metric_name"]
-    parts = []
-    for aggregation, interval, percentile in sorted(
-        {(s.aggregation, s.interval, s.percentile or 0) for s in service.specs}
-    ):
-        names = [
-            s.metric_name
-            for s in service.specs
-            if (s.aggregation, s.interval, s.percentile or 0) == (aggregation, interval, percentile)
-        ]
-        chosen = recent.where(F.col("metric_name").isin(*names))
-        bucketed = chosen.withColumn("bucket", timeseries.bucket_start(F.col("ts"), interval))
-        reduced = timeseries.reduce_points(bucketed, keys, aggregation, percentile or None, limits=limits)
-        parts.append(reduced.withColumn("aggregation_type", F.lit(aggregation)))
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    rows = union.select(
-        *keys, "aggregation_type", F.col("bucket").alias("ts"), ingest.point_value(F.col("value"), F.lit(None)).alias("metric_value")
+    reduced = timeseries.reduce_by_spec(recent, service.specs, ["resource_id"], limits)
+    value = ingest.point_value(F.col("value"), F.lit(None))
+    rows = reduced.select(
+        "resource_id", "metric_name", "aggregation_type", F.col("bucket").alias("ts"), value.alias("metric_value")
     )
     units = spark.createDataFrame(sorted({(s.metric_name, s.unit) for s in service.specs}), "metric_name string, unit string")
     places = resources.select(

@@ -289,3 +289,17 @@ def test_specs_are_deduplicated(spark):
     spec = timeseries.MetricSpec("m", "Count", "Sum")
     frame = timeseries.spec_frame(spark, [spec, spec, timeseries.MetricSpec("m", "Count", "Percentile", percentile=95)])
     assert timeseries.distinct_specs(frame).count() == 2
+
+
+def test_points_reduced_by_spec(spark):
+    points = spark.createDataFrame(
+        [("r", "m", f"2024-01-01 00:0{i}:00", float(i)) for i in range(5)] + [("r", "n", "2024-01-01 00:30:00", 7.0)],
+        "resource_id string, metric_name string, ts string, value double",
+    ).withColumn("ts", F.col("ts").cast("timestamp"))
+    spec = timeseries.MetricSpec
+    specs = [
+        spec("m"), spec("m", aggregation="Sum", interval="PT1H"), spec("m", aggregation="Percentile", percentile=95),
+        spec("m", aggregation="Percentile", percentile=50), spec("n", aggregation="Gauge"), spec("n", aggregation="Gauge"),
+    ]
+    got = sorted((r.metric_name, r.aggregation_type, round(r.value, 6)) for r in timeseries.reduce_by_spec(points, specs, ["resource_id"]).collect())
+    assert got == [("m", "Average", 2.0), ("m", "Percentile", 2.0), ("m", "Percentile", 3.8), ("m", "Sum", 10.0), ("n", "Gauge", 7.0)]
