@@ -118,7 +118,7 @@ def reduce_points(
 def reduce_by_spec(
     points: DataFrame, specs: Sequence[MetricSpec], keys: Sequence[str], limits: Limits | None = None
 ) -> DataFrame:
-    """Raw points reduced as each metric's specs say: keys, metric_name, aggregation_type, bucket, value.
+    """Raw points reduced as each metric's specs say: keys, metric_name, aggregation_type, percentile, bucket, value.
 
     One pass serves all plain aggregations, one more each percentile asked for.
     The declared specs are a fixed table.
@@ -126,7 +126,7 @@ def reduce_by_spec(
     declared = distinct_specs(spec_frame(points.sparkSession, specs))
     each = points.join(F.broadcast(declared.drop("unit")), "metric_name")
     each = each.withColumn("bucket", floor_to_interval(F.col("ts"), iso_minutes(F.col("interval"))))
-    by = [*keys, "metric_name", "interval", "aggregation", "bucket"]
+    by = [*keys, "metric_name", "interval", "aggregation", "percentile", "bucket"]
     names = sorted({s.aggregation for s in specs if s.aggregation != "Percentile"})
     parts = []
     if names:

@@ -6,13 +6,15 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from costgauge.functions.timing import in_window
 from costgauge.operators import ingest, timeseries
 from costgauge.operators.scale import Limits
 from costgauge.params import RunParams
-from costgauge.schemas import parsed
+from costgauge.schemas import PARTITION_COLUMNS, parsed
 from costgauge.services import ResourceTable, Service
+from costgauge.sources.writers import upsert_path
 
 PARENT_ID = "parent_id"
 
@@ -72,7 +74,12 @@ def metric_rows(
     reduced = timeseries.reduce_by_spec(recent, service.specs, ["resource_id"], limits)
     value = ingest.point_value(F.col("value"), F.lit(None))
     rows = reduced.select(
-        "resource_id", "metric_name", "aggregation_type", F.col("bucket").alias("ts"), value.alias("metric_value")
+        "resource_id",
+        "metric_name",
+        "aggregation_type",
+        "percentile",
+        F.col("bucket").alias("ts"),
+        value.alias("metric_value"),
     )
     units = spark.createDataFrame(sorted({(s.metric_name, s.unit) for s in service.specs}), "metric_name string, unit string")
     places = resources.select(
@@ -106,3 +113,17 @@ def run_service(
     if params.additional_client_id:
         return {name: ingest.fan_out(rows, params.client_ids) for name, rows in tables.items()}
     return tables
+
+
+def store(service: Service, tables: Mapping[str, DataFrame], warehouse: str) -> dict[str, int]:
+    """Upsert the tables of a run under the warehouse folder; returns rows per table."""
+    declared = {t.name: (t.key, t.partition_by) for t in service.tables}
+    declared[service.metrics_table] = (service.metrics_key, PARTITION_COLUMNS)
+    stored = {}
+    for name, rows in tables.items():
+        key, partition_by = declared[name]
+        # The latest run wins; within a run the remaining columns decide, so that a rerun chooses the same row.
+        comparable = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType) and f.name not in key]
+        order = ["job_runtime_utc", *[c for c in comparable if c != "job_runtime_utc"]]
+        stored[name] = upsert_path(rows, f"{warehouse}/{name}", key, order, partition_by)
+    return stored

@@ -28,9 +28,10 @@ METRIC_POINT = """
     account_id string, aggregation_type string, client_id string, cloud_name string, date string,
     ingestion_timestamp string, job_runtime_utc timestamp, metric_date string, metric_name string,
     metric_type string, metric_unit string, metric_value double, namespace string, zone string, region string,
-    resource_id string, resource_name string, service_name string, unit string, year_month string
+    resource_id string, resource_name string, service_name string, unit string, year_month string, percentile int
 """
-METRIC_KEY = ("client_id", "account_id", "resource_id", "date", "metric_name", "aggregation_type")
+# Two percentiles of one metric differ in nothing else, so the percentile belongs to the key.
+METRIC_KEY = ("client_id", "account_id", "resource_id", "date", "metric_name", "aggregation_type", "percentile")
 RESOURCE_KEY = ("client_id", "account_id", "resource_id")
 PARTITION_COLUMNS = ("client_id", "account_id", "year_month")
 

@@ -126,8 +126,8 @@ SERVICE_CONFIGURATION = (
         "bronze_gcp_metrics_v2",
         "bronze_gcp_gke_clusters",
         True,
-        "GKEEngine",
-        "cr_gke_sku.json",
+        "gke",
+        "gke_sku.json",
         "Google Kubernetes Engine (GKE)",
     ),
 )

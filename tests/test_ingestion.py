@@ -105,6 +105,10 @@ def test_run_of_a_service(spark, tmp_path):
     assert rows[0].unit == rows[0].metric_unit == "Ratio" and rows[0].metric_type is None
     counts = {r.table_name: r.n_rows for r in ingest.row_counts(tables).collect()}
     assert counts["bronze_gcp_gke_node_pools"] == 4
+    warehouse = str(tmp_path / "warehouse")
+    for _ in range(2):
+        assert ingestion.store(gke, tables, warehouse) == counts
+    assert spark.read.parquet(f"{warehouse}/bronze_gcp_gke_node_pools").count() == 4
 
 
 def test_filter_hook(spark, tmp_path):

@@ -126,4 +126,4 @@ def test_formulas(spark):
 def test_service_configuration(spark):
     stored = rules.rule_frame(spark, seeds.GKE_RULES)
     joined = rules.with_service_config(stored, seeds.service_configuration(spark).select("service_code", "is_active", "sku_json_file"))
-    assert {r.sku_json_file for r in joined.collect()} == {"cr_gke_sku.json"}
+    assert {r.sku_json_file for r in joined.collect()} == {"gke_sku.json"}
