@@ -11,6 +11,7 @@ from costgauge.functions.numeric import half_even, number
 from costgauge.functions.prices import annual_of, hourly_price, machine_hourly, monthly_of
 from costgauge.functions.text import COMPUTE_FAMILIES, WORKER_FAMILIES, family_in_description, family_substring
 from costgauge.operators.scale import Limits, dense_ranks, dim_join, row_numbers
+from costgauge.sources.local import local_table
 
 # Resource groups that carry compute prices.
 COMPUTE_GROUPS = (
@@ -111,8 +112,8 @@ def component_prices(skus: DataFrame, order: str) -> DataFrame:
     found = priced.groupBy("component").agg(
         F.min_by(F.when(paid, F.col("hourly")), F.when(paid, F.col(order))).alias("found")
     )
-    defaults = spark.createDataFrame(
-        [*DEFAULT_COMPONENT_PRICES.items(), ("interconnect_vlan", 0.0)], "component string, fallback double"
+    defaults = local_table(
+        spark, [*DEFAULT_COMPONENT_PRICES.items(), ("interconnect_vlan", 0.0)], "component string, fallback double"
     )
     hourly = F.coalesce("found", "fallback")
     return defaults.join(found, "component", "left").select(
@@ -127,7 +128,8 @@ def with_default_family(prices: DataFrame) -> DataFrame:
     """Add the fixed family prices where the feed lacks that family; the feed is read once."""
     family, cpu, ram = DEFAULT_FAMILY
     columns = ["cpu_hourly_price", "ram_hourly_price_per_gb", "n_skus"]
-    default = prices.sparkSession.createDataFrame(
+    default = local_table(
+        prices.sparkSession,
         [(family, cpu, ram, 2)],
         "family string, cpu_hourly_price double, ram_hourly_price_per_gb double, n_skus bigint",
     )

@@ -26,7 +26,8 @@ def utilisation(points: DataFrame, keys: Sequence[str], names: Mapping[str, str]
     metrics without samples are null.
     """
     named = (F.col(keys[0]).cast("string") != "") & (F.col("metric_name") != "")
-    positive = points.where(named & (F.col(value) > 0))
+    # NaN sorts above every number here, but it is no positive sample.
+    positive = points.where(named & (F.col(value) > 0) & ~F.isnan(value))
     means = positive.groupBy(*keys).agg(
         *[F.avg(F.when(F.col("metric_name") == m, F.col(value))).alias(f"_{n}") for m, n in names.items()]
     )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from costgauge.functions.numeric import number
 from costgauge.operators.scale import Limits, dim_join, in_use, is_small
 from costgauge.schemas import RULE_LOGIC
+from costgauge.sources.local import local_table
 
 
 @dataclass(frozen=True)
@@ -50,7 +51,7 @@ def rule_frame(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
             r.rule_code,
             r.service_code,
             r.logic,
-            [(c.metric, c.operator, float(c.threshold)) for c in r.conditions],
+            [{"metric": c.metric, "operator": c.operator, "threshold": float(c.threshold)} for c in r.conditions],
             r.description,
             r.recommendation_template,
             r.estimated_savings_formula,
@@ -58,7 +59,7 @@ def rule_frame(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
         )
         for r in rules
     ]
-    return spark.createDataFrame(rows, RULE_COLUMNS)
+    return local_table(spark, rows, RULE_COLUMNS)
 
 
 def parse_rules(rules: DataFrame) -> DataFrame:

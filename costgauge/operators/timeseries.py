@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from costgauge.functions.text import iso_minutes
 from costgauge.functions.timing import floor_to_interval
 from costgauge.operators.scale import Limits, percentiles
+from costgauge.sources.local import local_table
 
 
 @dataclass(frozen=True)
@@ -31,7 +32,7 @@ SPEC_SCHEMA = "metric_name string, unit string, aggregation string, interval str
 def spec_frame(spark: SparkSession, specs: Sequence[MetricSpec]) -> DataFrame:
     """Specs as a small table."""
     rows = [(s.metric_name, s.unit, s.aggregation, s.interval, s.percentile) for s in specs]
-    return spark.createDataFrame(rows, SPEC_SCHEMA)
+    return local_table(spark, rows, SPEC_SCHEMA)
 
 
 def distinct_specs(specs: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from costgauge.operators.scale import Limits
 from costgauge.params import RunParams
 from costgauge.schemas import PARTITION_COLUMNS, parsed
 from costgauge.services import ResourceTable, Service
+from costgauge.sources.local import local_table
 from costgauge.sources.writers import upsert_path
 
 PARENT_ID = "parent_id"
@@ -81,7 +82,7 @@ def metric_rows(
         F.col("bucket").alias("ts"),
         value.alias("metric_value"),
     )
-    units = spark.createDataFrame(sorted({(s.metric_name, s.unit) for s in service.specs}), "metric_name string, unit string")
+    units = local_table(spark, sorted({(s.metric_name, s.unit) for s in service.specs}), "metric_name string, unit string")
     places = resources.select(
         "resource_id",
         "resource_name",

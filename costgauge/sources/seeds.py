@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from costgauge.operators.rules import Condition, Rule
 from costgauge.schemas import SERVICE_CONFIG
+from costgauge.sources.local import local_table
 from costgauge.sources.readers import explode_job_catalog
 
 # Machine sizes per family and shape, as (vCPUs listed, GB of RAM per vCPU).
@@ -146,11 +147,11 @@ MACHINE_COLUMNS = "family string, machine_type string, vcpus double, ram_gb doub
 
 
 def compute_machines(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(machine_rows(COMPUTE_SHAPES, SHARED_CORE), MACHINE_COLUMNS)
+    return local_table(spark, machine_rows(COMPUTE_SHAPES, SHARED_CORE), MACHINE_COLUMNS)
 
 
 def worker_machines(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(machine_rows(WORKER_SHAPES), MACHINE_COLUMNS)
+    return local_table(spark, machine_rows(WORKER_SHAPES), MACHINE_COLUMNS)
 
 
 _LISTED = "array<struct<machine_type: string, family: string, vcpus: double, ram_gb: double, hourly_price: double, ordinal: int>>"
@@ -159,12 +160,15 @@ _LISTED = "array<struct<machine_type: string, family: string, vcpus: double, ram
 def worker_sections(spark: SparkSession) -> DataFrame:
     """The pipeline worker price list in the shape of its file: one row, a section per job type."""
 
-    def section(workers: tuple) -> tuple:
-        entries = [(name, None, float(v), float(ram), price, place) for place, (name, v, ram, price) in enumerate(workers, 1)]
-        return (entries,)
+    def section(workers: tuple) -> dict:
+        entries = [
+            {"machine_type": name, "family": None, "vcpus": float(v), "ram_gb": float(ram), "hourly_price": price, "ordinal": place}
+            for place, (name, v, ram, price) in enumerate(workers, 1)
+        ]
+        return {"machine_types": entries}
 
     schema = f"batch struct<machine_types: {_LISTED}>, streaming struct<machine_types: {_LISTED}>"
-    return spark.createDataFrame([(section(BATCH_WORKERS), section(STREAMING_WORKERS))], schema)
+    return local_table(spark, [(section(BATCH_WORKERS), section(STREAMING_WORKERS))], schema)
 
 
 def worker_catalog(spark: SparkSession) -> DataFrame:
@@ -173,8 +177,8 @@ def worker_catalog(spark: SparkSession) -> DataFrame:
 
 
 def components(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(COMPONENTS), "component string, region string, hourly_price double")
+    return local_table(spark, list(COMPONENTS), "component string, region string, hourly_price double")
 
 
 def service_configuration(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(SERVICE_CONFIGURATION), SERVICE_CONFIG)
+    return local_table(spark, list(SERVICE_CONFIGURATION), SERVICE_CONFIG)

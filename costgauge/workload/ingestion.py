@@ -15,6 +15,7 @@ from costgauge.operators.features import account_positions
 from costgauge.params import RunParams, parse_params
 from costgauge.schemas import parsed
 from costgauge.sources import writers
+from costgauge.sources.local import local_table
 from costgauge.workload import models as m
 from costgauge.workload.registry import query, r
 
@@ -180,9 +181,7 @@ def metric_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
         "location",
         F.lit(None).cast("string").alias("region"),
     )
-    units = spark.createDataFrame(
-        [(name, "Ratio") for name in m.METRIC_NAMES], "metric_name string, unit string"
-    )
+    units = local_table(spark, [(name, "Ratio") for name in m.METRIC_NAMES], "metric_name string, unit string")
     rows = ingest.enrich_points(points, placed, units, "GKE", "kubernetes.io", PARAMS.run_ts)
     value = ingest.point_value(F.col("value"), F.lit(None))
     return rows.withColumn("metric_value", value).drop("value", "job_runtime_utc")

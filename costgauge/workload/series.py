@@ -12,6 +12,7 @@ from costgauge.operators import features, timeseries
 from costgauge.operators.ingest import point_value
 from costgauge.operators.scale import percentiles
 from costgauge.services import all_specs
+from costgauge.sources.local import local_table
 from costgauge.workload import models as m
 from costgauge.workload.registry import query, r, rs
 
@@ -369,8 +370,8 @@ FROM events JOIN spec ON place = event_id % (SELECT count(*) FROM spec) GROUP BY
 )
 def service_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _spec_rows()
-    specs = spark.createDataFrame(
-        rows, "place int, service string, metric_name string, unit string, aggregation string, interval string, percentile int"
+    specs = local_table(
+        spark, rows, "place int, service string, metric_name string, unit string, aggregation string, interval string, percentile int"
     )
     events = m.table(spark, sf_dir, "events")
     per_place = events.groupBy((F.col("event_id") % len(rows)).cast("int").alias("place")).agg(
