@@ -156,25 +156,35 @@ def dense_ranks(
 
 
 def percentiles(
-    df: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[str, float]], limits: Limits | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    wanted: Mapping[str, tuple[str, float]],
+    limits: Limits | None = None,
+    also: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Exact interpolated percentiles per group; ``wanted`` maps output names to (column, fraction).
 
     Groups of bounded size use the built-in aggregate, one buffer per column. If
-    any group is beyond the bound, see ``_percentiles_by_bucket``.
+    any group is beyond the bound, see ``_percentiles_by_bucket``. ``also`` holds
+    further aggregates of the same groups, taken in the same pass where possible.
     """
+    others = [c.alias(name) for name, c in (also or {}).items()]
     limits = in_use(limits)
     biggest, _ = group_sizes(df, keys)
     if biggest > limits.group_rows:
-        return _percentiles_by_bucket(df, keys, wanted, bucket_count(biggest, limits))
+        found = _percentiles_by_bucket(df, keys, wanted, bucket_count(biggest, limits))
+        return found.join(df.groupBy(*keys).agg(*others), list(keys)) if others else found
     fractions: dict[str, list[float]] = {}
     for column, p in wanted.values():
         fractions.setdefault(column, []).append(p)
     found = df.groupBy(*keys).agg(
-        *[F.percentile(c, F.array(*[F.lit(float(p)) for p in ps])).alias(f"_at_{c}") for c, ps in fractions.items()]
+        *[F.percentile(c, F.array(*[F.lit(float(p)) for p in ps])).alias(f"_at_{c}") for c, ps in fractions.items()],
+        *others,
     )
     return found.select(
-        *keys, *[F.get(f"_at_{c}", F.lit(fractions[c].index(p))).alias(name) for name, (c, p) in wanted.items()]
+        *keys,
+        *[F.get(f"_at_{c}", F.lit(fractions[c].index(p))).alias(name) for name, (c, p) in wanted.items()],
+        *(also or {}),
     )
 
 

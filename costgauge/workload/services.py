@@ -187,10 +187,10 @@ def nat_routers(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_quantity") * F.col("l_discount") * 10).alias("ports"),
         "l_quantity",
     )
-    used = percentiles(lineitem, ["resource_id"], {"p95": ("ports", 0.95)})
-    allocated = lineitem.groupBy("resource_id").agg(F.max("l_quantity").alias("nat_allocated_ports_avg"))
+    allocated = {"nat_allocated_ports_avg": F.max("l_quantity")}
+    used = percentiles(lineitem, ["resource_id"], {"p95": ("ports", 0.95)}, also=allocated)
     key = F.col("resource_id")
-    return used.join(allocated, "resource_id").select(
+    return used.select(
         "resource_id",
         F.concat(F.lit("router-"), key).alias("router_name"),
         (key % 16 + 1).alias("nat_ip_count"),
@@ -238,35 +238,30 @@ def reco_router_nat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = m.table(spark, sf_dir, "lineitem")
-    key = F.col("resource_id")
-    volumes = lineitem.groupBy(F.col("l_partkey").alias("resource_id")).agg(
-        F.sum("l_quantity").alias("_quantity"), F.count(F.lit(1)).alias("subscription_count")
-    )
-
-    samples = lineitem.select(
+    samples = m.table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("resource_id"),
+        "l_quantity",
         (F.col("l_extendedprice") / 6).alias("backlog"),
         (F.col("l_quantity") * F.col("l_tax") * 100).alias("age"),
         (F.col("l_quantity") * F.col("l_discount")).alias("byte_cost"),
     )
-    levels = percentiles(
-        samples,
-        ["resource_id"],
-        {
-            "num_undelivered_messages_p95": ("backlog", 0.95),
-            "oldest_unacked_message_age_p95_seconds": ("age", 0.95),
-            "byte_cost_p95": ("byte_cost", 0.95),
-            "byte_cost_baseline": ("byte_cost", 0.25),
-        },
-    )
-    levels = levels.select("resource_id", *[stable(F.col(c), 4).alias(c) for c in levels.columns if c != "resource_id"])
-    return volumes.join(levels, "resource_id").select(
-        "*",
+    levels = {
+        "num_undelivered_messages_p95": ("backlog", 0.95),
+        "oldest_unacked_message_age_p95_seconds": ("age", 0.95),
+        "byte_cost_p95": ("byte_cost", 0.95),
+        "byte_cost_baseline": ("byte_cost", 0.25),
+    }
+    volumes = {"_quantity": F.sum("l_quantity"), "subscription_count": F.count(F.lit(1))}
+    found = percentiles(samples, ["resource_id"], levels, also=volumes)
+    key = F.col("resource_id")
+    return found.select(
+        key,
+        "subscription_count",
+        *[stable(F.col(c), 4).alias(c) for c in levels],
         F.concat(F.lit("topic-"), key).alias("topic_name"),
         stable(F.col("_quantity") / 75, 4).alias("monthly_data_gb"),
         F.greatest(F.lit(1), F.col("subscription_count") - key % 3).alias("active_subscription_count"),
-    ).drop("_quantity")
+    )
 
 
 TOPICS = f"""topics AS (
@@ -559,16 +554,17 @@ def origins(spark: SparkSession, sf_dir: str, latency: bool = True) -> DataFrame
         return F.sum(F.when(condition, value).otherwise(0.0))
 
     kind = F.col("event_type")
-    counted = keyed.groupBy(*keys).agg(
-        F.sum("value").alias("_value"),
-        total(kind == "purchase", F.col("value")).alias("_sent"),
-        total(kind == "view", F.lit(1.0)).alias("requests"),
-        total(kind == "error", F.lit(1.0)).alias("misses"),
-    )
+    sums = {
+        "_value": F.sum("value"),
+        "_sent": total(kind == "purchase", F.col("value")),
+        "requests": total(kind == "view", F.lit(1.0)),
+        "misses": total(kind == "error", F.lit(1.0)),
+    }
     if latency:
         timed = keyed.withColumn("ms", F.col("value") * 10)
-        slow = percentiles(timed, keys, {"backend_latency_p95_ms": ("ms", 0.95)})
-        counted = counted.join(slow, keys)
+        counted = percentiles(timed, keys, {"backend_latency_p95_ms": ("ms", 0.95)}, also=sums)
+    else:
+        counted = keyed.groupBy(*keys).agg(*[c.alias(name) for name, c in sums.items()])
     hit = F.try_divide(F.col("requests") * 100, F.col("requests") + F.col("misses"))
     missed = F.try_divide(F.col("misses") * 100, F.col("requests") + F.col("misses"))
     places = m.resources(spark, sf_dir).select("resource_id", F.col("client_id").alias("region"))

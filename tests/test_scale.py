@@ -61,7 +61,9 @@ def test_dense_ranks(skewed, limits, small):
 def test_percentiles(skewed, limits):
     facts, frame = skewed
     wanted = {"p50": ("v", 0.5), "p95": ("v", 0.95), "low": ("w", 0.0), "w99": ("w", 0.99)}
-    got = scale.percentiles(facts, ["k"], wanted, limits).toPandas().set_index("k").sort_index()
+    also = {"rows": F.count(F.lit(1)), "most": F.max("v")}
+    got = scale.percentiles(facts, ["k"], wanted, limits, also).toPandas().set_index("k").sort_index()
+    assert (got["rows"] == frame.groupby("k").size()).all() and (got["most"] == frame.groupby("k")["v"].max()).all()
     for name, (column, p) in wanted.items():
         want = frame.groupby("k")[column].quantile(p).sort_index()
         assert np.allclose(got[name], want)
