@@ -43,8 +43,12 @@ def in_use(limits: Limits | None = None) -> Limits:
 
 
 def is_small(df: DataFrame, rows: int) -> bool:
-    """True if the frame has at most ``rows`` rows; looks at no more than one row beyond that."""
-    return df.limit(rows + 1).count() <= rows
+    """True if the frame has at most ``rows`` rows.
+
+    A plain count: each task sends one number. A limit would send up to that
+    many rows of every task to a single one.
+    """
+    return df.count() <= rows
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:

@@ -52,6 +52,8 @@ _MACHINE = """
 FAMILY_CATALOG = f"""map<string, struct<
     family: string, region: string, cpu_hourly_price: double, ram_hourly_price_per_gb: double,
     machine_types: array<struct<{_MACHINE}>>>>"""
+# The same catalog as this package writes it: lists of machines, one per line.
+CATALOG_LINE = f"family string, chunk int, machine_types array<struct<{_MACHINE}>>"
 _SECTION = f"""struct<job_type: string, region: string, vcpu_hourly_price: double,
     memory_hourly_price_per_gib: double, machine_types: array<struct<{_MACHINE}>>>"""
 JOB_CATALOG = f"batch {_SECTION}, streaming {_SECTION}"

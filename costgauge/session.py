@@ -15,6 +15,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # A report over all services compiles several hundred stages.
     "spark.sql.codegen.cache.maxEntries": "2000",
     # Looking up the Python call site of every column expression costs more than building it.

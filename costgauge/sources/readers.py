@@ -61,6 +61,15 @@ def family_catalog(spark: SparkSession, path: str) -> DataFrame:
     return explode_family_catalog(parsed)
 
 
+def catalog_lines(spark: SparkSession, path: str) -> DataFrame:
+    """A catalog written by ``write_catalog``, one row per machine type; files split between tasks."""
+    lines = spark.read.schema(schemas.CATALOG_LINE).json(path)
+    return lines.select("family", F.explode("machine_types").alias("m")).select(
+        F.coalesce("m.family", "family").alias("family"),
+        *[f"m.{c}" for c in ("machine_type", "vcpus", "ram_gb", "hourly_price", "monthly_price", "annual_price", "ordinal")],
+    )
+
+
 def explode_job_catalog(catalog: DataFrame) -> DataFrame:
     """Job-type-keyed catalogs (columns ``batch`` and ``streaming``) as flat rows, batch first."""
 

@@ -59,6 +59,8 @@ def upsert_path(
     """
     spark = source.sparkSession
     ensure_checkpoint_dir(spark)
+    # Computed once: it is looked at several times below.
+    source = source.checkpoint()
     rows = source.count()
     if rows == 0:
         return 0
@@ -134,7 +136,7 @@ def write_observations(rows: DataFrame, path: str) -> None:
 
 
 def write_catalog(nested: DataFrame, path: str) -> None:
-    """A nested catalog as JSON, one family per line."""
+    """A nested catalog as JSON, one list of machines per line."""
     nested.write.mode("overwrite").json(path)
 
 

@@ -257,6 +257,8 @@ def test_billing_pages_to_priced_machines(spark, tmp_path):
     writers.write_catalog(nested, path)
     back = spark.read.json(path)
     assert back.where("family = 'c2'").count() == 2
+    again = readers.catalog_lines(spark, path)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, machines.select(*again.columns).collect()))
     assert catalog.summary(machines).first().asDict() == {"machine_families": 3, "machine_types": 17 + 22 + 5}
 
 

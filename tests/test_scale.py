@@ -76,7 +76,7 @@ def test_percentiles_skip_nulls(spark):
         assert got == {1: 2.0, 2: 5.0}
 
 
-def test_is_small_looks_one_row_beyond(spark):
+def test_is_small_at_the_bound(spark):
     assert scale.is_small(spark.range(10), 10)
     assert not scale.is_small(spark.range(11), 10)
 
