@@ -76,7 +76,8 @@ def dim_join(
     A dimension of checked size is broadcast, so a hot key never meets a
     shuffle. A larger one is spread by key and salt: the facts of a key go to
     ``salts`` partitions and every dimension row is copied to each of them.
-    ``small`` passes on a check already made.
+    Copies of one fact row share a salt; should they be many, the adaptive skew
+    join splits their partition. ``small`` passes on a check already made.
     """
     on, limits = list(on), in_use(limits)
     if is_small(dim, limits.broadcast_rows) if small is None else small:
