@@ -8,9 +8,9 @@ import pytest
 import check
 from __spark_entry__ import entry, oracle_sql, queries
 from costgauge.operators import scale
+from costgauge.workload import QUERIES as ALL
+from costgauge.workload import SQL
 
-ALL = queries()
-SQL = oracle_sql()
 # The portfolio is planned and run once, by its summary.
 RUN = [n for n in ALL if n not in ("recommendations_all", "savings_formula")]
 
@@ -22,6 +22,7 @@ def connection(tiny):
 
 def test_every_query_has_sql():
     assert set(SQL) == set(ALL)
+    assert set(ALL) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", RUN)
