@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costgauge.llm import line_dedup
+from costgauge.llm import line_dedup, line_frequency, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,3 +64,61 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         long(F.size("_lines") - F.size("_kept")).alias("n_dropped"),
         F.sha2(F.array_join("_kept", "\n"), 256).alias("kept_sha256"),
     )
+
+@query(
+    "op7_line_frequency",
+    f"""
+WITH docs AS (SELECT doc_id, source, coalesce(text, '') AS text, text AS raw FROM documents),
+     words AS (SELECT doc_id, list_filter(string_split_regex(text, '[ \\t\\n\\x0b\\f\\r]+'), lambda w: w <> '') AS w FROM docs),
+     places AS (SELECT doc_id, unnest(generate_series(1, len(w) - 2)) AS i, w FROM words WHERE len(w) >= 3),
+     grams AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram FROM places),
+     again AS (SELECT doc_id, gram FROM grams GROUP BY ALL HAVING count(*) > 1),
+     starts AS (SELECT g.doc_id, g.i FROM grams g JOIN again a USING (doc_id, gram)),
+     covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM starts, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
+     lines AS (SELECT doc_id, source, raw, unnest(string_split(text, chr(10))) AS line FROM docs),
+     keyed AS (SELECT *, {SQL_KEY} AS key FROM lines),
+     filled AS (SELECT * FROM keyed WHERE key <> ''),
+     dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n, sum(length(key)) AS chars FROM filled GROUP BY doc_id),
+     frequent AS (SELECT key, source FROM filled GROUP BY key, source HAVING count(DISTINCT raw) > 10),
+     gone AS (SELECT l.doc_id, sum(length(l.key)) AS chars FROM filled l JOIN frequent f
+              ON l.key = f.key AND l.source IS NOT DISTINCT FROM f.source GROUP BY l.doc_id),
+     counted AS (
+       SELECT d.doc_id, CAST(len(w.w) AS BIGINT) AS n_words,
+              CAST(coalesce(list_sum(list_transform(w.w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+              CAST(length(d.text) - length(translate(d.text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+              coalesce(p.n, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+              CASE WHEN coalesce(p.chars, 0) > 0 THEN (p.chars - coalesce(g.chars, 0)) / p.chars ELSE 1.0 END AS own_share
+       FROM docs d JOIN words w USING (doc_id) LEFT JOIN covered c USING (doc_id) LEFT JOIN dups p USING (doc_id)
+            LEFT JOIN gone g USING (doc_id)),
+     failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND own_share >= 0.3 AS kept
+FROM failed
+""",
+)
+def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of each text, and the verdict after lines that more than 10 texts of a host share are removed."""
+    judged = line_frequency.judge(table(spark, sf_dir, "documents"), max_docs=10, min_share=0.3)
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "kept")
+
+
+@query("op6_secret_scan")
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of the fixed patterns, and tokens that look random to the character models."""
+    docs = table(spark, sf_dir, "documents")
+    model = secrets.train(secrets.labelled_samples(docs, table(spark, sf_dir, "labels")))
+    found = secrets.scan(docs.select("doc_id", "text"), model)
+    base = F.filter("spans", lambda s: s["kind"] != secrets.MARKOV)
+
+    def count(kind: int) -> Column:
+        return long(F.size(F.filter("spans", lambda s: s["kind"] == kind)))
+
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.written(base), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+    )
