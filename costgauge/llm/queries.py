@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costgauge.llm import line_dedup, line_frequency, secrets
+from costgauge.llm import cube_mix, line_dedup, line_frequency, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,3 +122,12 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.written(base), 256).alias("base_sha256"),
         secrets.written(F.col("spans")).alias("spans"),
     )
+
+
+@query("op10_cube_mix")
+def op10_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources mixed 3 : 1 : 2 to 150 % of all words, no document more than twice."""
+    mixed = cube_mix.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, max_use=2.0)
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "source"
+    )

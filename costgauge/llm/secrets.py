@@ -76,7 +76,7 @@ def labelled_samples(
     """Strings with their label: text, is_random.
 
     Ordinary: words of the sample_docs documents of good quality (labels.quality = 1) that come first by a hash of their
-    id, and identifiers joined from neighbouring words. Random: hashes of the numbers up to made, written in
+    id, identifiers joined from neighbouring words, rules drawn with one character, repeated numbers. Random: hashes of the numbers up to made, written in
     hexadecimal, base 64 and its variant for addresses, in upper case and as a mix of both.
     """
     good = labels.where(F.col("quality") == 1).select(F.col(id_col)).distinct()
@@ -99,6 +99,10 @@ def labelled_samples(
     plain = F.base64(F.unhex(raw))
     forms = [raw, F.substring(raw, 1, 40), plain, F.translate(plain, "+/=", "-_"), F.translate(plain, "+/=", ""), F.upper(F.translate(plain, "+/=", ""))]
     made_up = numbers.select(F.explode(F.array(*forms)).alias("text"))
+    # Rules drawn with one character, and plain numbers, are ordinary too.
+    rules = docs.sparkSession.range(200).select(F.explode(F.array(*[F.repeat(F.lit(c), 40) for c in "+/_=.-0"])).alias("text"))
+    counters = numbers.select(F.repeat(F.col("id").cast("string"), 4).alias("text"))
+    ordinary = ordinary.unionByName(rules).unionByName(counters)
     return ordinary.withColumn("is_random", F.lit(False)).unionByName(made_up.withColumn("is_random", F.lit(True)))
 
 
