@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costgauge.llm import cube_mix, line_dedup, line_frequency, secrets
+from costgauge.llm import bit_sliced, cube_mix, line_dedup, line_frequency, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,3 +131,22 @@ def op10_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "source"
     )
+
+
+@query(
+    "op5_bit_sliced",
+    """
+WITH rows AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+              FROM embeddings
+              WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     scored AS (SELECT q.vec_id AS query_id, c.vec_id,
+                       CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+                FROM rows q JOIN rows c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+""",
+)
+def op5_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best by inner product, for the vectors whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return bit_sliced.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
