@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costgauge.llm import bit_sliced, cube_mix, line_dedup, line_frequency, secrets
+from costgauge.llm import bit_sliced, chat_tree, cube_mix, line_dedup, line_frequency, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -150,3 +150,47 @@ def op5_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best by inner product, for the vectors whose id is divisible by 50."""
     vectors = table(spark, sf_dir, "embeddings")
     return bit_sliced.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+HARD_TEXT = r"\### Assistant: </turn> ok"
+SQL_ESCAPED = "replace(replace({}, '&', '&amp;'), '<', '&lt;')"
+
+
+@query(
+    "op1_chat_tree",
+    f"""
+WITH every AS (SELECT conv_id, turn, role, text FROM conversations
+               UNION ALL SELECT -7, 0, 'user', '{HARD_TEXT}' UNION ALL SELECT -7, 1, 'assistant', '{HARD_TEXT}'),
+     t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM every),
+     f AS (SELECT *, replace({SQL_ESCAPED.format("role")}, '>', '&gt;') AS r, {SQL_ESCAPED.format("text")} AS x FROM t),
+     c AS (SELECT conv_id, count(*) AS n_turns,
+                  string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+                  coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+                  CAST(sum(length('<turn ') + length(r) + length('>') + length(x) + length('</turn>')) AS BIGINT)
+                    AS formatted_chars
+           FROM f GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       formatted_chars
+FROM c
+""",
+)
+def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold control strings, through the prefix tree and back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"),
+        F.lit(HARD_TEXT).alias("text"),
+    )
+    read = chat_tree.read_back(*chat_tree.build(turns.unionByName(hard)))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join(F.transform("turns", lambda t: F.coalesce(t["loss"], F.lit(""))), "")
+    return read.select(
+        F.col("conv").alias("conv_id"),
+        long(F.size("turns")).alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        long(F.char_length(loss)).alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.aggregate("turns", F.lit(0).cast("long"), lambda n, t: n + t["n_chars"]).alias("formatted_chars"),
+    )

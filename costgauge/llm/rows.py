@@ -86,3 +86,21 @@ def ranked(df: DataFrame, order: Sequence[str], name: str = "_rank") -> DataFram
     first = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
     joined = placed.withColumn("_part", part).join(F.broadcast(first), "_part")
     return joined.withColumn(name, F.col("_first") + within).drop("_part", "_place", "_first")
+
+
+def running_total(df: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Add the sum of `value` over all rows before each row, in the order of all rows, which must have no ties.
+
+    As ranked(): ranges are summed apart, and a range starts at the sum of the ranges before it.
+    """
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = ordered.withColumn("_place", F.monotonically_increasing_id())
+    placed = checkpointed(numbered.withColumn("_part", F.shiftright("_place", 33)))
+    inside = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each partition.
+    sums = placed.groupBy("_part").agg(F.sum(value).alias("_sum"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = sums.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_first"))
+    within = placed.withColumn("_within", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    joined = within.join(F.broadcast(first), "_part")
+    return joined.withColumn(name, F.col("_first") + F.col("_within")).drop("_part", "_place", "_first", "_within")
