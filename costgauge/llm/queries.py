@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costgauge.llm import bit_sliced, chat_tree, cube_mix, line_dedup, line_frequency, secrets
+from costgauge.llm import bit_sliced, chat_tree, cube_mix, line_blocks, line_dedup, line_frequency, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -194,3 +194,10 @@ def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(loss, 256).alias("loss_sha256"),
         F.aggregate("turns", F.lit(0).cast("long"), lambda n, t: n + t["n_chars"]).alias("formatted_chars"),
     )
+
+
+@query("op4_line_blocks")
+def op4_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = line_blocks.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.withColumn("n_chars", long(F.char_length("text")))
