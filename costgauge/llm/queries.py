@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costgauge.llm import bit_sliced, chat_tree, cube_mix, line_blocks, line_dedup, line_frequency, secrets
+from costgauge.llm import bit_sliced, chat_tree, cube_mix, line_blocks, line_dedup, line_frequency, secrets, word_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -201,3 +202,19 @@ def op4_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     found = line_blocks.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.withColumn("n_chars", long(F.char_length("text")))
+
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op8_word_bpe")
+def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded, and decoded again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = word_bpe.decode(word_bpe.encode(docs, TOKENIZER), TOKENIZER)
+    return decoded.select(
+        "doc_id",
+        long(F.size("ids")).alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
