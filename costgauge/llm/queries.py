@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costgauge.llm import bit_sliced, chat_tree, cube_mix, line_blocks, line_dedup, line_frequency, secrets, word_bpe
+from costgauge.llm import bit_sliced, chat_tree, cube_mix, line_blocks, line_dedup, line_frequency, resampling, secrets, word_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -218,3 +218,10 @@ def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op2_importance_resampling")
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of every document, and whether it is drawn."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.classify(docs, table(spark, sf_dir, "labels"))
