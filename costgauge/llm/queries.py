@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costgauge.llm import bit_sliced, chat_tree, cube_mix, line_blocks, line_dedup, line_frequency, resampling, secrets, word_bpe
+from costgauge.llm import bit_sliced, chat_tree, cube_mix, line_blocks, line_dedup, line_frequency, order_minhash, resampling, secrets, word_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -225,3 +225,9 @@ def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight of every document, and whether it is drawn."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return resampling.classify(docs, table(spark, sf_dir, "labels"))
+
+
+@query("op3_order_minhash")
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document: five words, similarity 0.8."""
+    return order_minhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -2,7 +2,7 @@
 
 Single words and pairs of neighbours are hashed to BUCKETS numbers. The target model counts them over labelled documents of
 good quality, the raw model over all documents. A document's log weight is the sum, over its n-grams, of the log ratio of the
-two, less a rate for each n-gram, which is set where labelled good and bad documents part best. With Gumbel noise added, the
+two, less a rate for each n-gram, which is set where good and bad documents held out of the target model part best. With Gumbel noise added, the
 k largest are a draw of k documents without replacement in proportion to their weights; k is the number of documents
 whose weight is at least 1. Noise comes from hashes of the documents, so that every run and every repeated task draws alike.
 
@@ -50,10 +50,14 @@ def _buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def labelled_sample(labels: DataFrame, *, id_col: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
-    """_id and _good of the `sample` labelled ids that come first by hash; an id is good if all its labels are 1."""
+    """_id, _good and _held of the `sample` labelled ids that come first by hash; an id is good if all its labels are 1.
+
+    Every other id is held out: it stays out of the target model, and the rate is set on those.
+    """
     known = labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull())
     single = known.groupBy(F.col(id_col).alias("_id")).agg((F.min("quality") == 1).alias("_good"))
-    return single.orderBy(F.xxhash64(F.lit(SEED), F.col("_id")), "_id").limit(sample)
+    held = F.xxhash64(F.lit(SEED + 1), F.col("_id")) % 2 == 0
+    return single.withColumn("_held", held).orderBy(F.xxhash64(F.lit(SEED), F.col("_id")), "_id").limit(sample)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +125,7 @@ def fit(
     chosen = checkpointed(labelled_sample(labels, id_col=id_col, sample=sample))
     # At most `sample` ids.
     marked = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id"), "left")
-    texts = marked.select(F.col(text_col).cast("string").alias("text"), "_good")
+    texts = marked.select(F.col(text_col).cast("string").alias("text"), (F.col("_good") & ~F.col("_held")).alias("_target"))
     counts = texts.mapInArrow(_counted, "bucket long, raw long, target long").groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target")
     )
@@ -130,7 +134,8 @@ def fit(
         raw[row.bucket] += row.raw
         target[row.bucket] += row.target
     ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
-    labelled = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select(id_col, text_col, "_good")
+    held = chosen.where("_held")
+    labelled = docs.join(F.broadcast(held), F.col(id_col) == F.col("_id")).select(id_col, text_col, "_good")
     scored = with_scores(labelled, Model(ratio, 0.0), id_col=id_col, text_col=text_col).where(F.col("_n") > 0)
     # Rows that share a labelled id count once, by their mean.
     single = scored.groupBy(id_col).agg(F.avg(F.col("_ratio") / F.col("_n")).alias("score"), F.first("_good").alias("good"))

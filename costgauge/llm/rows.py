@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WHITE = " \t\n\x0b\f\r"
@@ -57,20 +58,33 @@ def line_keys(lines: Column) -> Column:
     return F.transform(keys, hashed)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with checkpoint() in the shared folder that spark.checkpoint.dir names.
+def shared_folder(spark: SparkSession) -> str:
+    """This application's folder below the one that spark.checkpoint.dir names, which all executors share.
 
     Only a session in local mode may come without that setting; it gets a folder of its own.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if named is None and not context.master.startswith(("local[", "local")):
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not (context.master == "local" or context.master.startswith("local[")):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with checkpoint() in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table as Parquet to the shared folder and read it again."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def ranked(df: DataFrame, order: Sequence[str], name: str = "_rank") -> DataFrame:
     """Add each row's position, from 0, in the order of all rows.
 
