@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costgauge.llm.rows import WORD, checkpointed, ranked, text_of, with_key
+from costgauge.llm.rows import WORD, checkpointed, packed, quoted, ranked, text_of, unpacked, with_key
 
 BLOCK = 4096
 MERGE = 1024
@@ -138,47 +138,46 @@ def decide(
     max_use: float = 2.0,
     seed: str = "mix",
 ) -> DataFrame:
-    """How often each unit is used: all columns, source_size, target (its source's) and times (long).
+    """How often each unit is used: _row (all columns), source_size, target (its source's) and times (long).
 
     order names columns that put the units in an order of their own; units equal in it and in size are interchangeable.
-    No unit is used more than max_use times rounded up. Units of size 0 take part in the number of documents.
+    No unit is used more than max_use times, rounded up. Units of size 0 count in the number of documents only.
     """
-    shares = targets(
-        units, source_col=source_col, size_col=size_col, weights=weights, share=share, max_use=max_use
-    )
-    clash = {c: f"_own_{c}" for c in ("source_size", "target", "times") if c in units.columns}
-    units = units.withColumnsRenamed(clash)
-    joined = units.join(shares, F.col(source_col).eqNullSafe(F.col("_source"))).drop("_source")
+    inner = {f"_o{i}": c for i, c in enumerate(order)}
+    rows = packed(units, _own=source_col, size=size_col, **inner)
+    shares = targets(rows, source_col="_own", size_col="size", weights=weights, share=share, max_use=max_use)
+    joined = rows.join(shares, F.col("_own").eqNullSafe(F.col("_source"))).drop("_source", "_own")
     mean = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     planned = joined.withColumn("_mean", mean).withColumn("_whole", F.floor("_mean").cast("long"))
-    planned = planned.withColumn("_p", F.col("_mean") - F.col("_whole"))
-    placed = checkpointed(ranked(planned, ["_s", *order, size_col]))
-    places = placed.count()
-    rows = placed.select("_s", "_rank", F.col(size_col).alias("size"), "_p")
-    rows = rows.withColumn("_block", F.floor(F.col("_rank") / BLOCK).cast("long"))
-    blocks, turn, done = max(1, -(-places // BLOCK)), 0, None
+    planned = planned.withColumn("_p", F.col("_mean") - F.col("_whole")).drop("_mean")
+    placed = checkpointed(ranked(planned, ["_s", *inner, "size"]))
+    blocks = max(1, -(-placed.count() // BLOCK))
+    open_ = placed.select("_s", "_rank", "size", "_p", F.floor(F.col("_rank") / BLOCK).cast("long").alias("_block"))
+    turn, done = 0, None
     while True:
         land = blocks == 1
-        dealt = rows.repartition("_s", "_block").sortWithinPartitions("_s", "_block")
+        dealt = open_.repartition("_s", "_block").sortWithinPartitions("_s", "_block")
         moved = checkpointed(dealt.mapInPandas(_flights(f"{seed}/{turn}", land), dealt.schema))
         closed = (F.col("_p") == 0.0) | (F.col("_p") == 1.0)
         done = moved.where(closed) if done is None else done.unionByName(moved.where(closed))
         if land:
             break
-        rows = moved.where(~closed).withColumn("_block", F.floor(F.col("_block") / MERGE).cast("long"))
+        open_ = moved.where(~closed).withColumn("_block", F.floor(F.col("_block") / MERGE).cast("long"))
         blocks, turn = -(-blocks // MERGE), turn + 1
     chosen = done.select(F.col("_rank").alias("_place"), F.col("_p").cast("long").alias("_extra"))
     result = placed.join(chosen, F.col("_rank") == F.col("_place"))
-    times = (F.col("_whole") + F.col("_extra")).alias("times")
-    return result.select(*[c for c in units.columns], "source_size", "target", times)
+    return result.select("_row", "source_size", "target", (F.col("_whole") + F.col("_extra")).alias("times"))
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """For each row: its id, source, size (words), source_size, target and times."""
-    units = docs.select(F.col(id_col), F.col(source_col), n_words(F.col(text_col)).alias("size"))
-    shuffled = units.withColumn("_order", F.xxhash64(F.lit(5), F.col(id_col)))
-    decided = decide(shuffled, order=["_order", id_col], source_col=source_col, **options)
-    return decided.drop("_order")
+    """For each row: id, source, size (words), source_size, target and times; null text has size 0."""
+    id_ = quoted(id_col)
+    units = docs.select(
+        id_.alias("id"), quoted(source_col).alias("source"), n_words(quoted(text_col)).alias("size"),
+        F.xxhash64(F.lit(5), id_).alias("order"),
+    )
+    decided = decide(units, order=["order", "id"], **options)
+    return decided.select("_row.id", "_row.source", "_row.size", "source_size", "target", "times")
 
 
 def mixed_documents(
@@ -188,10 +187,11 @@ def mixed_documents(
 
     Rows with the same id, text and source are one unit, sized as all of them, and are used equally often.
     """
-    keyed = with_key(docs, F.col(id_col), F.col(text_col), F.col(source_col))
-    sized = keyed.select("_r1", "_r2", F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
+    rows = packed(docs, _id=id_col, _text=text_col, _own=source_col)
+    keyed = with_key(rows, F.col("_id"), F.col("_text"), F.col("_own"))
+    sized = keyed.select("_r1", "_r2", F.col("_own").alias("source"), n_words(F.col("_text")).alias("size"))
     units = sized.groupBy("_r1", "_r2", "source").agg(F.sum("size").alias("size"))
-    decided = decide(units, order=["_r1", "_r2"], **options).select("_r1", "_r2", "times")
-    used = keyed.join(decided.where(F.col("times") > 0), ["_r1", "_r2"])
-    copies = used.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
-    return copies.select(*docs.columns)
+    decided = decide(units, order=["_r1", "_r2"], **options).where(F.col("times") > 0)
+    used = keyed.select("_row", "_r1", "_r2").join(decided.select("_row._r1", "_row._r2", "times"), ["_r1", "_r2"])
+    copies = used.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("_copy"))
+    return unpacked(copies, docs.columns, {})

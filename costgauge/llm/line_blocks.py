@@ -169,15 +169,19 @@ def lines_of_page(page: str) -> list[_Line]:
 
 def _state(element: _Element, seen: dict[int, tuple[bool, bool]]) -> tuple[bool, bool]:
     """Whether an element lies in page furniture, and whether in the article."""
-    if (known := seen.get(id(element))) is not None:
-        return known
-    out, main = _state(element.parent, seen) if element.parent is not None else (False, False)
-    if element.tag == "header" and not main and not element.holds_main:
-        out = True
-    # A class may name furniture on an element that holds the article; such a name is only about the layout.
-    out = out or element.always or (element.named and not element.holds_main)
-    main = main or element.main
-    seen[id(element)] = out, main
+    above: list[_Element] = []
+    at: _Element | None = element
+    while at is not None and id(at) not in seen:
+        above.append(at)
+        at = at.parent
+    out, main = seen[id(at)] if at is not None else (False, False)
+    for one in reversed(above):
+        if one.tag == "header" and not main and not one.holds_main:
+            out = True
+        # A class may name furniture on an element that holds the article; such a name is only about the layout.
+        out = out or one.always or (one.named and not one.holds_main)
+        main = main or one.main
+        seen[id(one)] = out, main
     return out, main
 
 

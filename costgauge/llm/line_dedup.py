@@ -11,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costgauge.llm.rows import checkpointed, line_keys, lines_of, with_key
+from costgauge.llm.rows import checkpointed, line_keys, lines_of, packed, quoted, unpacked, with_key
 
 WORD_SHIFT = 6  # 64 lines in a word
 
 
 def line_hashes(docs: DataFrame, *, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """One row for each line whose key has at least min_chars code points: h1, h2, doc, pos, _r1, _r2."""
-    source = with_key(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), F.col("doc"), F.col("text"))
+    source = with_key(docs.select(quoted(id_col).alias("doc"), quoted(text_col).alias("text")), F.col("doc"), F.col("text"))
     keys = line_keys(lines_of(F.col("text")))
     rows = source.select("doc", "_r1", "_r2", F.posexplode(keys).alias("pos", "key")).where(F.col("key.size") >= min_chars)
     return rows.select("key.h1", "key.h2", "doc", "pos", "_r1", "_r2")
@@ -64,34 +64,32 @@ def keep_bitmaps(
 def with_kept_lines(
     docs: DataFrame, bitmaps: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Read the bitmaps against the documents: all columns, with _lines (all) and _kept (those that stay) as arrays."""
-    keyed = with_key(docs, F.col(id_col), F.col(text_col))
-    joined = keyed.join(bitmaps, ["_r1", "_r2"], "left").drop("_r1", "_r2")
+    """Read the bitmaps against the documents: _row (all columns but the text), lines (all) and kept (those that stay)."""
+    keyed = with_key(packed(docs, drop=[text_col], doc=id_col, text=text_col), F.col("doc"), F.col("text"))
+    joined = keyed.join(bitmaps, ["_r1", "_r2"], "left")
     # Written out up to the last word that loses a line, the words before it that lose none are all ones.
-    gap = F.col("keep.word")
+    words = F.col("keep.word")
     dense = F.flatten(
         F.transform(
             "keep",
             lambda entry, i: F.concat(
                 F.array_repeat(
                     F.lit(-1).cast("long"),
-                    entry["word"] - F.when(i == 0, F.lit(0)).otherwise(F.get(gap, i - 1) + 1),
+                    entry["word"] - F.when(i == 0, F.lit(0)).otherwise(F.get(words, i - 1) + 1),
                 ),
                 F.array(entry["bits"]),
             ),
         )
     )
     dense = F.coalesce(dense, F.array().cast("array<bigint>"))
-    opened = joined.withColumns({"_lines": lines_of(F.col(text_col)), "_dense": dense})
+    opened = joined.select("_row", lines_of(F.col("text")).alias("lines"), dense.alias("dense"))
 
     def stays(_, i: Column) -> Column:
-        word = F.get(F.col("_dense"), F.shiftright(i, WORD_SHIFT))
-        bit = F.call_function(
-            "shiftrightunsigned", F.coalesce(word, F.lit(-1).cast("long")), i.bitwiseAND(F.lit(63))
-        )
+        word = F.coalesce(F.get(F.col("dense"), F.shiftright(i, WORD_SHIFT)), F.lit(-1).cast("long"))
+        bit = F.call_function("shiftrightunsigned", word, i.bitwiseAND(F.lit(63)))
         return bit.bitwiseAND(F.lit(1).cast("long")) == 1
 
-    return opened.withColumn("_kept", F.filter("_lines", stays)).drop("_dense", "keep")
+    return opened.select("_row", "lines", F.filter("lines", stays).alias("kept"))
 
 
 def dedup_lines(
@@ -108,4 +106,5 @@ def dedup_lines(
         docs, id_col=id_col, text_col=text_col, min_docs=min_docs, min_chars=min_chars, keep_first=keep_first
     )
     kept = with_kept_lines(docs, bitmaps, id_col=id_col, text_col=text_col)
-    return kept.withColumn(text_col, F.array_join("_kept", "\n")).select(*docs.columns)
+    cut = unpacked(kept, [c for c in docs.columns if c != text_col], {text_col: F.array_join("kept", "\n")})
+    return cut.select(*[quoted(c) for c in docs.columns])

@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costgauge.llm.rows import WHITE, checkpointed, line_keys, lines_of, text_of, with_key
+from costgauge.llm.rows import WHITE, checkpointed, line_keys, lines_of, packed, text_of, unpacked, with_key
 
 SYMBOLS = "#*$%&|<>"
 GRAM = 3
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def words_of(text: Column) -> Column:
@@ -81,16 +82,17 @@ def with_text_counts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
 
 
 def _identified(docs: DataFrame, *, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """Add _t (hash of the text) and _r1, _r2 (identity of the row by id, text and host)."""
-    hashed = docs.withColumn("_t", F.xxhash64(F.lit(3), F.col(text_col).isNull(), F.col(text_col)))
-    return with_key(hashed, F.col(id_col), F.col(text_col), F.col(host_col))
+    """_row (all columns but the text), text, _host, _t (hash of the text), _r1, _r2 (the row by id, text and host)."""
+    rows = packed(docs, drop=[text_col], _id=id_col, text=text_col, _host=host_col)
+    hashed = rows.withColumn("_t", F.xxhash64(F.lit(3), F.col("text").isNull(), F.col("text")))
+    return with_key(hashed, F.col("_id"), F.col("text"), F.col("_host"))
 
 
 def host_lines(docs: DataFrame, *, id_col: str, text_col: str, host_col: str) -> DataFrame:
     """One row for each line with a key: h1, h2, _host, _t, pos, size (code points of the key), _r1, _r2."""
     source = _identified(docs, id_col=id_col, text_col=text_col, host_col=host_col)
-    keys = line_keys(lines_of(F.col(text_col)))
-    rows = source.select("_r1", "_r2", "_t", F.col(host_col).alias("_host"), F.posexplode(keys).alias("pos", "key"))
+    keys = line_keys(lines_of(F.col("text")))
+    rows = source.select("_r1", "_r2", "_t", "_host", F.posexplode(keys).alias("pos", "key"))
     return rows.where(F.col("key.size") > 0).select(
         "key.h1", "key.h2", "_host", "_t", "pos", F.col("key.size").cast("long").alias("size"), "_r1", "_r2"
     )
@@ -142,20 +144,16 @@ def judge(
     hold; 1 without lines. base_failed: fewer than min_words words, or more than max_repeat_percent % of the words are
     repeated. kept: not base_failed, and own_share is at least min_share. Rows that repeat whole get equal results.
     """
-    keyed = _identified(docs, id_col=id_col, text_col=text_col, host_col=host_col).drop("_t")
-    sizes = F.transform(lines_of(F.col(text_col)), lambda line: F.char_length(F.btrim(line, F.lit(WHITE))))
+    keyed = _identified(docs, id_col=id_col, text_col=text_col, host_col=host_col).drop("_t", "_id", "_host")
+    sizes = F.transform(lines_of(F.col("text")), lambda line: F.char_length(F.btrim(line, F.lit(WHITE))))
     keyed = keyed.withColumn(
         "_chars", F.aggregate(sizes, F.lit(0).cast("long"), lambda total, size: total + size.cast("long"))
     )
-    counted = with_text_counts(keyed, text_col=text_col).drop(text_col)
+    counted = with_text_counts(keyed, text_col="text").drop("text")
     removed = removed_chars(docs, id_col=id_col, text_col=text_col, host_col=host_col, max_docs=max_docs)
     joined = counted.join(removed, ["_r1", "_r2"], "left")
     own = F.col("_chars") - F.coalesce("removed", F.lit(0))
     share = F.when(F.col("_chars") > 0, own / F.col("_chars")).otherwise(F.lit(1.0))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    return (
-        joined.withColumn("own_share", share)
-        .withColumn("base_failed", failed)
-        .withColumn("kept", ~failed & (F.col("own_share") >= min_share))
-        .drop("_r1", "_r2", "_chars", "removed")
-    )
+    new = {c: F.col(c) for c in COUNTS} | {"own_share": share, "base_failed": failed, "kept": ~failed & (share >= min_share)}
+    return unpacked(joined, [c for c in docs.columns if c != text_col], new)

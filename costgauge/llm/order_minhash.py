@@ -24,7 +24,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from costgauge.llm.components import components
 from costgauge.llm.grams import buffer_of, mixed, word_hashes
-from costgauge.llm.rows import checkpointed, hash128, ranked, text_of
+from costgauge.llm.rows import checkpointed, hash128, packed, quoted, ranked, text_of, unpacked
 
 K = 5
 LEAST = 3
@@ -165,9 +165,9 @@ class _Search:
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, k: int, sketches: int, least: int, similarity: float):
         self.k, self.similarity, self.sketches = k, similarity, sketches
-        text = text_of(F.col(text_col))
+        text = text_of(quoted(text_col))
         x1, x2 = hash128(text)
-        self.source = docs.select(F.col(id_col).alias("doc"), x1.alias("x1"), x2.alias("x2"), text.alias("text"))
+        self.source = docs.select(quoted(id_col).alias("doc"), x1.alias("x1"), x2.alias("x2"), text.alias("text"))
         doc = StructField("doc", self.source.schema["doc"].dataType)
         longs = [StructField(c, LongType()) for c in ("x1", "x2", "t1", "t2", "n")]
         kind = StructType([doc, *longs, StructField("keys", ArrayType(LongType()))])
@@ -310,9 +310,9 @@ def representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     place = F.struct("doc", "x1", "x2")
     kept = nodes.groupBy("comp").agg(_first(place.alias("at")).alias("first")).select("first.at.*")
     kept = checkpointed(kept.select(F.col("doc").alias("_doc"), F.col("x1").alias("_x1"), F.col("x2").alias("_x2")))
-    x1, x2 = hash128(text_of(F.col(text_col)))
-    source = docs.withColumns({"_y1": x1, "_y2": x2})
-    same = (F.col("_y1") == F.col("_x1")) & (F.col("_y2") == F.col("_x2")) & F.col(id_col).eqNullSafe(F.col("_doc"))
-    met = source.join(kept, same)
-    single = met.groupBy("_x1", "_x2", "_doc").agg(F.min(F.struct(*docs.columns)).alias("_row"))
-    return single.select("_row.*")
+    rows = packed(docs, _id=id_col, _text=text_col)
+    x1, x2 = hash128(text_of(F.col("_text")))
+    source = rows.select("_row", "_id", x1.alias("_y1"), x2.alias("_y2"))
+    same = (F.col("_y1") == F.col("_x1")) & (F.col("_y2") == F.col("_x2")) & F.col("_id").eqNullSafe(F.col("_doc"))
+    single = source.join(kept, same).groupBy("_x1", "_x2", "_doc").agg(F.first("_row").alias("_row"))
+    return unpacked(single, docs.columns, {})

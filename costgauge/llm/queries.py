@@ -56,14 +56,14 @@ FROM marked GROUP BY doc_id
 )
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines whose key is in at least 10 documents go everywhere."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     bitmaps = line_dedup.keep_bitmaps(docs, min_docs=10, min_chars=1)
     kept = line_dedup.with_kept_lines(docs, bitmaps)
     return kept.select(
-        "doc_id",
-        long(F.size("_lines")).alias("n_lines"),
-        long(F.size("_lines") - F.size("_kept")).alias("n_dropped"),
-        F.sha2(F.array_join("_kept", "\n"), 256).alias("kept_sha256"),
+        "_row.doc_id",
+        long(F.size("lines")).alias("n_lines"),
+        long(F.size("lines") - F.size("kept")).alias("n_dropped"),
+        F.sha2(F.array_join("kept", "\n"), 256).alias("kept_sha256"),
     )
 
 @query(
@@ -99,9 +99,9 @@ FROM failed
 )
 def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of each text, and the verdict after lines that more than 10 texts of a host share are removed."""
-    judged = line_frequency.judge(table(spark, sf_dir, "documents"), max_docs=10, min_share=0.3)
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return judged.select("doc_id", *counts, "base_failed", "kept")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    judged = line_frequency.judge(docs, max_docs=10, min_share=0.3)
+    return judged.select("doc_id", *line_frequency.COUNTS, "base_failed", "kept")
 
 
 @query("op6_secret_scan")
@@ -130,7 +130,7 @@ def op10_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed 3 : 1 : 2 to 150 % of all words, no document more than twice."""
     mixed = cube_mix.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, max_use=2.0)
     return mixed.select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "source"
+        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "source"
     )
 
 

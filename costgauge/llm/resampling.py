@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from costgauge.llm.grams import buffer_of, mixed, word_hashes
-from costgauge.llm.rows import checkpointed, ranked, with_key
+from costgauge.llm.rows import checkpointed, packed, quoted, ranked, text_of, unpacked, with_key
 
 BITS = 16
 BUCKETS = 1 << BITS
@@ -85,16 +85,16 @@ def _scorer(ratio: np.ndarray):
 
 
 def with_scores(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Add _n (n-grams), _ratio (their summed log ratio), _weight (log weight) and _key (weight with Gumbel noise).
+    """_row (all columns), _id, _n (n-grams), _ratio (their summed log ratio), _weight (log weight), _key (with Gumbel noise).
 
     A document without words has no weight and no key.
     """
-    scored = with_key(docs, F.col(id_col), F.col(text_col))
-    scored = scored.withColumn("_score", _scorer(model.ratio)(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    scored = with_key(packed(docs, _id=id_col, _text=text_col), F.col("_id"), F.col("_text"))
+    scored = scored.withColumn("_score", _scorer(model.ratio)(text_of(F.col("_text"))))
     uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col("_r1"), F.col("_r2")), 11) + 0.5) / float(1 << 53)
     weight = F.when(F.col("_score.n") > 0, F.col("_score.ratio") - F.lit(model.rate) * F.col("_score.n"))
     scored = scored.withColumns({"_n": F.col("_score.n"), "_ratio": F.col("_score.ratio"), "_weight": weight})
-    return scored.withColumn("_key", F.col("_weight") - F.log(-F.log(uniform))).drop("_score", "_r1", "_r2")
+    return scored.withColumn("_key", F.col("_weight") - F.log(-F.log(uniform))).drop("_score", "_r1", "_r2", "_text")
 
 
 def best_rate(scores: list[tuple[float, bool]]) -> float:
@@ -124,8 +124,9 @@ def fit(
     """The models: raw text is all documents, target text the good ones of at most `sample` labelled ids."""
     chosen = checkpointed(labelled_sample(labels, id_col=id_col, sample=sample))
     # At most `sample` ids.
-    marked = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id"), "left")
-    texts = marked.select(F.col(text_col).cast("string").alias("text"), (F.col("_good") & ~F.col("_held")).alias("_target"))
+    source = docs.select(quoted(id_col).alias("id"), text_of(quoted(text_col)).alias("text"))
+    marked = source.join(F.broadcast(chosen), F.col("id") == F.col("_id"), "left")
+    texts = marked.select("text", (F.col("_good") & ~F.col("_held")).alias("target"))
     counts = texts.mapInArrow(_counted, "bucket long, raw long, target long").groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target")
     )
@@ -134,11 +135,12 @@ def fit(
         raw[row.bucket] += row.raw
         target[row.bucket] += row.target
     ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
-    held = chosen.where("_held")
-    labelled = docs.join(F.broadcast(held), F.col(id_col) == F.col("_id")).select(id_col, text_col, "_good")
-    scored = with_scores(labelled, Model(ratio, 0.0), id_col=id_col, text_col=text_col).where(F.col("_n") > 0)
+    labelled = source.join(F.broadcast(chosen.where("_held")), F.col("id") == F.col("_id")).select("id", "text", "_good")
+    scored = with_scores(labelled, Model(ratio, 0.0), id_col="id", text_col="text").where(F.col("_n") > 0)
     # Rows that share a labelled id count once, by their mean.
-    single = scored.groupBy(id_col).agg(F.avg(F.col("_ratio") / F.col("_n")).alias("score"), F.first("_good").alias("good"))
+    single = scored.groupBy("_id").agg(
+        F.avg(F.col("_ratio") / F.col("_n")).alias("score"), F.first("_row._good").alias("good")
+    )
     return Model(ratio, best_rate([(row.score, row.good) for row in single.collect()]))
 
 
@@ -161,12 +163,13 @@ def classify(
 ) -> DataFrame:
     """All columns but the text, and n_grams, log_ratio, log_weight, kept. Documents without words are not kept."""
     model = fit(docs, labels, id_col=id_col, text_col=text_col, sample=sample)
-    scored = checkpointed(with_scores(docs, model, id_col=id_col, text_col=text_col).drop(text_col))
+    names = [c for c in docs.columns if c != text_col]
+    scored = with_scores(docs, model, id_col=id_col, text_col=text_col)
+    slim = F.struct(*[F.col("_row").getField(c).alias(c) for c in names])
+    scored = checkpointed(scored.select(slim.alias("_row"), "_n", "_ratio", "_weight", "_key"))
     kept = drawn(F.col("_key"), threshold(scored))
-    names = {"n_grams": "_n", "log_ratio": "_ratio", "log_weight": "_weight"}
-    return scored.withColumn("kept", kept).withColumns({a: F.col(b) for a, b in names.items()}).drop(
-        "_n", "_ratio", "_weight", "_key"
-    )
+    new = {"n_grams": F.col("_n"), "log_ratio": F.col("_ratio"), "log_weight": F.col("_weight"), "kept": kept}
+    return unpacked(scored, names, new)
 
 
 def resample(
@@ -176,4 +179,4 @@ def resample(
     model = fit(docs, labels, id_col=id_col, text_col=text_col, sample=sample)
     scored = with_scores(docs, model, id_col=id_col, text_col=text_col)
     least = threshold(checkpointed(scored.select("_weight", "_key")))
-    return scored.where(drawn(F.col("_key"), least)).select(*docs.columns)
+    return unpacked(scored.where(drawn(F.col("_key"), least)), docs.columns, {})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +14,26 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def quoted(name: str) -> Column:
+    """A column by its whole name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def packed(df: DataFrame, drop: Sequence[str] = (), **used: str) -> DataFrame:
+    """All columns but the dropped ones as one struct _row, and the used ones again under the given names.
+
+    What an operator adds then cannot clash with a name of the table.
+    """
+    fields = [quoted(c) for c in df.columns if c not in drop] or [F.lit(0).alias("_none")]
+    return df.select(F.struct(*fields).alias("_row"), *[quoted(c).alias(name) for name, c in used.items()])
+
+
+def unpacked(df: DataFrame, names: Sequence[str], new: Mapping[str, Column]) -> DataFrame:
+    """The named columns of _row, and the new ones, which replace columns of their name."""
+    old = [F.col("_row").getField(c).alias(c) for c in names if c not in new]
+    return df.select(*old, *[value.alias(name) for name, value in new.items()])
+
+
 def text_of(text: Column) -> Column:
     """The text; null counts as empty."""
     return F.coalesce(text.cast("string"), F.lit(""))

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from costgauge.llm.rows import text_of, with_key
+from costgauge.llm.rows import packed, quoted, text_of, unpacked, with_key
 
 # What the base kinds match. A match is a run to its end; shorter runs are no match.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -141,7 +141,7 @@ def spans(
     """
     token = TOKEN % min_token
     text = text_of(F.col("text"))
-    source = with_key(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), F.col("id"), F.col("text"))
+    source = with_key(docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")), F.col("id"), F.col("text"))
     some = source.where(text.rlike(token) | text.rlike(ASSIGN) | text.rlike(ACCESS) | text.rlike(HEX))
     patterns = ((0, ASSIGN, 2), (1, ACCESS, 0), (2, HEX, 0), (MARKOV, token, 0))
     empty = F.array().cast("array<struct<kind:int,i:int,gap:int,size:int,token:string,value_size:int>>")
@@ -173,10 +173,11 @@ def spans(
 def scan(docs: DataFrame, model: list[float], *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """All columns of the documents but the text, and spans (empty where nothing was found)."""
     found = spans(docs, model, id_col=id_col, text_col=text_col, **options)
-    keyed = with_key(docs, F.col(id_col), F.col(text_col)).drop(text_col)
-    joined = keyed.join(found, ["_r1", "_r2"], "left").drop("_r1", "_r2")
+    keyed = with_key(packed(docs, drop=[text_col], id=id_col, text=text_col), F.col("id"), F.col("text"))
+    joined = keyed.select("_row", "_r1", "_r2").join(found, ["_r1", "_r2"], "left")
     empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,score:double>>")
-    return joined.withColumn("spans", F.coalesce("spans", empty))
+    names = [c for c in docs.columns if c != text_col]
+    return unpacked(joined, names, {"spans": F.coalesce("spans", empty)})
 
 
 def written(listed: Column) -> Column:
