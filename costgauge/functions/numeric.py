@@ -55,12 +55,6 @@ def count_or_one(x: Column) -> Column:
     return truthy(number(x), F.lit(1.0))
 
 
-def at_least_one(x: Column, default: Column | float = 1.0) -> Column:
-    """max(1, number); a null takes the default first."""
-    fallback = default if isinstance(default, Column) else F.lit(float(default))
-    return F.greatest(F.lit(1.0), number(F.coalesce(x.cast("string"), fallback.cast("string"))))
-
-
 def required_capacity(capacity: Column, utilisation_pct: Column) -> Column:
     """Capacity the load needs with 30 % headroom; half of it where nothing was measured."""
     return F.when(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from costgauge.functions.numeric import half_even, number
 from costgauge.functions.prices import annual_of, hourly_price, machine_hourly, monthly_of
 from costgauge.functions.text import COMPUTE_FAMILIES, WORKER_FAMILIES, family_in_description, family_substring
-from costgauge.operators.scale import Limits, dense_ranks, dim_join, row_numbers
+from costgauge.operators.scale import dense_ranks, dim_join, row_numbers
 from costgauge.sources.local import local_table
 
 # Resource groups that carry compute prices.
@@ -138,9 +138,9 @@ def with_default_family(prices: DataFrame) -> DataFrame:
     return both.groupBy("family").agg(first.alias("_first")).select("family", "_first.*")
 
 
-def machine_prices(machines: DataFrame, prices: DataFrame, limits: Limits | None = None) -> DataFrame:
+def machine_prices(machines: DataFrame, prices: DataFrame) -> DataFrame:
     """Price every machine of a priced family: hourly, monthly, annual. Families without prices drop."""
-    joined = dim_join(machines, prices.select("family", "cpu_hourly_price", "ram_hourly_price_per_gb"), ["family"], "inner", limits)
+    joined = dim_join(machines, prices.select("family", "cpu_hourly_price", "ram_hourly_price_per_gb"), ["family"], "inner")
     priced = joined.withColumn(
         "hourly_price",
         machine_hourly(F.col("vcpus"), F.col("ram_gb"), F.col("cpu_hourly_price"), F.col("ram_hourly_price_per_gb")),
@@ -150,9 +150,9 @@ def machine_prices(machines: DataFrame, prices: DataFrame, limits: Limits | None
     ).drop("cpu_hourly_price", "ram_hourly_price_per_gb")
 
 
-def with_ordinals(machines: DataFrame, limits: Limits | None = None, small: bool | None = None) -> DataFrame:
+def with_ordinals(machines: DataFrame) -> DataFrame:
     """Rank of the hourly price inside the family, equal prices sharing a rank."""
-    return dense_ranks(machines, ["family"], "hourly_price", "ordinal", limits, small)
+    return dense_ranks(machines, ["family"], "hourly_price", "ordinal")
 
 
 def specs(entries: DataFrame) -> DataFrame:
@@ -174,7 +174,7 @@ def specs(entries: DataFrame) -> DataFrame:
     )
 
 
-def nested(catalog: DataFrame, chunk_rows: int = 1_000, limits: Limits | None = None) -> DataFrame:
+def nested(catalog: DataFrame, chunk_rows: int = 1_000) -> DataFrame:
     """One row per family with its machines in price order, the shape of the catalog file.
 
     A family beyond ``chunk_rows`` machines takes several rows, so no row grows
@@ -183,7 +183,7 @@ def nested(catalog: DataFrame, chunk_rows: int = 1_000, limits: Limits | None =
     entry = F.struct(
         "ordinal", "machine_type", "family", "vcpus", "ram_gb", "hourly_price", "monthly_price", "annual_price"
     )
-    placed = row_numbers(catalog, ["family"], ["ordinal", "machine_type"], "_place", limits)
+    placed = row_numbers(catalog, ["family"], ["ordinal", "machine_type"], "_place")
     chunk = F.floor((F.col("_place") - 1) / chunk_rows).cast("int")
     return placed.groupBy("family", chunk.alias("chunk")).agg(
         F.array_sort(F.collect_list(entry)).alias("machine_types")

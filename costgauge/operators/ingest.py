@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from costgauge.functions.numeric import half_even, truthy
-from costgauge.functions.timing import iso_text
-from costgauge.operators.scale import Limits, dim_join
+from costgauge.functions.timing import iso_text, utc
+from costgauge.operators.scale import dim_join
 from costgauge.params import RunParams
 
 INHERITED = ("project_id", "location", "cluster_name")
@@ -104,7 +104,6 @@ def inherit_parent(
     parents: DataFrame,
     on: Mapping[str, str],
     fields: Sequence[str] = INHERITED,
-    limits: Limits | None = None,
 ) -> DataFrame:
     """Children of known parents, taking over the fields they lack.
 
@@ -115,7 +114,7 @@ def inherit_parent(
     taken = [f for f in fields if f in parents.columns]
     keys = {p: F.col(p).alias(c) for c, p in on.items()}
     side = known.select(*keys.values(), *[F.col(f).alias(f"_parent_{f}") for f in taken])
-    joined = dim_join(children, side, list(on), "inner", limits)
+    joined = dim_join(children, side, list(on), "inner")
     for f in taken:
         own = [_filled(F.col(f))] if f in children.columns else []
         joined = joined.withColumn(f, F.coalesce(*own, F.col(f"_parent_{f}").cast("string")))
@@ -130,8 +129,8 @@ def stamp(df: DataFrame, params: RunParams, service_name: str) -> DataFrame:
             "client_id": F.lit(params.client_id),
             "account_id": F.lit(params.account_id),
             "cloud_name": F.lit("gcp"),
-            "year_month": F.date_format(run, "yyyy-MM"),
-            "ingestion_timestamp": F.date_format(run, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"),
+            "year_month": F.date_format(utc(run), "yyyy-MM"),
+            "ingestion_timestamp": F.date_format(utc(run), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"),
             "service_name": F.lit(service_name),
             "job_runtime_utc": run,
         }
@@ -185,7 +184,6 @@ def enrich_points(
     service_name: str,
     namespace: str,
     run_ts: Column | datetime,
-    limits: Limits | None = None,
 ) -> DataFrame:
     """Metric points with the name, place and unit of their resource; points of unknown resources drop.
 
@@ -198,8 +196,8 @@ def enrich_points(
         F.coalesce("resource_name", F.lit("")).alias("resource_name"),
         F.coalesce("location", "region", F.lit("")).alias("region"),
     )
-    joined = dim_join(known, side, ["resource_id"], "inner", limits)
-    joined = dim_join(joined, units.select("metric_name", "unit"), ["metric_name"], "left", limits)
+    joined = dim_join(known, side, ["resource_id"], "inner")
+    joined = dim_join(joined, units.select("metric_name", "unit"), ["metric_name"], "left")
     run = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
     date = iso_text(F.col("ts"))
     return joined.withColumns(
@@ -216,7 +214,7 @@ def enrich_points(
 
 
 def default_pool(
-    rows: DataFrame, pools: DataFrame, cluster: str = "cluster_name", pool: str = "node_pool_name", limits: Limits | None = None
+    rows: DataFrame, pools: DataFrame, cluster: str = "cluster_name", pool: str = "node_pool_name"
 ) -> DataFrame:
     """Attach node pool columns: the named pool, else the cluster's only pool, else nulls."""
     columns = [c for c in pools.columns if c not in (cluster, pool)]
@@ -227,8 +225,8 @@ def default_pool(
         .where("_pools = 1")
         .select(cluster, "_only")
     )
-    joined = dim_join(rows, named, [cluster, pool], "left", limits)
-    joined = dim_join(joined, only, [cluster], "left", limits)
+    joined = dim_join(rows, named, [cluster, pool], "left")
+    joined = dim_join(joined, only, [cluster], "left")
     chosen = F.coalesce("_named", "_only")
     kept = [c for c in rows.columns if c != pool]
     return joined.select(*kept, chosen[pool].alias(pool), *[chosen[c].alias(c) for c in columns])

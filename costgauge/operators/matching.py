@@ -7,7 +7,6 @@ workload is never paired with every machine of its group.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 
 from costgauge.functions.numeric import half_even
 from costgauge.functions.text import machine_family
-from costgauge.operators.scale import Limits, dense_ranks, dim_join, in_use, is_small
+from costgauge.operators.scale import dense_ranks, dim_join, same_join
 
 # A machine with the fields in front that decide between two that fit.
 RANKED = ("vcpus", "ram_gb", "ordinal", "machine_type", "hourly_cost", "monthly_cost", "annual_cost")
@@ -25,26 +24,14 @@ RANKED = ("vcpus", "ram_gb", "ordinal", "machine_type", "hourly_cost", "monthly_
 class Catalog:
     """Flat machine specs to look up and match in.
 
-    ``entries`` holds a type once per ``group``, the set inside which cheaper
-    machines are sought. ``small`` says that all entries together fit a
-    broadcast; otherwise every reduced form is checked by itself. ``dense`` says
-    the ordinals are dense ranks already, ``unique`` that no type occurs in two
-    groups.
+    A type may be listed several times in a ``group``, the set inside which
+    cheaper machines are sought, for example once per region. ``unique`` says
+    that no type occurs in two groups or twice in one.
     """
 
     entries: DataFrame
     group: str = "family"
-    small: bool = False
-    dense: bool = True
     unique: bool = False
-    own_limits: Limits | None = None
-
-    @property
-    def limits(self) -> Limits:
-        return in_use(self.own_limits)
-
-    def fits(self, reduced: DataFrame) -> bool:
-        return self.small or is_small(reduced, self.limits.broadcast_rows)
 
 
 def lookup(workloads: DataFrame, catalog: Catalog) -> DataFrame:
@@ -63,7 +50,7 @@ def lookup(workloads: DataFrame, catalog: Catalog) -> DataFrame:
         entries = catalog.entries.groupBy("machine_type").agg(best).select(
             "machine_type", *[F.col(f"_entry.{c}").alias(f"cur_{c}") for c in columns]
         )
-    return dim_join(workloads, entries, ["machine_type"], "inner", catalog.limits, catalog.fits(entries))
+    return dim_join(workloads, entries, ["machine_type"])
 
 
 def own_family_first(entries: DataFrame) -> DataFrame:
@@ -75,18 +62,22 @@ def own_family_first(entries: DataFrame) -> DataFrame:
 def missing_types(workloads: DataFrame, catalog: Catalog) -> DataFrame:
     """Workloads whose machine type is not in the catalog or has no vCPUs there."""
     usable = catalog.entries.where(F.col("vcpus") > 0).select("machine_type").distinct()
-    return dim_join(workloads, usable, ["machine_type"], "left_anti", catalog.limits, catalog.fits(usable))
+    return dim_join(workloads, usable, ["machine_type"], "left_anti")
 
 
 def _candidates(catalog: Catalog) -> DataFrame:
-    """The entries that can be a best answer: per size, the two cheapest.
+    """The entries that can be a best answer: per size, the two cheapest types.
 
-    The second one answers for workloads that already run the first. The row
-    number filter is applied before the shuffle as well, so each task sends at
-    most two entries per size.
+    A type listed several times stands with its cheapest entry. The second type
+    answers for workloads that already run the first. The row number filter is
+    applied before the shuffle as well.
     """
-    place = Window.partitionBy(catalog.group, "vcpus", "ram_gb").orderBy("ordinal", "machine_type")
-    placed = catalog.entries.withColumn("_place", F.row_number().over(place)).where("_place <= 2")
+    size = [catalog.group, "vcpus", "ram_gb"]
+    rest = F.struct(*[c for c in RANKED if c not in ("vcpus", "ram_gb", "machine_type")])
+    types = catalog.entries.groupBy(*size, "machine_type").agg(F.min(rest).alias("_rest"))
+    types = types.select(*size, "machine_type", "_rest.*")
+    place = Window.partitionBy(*size).orderBy("ordinal", "machine_type")
+    placed = types.withColumn("_place", F.row_number().over(place)).where("_place <= 2")
     return placed.select(catalog.group, F.struct(*RANKED).alias("entry"))
 
 
@@ -105,83 +96,52 @@ def _first_fit(entries: Column) -> Column:
 def best_fit(workloads: DataFrame, catalog: Catalog, pool: str | None = None) -> DataFrame:
     """Column ``target``: the smallest cheaper machine that fits, null where there is none.
 
-    Workloads carry ``workload_id`` (unique), ``machine_type``, ``cur_ordinal``,
-    ``required_vcpus``, ``required_ram`` and the ``group`` column. Candidates of
-    a group travel as one sorted list while there are few; beyond the bound they
-    travel in blocks, each block answers for itself and the smallest answer wins.
-    With ``pool`` all workloads ask in that one group: its list is then a scalar
-    subquery and there is no join at all.
+    Workloads carry ``machine_type``, ``cur_ordinal``, ``required_vcpus``,
+    ``required_ram`` and the ``group`` column. The candidates of a group, two
+    for each machine size in it, travel as one sorted list, in which each
+    workload finds its own; a workload stays one row. With ``pool`` all
+    workloads ask in that one group: its list is then a scalar subquery and
+    there is no join at all.
     """
-    group, limits = catalog.group, catalog.limits
+    group = catalog.group
     candidates = _candidates(catalog)
     if pool is not None:
-        candidates = candidates.where(F.col(group) == pool)
-        if is_small(candidates, limits.block_rows):
-            entries = candidates.agg(F.array_sort(F.collect_list("entry"))).scalar()
-            listed = workloads.withColumn("_entries", entries)
-            return listed.withColumn("target", _first_fit(F.col("_entries"))).drop("_entries")
-    elif catalog.fits(candidates):
+        own = candidates.where(F.col(group) == pool)
+        listed = workloads.withColumn("_entries", own.agg(F.array_sort(F.collect_list("entry"))).scalar())
+    else:
         index = candidates.groupBy(group).agg(F.array_sort(F.collect_list("entry")).alias("_entries"))
-        return (
-            workloads.join(F.broadcast(index), group, "left")
-            .withColumn("target", _first_fit(F.col("_entries")))
-            .drop("_entries")
-        )
-    sizes = candidates.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    blocks_needed = math.ceil((sizes.agg(F.max("n")).first()[0] or 1) / limits.block_rows)
-    block = F.pmod(F.xxhash64("entry.vcpus", "entry.ram_gb", "entry.machine_type"), F.lit(blocks_needed)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(limits.salts - 1)))
-    blocks = (
-        candidates.withColumn("_block", block)
-        .groupBy(group, "_block")
-        .agg(F.array_sort(F.collect_list("entry")).alias("_entries"))
-        .withColumn("_salt", copies)
-    )
-    asking = workloads.withColumns(
-        {
-            "_block": F.explode(F.sequence(F.lit(0), F.lit(blocks_needed - 1))),
-            "_salt": F.pmod(F.xxhash64("workload_id"), F.lit(limits.salts)).cast("int"),
-        }
-    )
-    rest = [c for c in workloads.columns if c != "workload_id"]
-    return (
-        asking.join(blocks, [group, "_block", "_salt"], "left")
-        .select("workload_id", F.struct(*rest).alias("_rest"), _first_fit(F.col("_entries")).alias("target"))
-        .groupBy("workload_id")
-        .agg(F.any_value("_rest").alias("_rest"), F.min("target").alias("target"))
-        .select("workload_id", "_rest.*", "target")
-    )
+        listed = workloads.join(index, group, "left")
+    return listed.withColumn("target", _first_fit(F.col("_entries"))).drop("_entries")
 
 
 def closest_cheaper(catalog: Catalog, keep: int = 3) -> DataFrame:
-    """Per group and ordinal, the ``keep`` next cheaper machines, nearest price first.
+    """Per group and ordinal, the ``keep`` next cheaper machine types, nearest price first.
 
-    With dense price steps the answer for a step lies in the ``keep`` steps
-    below it, so every step hands its first entries to the steps above and no
-    group is ever ordered as a whole. One spare entry is kept for workloads
-    whose own type is listed.
+    Ordinals may have gaps, so price steps are their dense ranks. The answer for
+    a step lies in the steps below it: each step hands its first types to the
+    next steps above, and no group is ever ordered as a whole. A type listed
+    several times counts once, with its nearest entry. One type is kept
+    to spare for workloads whose own type is among them.
     """
     group = catalog.group
-    if catalog.dense:
-        steps = catalog.entries.withColumn("_step", F.col("ordinal"))
-    else:
-        steps = dense_ranks(catalog.entries, [group], "ordinal", "_step", catalog.limits, catalog.small)
+    steps = dense_ranks(catalog.entries, [group], "ordinal", "_step")
     entry = F.struct((-F.col("ordinal")).alias("_down"), F.col("machine_type").alias("_name"), *RANKED)
+    spare = keep + 1
+    types = steps.groupBy(group, "_step", "ordinal", "machine_type").agg(F.min(entry).alias("_entry"))
     place = Window.partitionBy(group, "_step").orderBy("machine_type")
-    firsts = (
-        steps.withColumn("_place", F.row_number().over(place))
-        .where(F.col("_place") <= keep + 1)
-        .select(group, "_step", "ordinal", entry.alias("_entry"))
-    )
-    handed = firsts.select(
-        group, F.explode(F.sequence(F.col("_step") + 1, F.col("_step") + keep + 1)).alias("_step"), "_entry"
+    firsts = types.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= spare)
+    # So many steps can be taken up by types that are listed nearer already.
+    times = types.groupBy(group, "machine_type").agg(F.count(F.lit(1)).alias("_n"))
+    reach = times.groupBy(group).agg((F.max("_n") * spare).cast("int").alias("_reach"))
+    handed = same_join(firsts, reach, [group]).select(
+        group, F.explode(F.sequence(F.col("_step") + 1, F.col("_step") + F.col("_reach"))).alias("_step"), "_entry"
     )
-    cheaper = handed.groupBy(group, "_step").agg(
-        F.slice(F.array_sort(F.collect_list("_entry")), 1, keep + 1).alias("cheaper")
+    nearest = handed.groupBy(group, "_step", F.col("_entry.machine_type").alias("_type")).agg(F.min("_entry").alias("_entry"))
+    cheaper = nearest.groupBy(group, "_step").agg(
+        F.slice(F.array_sort(F.collect_list("_entry")), 1, spare).alias("cheaper")
     )
-    if catalog.dense:
-        return cheaper.withColumnRenamed("_step", "ordinal")
-    return firsts.select(group, "_step", "ordinal").distinct().join(cheaper, [group, "_step"]).drop("_step")
+    levels = steps.select(group, "_step", "ordinal").distinct()
+    return same_join(levels, cheaper, [group, "_step"]).drop("_step")
 
 
 def fallback_targets(cheaper: Column, own_type: Column, keep: int = 3) -> Column:

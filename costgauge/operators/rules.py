@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costgauge.functions.numeric import number
-from costgauge.operators.scale import Limits, dim_join, in_use, is_small
+from costgauge.operators.scale import dim_join
 from costgauge.schemas import RULE_LOGIC
 from costgauge.sources.local import local_table
 
@@ -127,59 +127,38 @@ def evaluate(
     rules: DataFrame,
     service: str | None = None,
     missing_is_zero: bool = True,
-    limits: Limits | None = None,
 ) -> DataFrame:
     """One row per resource and fired rule.
 
     ``resources``: resource_id, metrics (map) and, unless ``service`` names the
     one service all belong to, service_code. Resources without metrics never
-    fire. The active rules of a service travel as one list, so a resource is
-    tested in place and only fired rules become rows. Rule tables beyond the
-    bound travel in blocks, spread by salt.
+    fire. The rules of one service are a list that is tested in place; with
+    several services a resource meets the rules of its own in a join that keeps
+    only those that fire. Either way only fired rules become rows.
     """
-    limits = in_use(limits)
     entry = F.struct("rule_code", "logic", "conditions", "recommendation_template")
     active = rules.where(F.col("is_active"))
     if service is not None:
         active = active.where(F.col("service_code") == service)
         resources = resources.withColumn("service_code", F.lit(service))
     tested = resources.where(F.size("metrics") > 0)
-    if service is not None and is_small(active, limits.block_rows):
+    if service is not None:
         joined = tested.withColumn("_rules", active.agg(F.collect_list(entry)).scalar())
-    elif service is None and is_small(active, limits.broadcast_rows):
-        lists = active.groupBy("service_code").agg(F.collect_list(entry).alias("_rules"))
-        joined = tested.join(F.broadcast(lists), "service_code")
+        hits = F.filter("_rules", lambda r: fires(F.col("metrics"), r["logic"], r["conditions"], missing_is_zero))
+        fired = joined.withColumn("_rule", F.explode(hits)).drop("_rules")
     else:
-        joined = _join_rule_blocks(tested, active, entry, limits)
-    hits = F.filter("_rules", lambda r: fires(F.col("metrics"), r["logic"], r["conditions"], missing_is_zero))
-    fired = joined.withColumn("_rule", F.explode(hits)).drop("_rules")
+        listed = active.select(F.col("service_code").alias("_service"), entry.alias("_rule"))
+        hit = fires(F.col("metrics"), F.col("_rule.logic"), F.col("_rule.conditions"), missing_is_zero)
+        fired = tested.join(listed, (F.col("service_code") == F.col("_service")) & hit).drop("_service")
     return fired.select(
         "*", F.col("_rule.rule_code").alias("rule_code"), F.col("_rule.recommendation_template").alias("template")
     ).drop("_rule")
 
 
-def _join_rule_blocks(tested: DataFrame, active: DataFrame, entry: Column, limits: Limits) -> DataFrame:
-    """Every resource with every block of its service's rules, one row per block."""
-    blocks = max(2, active.count() // limits.block_rows + 1)
-    lists = (
-        active.withColumn("_block", F.pmod(F.xxhash64("rule_code"), F.lit(blocks)).cast("int"))
-        .groupBy("service_code", "_block")
-        .agg(F.collect_list(entry).alias("_rules"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(limits.salts - 1))))
-    )
-    spread = tested.withColumns(
-        {
-            "_block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))),
-            "_salt": F.pmod(F.xxhash64("resource_id"), F.lit(limits.salts)).cast("int"),
-        }
-    )
-    return spread.join(lists, ["service_code", "_block", "_salt"]).drop("_block", "_salt")
-
-
-def with_service_config(rules: DataFrame, services: DataFrame, limits: Limits | None = None) -> DataFrame:
+def with_service_config(rules: DataFrame, services: DataFrame) -> DataFrame:
     """Active rules of active services, with the service's tables and recommender."""
     active = services.where(F.col("is_active")).drop("is_active")
-    return dim_join(rules.where(F.col("is_active")), active, ["service_code"], "inner", limits)
+    return dim_join(rules.where(F.col("is_active")), active, ["service_code"], "inner")
 
 
 def healthy(resources: DataFrame, fired: DataFrame) -> DataFrame:

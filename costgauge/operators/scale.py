@@ -1,220 +1,97 @@
 """Joins, ranks and percentiles that hold when one key has a third of all rows.
 
-Each operator first measures what decides its plan (is this side small, is any
-group too big for one task) and then takes one of two exact ways. The measuring
-jobs return a single number to the driver.
+There is one plan for every size, and nothing runs while a plan is built. A group of any size is cut into value buckets whose
+bounds come from the group's own quantiles; rows are ordered inside buckets, and a bucket starts where the ones below it
+end. Null keys and null values are groups and values like any other.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+BUCKETS = 32
+ACCURACY = 1_000
 
-@dataclass(frozen=True)
-class Limits:
-    """Sizes at which plans change; tests lower them to force the other way."""
 
-    broadcast_rows: int = 200_000
-    group_rows: int = 1_000_000
-    max_buckets: int = 1_024
-    block_rows: int = 4_096
-    salts: int = 16
-
-
-_in_use = Limits()
-
-
-def use(limits: Limits) -> Limits:
-    """Set the limits for everything that is not given its own; returns the former ones."""
-    global _in_use
-    former, _in_use = _in_use, limits
-    return former
-
-
-def in_use(limits: Limits | None = None) -> Limits:
-    """The given limits, or the ones set for everything."""
-    return limits or _in_use
-
-
-def is_small(df: DataFrame, rows: int) -> bool:
-    """True if the frame has at most ``rows`` rows.
-
-    A plain count: each task sends one number. A limit would send up to that
-    many rows of every task to a single one.
-    """
-    return df.count() <= rows
-
-
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """Rows of the biggest group of ``keys`` and rows in all (map-side counts, key columns only)."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    row = counts.agg(F.max("_n").alias("largest"), F.sum("_n").alias("total")).first()
-    return row["largest"] or 0, row["total"] or 0
-
-
-def bucket_count(group_size: int, limits: Limits) -> int:
-    """Buckets that bring a group of this size down to about a quarter of the bound each."""
-    return max(2, min(limits.max_buckets, math.ceil(4 * group_size / max(1, limits.group_rows))))
-
-
-def dim_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    limits: Limits | None = None,
-    small: bool | None = None,
-) -> DataFrame:
+def dim_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join facts to a dimension that is unique on ``on``.
 
-    A dimension of checked size is broadcast, so a hot key never meets a
-    shuffle. A larger one is spread by key and salt: the facts of a key go to
-    ``salts`` partitions and every dimension row is copied to each of them.
-    Copies of one fact row share a salt; should they be many, the adaptive skew
-    join splits their partition. ``small`` passes on a check already made.
+    The planner broadcasts a side under its own threshold of bytes; otherwise the adaptive skew join splits the partition of a
+    hot key, and only that one.
     """
-    on, limits = list(on), in_use(limits)
-    if is_small(dim, limits.broadcast_rows) if small is None else small:
-        return fact.join(F.broadcast(dim), on, how)
-    # A hash of the row, not a random number, so that a recomputed task sends its rows to the same places.
-    hashable = [f.name for f in fact.schema.fields if not isinstance(f.dataType, T.MapType)]
-    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(limits.salts)).cast("int"))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(limits.salts - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
-
-
-def split_points(df: DataFrame, column: str, buckets: int) -> list[float]:
-    """At most ``buckets - 1`` cut points of a numeric column; only the balance depends on them."""
-    probabilities = [i / buckets for i in range(1, buckets)]
-    cuts = df.select(F.percentile_approx(F.col(column).cast("double"), probabilities, buckets * 20).alias("c"))
-    return sorted(set(cuts.first()["c"] or []))
-
+    return fact.join(dim, list(on), how)
 
-def bucket_of(column: Column, cuts: Sequence[float]) -> Column:
-    """Number of cut points below the value."""
-    if not cuts:
-        return F.lit(0)
-    points = F.array(*[F.lit(float(c)) for c in cuts])
-    value = column.cast("double")
-    return F.size(F.filter(points, lambda p: p < value))
 
+def same_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys of which null is a value like any other; the columns of ``on`` come from the left."""
+    renamed = right.withColumnsRenamed({c: f"_same_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_same_{c}")) for c in on])
+    return left.join(renamed, same, how).drop(*[f"_same_{c}" for c in on])
 
-def _bucket_offsets(rows: DataFrame, group: Sequence[str], amount: Column) -> DataFrame:
-    """Sum of ``amount`` in all lower buckets of the group; one row per group and bucket."""
-    totals = rows.groupBy(*group, "_bucket").agg(F.sum(amount).alias("_amount"))
-    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return totals.withColumn("_before", F.coalesce(F.sum("_amount").over(before), F.lit(0))).drop("_amount")
 
+def bucketed(rows: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Add ``_bucket``: how many of the group's quantiles lie below the row's numeric value, -1 for null.
 
-def row_numbers(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    out: str,
-    limits: Limits | None = None,
-    largest: int | None = None,
-) -> DataFrame:
-    """Position of each row in its group; ``order`` starts with a numeric column and is unique in the group.
-
-    With a group beyond ``group_rows`` the numbering runs in value buckets: rows
-    are numbered inside (group, bucket) and shifted by the rows of lower buckets.
+    Buckets are in the order of the values; only their balance depends on the quantiles.
     """
-    limits = in_use(limits)
-    if largest is None:
-        largest, _ = group_sizes(df, group)
-    if largest <= limits.group_rows:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-    cuts = split_points(df, order[0], bucket_count(largest, limits))
-    rows = df.withColumn("_bucket", bucket_of(F.col(order[0]), cuts))
-    offsets = _bucket_offsets(rows, group, F.lit(1))
+    levels = [i / BUCKETS for i in range(1, BUCKETS)]
+    number = F.col(value).cast("double")
+    cuts = rows.groupBy(*by).agg(F.percentile_approx(number, levels, ACCURACY).alias("_cuts"))
+    below = F.size(F.filter(F.coalesce("_cuts", F.array().cast("array<double>")), lambda cut: cut < number))
+    placed = same_join(rows, cuts, by).withColumn("_bucket", F.when(number.isNull(), -1).otherwise(below))
+    return placed.drop("_cuts")
+
+
+def _before_buckets(rows: DataFrame, group: Sequence[str], amount: Column) -> DataFrame:
+    """Sum of ``amount`` in the bucket, in all lower ones and in the group; one row per group and bucket."""
+    totals = rows.groupBy(*group, "_bucket").agg(F.sum(amount).alias("_in"))
+    whole = Window.partitionBy(*group)
+    lower = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_in").over(lower), F.lit(0))
+    return totals.withColumns({"_before": before, "_total": F.sum("_in").over(whole)})
+
+
+def row_numbers(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+    """Position of each row in its group; ``order`` starts with a numeric column and is unique in the group."""
+    rows = bucketed(df, group, order[0])
+    offsets = _before_buckets(rows, group, F.lit(1)).select(*group, "_bucket", "_before")
     inner = F.row_number().over(Window.partitionBy(*group, "_bucket").orderBy(*order))
-    return (
-        rows.withColumn("_inner", inner)
-        .join(offsets, [*group, "_bucket"])
-        .withColumn(out, (F.col("_inner") + F.col("_before")).cast("int"))
-        .drop("_bucket", "_inner", "_before")
-    )
+    placed = same_join(rows.withColumn("_inner", inner), offsets, [*group, "_bucket"])
+    position = (F.col("_inner") + F.col("_before")).cast("int")
+    return placed.withColumn(out, position).drop("_bucket", "_inner", "_before")
 
 
-def dense_ranks(
-    df: DataFrame, group: Sequence[str], value: str, out: str, limits: Limits | None = None, small: bool | None = None
-) -> DataFrame:
-    """Dense rank of a numeric value inside its group.
+def dense_ranks(df: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:
+    """Dense rank of a numeric value inside its group, null first.
 
-    A frame known to be small is ranked by a plain window. Otherwise ranks are
-    taken over the distinct values only, so copies of a value cost nothing
-    beyond the map-side distinct, and go back by a join.
+    Ranks are taken over the distinct values only, so copies of a value cost nothing beyond the map-side distinct, and go
+    back by a join.
     """
-    if small:
-        return df.withColumn(out, F.dense_rank().over(Window.partitionBy(*group).orderBy(value)))
-    limits = in_use(limits)
     values = df.select(*group, value).distinct()
-    largest, total = group_sizes(values, group)
-    ranked = row_numbers(values, group, [value], out, limits, largest)
-    return dim_join(df, ranked, [*group, value], "inner", limits, small=total <= limits.broadcast_rows)
+    return same_join(df, row_numbers(values, group, [value], out), [*group, value])
 
 
 def percentiles(
     df: DataFrame,
     keys: Sequence[str],
     wanted: Mapping[str, tuple[str, float]],
-    limits: Limits | None = None,
     also: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Exact interpolated percentiles per group; ``wanted`` maps output names to (column, fraction).
 
-    Groups of bounded size use the built-in aggregate, one buffer per column. If
-    any group is beyond the bound, see ``_percentiles_by_bucket``. ``also`` holds
-    further aggregates of the same groups, taken in the same pass where possible.
-    """
-    others = [c.alias(name) for name, c in (also or {}).items()]
-    limits = in_use(limits)
-    biggest, _ = group_sizes(df, keys)
-    if biggest > limits.group_rows:
-        found = _percentiles_by_bucket(df, keys, wanted, bucket_count(biggest, limits))
-        return found.join(df.groupBy(*keys).agg(*others), list(keys)) if others else found
-    fractions: dict[str, list[float]] = {}
-    for column, p in wanted.values():
-        fractions.setdefault(column, []).append(p)
-    found = df.groupBy(*keys).agg(
-        *[F.percentile(c, F.array(*[F.lit(float(p)) for p in ps])).alias(f"_at_{c}") for c, ps in fractions.items()],
-        *others,
-    )
-    return found.select(
-        *keys,
-        *[F.get(f"_at_{c}", F.lit(fractions[c].index(p))).alias(name) for name, (c, p) in wanted.items()],
-        *(also or {}),
-    )
-
-
-def _percentiles_by_bucket(
-    df: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[str, float]], buckets: int
-) -> DataFrame:
-    """The same for groups too big for one task.
-
-    Columns become rows, equal values are counted, and only the value buckets
-    that hold a wanted position are ordered, each by its own task.
+    Columns become rows, equal values are counted before the shuffle, and only the value buckets that hold a wanted position
+    are ordered, each by its own task. Groups without any value have null; ``also`` holds further aggregates of the groups.
     """
     columns = sorted({c for c, _ in wanted.values()})
     each = [F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in columns]
     rows = df.select(*keys, F.inline(F.array(*each))).where(F.col("_v").isNotNull())
     by = [*keys, "_c"]
-    cuts = split_points(rows, "_v", buckets * len(columns))
-    counted = rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    counted = counted.withColumn("_bucket", bucket_of(F.col("_v"), cuts))
-    group = Window.partitionBy(*by)
-    lower = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        counted.groupBy(*by, "_bucket")
-        .agg(F.sum("_n").alias("_in"))
-        .withColumns({"_before": F.coalesce(F.sum("_in").over(lower), F.lit(0)), "_total": F.sum("_in").over(group)})
-    )
+    counted = bucketed(rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n")), by, "_v")
+    totals = _before_buckets(counted, by, F.col("_n"))
 
     def position(p: float) -> Column:
         return (F.col("_total") - 1) * F.lit(float(p))
@@ -226,7 +103,7 @@ def _percentiles_by_bucket(
             needed = needed | ((F.col("_c") == column) & inside)
     smaller = Window.partitionBy(*by, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("_before") + F.coalesce(F.sum("_n").over(smaller), F.lit(0))
-    placed = counted.join(totals.where(needed), [*by, "_bucket"]).withColumn("_start", start)
+    placed = same_join(counted, totals.where(needed), [*by, "_bucket"]).withColumn("_start", start)
 
     picks = []
     for name, (column, p) in wanted.items():
@@ -236,10 +113,11 @@ def _percentiles_by_bucket(
             picks.append(F.max(F.when(hit, F.col("_v"))).alias(f"_{label}_{name}"))
         picks.append(F.max(F.when(own, at - F.floor(at))).alias(f"_part_{name}"))
     found = placed.groupBy(*keys).agg(*picks)
-    return found.select(
-        *keys,
-        *[
-            (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_part_{n}")).alias(n)
-            for n in wanted
-        ],
-    )
+    others = [c.alias(name) for name, c in (also or {}).items()]
+    groups = df.groupBy(*keys).agg(*others) if others else df.select(*keys).distinct()
+    joined = same_join(groups, found, keys, "left")
+
+    def between(n: str) -> Column:
+        return F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_part_{n}")
+
+    return joined.select(*keys, *[between(n).alias(n) for n in wanted], *(also or {}))

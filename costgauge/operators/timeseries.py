@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from costgauge.functions.text import iso_minutes
 from costgauge.functions.timing import floor_to_interval
-from costgauge.operators.scale import Limits, percentiles
+from costgauge.operators.scale import percentiles
 from costgauge.sources.local import local_table
 
 
@@ -92,12 +92,11 @@ def reduce_series(
     aggregation: str,
     percentile: int | None = None,
     compat: bool = False,
-    limits: Limits | None = None,
 ) -> DataFrame:
     """Reduce aligned series across a group per bucket."""
     keys = [*group, "bucket"]
     if aggregation == "Percentile":
-        return percentiles(aligned, keys, {"value": ("value", requested_percentile(percentile, compat))}, limits)
+        return percentiles(aligned, keys, {"value": ("value", requested_percentile(percentile, compat))})
     return aligned.groupBy(*keys).agg(reducer(aggregation, F.col("value"), None, compat).alias("value"))
 
 
@@ -107,19 +106,21 @@ def reduce_points(
     aggregation: str,
     percentile: int | None = None,
     compat: bool = False,
-    limits: Limits | None = None,
 ) -> DataFrame:
     """Reduce raw points (``ts``, ``value``, ``bucket``) per group and bucket in one step."""
     keys = [*group, "bucket"]
     if aggregation == "Percentile":
-        return percentiles(bucketed, keys, {"value": ("value", requested_percentile(percentile, compat))}, limits)
+        return percentiles(bucketed, keys, {"value": ("value", requested_percentile(percentile, compat))})
     return bucketed.groupBy(*keys).agg(reducer(aggregation, F.col("value"), F.col("ts"), compat).alias("value"))
 
 
 def reduce_by_spec(
-    points: DataFrame, specs: Sequence[MetricSpec], keys: Sequence[str], limits: Limits | None = None
+    points: DataFrame, specs: Sequence[MetricSpec], keys: Sequence[str], series: Sequence[str] | None = None
 ) -> DataFrame:
-    """Raw points reduced as each metric's specs say: keys, metric_name, aggregation_type, percentile, bucket, value.
+    """Points reduced as each metric's specs say: keys, metric_name, aggregation_type, percentile, bucket, value.
+
+    ``series`` names the columns that tell a resource's series apart. Each series is then first aligned to its mean in each
+    interval, and the reduction is taken across the series; without, it is taken over the raw points.
 
     One pass serves all plain aggregations, one more each percentile asked for.
     The declared specs are a fixed table.
@@ -128,6 +129,8 @@ def reduce_by_spec(
     each = points.join(F.broadcast(declared.drop("unit")), "metric_name")
     each = each.withColumn("bucket", floor_to_interval(F.col("ts"), iso_minutes(F.col("interval"))))
     by = [*keys, "metric_name", "interval", "aggregation", "percentile", "bucket"]
+    if series is not None:
+        each = each.groupBy(*by, *series).agg(F.avg("value").alias("value"), F.max("ts").alias("ts"))
     names = sorted({s.aggregation for s in specs if s.aggregation != "Percentile"})
     parts = []
     if names:
@@ -137,7 +140,7 @@ def reduce_by_spec(
         parts.append(found.select(*by, chosen.alias("value")))
     for p in sorted({s.percentile or 99 for s in specs if s.aggregation == "Percentile"}):
         asked = each.where((F.col("aggregation") == "Percentile") & (F.coalesce("percentile", F.lit(99)) == p))
-        parts.append(percentiles(asked, by, {"value": ("value", p / 100.0)}, limits))
+        parts.append(percentiles(asked, by, {"value": ("value", p / 100.0)}))
     return reduce(lambda a, b: a.unionByName(b), parts).drop("interval").withColumnRenamed(
         "aggregation", "aggregation_type"
     )

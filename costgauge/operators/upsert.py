@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from costgauge.operators.scale import Limits, dim_join
+from costgauge.operators.scale import dim_join
 
 
 def latest_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -31,8 +31,8 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequ
 
 
 def reload(
-    existing: DataFrame, incoming: DataFrame, key: str = "service_code", limits: Limits | None = None
+    existing: DataFrame, incoming: DataFrame, key: str = "service_code"
 ) -> DataFrame:
     """Replace every existing row whose key value occurs in the incoming rows."""
     replaced = incoming.select(key).distinct()
-    return dim_join(existing, replaced, [key], "left_anti", limits).unionByName(incoming)
+    return dim_join(existing, replaced, [key], "left_anti").unionByName(incoming)

@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from costgauge.functions.timing import in_window
 from costgauge.operators import ingest, timeseries
-from costgauge.operators.scale import Limits
 from costgauge.params import RunParams
 from costgauge.schemas import PARTITION_COLUMNS, parsed
 from costgauge.services import ResourceTable, Service
@@ -26,7 +25,6 @@ def snapshot(
     service: Service,
     params: RunParams,
     parents: DataFrame | None = None,
-    limits: Limits | None = None,
 ) -> DataFrame:
     """Conformed rows of one resource table.
 
@@ -38,7 +36,7 @@ def snapshot(
     if table.parent_field and parents is not None:
         rows = rows.withColumnRenamed(PARENT_ID, "_parent")
         rows = ingest.inherit_parent(
-            rows, parents, {"_parent": table.parent_field}, (*ingest.INHERITED, "dataset_id", "instance_id"), limits
+            rows, parents, {"_parent": table.parent_field}, (*ingest.INHERITED, "dataset_id", "instance_id")
         ).drop("_parent")
     if table.id_fields:
         # Without a mapped project the account is the project.
@@ -61,18 +59,19 @@ def _mapped(records: DataFrame, table: ResourceTable, keep: list[str]) -> DataFr
 
 
 def metric_rows(
-    points: DataFrame, resources: DataFrame, service: Service, params: RunParams, limits: Limits | None = None
+    points: DataFrame, resources: DataFrame, service: Service, params: RunParams
 ) -> DataFrame:
     """Conformed metric rows of the primary resources.
 
-    ``points``: resource_id, metric_name, ts, value. Each declared metric is
-    aligned to its interval and reduced as declared, per resource.
+    ``points``: resource_id, metric_name, ts, value, and optionally series, the
+    label that tells the series of a resource apart. Each series is aligned to
+    its mean per interval, and the series of a resource are reduced as declared.
     """
     spark = points.sparkSession
     run = F.lit(params.run_ts)
     wanted = {s.metric_name for s in service.specs}
     recent = points.where(F.col("metric_name").isin(*wanted) & in_window(F.col("ts"), run, params.window_days))
-    reduced = timeseries.reduce_by_spec(recent, service.specs, ["resource_id"], limits)
+    reduced = timeseries.reduce_by_spec(recent, service.specs, ["resource_id"], ["series"] if "series" in recent.columns else [])
     value = ingest.point_value(F.col("value"), F.lit(None))
     rows = reduced.select(
         "resource_id",
@@ -88,7 +87,7 @@ def metric_rows(
         "resource_name",
         *[F.col(c) if c in resources.columns else F.lit(None).cast("string").alias(c) for c in ("location", "region")],
     )
-    enriched = ingest.enrich_points(rows, places, units, service.name, service.namespace, params.run_ts, limits)
+    enriched = ingest.enrich_points(rows, places, units, service.name, service.namespace, params.run_ts)
     return ingest.conform(ingest.stamp(enriched, params, service.name), parsed(service.metrics_ddl))
 
 
@@ -97,7 +96,6 @@ def run_service(
     records: Mapping[str, DataFrame],
     points: DataFrame | None,
     params: RunParams,
-    limits: Limits | None = None,
 ) -> dict[str, DataFrame]:
     """What a run stores, by table name, once per tenant; nothing is written here."""
     tables: dict[str, DataFrame] = {}
@@ -106,11 +104,11 @@ def run_service(
         if not table.fetched or table.name not in records:
             continue
         parents = primary if table.parent_field else None
-        tables[table.name] = snapshot(records[table.name], table, service, params, parents, limits)
+        tables[table.name] = snapshot(records[table.name], table, service, params, parents)
         if primary is None:
             primary = tables[table.name]
     if service.specs and primary is not None and points is not None:
-        tables[service.metrics_table] = metric_rows(points, primary, service, params, limits)
+        tables[service.metrics_table] = metric_rows(points, primary, service, params)
     if params.additional_client_id:
         return {name: ingest.fan_out(rows, params.client_ids) for name, rows in tables.items()}
     return tables

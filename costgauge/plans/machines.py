@@ -35,6 +35,8 @@ class MachineService:
     count_label: str
     cpu_columns: tuple[str, ...]
     memory_columns: tuple[str, ...]
+    # What the details of an idle machine say besides its entry, count and savings.
+    idle_details: tuple[str, ...]
     default_machine: str | None = None
     pool: str | None = None
 
@@ -47,6 +49,7 @@ GKE = MachineService(
     count_label="node_count",
     cpu_columns=("cpu_utilization_avg", "cpu_percent"),
     memory_columns=("memory_utilization_avg", "memory_percent"),
+    idle_details=("family", "avg_hourly_cost", "avg_monthly_cost", "avg_annual_cost"),
 )
 DATAFLOW = MachineService(
     idle_code="DATAFLOW_IDLE",
@@ -56,6 +59,7 @@ DATAFLOW = MachineService(
     count_label="worker_count",
     cpu_columns=("cpu_utilization_p95", "cpu_utilization_avg"),
     memory_columns=("memory_utilization_avg",),
+    idle_details=("job_name",),
     default_machine=DEFAULT_WORKER,
     pool="batch",
 )
@@ -88,26 +92,22 @@ def idle(workloads: DataFrame, catalog: Catalog, service: MachineService) -> Dat
         }
     )
     text = text_of(priced, service.idle_text, {"current_sku": F.col("machine_type"), "target_sku": F.lit("N/A")})
-    return recommendation(
-        priced,
-        service.idle_code,
-        text,
-        F.col("_annual"),
-        F.lit(0.0),
-        F.col("_annual"),
-        {
-            "family": F.col("cur_family"),
-            "job_name": optional(priced, "job_name", "unknown", "string"),
-            "current_sku": _entry(),
-            service.count_label: F.col("_count"),
-            "target_skus": no_targets(),
-            "avg_hourly_cost": F.lit(0.0),
-            "avg_monthly_cost": F.lit(0.0),
-            "avg_annual_cost": F.lit(0.0),
-            "monthly_savings": F.col("_monthly"),
-            "annual_savings": F.col("_annual"),
-        },
-    )
+    details = {
+        "family": F.col("cur_family"),
+        "job_name": optional(priced, "job_name", "unknown", "string"),
+        "avg_hourly_cost": F.lit(0.0),
+        "avg_monthly_cost": F.lit(0.0),
+        "avg_annual_cost": F.lit(0.0),
+    }
+    common = {
+        "current_sku": _entry(),
+        service.count_label: F.col("_count"),
+        "target_skus": no_targets(),
+        "monthly_savings": F.col("_monthly"),
+        "annual_savings": F.col("_annual"),
+    }
+    said = {name: details[name] for name in service.idle_details} | common
+    return recommendation(priced, service.idle_code, text, F.col("_annual"), F.lit(0.0), F.col("_annual"), said)
 
 
 def requirements(found: DataFrame, service: MachineService) -> DataFrame:
@@ -137,13 +137,12 @@ def with_targets(workloads: DataFrame, catalog: Catalog, service: MachineService
         {
             "_family": own_family,
             catalog.group: F.lit(service.pool) if service.pool else own_family,
-            "workload_id": F.col("resource_id"),
         }
     )
     matched = best_fit(needed, catalog, service.pool)
     cheaper = closest_cheaper(catalog).withColumnRenamed("ordinal", "cur_ordinal")
     keys = [catalog.group, "cur_ordinal"]
-    offered = dim_join(matched, cheaper, keys, "left", catalog.limits, catalog.fits(cheaper))
+    offered = dim_join(matched, cheaper, keys, "left")
     fallback = F.transform(
         fallback_targets(F.col("cheaper"), F.col("machine_type")),
         lambda e: F.struct(*[e[c].alias(c) for c in TARGET_FIELDS]),

@@ -22,10 +22,14 @@ FREE_ZONES = 25
 
 
 def _with_price(rows: DataFrame, prices: DataFrame, component: str, default: float) -> DataFrame:
-    """The component's hourly price on every row, as a scalar subquery; no rows where the component is not listed."""
+    """The component's hourly price on every row, as a scalar subquery; no rows where the component is not listed.
+
+    A component listed for several regions has the price of the first region by name that states one.
+    """
     listed = prices.where(F.col("component") == component)
+    by = F.when(F.col("hourly_price").isNotNull(), F.struct(*[c for c in ("region", "hourly_price") if c in prices.columns]))
     price = listed.agg(
-        F.when(F.count(F.lit(1)) > 0, number(F.coalesce(F.first("hourly_price", ignorenulls=True), F.lit(default))))
+        F.when(F.count(F.lit(1)) > 0, number(F.coalesce(F.min_by("hourly_price", by), F.lit(default))))
     )
     return rows.withColumn("_hourly", price.scalar()).where(F.col("_hourly").isNotNull())
 

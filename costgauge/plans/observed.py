@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from costgauge.functions.numeric import number
 from costgauge.functions.timing import zone_to_region
 from costgauge.operators import features, ingest, rules
-from costgauge.operators.scale import Limits
 from costgauge.plans import pipeline
 
 ATTRIBUTES = (
@@ -48,7 +47,6 @@ def assess(
     prices: pipeline.Prices,
     service: str = "GKE",
     codes: tuple[str, ...] = ("GKE_IDLE", "GKE_OVERPROVISIONED"),
-    limits: Limits | None = None,
 ) -> Assessment:
     """Aggregate, evaluate the service's rules and recommend, per cluster."""
     points = observations.select("cluster_name", "metric_name", number(F.col("metric_value")).alias("value"))
@@ -57,7 +55,7 @@ def assess(
     described = clusters(observations)
     measured = features.as_map(described.join(known, "cluster_name"), names)
     measured = measured.withColumn("resource_id", F.col("cluster_name"))
-    fired = rules.evaluate(measured, rule_table, service, limits=limits)
+    fired = rules.evaluate(measured, rule_table, service)
     return Assessment(
         pipeline.recommend_fired(fired, list(codes), prices),
         rules.healthy(measured, fired).select("cluster_name"),

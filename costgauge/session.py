@@ -41,7 +41,10 @@ def local_session(name: str = "costgauge", cores: int | str = "*", partitions: i
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; only where none is named (tests) make a local one."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="costgauge-checkpoint-"))
+    """Use the shared folder the cluster names; only a session in local mode may come without and gets one of its own."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not (context.master == "local" or context.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="costgauge-checkpoint-"))

@@ -8,10 +8,23 @@ from pyspark.sql import types as T
 
 from costgauge import schemas
 
+DEFAULT_MACHINE_TYPE = "e2-medium"  # fixed value
+
 
 def observations(spark: SparkSession, path: str) -> DataFrame:
-    """The flat export: CSV with a header, every value as text. A missing path fails at once."""
-    return spark.read.schema(schemas.OBSERVATION).option("header", True).option("encoding", "UTF-8").csv(path)
+    """The flat export: CSV with a header, every value as text, columns found by name. A missing path fails at once.
+
+    Quotes are doubled inside quoted values, which may hold line breaks; a file is therefore read by one task, and a large
+    export is many files, with one order of columns. Columns the header lacks are null, but for the machine type, which is
+    then the default one.
+    """
+    read = spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"').option("multiLine", True)
+    rows = read.option("enforceSchema", False).csv(path)
+    names = schemas.parsed(schemas.OBSERVATION).names
+    absent = {"machine_type": F.lit(DEFAULT_MACHINE_TYPE)}
+    return rows.select(
+        *[F.col(c) if c in rows.columns else absent.get(c, F.lit(None)).cast("string").alias(c) for c in names]
+    )
 
 
 def metric_points(spark: SparkSession, path: str) -> DataFrame:

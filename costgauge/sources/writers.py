@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from costgauge.operators.ingest import conform
-from costgauge.operators.scale import Limits, dim_join
+from costgauge.operators.scale import dim_join
 from costgauge.operators.upsert import latest_per_key, reload, upsert
 from costgauge.schemas import OBSERVATION, RECOMMENDATION_COLUMNS, parsed
 from costgauge.session import ensure_checkpoint_dir
@@ -108,7 +108,6 @@ def export_flat(
     metrics: Mapping[str, Mapping[str, str]],
     points: DataFrame,
     key: str = "resource_id",
-    limits: Limits | None = None,
 ) -> DataFrame:
     """One row per cluster, metric and point; a metric without points keeps one row.
 
@@ -120,7 +119,7 @@ def export_flat(
     listed = points.where(F.col("metric_name").isin(*metrics))
     empty = pairs.join(listed.select(key, "metric_name").distinct(), [key, "metric_name"], "left_anti")
     rows = listed.unionByName(empty, allowMissingColumns=True)
-    joined = dim_join(rows, clusters, [key], "inner", limits)
+    joined = dim_join(rows, clusters, [key], "inner")
     fixed = sorted({column for constants in metrics.values() for column in constants})
     for column in fixed:
         value = F.coalesce(
@@ -131,8 +130,9 @@ def export_flat(
 
 
 def write_observations(rows: DataFrame, path: str) -> None:
-    """The flat export as CSV with its fixed header."""
-    conform(rows, parsed(OBSERVATION)).write.mode("overwrite").option("header", True).csv(path)
+    """The flat export as CSV with its fixed header; quotes are doubled inside quoted values."""
+    out = conform(rows, parsed(OBSERVATION)).write.mode("overwrite").option("header", True)
+    out.option("escape", '"').csv(path)
 
 
 def write_catalog(nested: DataFrame, path: str) -> None:
@@ -144,14 +144,8 @@ def write_report(recommendations: DataFrame, path: str) -> None:
     recommendations.select(*RECOMMENDATION_COLUMNS).write.mode("overwrite").partitionBy("rule_code").parquet(path)
 
 
-def dry_run(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """What a run would write, without writing."""
-    return dict(tables)
-
-
 __all__ = [
     "create_table",
-    "dry_run",
     "export_flat",
     "merge_into",
     "reload",

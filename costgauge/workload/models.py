@@ -9,7 +9,6 @@ from costgauge.functions.numeric import half_even
 from costgauge.operators.catalog import specs, with_ordinals
 from costgauge.operators.features import METRIC_NAMES, utilisation
 from costgauge.operators.matching import Catalog
-from costgauge.operators.scale import in_use, is_small
 from costgauge.sources import seeds
 from costgauge.workload.registry import r, rs
 
@@ -118,16 +117,15 @@ sku AS (
 def compute_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     """The part-based catalog with ordinals and costs."""
     base = machines(spark, sf_dir)
-    small = is_small(base.select("machine_type"), in_use().broadcast_rows)
-    entries = specs(with_ordinals(base, small=small)).drop("hourly_price")
+    entries = specs(with_ordinals(base)).drop("hourly_price")
     # A part is listed once, so its type needs no choice between families.
-    return Catalog(entries, "family", small, unique=True)
+    return Catalog(entries, "family", unique=True)
 
 
 def worker_catalog(spark: SparkSession) -> Catalog:
     """The pipeline worker list: a fixed seed of 39 rows."""
     entries = specs(seeds.worker_catalog(spark)).drop("hourly_price")
-    return Catalog(entries, "job_type", small=True)
+    return Catalog(entries, "job_type")
 
 
 # Utilisation per user over the whole period, and per user and day.

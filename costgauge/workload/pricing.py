@@ -236,7 +236,7 @@ priced AS (
 def catalog_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = catalog.with_default_family(node_prices(spark, sf_dir))
     # The machine list is a fixed seed, so the window over it is bounded.
-    return catalog.with_ordinals(catalog.machine_prices(seeds.compute_machines(spark), prices), small=True)
+    return catalog.with_ordinals(catalog.machine_prices(seeds.compute_machines(spark), prices))
 
 
 def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:

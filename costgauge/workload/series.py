@@ -154,6 +154,43 @@ def reduce_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SERIES_SPECS = [
+    timeseries.MetricSpec(metric, "", aggregation, "P1D", percentile)
+    for metric in (m.CPU, m.MEMORY)
+    for aggregation, percentile in (
+        ("Average", None), ("Maximum", None), ("Minimum", None), ("Total", None), ("Count", None),
+        ("Percentile", 50), ("Percentile", 95), ("Percentile", 99),
+    )
+]
+
+
+@query(
+    "reduce_series_by_spec",
+    m.lines(
+        m.POINTS,
+        f"""own AS (SELECT resource_id, metric_name, date_trunc('day', ts) AS bucket, event_id % 2 AS series, avg(value) AS value
+  FROM points WHERE metric_name IN ('{m.CPU}', '{m.MEMORY}') GROUP BY ALL)""",
+        """reduced AS (SELECT resource_id, metric_name, bucket, avg(value) AS a, max(value) AS b, min(value) AS c, sum(value) AS d,
+    CAST(count(*) AS DOUBLE) AS e, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.95) AS p95,
+    quantile_cont(value, 0.99) AS p99 FROM own GROUP BY resource_id, metric_name, bucket)""",
+        """listed AS (SELECT resource_id, metric_name, bucket, unnest([
+    {'t': 'Average', 'p': NULL, 'v': a}, {'t': 'Maximum', 'p': NULL, 'v': b}, {'t': 'Minimum', 'p': NULL, 'v': c},
+    {'t': 'Total', 'p': NULL, 'v': d}, {'t': 'Count', 'p': NULL, 'v': e}, {'t': 'Percentile', 'p': 50, 'v': p50},
+    {'t': 'Percentile', 'p': 95, 'v': p95}, {'t': 'Percentile', 'p': 99, 'v': p99}]) AS x FROM reduced)""",
+    )
+    + f"""SELECT resource_id, metric_name, x.t AS aggregation_type, CAST(x.p AS INTEGER) AS percentile,
+  strftime(bucket, {ISO}) AS bucket, {rs('x.v', 6)} AS value FROM listed""",
+)
+def reduce_series_by_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two series for each resource, aligned to days and reduced as each spec says."""
+    points = m.points(spark, sf_dir).withColumn("series", F.col("event_id") % 2)
+    found = timeseries.reduce_by_spec(points, SERIES_SPECS, ["resource_id"], ["series"])
+    return found.select(
+        "resource_id", "metric_name", "aggregation_type", "percentile",
+        iso_text(F.col("bucket")).alias("bucket"), stable(F.col("value"), 6).alias("value"),
+    )
+
+
 @query(
     "dedupe_specs",
     """SELECT p_name AS metric_name, p_type AS aggregation, 'PT' || (p_size % 3) || 'H' AS interval,

@@ -86,7 +86,7 @@ def test_run_of_a_service(spark, tmp_path):
     tables = ingestion.run_service(
         gke, {"bronze_gcp_gke_clusters": clusters, "bronze_gcp_gke_node_pools": pools}, points, PARAMS
     )
-    assert set(writers.dry_run(tables)) == {"bronze_gcp_gke_clusters", "bronze_gcp_gke_node_pools", "bronze_gcp_metrics_v2"}
+    assert set(tables) == {"bronze_gcp_gke_clusters", "bronze_gcp_gke_node_pools", "bronze_gcp_metrics_v2"}
     for name, table in tables.items():
         assert {r.client_id for r in table.select("client_id").distinct().collect()} == {"client", "partner"}, name
     mine = tables["bronze_gcp_gke_clusters"].where("client_id = 'client'")
@@ -249,7 +249,7 @@ def test_billing_pages_to_priced_machines(spark, tmp_path):
     prices = catalog.with_default_family(catalog.family_prices_highest(catalog.compute_skus(feed, "us-central1")))
     found = {r.family: (r.cpu_hourly_price, r.ram_hourly_price_per_gb) for r in prices.collect()}
     assert found == {"e2": (0.02289, 0.003067), "n1": (0.03, 0.004), "c2": (0.03398, 0.00455)}
-    machines = catalog.with_ordinals(catalog.machine_prices(seeds.compute_machines(spark), prices), small=True)
+    machines = catalog.with_ordinals(catalog.machine_prices(seeds.compute_machines(spark), prices))
     medium = machines.where("machine_type = 'e2-medium'").first()
     assert medium.hourly_price == 0.035158 and medium.annual_price == round(0.035158 * 8760, 4)
     nested = catalog.nested(machines, chunk_rows=4)
@@ -309,3 +309,49 @@ def test_points_reduced_by_spec(spark):
     ]
     got = sorted((r.metric_name, r.aggregation_type, round(r.value, 6)) for r in timeseries.reduce_by_spec(points, specs, ["resource_id"]).collect())
     assert got == [("m", "Average", 2.0), ("m", "Percentile", 2.0), ("m", "Percentile", 3.8), ("m", "Sum", 10.0), ("n", "Gauge", 7.0)]
+
+
+def test_observation_file_of_another_writer(spark, tmp_path):
+    """JSON lists, quotes, line breaks and reordered or missing columns, as the standard csv module writes them."""
+    import csv
+
+    names = [f.name for f in readers.schemas.parsed(readers.schemas.OBSERVATION).fields if f.name != "machine_type"][::-1]
+    row = {"cluster_name": "c1", "locations": '["us-a","us-b"]', "metric_name": "cpu", "metric_value": "0.5", "unit": "Ratio",
+           "metric_error": 'first line\nsecond "quoted" line, with a comma', "endpoint": 'back\\slash'}
+    path = tmp_path / "export.csv"
+    with path.open("w", newline="", encoding="utf-8") as file:
+        writer = csv.DictWriter(file, names)
+        writer.writeheader()
+        writer.writerows([row, row | {"cluster_name": "c2"}])
+    back = readers.observations(spark, str(path)).collect()
+    assert len(back) == 2 and {r.cluster_name for r in back} == {"c1", "c2"}
+    for r in back:
+        assert all(r[c] == v for c, v in row.items() if c != "cluster_name")
+        assert r.machine_type == "e2-medium" and r.status is None
+
+    written = tmp_path / "written"
+    writers.write_observations(readers.observations(spark, str(path)), str(written))
+    found = []
+    for part in written.glob("*.csv"):
+        with part.open(newline="", encoding="utf-8") as file:
+            found += list(csv.DictReader(file))
+    assert sorted(r["cluster_name"] for r in found) == ["c1", "c2"]
+    assert all(r["locations"] == row["locations"] and r["metric_error"] == row["metric_error"] for r in found)
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_times_are_utc_in_any_session(spark, zone):
+    """Text with a Z, interval starts and months do not follow the session's zone."""
+    from datetime import datetime, timezone
+
+    from costgauge.functions.timing import floor_to_interval, iso_text
+    from pyspark.sql import functions as F
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        ts = F.timestamp_seconds(F.lit(int(datetime(2024, 2, 1, 0, 34, 56, tzinfo=timezone.utc).timestamp())))
+        row = spark.range(1).select(iso_text(ts).alias("t"), iso_text(floor_to_interval(ts, 45)).alias("f")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert (row.t, row.f) == ("2024-02-01T00:34:56Z", "2024-02-01T00:00:00Z")

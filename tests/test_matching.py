@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 
 from costgauge.operators import catalog as prices
 from costgauge.operators import matching
-from costgauge.operators.scale import Limits
 
-DEFAULT = Limits()
-BLOCKS = Limits(broadcast_rows=0, group_rows=5, block_rows=3, salts=2)
 FIELDS = "family string, machine_type string, vcpus double, ram_gb double, hourly_price double"
 
 
@@ -53,25 +50,34 @@ def best(rows, need):
 def cheaper(rows, need):
     _, own, family, ordinal, _, _ = need
     lower = [r for r in rows if r[0] == family and r[1] != own and r[5] < ordinal]
-    return [r[1] for r in sorted(lower, key=lambda r: (-r[5], r[1]))[:3]]
+    return list(dict.fromkeys(r[1] for r in sorted(lower, key=lambda r: (-r[5], r[1]))))[:3]
 
 
-def frames(spark, rows, limits, small):
+def frames(spark, rows):
     base = spark.createDataFrame(rows, FIELDS)
-    entries = prices.specs(prices.with_ordinals(base, limits, small)).drop("hourly_price")
-    return matching.Catalog(entries, "family", small, own_limits=limits)
+    entries = prices.specs(prices.with_ordinals(base)).drop("hourly_price")
+    return matching.Catalog(entries, "family")
 
 
-@pytest.mark.parametrize("limits,small", [(DEFAULT, True), (DEFAULT, False), (BLOCKS, False)])
-def test_best_fit_and_fallback(spark, machines, limits, small):
-    catalog = frames(spark, machines, limits, small)
+def listed_again(rows, seed=4):
+    """Every third type a second time at its own size, some at another price."""
+    random.seed(seed)
+    return rows + [(*r[:4], round(r[4] + random.choice([0, 0, 0.003]), 6)) for r in rows[::3]]
+
+
+@pytest.mark.parametrize("repeats", [False, True])
+def test_best_fit_and_fallback(spark, machines, repeats):
+    machines = listed_again(machines) if repeats else machines
+    catalog = frames(spark, machines)
     rows = ranked(machines)
-    wanted = needs(rows)
+    wanted = needs(rows) * 2  # a workload may be listed twice
     workloads = spark.createDataFrame(
         wanted,
         "workload_id string, machine_type string, family string, cur_ordinal int, required_vcpus double, required_ram double",
     )
-    got = {r.workload_id: r.target and r.target.machine_type for r in matching.best_fit(workloads, catalog).collect()}
+    found = matching.best_fit(workloads, catalog).collect()
+    assert len(found) == len(wanted)
+    got = {r.workload_id: r.target and r.target.machine_type for r in found}
     assert got == {n[0]: best(rows, n) for n in wanted}
 
     lists = matching.closest_cheaper(catalog).withColumnRenamed("ordinal", "cur_ordinal")
@@ -81,9 +87,8 @@ def test_best_fit_and_fallback(spark, machines, limits, small):
     assert found == {n[0]: cheaper(rows, n) for n in wanted}
 
 
-@pytest.mark.parametrize("limits", [DEFAULT, BLOCKS])
-def test_best_fit_in_one_pool(spark, machines, limits):
-    catalog = frames(spark, machines, limits, False)
+def test_best_fit_in_one_pool(spark, machines):
+    catalog = frames(spark, machines)
     rows = ranked(machines)
     wanted = [n for n in needs(rows) if n[2] == "hot"]
     workloads = spark.createDataFrame(
@@ -95,9 +100,9 @@ def test_best_fit_in_one_pool(spark, machines, limits):
 
 
 def test_fallback_with_gaps_in_the_ordinals(spark, machines):
-    catalog = frames(spark, machines, DEFAULT, True)
+    catalog = frames(spark, machines)
     gaps = catalog.entries.withColumn("ordinal", F.col("ordinal") * 10)
-    spread = matching.Catalog(gaps, "family", True, dense=False)
+    spread = matching.Catalog(gaps, "family")
     rows = [(*r[:5], r[5] * 10) for r in ranked(machines)]
     lists = {(r.family, r.ordinal): r.cheaper for r in matching.closest_cheaper(spread).collect()}
     for need in needs(rows):
@@ -106,7 +111,7 @@ def test_fallback_with_gaps_in_the_ordinals(spark, machines):
 
 
 def test_ordinals_are_dense_from_one(spark, machines):
-    catalog = frames(spark, machines, BLOCKS, False)
+    catalog = frames(spark, machines)
     steps = catalog.entries.groupBy("family").agg(F.collect_set("ordinal").alias("s")).collect()
     assert all(sorted(r.s) == list(range(1, len(r.s) + 1)) for r in steps)
 
@@ -118,7 +123,7 @@ def test_lookup_prefers_priority_then_drops_unknown(spark):
             rows, "job_type string, priority int, machine_type string, vcpus double, ram_gb double, hourly_price double, ordinal int"
         )
     )
-    catalog = matching.Catalog(entries, "job_type", True)
+    catalog = matching.Catalog(entries, "job_type")
     workloads = spark.createDataFrame([("a", "n1"), ("b", "x"), ("c", "gone")], "resource_id string, machine_type string")
     got = {r.resource_id: r.cur_job_type for r in matching.lookup(workloads, catalog).collect()}
     assert got == {"a": "batch", "b": "streaming"}

@@ -40,7 +40,7 @@ def test_export_to_report(spark, tmp_path):
     entries = specs(
         spark.createDataFrame(machines, "family string, machine_type string, vcpus double, ram_gb double, hourly_price double, ordinal int")
     )
-    prices = pipeline.Prices(Catalog(entries, "family", True, unique=True))
+    prices = pipeline.Prices(Catalog(entries, "family", unique=True))
     found = observed.assess(readers.observations(spark, str(path)), rules.rule_frame(spark, seeds.GKE_RULES), prices)
     report = {(r.resource_id, r.rule_code): r for r in found.report.collect()}
     assert set(report) == {("idle", "GKE_IDLE"), ("idle", "GKE_OVERPROVISIONED"), ("blank", "GKE_OVERPROVISIONED")}

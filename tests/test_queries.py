@@ -7,12 +7,9 @@ import pytest
 
 import check
 from __spark_entry__ import entry, oracle_sql, queries
-from costgauge.operators import scale
 from costgauge.workload import QUERIES as ALL
 from costgauge.workload import SQL
 
-# The portfolio is planned and run once, by its summary.
-RUN = [n for n in ALL if n not in ("recommendations_all", "savings_formula")]
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +22,7 @@ def test_every_query_has_sql():
     assert set(ALL) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", RUN)
+@pytest.mark.parametrize("name", ALL)
 def test_query_equals_sql(spark, tiny, connection, name):
     frame = ALL[name](spark, tiny)
     got = pd.DataFrame([tuple(row) for row in frame.collect()], columns=frame.columns, dtype=object)
@@ -48,32 +45,3 @@ def test_filters_and_columns_reach_the_scan(spark, tiny):
     upsert = ALL["upsert_latest"](spark, tiny)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(l_returnflag,A)" in upsert
 
-
-FORCED = scale.Limits(broadcast_rows=0, group_rows=20, block_rows=8, salts=3, max_buckets=16)
-
-
-@pytest.mark.parametrize(
-    "name",
-    [
-        "sku_lookup",
-        "reco_gke_overprovisioned",
-        "reco_dataflow_overprovisioned",
-        "rule_eval",
-        "price_ordinal",
-        "feature_percentiles",
-        "account_ordinals",
-        "metric_enrich",
-        "parent_inherit",
-        "export_flat",
-    ],
-)
-def test_the_way_for_large_tables_gives_the_same(spark, tiny, connection, name):
-    former = scale.use(FORCED)
-    try:
-        frame = ALL[name](spark, tiny)
-        got = pd.DataFrame([tuple(row) for row in frame.collect()], columns=frame.columns, dtype=object)
-    finally:
-        scale.use(former)
-    found = connection.execute(SQL[name])
-    wanted = pd.DataFrame(found.fetchall(), columns=[d[0] for d in found.description], dtype=object)
-    assert check.differences(got, wanted) is None

@@ -37,7 +37,7 @@ def compute(spark):
     entries = specs(
         spark.createDataFrame(rows, "family string, machine_type string, vcpus double, ram_gb double, hourly_price double, ordinal int")
     )
-    return Catalog(entries, "family", True, unique=True)
+    return Catalog(entries, "family", unique=True)
 
 
 MACHINE = "resource_id string, machine_type string, current_node_count double, cpu_utilization_avg double, memory_utilization_avg double"

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from costgauge.operators import rules
 from costgauge.operators.rules import Condition, Rule
-from costgauge.operators.scale import Limits
 from costgauge.sources import seeds
 
 CPU, MEMORY = "cpu_utilization_avg", "memory_utilization_avg"
@@ -30,9 +29,8 @@ def fired(frame):
     return sorted((r.resource_id, r.rule_code) for r in frame.collect())
 
 
-@pytest.mark.parametrize("limits", [Limits(), Limits(broadcast_rows=0, block_rows=1, salts=2)])
-def test_seed_rules(spark, limits):
-    got = fired(rules.evaluate(resources(spark), rules.rule_frame(spark, seeds.GKE_RULES), limits=limits))
+def test_seed_rules(spark):
+    got = fired(rules.evaluate(resources(spark), rules.rule_frame(spark, seeds.GKE_RULES)))
     assert got == [
         ("edge", "GKE_OVERPROVISIONED"),
         ("idle", "GKE_IDLE"),
@@ -43,12 +41,11 @@ def test_seed_rules(spark, limits):
     ]
 
 
-@pytest.mark.parametrize("limits", [Limits(), Limits(block_rows=1, salts=2)])
-def test_one_service(spark, limits):
+def test_one_service(spark):
     """Naming the service replaces the join."""
     declared = rules.rule_frame(spark, [*seeds.GKE_RULES, Rule("T", "PUBSUB", (Condition(CPU, "gte", 0),))])
     mine = resources(spark).where("service_code = 'GKE'").drop("service_code")
-    got = fired(rules.evaluate(mine, declared, "GKE", limits=limits))
+    got = fired(rules.evaluate(mine, declared, "GKE"))
     assert got == fired(rules.evaluate(resources(spark).where("service_code = 'GKE'"), declared))
 
 

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from costgauge.operators import scale
 
-SMALL = scale.Limits(broadcast_rows=0, group_rows=20, block_rows=4, salts=3)
-
-
 @pytest.fixture(scope="module")
 def skewed(spark):
     """A third of the rows share one key; values repeat."""
@@ -33,62 +30,68 @@ def skewed(spark):
 def test_dim_join(spark, skewed, how):
     facts, frame = skewed
     dim = spark.createDataFrame([(i, f"n{i}") for i in range(20)], "k bigint, name string")
-    want = facts.join(dim, "k", how).select("id", "name")
-    for limits in (None, SMALL):
-        got = scale.dim_join(facts, dim, ["k"], how, limits).select("id", "name")
-        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    joined = scale.dim_join(facts, dim, ["k"], how)
+    want = [(i, f"n{k}" if k < 20 else None) for i, k in zip(frame["id"], frame["k"], strict=True) if how == "left" or k < 20]
+    assert sorted(map(tuple, joined.select("id", "name").collect())) == sorted(want)
+    assert "explode" not in joined._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("limits", [None, SMALL])
-def test_row_numbers(skewed, limits):
+def test_row_numbers(skewed):
     facts, frame = skewed
-    got = scale.row_numbers(facts, ["g"], ["v", "id"], "n", limits).select("id", "n").toPandas().set_index("id")["n"]
+    got = scale.row_numbers(facts, ["g"], ["v", "id"], "n").select("id", "n").toPandas().set_index("id")["n"]
     ordered = frame.sort_values(["g", "v", "id"])
     want = pd.Series(ordered.groupby("g").cumcount().values + 1, index=ordered["id"].values)
     assert (got.sort_index() == want.sort_index()).all()
 
 
-@pytest.mark.parametrize("limits", [None, SMALL])
-@pytest.mark.parametrize("small", [None, True])
-def test_dense_ranks(skewed, limits, small):
+def test_dense_ranks(skewed):
     facts, frame = skewed
-    got = scale.dense_ranks(facts, ["g"], "v", "n", limits, small).select("id", "n").toPandas().set_index("id")["n"]
+    got = scale.dense_ranks(facts, ["g"], "v", "n").select("id", "n").toPandas().set_index("id")["n"]
     want = frame.set_index("id").groupby("g")["v"].rank("dense").astype(int)
     assert (got.sort_index() == want.sort_index()).all()
 
 
-@pytest.mark.parametrize("limits", [None, SMALL])
-def test_percentiles(skewed, limits):
+def test_percentiles(skewed):
     facts, frame = skewed
     wanted = {"p50": ("v", 0.5), "p95": ("v", 0.95), "low": ("w", 0.0), "w99": ("w", 0.99)}
     also = {"rows": F.count(F.lit(1)), "most": F.max("v")}
-    got = scale.percentiles(facts, ["k"], wanted, limits, also).toPandas().set_index("k").sort_index()
+    got = scale.percentiles(facts, ["k"], wanted, also).toPandas().set_index("k").sort_index()
     assert (got["rows"] == frame.groupby("k").size()).all() and (got["most"] == frame.groupby("k")["v"].max()).all()
     for name, (column, p) in wanted.items():
         want = frame.groupby("k")[column].quantile(p).sort_index()
         assert np.allclose(got[name], want)
 
 
-def test_percentiles_skip_nulls(spark):
-    rows = spark.createDataFrame([(1, 1.0), (1, None), (1, 3.0), (2, 5.0)], "k int, v double")
-    for limits in (None, scale.Limits(group_rows=1)):
-        got = dict(scale.percentiles(rows, ["k"], {"m": ("v", 0.5)}, limits).collect())
-        assert got == {1: 2.0, 2: 5.0}
-
+NULLS = [("a", i, float(i % 4), i) for i in range(8)] + [("b", 0, None, 8), (None, 0, 1.0, 9), (None, 1, 3.0, 10), ("b", 1, None, 11)]
 
-def test_is_small_at_the_bound(spark):
-    assert scale.is_small(spark.range(10), 10)
-    assert not scale.is_small(spark.range(11), 10)
 
-
-def test_group_sizes(skewed):
-    facts, frame = skewed
-    assert scale.group_sizes(facts, ["k"]) == (frame["k"].value_counts().max(), len(frame))
-
-
-def test_salts_do_not_depend_on_the_run(spark, skewed):
-    facts, _ = skewed
-    dim = spark.createDataFrame([(i, f"n{i}") for i in range(20)], "k bigint, name string")
-    one = scale.dim_join(facts, dim, ["k"], "inner", SMALL)
-    assert "rand" not in one._jdf.queryExecution().optimizedPlan().toString()
-    assert one.agg(F.sum("id")).first()[0] == scale.dim_join(facts, dim, ["k"]).agg(F.sum("id")).first()[0]
+@pytest.fixture(scope="module")
+def with_nulls(spark):
+    return spark.createDataFrame(NULLS, "k string, j int, v double, id int")
+
+
+def test_percentiles_keep_null_keys_and_groups_without_values(with_nulls):
+    got = scale.percentiles(with_nulls, ["k"], {"m": ("v", 0.5)}, {"n": F.count(F.lit(1))}).collect()
+    assert {r.k: (r.m, r.n) for r in got} == {"a": (1.5, 8), "b": (None, 2), None: (2.0, 2)}
+    plain = scale.percentiles(with_nulls, ["k"], {"m": ("v", 0.5)}).collect()
+    assert {r.k: r.m for r in plain} == {"a": 1.5, "b": None, None: 2.0}
+
+
+def test_ranks_keep_null_groups_and_values(with_nulls):
+    got = {r.id: (r.n, r.d) for r in scale.dense_ranks(
+        scale.row_numbers(with_nulls, ["k"], ["v", "id"], "n"), ["k"], "v", "d").collect()}
+    assert len(got) == len(NULLS)
+    assert got[8] == (1, 1) and got[11] == (2, 1) and got[9] == (1, 1) and got[10] == (2, 2)
+    assert [got[i] for i in range(8)] == [(1, 1), (3, 2), (5, 3), (7, 4), (2, 1), (4, 2), (6, 3), (8, 4)]
+
+
+def test_nothing_runs_while_a_plan_is_built(spark, with_nulls):
+    """No job is started before the result is asked for."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    scale.percentiles(with_nulls, ["k"], {"m": ("v", 0.5)})
+    scale.dense_ranks(with_nulls, ["k"], "v", "d")
+    scale.row_numbers(with_nulls, ["k"], ["v", "id"], "n")
+    started = tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not started
