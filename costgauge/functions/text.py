@@ -14,16 +14,15 @@ COMPUTE_FAMILIES = ("e2", "n1", "n2", "n2d", "c2", "c2d", "c3", "c3d", "n4", "t2
 WORKER_FAMILIES = ("n1", "n2", "n2d", "e2", "c2", "c2d", "t2d")
 COMPOUND_FAMILIES = ("n2d", "c2d", "t2d", "t2a", "m1", "m2", "a2")
 
-_DURATION = r"^P(?:(\d+)D)?T?(?:(\d+)H)?(?:(\d+)M)?"
-
-
 def iso_minutes(interval: Column) -> Column:
     """Minutes of an ISO-8601 duration of days, hours and minutes; other text gives 5."""
 
-    def part(group: int) -> Column:
-        return F.coalesce(F.regexp_extract(interval, _DURATION, group).try_cast("int"), F.lit(0))
+    def amount(unit: str) -> Column:
+        """The number in front of a unit's letter."""
+        return F.coalesce(F.regexp_extract(interval, f"([0-9]+){unit}", 1).try_cast("int"), F.lit(0))
 
-    return F.when(interval.startswith("P"), part(1) * 1440 + part(2) * 60 + part(3)).otherwise(F.lit(5))
+    minutes = amount("D") * 24 * 60 + amount("H") * 60 + amount("M")
+    return F.when(interval.startswith("P"), minutes).otherwise(F.lit(5))
 
 
 def machine_family(machine_type: Column) -> Column:

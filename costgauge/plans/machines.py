@@ -1,4 +1,7 @@
-"""Rightsizing of machine-based workloads: cluster nodes and data pipeline workers."""
+"""Rightsizing of machine-based workloads: cluster nodes and data pipeline workers.
+
+Fixed values: the sentences of the recommendations and the names of their details.
+"""
 
 from __future__ import annotations
 

@@ -1,4 +1,7 @@
-"""Recommendations for message topics and scheduled jobs."""
+"""Recommendations for message topics and scheduled jobs.
+
+Fixed values: the sentences of the recommendations and the names of their details.
+"""
 
 from __future__ import annotations
 

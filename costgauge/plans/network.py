@@ -1,4 +1,7 @@
-"""Recommendations for routers, CDN origins and DNS zones."""
+"""Recommendations for routers, CDN origins and DNS zones.
+
+Fixed values: the sentences of the recommendations and the names of their details.
+"""
 
 from __future__ import annotations
 

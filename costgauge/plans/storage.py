@@ -1,4 +1,7 @@
-"""Recommendations for storage buckets."""
+"""Recommendations for storage buckets.
+
+Fixed values: the sentences of the recommendations and the names of their details.
+"""
 
 from __future__ import annotations
 

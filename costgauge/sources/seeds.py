@@ -98,6 +98,7 @@ COMPONENTS = (
     ("interconnect_vlan", "us-central1", 0.10),
 )
 
+# The rules and the service row that stored tables hold.
 GKE_RULES = (
     Rule(
         rule_code="GKE_IDLE",
