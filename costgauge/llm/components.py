@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costgauge.llm.rows import checkpointed
+from costgauge.llm.rows import stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,18 +15,18 @@ def components(links: DataFrame) -> DataFrame:
     shorten by half. A node with very many links is a row on the other side of a join whose large side splits, and a minimum
     that combines before it is shuffled.
     """
-    both = checkpointed(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct())
-    labels = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")))
+    both = links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct()
+    both = stored(both, "links")
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp"))
     while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("comp").alias("_near"))
         lowered = labels.join(near, F.col("node") == F.col("a")).select(
-            "node", F.col("comp").alias("_old"), F.least("comp", "_near").alias("comp")
+            "node", F.col("comp").alias("_old"), F.least("comp", "_near").alias("_low")
         )
-        lowered = checkpointed(lowered)
-        top = lowered.select(F.col("node").alias("_top"), F.col("comp").alias("_above"))
         # A label is a node of the table itself.
-        jumped = lowered.join(top, F.col("comp") == F.col("_top")).select("node", "_old", F.col("_above").alias("comp"))
-        jumped = checkpointed(jumped)
+        top = lowered.select(F.col("node").alias("_top"), F.col("_low").alias("comp"))
+        jumped = lowered.join(top, F.col("_low") == F.col("_top")).select("node", "_old", "comp")
+        jumped = stored(jumped, "labels")
         labels = jumped.select("node", "comp")
         if jumped.where("comp <> _old").isEmpty():
             return labels

@@ -5,10 +5,10 @@ takes the LEAST runs that come first under one random order and keeps them in te
 share these runs in the same order. Texts that share a sketch are candidates, and are verified: runs common to both are aligned
 in order inside the band that the wanted similarity leaves, and the similarity is the number aligned over the number of all.
 
-Equal texts are one from the start. In a bucket of texts that share a sketch, all are compared with its first text, which
-connects the copies of one text without listing their pairs. Texts of a bucket that stay outside its largest component are
-compared with all texts of the bucket that they are not yet connected with, if there are at most REST of them; otherwise
-the bucket is split by every further sketch that its texts share, and handled likewise.
+Equal texts are one from the start. In a bucket of texts that share a sketch, all are compared with its first and with its last
+text, which connects the copies of one text without listing their pairs. Where that leaves a bucket in several components, the
+texts of all others are compared with the first text of a component that is not the largest. A text has SKETCHES buckets, so two
+similar texts meet in about half of them, each with other neighbours; what one bucket leaves apart another connects.
 """
 
 from __future__ import annotations
@@ -24,14 +24,12 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from costgauge.llm.components import components
 from costgauge.llm.grams import buffer_of, mixed, word_hashes
-from costgauge.llm.rows import checkpointed, hash128, packed, quoted, ranked, text_of, unpacked
+from costgauge.llm.rows import hash128, packed, quoted, ranked, stored, text_of, unpacked
 
 K = 5
 LEAST = 3
 SKETCHES = 20
 SIMILARITY = 0.8
-REST = 16
-LEVELS = 4
 WIDE = 1 << 18  # longer texts are sketched one order at a time
 
 _SEEDS = mixed(np.arange(1, 129, dtype=np.uint64)) | np.uint64(1)
@@ -171,96 +169,88 @@ class _Search:
         doc = StructField("doc", self.source.schema["doc"].dataType)
         longs = [StructField(c, LongType()) for c in ("x1", "x2", "t1", "t2", "n")]
         kind = StructType([doc, *longs, StructField("keys", ArrayType(LongType()))])
-        self.rows = checkpointed(self.source.mapInArrow(_sketched(k, sketches, least), kind))
+        self.rows = stored(self.source.mapInArrow(_sketched(k, sketches, least), kind), "near")
         # One node for each text, whatever its white space; its first document stands for it.
         texts = self.rows.groupBy("t1", "t2").agg(
             F.min(F.struct("doc", "x1", "x2")).alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys")
         )
         self.texts = ranked(texts, ["t1", "t2"], "node").select("node", "t1", "t2", "n", "keys", "first.*")
-        self.texts = checkpointed(self.texts)
-        self.seen: DataFrame | None = None
-        self.links: DataFrame | None = None
-
-    def verify(self, pairs: DataFrame) -> None:
-        """Align the texts of new pairs (a < b) and keep the links."""
-        pairs = pairs.where("least(n_a, n_b) >= %r * greatest(n_a, n_b)" % self.similarity).select("a", "b").distinct()
-        if self.seen is not None:
-            pairs = pairs.join(self.seen, ["a", "b"], "left_anti")
-        pairs = checkpointed(pairs)
-        asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = self.texts.join(asked, "node").select("node", F.col("doc").alias("_doc"), F.col("x1").alias("_x1"), F.col("x2").alias("_x2"))
-        wanted = checkpointed(wanted)
-        same = (F.col("x1") == F.col("_x1")) & (F.col("x2") == F.col("_x2")) & F.col("doc").eqNullSafe(F.col("_doc"))
-        # Rows that repeat whole give a node its text once.
-        texts = self.source.join(wanted, same).groupBy("node").agg(F.first("text").alias("text"))
-        texts = checkpointed(texts)
-        side_a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        side_b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        # The common side last: its rows then lie together where a bucket's first text meets many.
+        self.texts = stored(self.texts, "near")
+
+    def verified(self, pairs: DataFrame, bodies: DataFrame, seen: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """New pairs (a < b, with their numbers of runs n_a, n_b), and those of them whose texts align."""
+        alike = F.least("n_a", "n_b") >= self.similarity * F.greatest("n_a", "n_b")
+        pairs = pairs.where(alike & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+        if seen is not None:
+            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        side_a = bodies.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+        side_b = bodies.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         both = pairs.join(side_b, "b").join(side_a, "a").select("a", "b", "text_a", "text_b")
         found = both.mapInArrow(_verified(self.k, self.similarity), "a long, b long, similarity double")
-        links = checkpointed(found.where(F.col("similarity") >= self.similarity - 1e-9))
-        self.links = links if self.links is None else self.links.unionByName(links)
-        self.seen = pairs if self.seen is None else self.seen.unionByName(pairs)
-
-    def labels(self) -> DataFrame:
-        return components(self.links)
-
-    def run(self, rest: int, levels: int) -> None:
-        buckets = self.texts.select("node", "n", F.posexplode("keys").alias("sketch", "key"))
-        for level in range(1, levels + 1):
-            sizes = buckets.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lead"), F.count(F.lit(1)).alias("size"))
-            shared = checkpointed(sizes.where("size > 1").select(F.col("key").alias("_key"), "lead", "size"))
-            members = buckets.join(shared, F.col("key") == F.col("_key")).drop("_key")
-            members = checkpointed(members)
-            if members.isEmpty():
-                return
-            star = members.where(F.col("node") != F.col("lead.node"))
-            self.verify(star.select(F.col("lead.node").alias("a"), F.col("node").alias("b"), F.col("lead.n").alias("n_a"), F.col("n").alias("n_b")))
-            labels = self.labels()
-            named = members.where("size > 2").join(
-                labels.select(F.col("node").alias("_node"), "comp"), F.col("node") == F.col("_node"), "left"
-            )
-            named = checkpointed(named.withColumn("comp", F.coalesce("comp", "node")).drop("_node"))
-            parts = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("_n"))
-            mains = parts.groupBy("key").agg(F.max(F.struct("_n", "comp")).alias("main"), F.sum("_n").alias("total"))
-            open_ = mains.withColumn("outside", F.col("total") - F.col("main._n")).where("outside > 0")
-            open_ = checkpointed(open_.select(F.col("key").alias("_key"), F.col("main.comp").alias("main"), "outside"))
-            left = checkpointed(named.join(open_, F.col("key") == F.col("_key")).drop("_key"))
-            few = left if level == levels else left.where(F.col("outside") <= rest)
-            one = few.where(F.col("comp") != F.col("main")).select(
-                F.col("key").alias("_key"), F.col("node").alias("_a"), F.col("n").alias("_n"), F.col("comp").alias("_comp")
-            )
-            met = few.join(one, (F.col("key") == F.col("_key")) & (F.col("comp") != F.col("_comp")))
-            self.verify(
-                met.select(
-                    F.least("node", "_a").alias("a"), F.greatest("node", "_a").alias("b"),
-                    F.col("n").alias("n_a"), F.col("_n").alias("n_b"),
+        return pairs, stored(found.where(F.col("similarity") >= self.similarity - 1e-9), "links")
+
+    def labels(self) -> DataFrame | None:
+        """node and comp of every text that is linked with another."""
+        buckets = self.texts.select("node", "n", F.explode("keys").alias("key"))
+        one = F.struct("node", "n")
+        ends = buckets.groupBy("key").agg(F.min(one).alias("low"), F.max(one).alias("high"), F.count(F.lit(1)).alias("size"))
+        # Stored, so that both sides of the join come straight from a shuffle and a hot bucket's partition can be split.
+        ends = stored(ends.where("size > 1").withColumnRenamed("key", "_key"), "buckets")
+        members = stored(buckets.join(ends, F.col("key") == F.col("_key")).drop("_key"), "members")
+        if members.isEmpty():
+            return None
+        wanted = self.texts.join(members.select("node").distinct(), "node").select(
+            "node", F.col("doc").alias("_doc"), F.col("x1").alias("_x1"), F.col("x2").alias("_x2")
+        )
+        wanted = stored(wanted, "wanted")
+        same = (F.col("x1") == F.col("_x1")) & (F.col("x2") == F.col("_x2")) & F.col("doc").eqNullSafe(F.col("_doc"))
+        # Rows that repeat whole give a node its text once.
+        bodies = stored(self.source.join(wanted, same).groupBy("node").agg(F.first("text").alias("text")), "texts")
+        met = members.select(
+            F.explode(
+                F.array(
+                    F.struct(F.col("low.node").alias("a"), F.col("node").alias("b"), F.col("low.n").alias("n_a"), F.col("n").alias("n_b")),
+                    F.struct(F.col("node").alias("a"), F.col("high.node").alias("b"), F.col("n").alias("n_a"), F.col("high.n").alias("n_b")),
                 )
-            )
-            many = checkpointed(left.where(F.col("outside") > rest).select("node", "n", "sketch", "key"))
-            if level == levels or many.isEmpty():
-                return
-            # The same texts by every later sketch as well: what two similar texts share besides this sketch.
-            keys = self.texts.select(F.col("node").alias("_node"), "keys")
-            later = many.join(keys, F.col("node") == F.col("_node")).select(
-                "node", "n", F.col("sketch").alias("_from"), F.col("key").alias("_bucket"), F.posexplode("keys").alias("sketch", "_key")
-            )
-            buckets = later.where("sketch > _from").select(
-                "node", "n", "sketch", F.xxhash64("_bucket", "_key").alias("key")
-            )
+            ).alias("p")
+        )
+        pairs, links = self.verified(met.select("p.*"), bodies, None)
+        if links.isEmpty():
+            return None
+        labels = components(links)
+        # Buckets of three and more that are not one component: the texts outside the largest one meet a first text of theirs.
+        named = members.where("size > 2").select("key", "node", "n").join(
+            labels.select(F.col("node").alias("_node"), "comp"), F.col("node") == F.col("_node"), "left"
+        )
+        named = stored(named.select("key", "node", "n", F.coalesce("comp", "node").alias("comp")), "named")
+        parts = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("_n"), F.min(one).alias("first"))
+        by_chance = F.struct(F.xxhash64("key", "comp").alias("_turn"), "first", "comp")
+        mains = parts.groupBy("key").agg(
+            F.max(F.struct("_n", "comp")).alias("main"), F.min(by_chance).alias("one"),
+            F.max(by_chance).alias("other"), F.count(F.lit(1)).alias("n_parts"),
+        )
+        # Of two components one is not the main one; which it is differs from bucket to bucket.
+        lead = F.when(F.col("one.comp") != F.col("main.comp"), F.col("one")).otherwise(F.col("other"))
+        open_ = mains.where("n_parts > 1").select(F.col("key").alias("_key"), lead.alias("lead"))
+        rest = named.join(stored(open_, "open"), F.col("key") == F.col("_key")).where(F.col("comp") != F.col("lead.comp"))
+        more = rest.select(
+            F.least("node", "lead.first.node").alias("a"), F.greatest("node", "lead.first.node").alias("b"),
+            F.col("n").alias("n_a"), F.col("lead.first.n").alias("n_b"),
+        )
+        _, further = self.verified(more, bodies, pairs)
+        return labels if further.isEmpty() else components(links.unionByName(further))
 
 
 def _searched(
-    docs: DataFrame, id_col: str, text_col: str, k: int, sketches: int, least: int, similarity: float, rest: int, levels: int
+    docs: DataFrame, id_col: str, text_col: str, k: int, sketches: int, least: int, similarity: float
 ) -> tuple[_Search, DataFrame]:
     search = _Search(docs, id_col, text_col, k, sketches, least, similarity)
-    search.run(rest, levels)
     nodes = search.texts.select("node", "t1", "t2", "doc", "x1", "x2")
-    if search.links is None:
+    labels = search.labels()
+    if labels is None:
         return search, nodes.withColumn("comp", F.col("node"))
-    labels = search.labels().select(F.col("node").alias("_node"), "comp")
-    joined = nodes.join(labels, F.col("node") == F.col("_node"), "left")
+    joined = nodes.join(labels.select(F.col("node").alias("_node"), "comp"), F.col("node") == F.col("_node"), "left")
     return search, joined.withColumn("comp", F.coalesce("comp", "node")).drop("_node")
 
 
@@ -278,8 +268,6 @@ def classes(
     sketches: int = SKETCHES,
     least: int = LEAST,
     similarity: float = SIMILARITY,
-    rest: int = REST,
-    levels: int = LEVELS,
 ) -> DataFrame:
     """One row for each row of the documents: its id, class_id (the least id of its class) and n_texts (different texts in it).
 
@@ -287,15 +275,14 @@ def classes(
     are equal. A text of fewer than k words is one run, so it is only like its equals; texts without words are equal. Null ids
     come last when the class id is chosen. Rows that repeat whole are rows of the same class.
     """
-    search, nodes = _searched(docs, id_col, text_col, k, sketches, least, similarity, rest, levels)
-    nodes = checkpointed(nodes)
+    search, nodes = _searched(docs, id_col, text_col, k, sketches, least, similarity)
+    nodes = stored(nodes, "near")
     named = nodes.groupBy("comp").agg(_first(F.col("doc")).alias("_first"), F.count(F.lit(1)).alias("n_texts"))
-    named = checkpointed(named.select(F.col("comp").alias("_comp"), F.col("_first.doc").alias("class_id"), "n_texts"))
-    of_text = checkpointed(
+    named = stored(named.select(F.col("comp").alias("_comp"), F.col("_first.doc").alias("class_id"), "n_texts"), "near")
+    of_text = stored(
         nodes.join(named, F.col("comp") == F.col("_comp")).select(
             F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), "class_id", "n_texts"
-        )
-    )
+        ), "near")
     rows = search.rows.select("doc", "t1", "t2")
     met = rows.join(of_text, (F.col("t1") == F.col("_t1")) & (F.col("t2") == F.col("_t2")))
     return met.select(F.col("doc").alias(id_col), "class_id", "n_texts")
@@ -303,13 +290,11 @@ def classes(
 
 def representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each class, all columns: the one with the least id (null last), of rows that repeat whole one."""
-    settings = {
-        "k": K, "sketches": SKETCHES, "least": LEAST, "similarity": SIMILARITY, "rest": REST, "levels": LEVELS
-    } | options
+    settings = {"k": K, "sketches": SKETCHES, "least": LEAST, "similarity": SIMILARITY} | options
     _, nodes = _searched(docs, id_col, text_col, **settings)
     place = F.struct("doc", "x1", "x2")
     kept = nodes.groupBy("comp").agg(_first(place.alias("at")).alias("first")).select("first.at.*")
-    kept = checkpointed(kept.select(F.col("doc").alias("_doc"), F.col("x1").alias("_x1"), F.col("x2").alias("_x2")))
+    kept = stored(kept.select(F.col("doc").alias("_doc"), F.col("x1").alias("_x1"), F.col("x2").alias("_x2")), "near")
     rows = packed(docs, _id=id_col, _text=text_col)
     x1, x2 = hash128(text_of(F.col("_text")))
     source = rows.select("_row", "_id", x1.alias("_y1"), x2.alias("_y2"))

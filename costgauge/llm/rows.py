@@ -99,10 +99,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table as Parquet to the shared folder and read it again."""
+    """Write a table as Parquet to the shared folder and read it again.
+
+    Unlike a checkpoint, what is read carries nothing of the plan that made it, which matters where rounds follow on rounds.
+    """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ranked(df: DataFrame, order: Sequence[str], name: str = "_rank") -> DataFrame:
