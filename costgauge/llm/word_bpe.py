@@ -10,11 +10,14 @@ vocabulary, which is as large as the tokenizer's file.
 
 from __future__ import annotations
 
+import ctypes
 import json
 import os
+import struct
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,14 +29,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
 
-from costgauge.llm.rows import checkpointed, with_key
+from costgauge.llm.rows import packed, quoted, stored, unpacked, with_key
 
-COMMON = 200_000
+COMMON = 500_000
 COMMON_CHARS = 64
-HELD = 400_000  # distinct chunks a task keeps at a time
+HELD = 1_000_000  # distinct words a task counts at a time
+PIECE = 4 << 20  # bytes of text cut at a time
+LATER = "\u0250"
 RARE = 1 << 31  # from here on, a word number is the place of a word in the document's own list
 
 
+def spread(start: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each row, as many as its count, one row after the other."""
+    until = np.cumsum(counts)
+    return np.repeat(start - (until - counts), counts) + np.arange(until[-1] if len(until) else 0)
+
+
 class Words:
     """Cuts texts into the words of a tokenizer file and encodes single words."""
 
@@ -50,33 +61,75 @@ class Words:
         if any(any(c.isspace() for c in special) for special in self.specials):
             raise ValueError("a special token holds white space")
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
-        whole = Tokenizer.from_file(path)
-        self.normalizer = whole.normalizer
+        # To cut texts, no vocabulary is needed.
+        model = {"type": "BPE", "vocab": {}, "merges": []}
+        bare = Tokenizer.from_str(json.dumps(spec | {"model": model, "added_tokens": []}))
+        self.normalizer = bare.normalizer
         self.pattern = regex.compile(split["pattern"]["Regex"])
+        ascii_ = [chr(c) for c in range(33, 127)]
+        self.lowers = bool(self.normalizer) and all(self.normalizer.normalize_str(c) == c.lower() for c in ascii_)
+        # Whether a run of letters is always one word.
+        self.plain = all(self.pattern.findall(c * 3 + "st") == [c * 3 + "st"] for c in "adelmnrstvyz")
         self.cut = pre_tokenizers.Split(Regex(split["pattern"]["Regex"]), "removed", invert=True)
         # A word is normal already and is merged as it is.
         spec["normalizer"], spec["pre_tokenizer"] = None, {"type": "Sequence", "pretokenizers": rest}
         spec["truncation"] = spec["padding"] = None
-        self.tokenizer = Tokenizer.from_str(json.dumps(spec))
-        # White space to the tokenizer: to str.split, four control characters are white space as well.
-        self.space = regex.compile(r"[^\S\x1c-\x1f]+")
-        self.odd = regex.compile(r"[\x1c-\x1f]")
-
-    def chunks(self, text: str) -> list[str]:
-        """The text between white space; no word goes across."""
-        return [c for c in self.space.split(text) if c] if self.odd.search(text) else text.split()
+        self.spec, self.tokenizer = spec, None
 
     def words(self, chunk: str) -> list[str]:
-        if self.special and "<" in chunk or self.special and not all(s.startswith("<") for s in self.specials):
+        """The words of one chunk."""
+        if self.special:
             parts = self.special.split(chunk)
             if len(parts) > 1:
                 return [w for i, p in enumerate(parts) if p for w in ([p] if i % 2 else self.words(p))]
         normal = self.normalizer.normalize_str(chunk) if self.normalizer else chunk
-        if normal.isascii():
+        return self.cut_normal(normal)
+
+    def cut_normal(self, normal: str) -> list[str]:
+        # Letters this far are the same in every edition of the character tables.
+        if max(normal, default="") < LATER:
             return self.pattern.findall(normal)
         return [word for word, _ in self.cut.pre_tokenize_str(normal)]
 
+    def normal(self, chunks: pa.Array) -> pa.Array:
+        """Chunks in normal form; those beyond ASCII together, as no normal form goes across a space."""
+        if not self.normalizer:
+            return chunks
+        wide = ~pc.string_is_ascii(chunks).to_numpy(zero_copy_only=False) | (not self.lowers)
+        some = chunks.filter(pa.array(wide)).to_pylist()
+        changed = self.normalizer.normalize_str(" ".join(some)).split(" ") if some else []
+        if len(changed) != len(some):  # some hold white space of other kinds
+            changed = [self.normalizer.normalize_str(chunk) for chunk in some]
+        return pc.replace_with_mask(pc.ascii_lower(chunks), pa.array(wide), pa.array(changed, chunks.type))
+
+    def words_of(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The words of chunks one after the other, and how many each chunk has. A run of letters is one word."""
+        n, listed = len(chunks), self.normal(chunks)
+        single = pc.utf8_is_alpha(listed).to_numpy(zero_copy_only=False) & self.plain
+        wide = np.flatnonzero(single & ~pc.string_is_ascii(listed).to_numpy(zero_copy_only=False))
+        text = "".join(listed.take(pa.array(wide)).to_pylist())
+        if max(text, default="") >= LATER:
+            single[[i for i in wide.tolist() if max(listed[i].as_py()) >= LATER]] = False
+        special = np.zeros(n, bool)
+        for token in self.specials:
+            special |= pc.match_substring(chunks, token).to_numpy(zero_copy_only=False)
+        single &= ~special
+        others = np.flatnonzero(~single)
+        cut = [self.cut_normal(c) for c in listed.take(pa.array(others)).to_pylist()]
+        for k in np.flatnonzero(special[others]).tolist():
+            cut[k] = self.words(chunks[int(others[k])].as_py())
+        counts = np.ones(n, np.int64)
+        counts[others] = np.fromiter(map(len, cut), np.int64, len(cut))
+        flat = pa.concat_arrays([listed, pa.array(list(chain.from_iterable(cut)), chunks.type)])
+        start = np.arange(n)
+        start[others] = n + np.cumsum(counts[others]) - counts[others]
+        return flat.take(pa.array(spread(start, counts))), counts
+
     def encode(self, words: list[str]) -> list[list[int]]:
+        if self.tokenizer is None:
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_str(json.dumps(self.spec))
         return [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
 
 
@@ -97,31 +150,101 @@ def _vocabulary(path: str) -> pa.Array:
     return pa.array(listed, pa.string())
 
 
+def pieces(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut to about PIECE bytes of text; one text is never cut."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes, dtype=np.int64) // PIECE
+        starts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            if b > a:
+                yield batch.slice(a, b - a)
+                give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system; several workers share an executor's."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
+def _c_library() -> ctypes.CDLL | None:
+    library = ctypes.CDLL(None)
+    return library if hasattr(library, "malloc_trim") else None
+
+
+_libc = _c_library()
+
+
+class _Cut:
+    """Texts of a batch cut into words: each distinct chunk between white space is cut once."""
+
+    def __init__(self, texts: pa.Array, path: str) -> None:
+        lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+        coded = lists.flatten().dictionary_encode()
+        if isinstance(coded, pa.ChunkedArray):
+            coded = coded.combine_chunks()
+        # Of each place in the texts: its chunk; of each text: where its places begin.
+        self.chunk = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.first = np.concatenate([[0], np.cumsum(sizes)])
+        # Of each chunk: where its words begin among all words.
+        self.words, counts = _words(path).words_of(coded.dictionary)
+        self.start = np.concatenate([[0], np.cumsum(counts)])
+
+    def counts(self) -> tuple[pa.Array, np.ndarray]:
+        """The distinct words, and how often each occurs."""
+        coded = self.words.dictionary_encode()
+        times = np.bincount(self.chunk, minlength=len(self.start) - 1)
+        weights = np.repeat(times, np.diff(self.start))
+        found = np.bincount(coded.indices.to_numpy(zero_copy_only=False), weights, len(coded.dictionary))
+        return coded.dictionary, found.astype(np.int64)
+
+    def numbered(self, common: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+        """Word numbers of all texts one after the other and where each text begins; text and word of each that has none.
+
+        A word without a number is RARE plus its place among the distinct ones of its text, which are in an order of
+        their own.
+        """
+        own = pc.index_in(self.words, value_set=common)
+        number = own.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        length = np.diff(self.start)[self.chunk]
+        word = spread(self.start[self.chunk], length)
+        bounds = np.concatenate([[0], np.cumsum(length)])[self.first]
+        numbers = number[word]
+        odd = np.flatnonzero(numbers < 0)
+        coded = self.words.dictionary_encode()
+        names = pc.sort_indices(coded.dictionary).to_numpy()  # of a word: its place in the order of the words
+        place = np.empty(len(names), np.int64)
+        place[names] = np.arange(len(names))
+        which = place[coded.indices.to_numpy(zero_copy_only=False)[word[odd]]] if len(odd) else odd
+        text = np.searchsorted(bounds, odd, "right") - 1
+        pairs, back = np.unique(text * max(len(names), 1) + which, return_inverse=True)
+        of, at = pairs // max(len(names), 1), pairs % max(len(names), 1)
+        numbers[odd] = RARE + (back - np.searchsorted(of, of, "left")[back])
+        return numbers.astype(np.uint32), bounds, of, coded.dictionary.take(pa.array(names[at]))
+
+
 def distinct_words(docs: DataFrame, text_col: str, path: str) -> DataFrame:
     """word, n: how often each word occurs in all texts. A task adds up what it reads before anything is shuffled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, chunks = _words(path), Counter()
+        held: Counter = Counter()
 
         def done() -> pa.RecordBatch:
-            found: Counter = Counter()
-            for chunk, n in chunks.items():
-                for word in cut.words(chunk):
-                    found[word] += n
-            chunks.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], ["word", "n"]
-            )
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if text:
-                    chunks.update(cut.chunks(text))
-                if len(chunks) > HELD:
-                    yield done()
+            batch = [pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())]
+            held.clear()
+            return pa.RecordBatch.from_arrays(batch, ["word", "n"])
+
+        for batch in pieces(batches, 0):
+            words, counts = _Cut(batch.column(0), path).counts()
+            held.update(dict(zip(words.to_pylist(), counts.tolist(), strict=True)))
+            if len(held) > HELD:
+                yield done()
         yield done()
 
-    found = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "word string, n long")
+    found = docs.select(quoted(text_col).cast("string").alias("text")).mapInArrow(count, "word string, n long")
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -137,76 +260,78 @@ def encoded_words(words: DataFrame, path: str) -> DataFrame:
     return words.mapInArrow(encode, "word string, n long, ids array<int>")
 
 
-class _Numbered:
-    """Chunks as word numbers, for one task."""
-
-    def __init__(self, path: str, common: dict[str, int]) -> None:
-        self.cut, self.common, self.seen = _words(path), common, {}
-
-    def chunk(self, chunk: str) -> tuple[bytes, list[str] | None, list[int] | None]:
-        """The numbers as bytes, the words without a number, and their places."""
-        if (known := self.seen.get(chunk)) is not None:
-            return known
-        if len(self.seen) > HELD:
-            self.seen.clear()
-        words = self.cut.words(chunk)
-        numbers = [self.common.get(word, RARE) for word in words]
-        at = [i for i, n in enumerate(numbers) if n == RARE]
-        value = np.array(numbers, np.uint32).tobytes(), [words[i] for i in at] or None, at or None
-        self.seen[chunk] = value
-        return value
-
-    def text(self, text: str | None) -> tuple[np.ndarray, list[str]]:
-        """Word numbers of a text, and the distinct words that have none, in order of appearance."""
-        if not text:
-            return np.zeros(0, np.uint32), []
-        parts = [self.chunk(c) for c in self.cut.chunks(text)]
-        numbers = np.frombuffer(b"".join([p[0] for p in parts]), np.uint32)
-        rare: dict[str, int] = {}
-        places = [rare.setdefault(word, len(rare)) for p in parts if p[1] for word in p[1]]
-        if places:
-            numbers = numbers.copy()
-            numbers[numbers == RARE] = RARE + np.array(places, np.uint32)
-        return numbers, list(rare)
-
-
-def _packed(numbers: np.ndarray, press: zstandard.ZstdCompressor) -> bytes:
-    """Bytes of one weight together, which compress best."""
-    return press.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
-
-
-def _unpacked(packed: bytes, press: zstandard.ZstdDecompressor) -> np.ndarray:
-    raw = np.frombuffer(press.decompress(packed), np.uint8).reshape(4, -1).T
+def frequent_words(words: DataFrame, most: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """At most `most` of the most frequent words, the most frequent first, and their ids in one array with its bounds.
+
+    The least frequency is read off counts by powers of 2^(1/8), so that no more than `most` words come to the driver.
+    """
+    known = words.where(F.char_length("word") <= COMMON_CHARS)
+    step = F.floor(F.log2("n") * 8).cast("int")
+    least, total = None, 0
+    for row in sorted(known.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
+        total += row.words
+        if total > most:
+            break
+        least = row.step
+    if least is None:
+        return pa.array([], pa.large_string()), np.zeros(1, np.int64), np.zeros(0, np.int32)
+    taken = known.where(step >= least).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    lists = taken.column("ids").combine_chunks()
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+    return taken.column("word").combine_chunks().cast(pa.large_string()), np.concatenate([[0], np.cumsum(sizes)]), flat
+
+
+def _packed(numbers: np.ndarray, rare: list[str], press: zstandard.ZstdCompressor) -> bytes:
+    """Word numbers, bytes of one weight together, which compress best; and the words that have none, one on a line."""
+    planes = press.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+    return struct.pack("<I", len(planes)) + planes + (press.compress("\n".join(rare).encode()) if rare else b"")
+
+
+def _numbers(packed: bytes, press: zstandard.ZstdDecompressor) -> np.ndarray:
+    (size,) = struct.unpack_from("<I", packed)
+    raw = np.frombuffer(press.decompress(packed[4 : 4 + size]), np.uint8).reshape(4, -1).T
     return np.ascontiguousarray(raw).view("<u4").ravel()
 
 
-def _documents(path: str, common: Broadcast, text_at: int, rare_only: bool):
-    """Map documents to their packed word numbers, or to the words they hold that have none."""
+def _rare_words(packed: bytes, press: zstandard.ZstdDecompressor) -> list[str]:
+    (size,) = struct.unpack_from("<I", packed)
+    return press.decompress(packed[4 + size :]).decode().split("\n") if len(packed) > 4 + size else []
+
+
+def _documents(path: str, common: Broadcast, text_at: int):
+    """Map documents to their packed word numbers and the words they hold that have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbered, press = _Numbered(path, {w: i for i, w in enumerate(common.value[0])}), zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            texts = batch.column(text_at).to_pylist()
-            if rare_only:
-                keys = [batch.column(i).to_pylist() for i in (0, 1)]
-                rows = [
-                    (a, b, j, word)
-                    for a, b, text in zip(*keys, texts, strict=True)
-                    for j, word in enumerate(numbered.text(text)[1])
-                ]
-                types = (pa.int64(), pa.int64(), pa.int32(), pa.string())
-                columns = list(zip(*rows, strict=True)) or [()] * 4
-                arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, ["_r1", "_r2", "_j", "_word"])
-            else:
-                packed = pa.array([_packed(numbered.text(text)[0], press) for text in texts], pa.binary())
-                kept = [i for i in range(batch.num_columns) if i != text_at]
-                names = [batch.schema.names[i] for i in kept]
-                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), packed], [*names, "_packed"])
+        listed, press = common.value[0], zstandard.ZstdCompressor(level=3)
+        for batch in pieces(batches, text_at):
+            numbers, bounds, of, rare = _Cut(batch.column(text_at), path).numbered(listed)
+            words, ends = rare.to_pylist(), np.searchsorted(of, np.arange(batch.num_rows + 1)).tolist()
+            packed = [
+                _packed(numbers[a:b], words[c:d], press)
+                for a, b, c, d in zip(bounds[:-1].tolist(), bounds[1:].tolist(), ends[:-1], ends[1:], strict=True)
+            ]
+            kept = [i for i in range(batch.num_columns) if i != text_at]
+            names = [batch.schema.names[i] for i in kept]
+            arrays = [*(batch.column(i) for i in kept), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, [*names, "_packed"])
 
     return run
 
 
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Map packed documents (_r1, _r2, ..., _packed) to one row for each word without a number."""
+    press = zstandard.ZstdDecompressor()
+    for batch in batches:
+        lists = [_rare_words(p, press) for p in batch.column(batch.num_columns - 1).to_pylist()]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        rows = pa.array(np.repeat(np.arange(len(lists)), sizes))
+        place = pa.array(spread(np.zeros(len(lists), np.int64), sizes), pa.int32())
+        words = pa.array(list(chain.from_iterable(lists)), pa.string())
+        keys = [batch.column(i).take(rows) for i in (0, 1)]
+        yield pa.RecordBatch.from_arrays([*keys, place, words], ["_r1", "_r2", "_j", "_word"])
+
+
 def _joined(common: Broadcast, packed_at: int, rare_at: int):
     """Map packed word numbers, and the ids of the words without a number, to ids."""
 
@@ -214,7 +339,7 @@ def _joined(common: Broadcast, packed_at: int, rare_at: int):
         _, offsets, flat = common.value
         press = zstandard.ZstdDecompressor()
         for batch in batches:
-            numbers = [_unpacked(p, press) for p in batch.column(packed_at).to_pylist()]
+            numbers = [_numbers(p, press) for p in batch.column(packed_at).to_pylist()]
             rare = batch.column(rare_at)
             lists = rare.flatten() if len(rare) else pa.array([], pa.list_(pa.int32()))
             sizes = pc.fill_null(pc.list_value_length(rare), 0).to_numpy(zero_copy_only=False)
@@ -229,7 +354,7 @@ def _joined(common: Broadcast, packed_at: int, rare_at: int):
             at = np.where(every >= RARE, every + shift, every)
             start, length = ends[at], ends[at + 1] - ends[at]
             until = np.concatenate([[0], np.cumsum(length)])
-            taken = ids[np.repeat(start - until[:-1], length) + np.arange(until[-1])]
+            taken = ids[spread(start, length)]
             bounds = until[np.concatenate([[0], np.cumsum(counts)])]
             column = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(taken, pa.int32()))
             kept = [i for i in range(batch.num_columns) if i not in (packed_at, rare_at)]
@@ -247,32 +372,24 @@ def encode(
     Null and empty texts have no ids. Strings of special tokens in a text become their ids, as the tokenizer does it. Rows
     that repeat whole share what is joined to them, each is returned. ids_col replaces a column of that name.
     """
-    words = checkpointed(encoded_words(distinct_words(docs, text_col, path), path))
-    frequent = words.where(F.char_length("word") <= COMMON_CHARS).orderBy(F.desc("n"), "word").limit(common)
-    listed = frequent.select("word", "ids").collect()
-    offsets = np.concatenate([[0], np.cumsum([len(row.ids) for row in listed])]).astype(np.int64)
-    flat = np.array([i for row in listed for i in row.ids], np.int32)
-    shared = docs.sparkSession.sparkContext.broadcast(([row.word for row in listed], offsets, flat))
-
-    kept = [c for c in docs.columns if c not in (text_col, ids_col)]
-    keyed = with_key(docs, F.col(id_col), F.col(text_col))
-    source = keyed.select("_r1", "_r2", *kept, F.col(text_col).cast("string").alias("_text"))
-    text_at = len(source.columns) - 1
-    numbers = source.mapInArrow(
-        _documents(path, shared, text_at, False),
-        StructType([*source.schema.fields[:text_at], StructField("_packed", BinaryType())]),
-    )
-    rare = source.select("_r1", "_r2", "_text").mapInArrow(
-        _documents(path, shared, 2, True), "_r1 long, _r2 long, _j int, _word string"
+    words = stored(encoded_words(distinct_words(docs, text_col, path), path), "words")
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_words(words, common))
+    keyed = with_key(packed(docs, drop=[text_col], _id=id_col, _text=text_col), F.col("_id"), F.col("_text"))
+    source = keyed.select("_r1", "_r2", "_row", F.col("_text").cast("string").alias("_text"))
+    packed_rows = source.mapInArrow(
+        _documents(path, shared, 3), StructType([*source.schema.fields[:3], StructField("_packed", BinaryType())])
     )
+    # Dealt out once, by row: both what follows read the same shuffle, and the texts are cut once.
+    numbers = packed_rows.repartition("_r1", "_r2")
+    rare = numbers.mapInArrow(_listed, "_r1 long, _r2 long, _j int, _word string")
     given = rare.join(words.select(F.col("word").alias("_word"), "ids"), "_word")
     lists = given.groupBy("_r1", "_r2").agg(F.array_sort(F.collect_set(F.struct("_j", "ids"))).alias("_given"))
     met = numbers.join(lists, ["_r1", "_r2"], "left").select(
-        *kept, "_packed", F.coalesce(F.col("_given.ids"), F.array().cast("array<array<int>>")).alias("_rare")
+        "_row", "_packed", F.coalesce(F.col("_given.ids"), F.array().cast("array<array<int>>")).alias("_rare")
     )
-    n = len(kept)
-    fields = [*met.schema.fields[:n], StructField("_ids", ArrayType(IntegerType()))]
-    return met.mapInArrow(_joined(shared, n, n + 1), StructType(fields)).withColumnRenamed("_ids", ids_col)
+    fields = [met.schema["_row"], StructField("_ids", ArrayType(IntegerType()))]
+    encoded = met.mapInArrow(_joined(shared, 1, 2), StructType(fields))
+    return unpacked(encoded, [c for c in docs.columns if c != text_col], {ids_col: F.col("_ids")})
 
 
 def decode(encoded: DataFrame, path: str, *, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -281,7 +398,7 @@ def decode(encoded: DataFrame, path: str, *, ids_col: str = "ids", text_col: str
     For tokenizers without a decoder of their own, whose pieces are joined that way. Null ids give an empty text; ids that are
     not in the vocabulary have no piece and are left out, as the tokenizer does it.
     """
-    at = encoded.columns.index(ids_col)
+    at = 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _vocabulary(path)
@@ -299,9 +416,9 @@ def decode(encoded: DataFrame, path: str, *, ids_col: str = "ids", text_col: str
             text = pc.binary_join(pa.ListArray.from_arrays(offsets, joined), " ")
             yield pa.RecordBatch.from_arrays([*batch.columns, text], [*batch.schema.names, "_decoded"])
 
-    fields = [*encoded.schema.fields, StructField("_decoded", StringType())]
-    kept = [c for c in encoded.columns if c != text_col]
-    return encoded.mapInArrow(run, StructType(fields)).select(*kept, F.col("_decoded").alias(text_col))
+    source = packed(encoded, _ids=ids_col)
+    decoded = source.mapInArrow(run, StructType([*source.schema.fields, StructField("_decoded", StringType())]))
+    return unpacked(decoded, encoded.columns, {text_col: F.col("_decoded")})
 
 
 __all__ = ["COMMON", "Words", "decode", "distinct_words", "encode", "encoded_words"]
