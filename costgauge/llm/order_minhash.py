@@ -2,8 +2,10 @@
 
 A text is a sequence of runs of K words, each labelled with its occurrence in the text, so that all are different. A sketch
 takes the LEAST runs that come first under one random order and keeps them in text order; two texts share a sketch if they
-share these runs in the same order. Texts that share a sketch are candidates, and are verified: runs common to both are aligned
-in order inside the band that the wanted similarity leaves, and the similarity is the number aligned over the number of all.
+share these runs in the same order. Texts that share a sketch are candidates. Of 20 sketches, texts of similarity 0.8 share
+ten on average, and fewer than two once in 80,000 pairs, so candidates that share one only go no further. The others are
+verified: runs common to both are aligned in order inside the band that the wanted similarity leaves, and the similarity is
+the number aligned over the number of all.
 
 Equal texts are one from the start. In a bucket of texts that share a sketch, all are compared with its first and with its last
 text, which connects the copies of one text without listing their pairs. Where that leaves a bucket in several components, the
@@ -30,6 +32,7 @@ K = 5
 LEAST = 3
 SKETCHES = 20
 SIMILARITY = 0.8
+SHARED = 2  # sketches a pair must share to be aligned
 WIDE = 1 << 18  # longer texts are sketched one order at a time
 
 _SEEDS = mixed(np.arange(1, 129, dtype=np.uint64)) | np.uint64(1)
@@ -184,9 +187,15 @@ class _Search:
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
+        keys = self.texts.select("node", "keys")
+        sketched = pairs.join(keys.select(F.col("node").alias("b"), F.col("keys").alias("keys_b")), "b").join(
+            keys.select(F.col("node").alias("a"), F.col("keys").alias("keys_a")), "a"
+        )
+        shared = F.size(F.array_intersect("keys_a", "keys_b"))
+        worth = stored(sketched.where(shared >= F.least(F.lit(SHARED), F.size("keys_a"))).select("a", "b"), "worth")
         side_a = bodies.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
         side_b = bodies.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        both = pairs.join(side_b, "b").join(side_a, "a").select("a", "b", "text_a", "text_b")
+        both = worth.join(side_b, "b").join(side_a, "a").select("a", "b", "text_a", "text_b")
         found = both.mapInArrow(_verified(self.k, self.similarity), "a long, b long, similarity double")
         return pairs, stored(found.where(F.col("similarity") >= self.similarity - 1e-9), "links")
 
