@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
+from costgauge.llm.batches import PIECE, pieces
 from costgauge.llm.components import components
 from costgauge.llm.grams import buffer_of, mixed, word_hashes
 from costgauge.llm.rows import hash128, packed, quoted, ranked, stored, text_of, unpacked
@@ -125,7 +126,7 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> flo
 
 def _sketched(k: int, sketches: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 3, PIECE // 4):
             words, first = word_hashes(*buffer_of(batch.column("text")), marks=False)
             digests, sizes, keys = [], [], []
             for a, b in zip(first[:-1], first[1:], strict=True):
@@ -148,7 +149,7 @@ def _sketched(k: int, sketches: int, least: int):
 
 def _verified(k: int, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 2, PIECE // 4):
             sides = [word_hashes(*buffer_of(batch.column(c)), marks=False) for c in ("text_a", "text_b")]
             found = []
             for i in range(batch.num_rows):

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from costgauge.llm.batches import PIECE, give_back, pieces, ranges
 from costgauge.llm.grams import buffer_of, mixed, word_hashes
 from costgauge.llm.rows import checkpointed, packed, quoted, ranked, text_of, unpacked, with_key
 
@@ -62,7 +63,7 @@ def labelled_sample(labels: DataFrame, *, id_col: str = "doc_id", sample: int =
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    for batch in batches:
+    for batch in pieces(batches, 0, PIECE // 4):
         buckets, of = _buckets(batch.column(0))
         raw += np.bincount(buckets, minlength=BUCKETS)
         good = batch.column(1).fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
@@ -76,10 +77,14 @@ def _scorer(ratio: np.ndarray):
 
     @F.arrow_udf(kind)
     def score(texts: pa.Array) -> pa.Array:
-        buckets, of = _buckets(texts)
-        n = np.bincount(of, minlength=len(texts))
-        total = np.bincount(of, weights=ratio[buckets], minlength=len(texts))
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(total, pa.float64())], ["n", "ratio"])
+        counts, totals = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for a, b in ranges(texts, PIECE // 4):
+            buckets, of = _buckets(texts.slice(a, b - a))
+            counts.append(np.bincount(of, minlength=b - a))
+            totals.append(np.bincount(of, weights=ratio[buckets], minlength=b - a))
+        give_back()
+        arrays = [pa.array(np.concatenate(counts), pa.int64()), pa.array(np.concatenate(totals), pa.float64())]
+        return pa.StructArray.from_arrays(arrays, ["n", "ratio"])
 
     return score
 

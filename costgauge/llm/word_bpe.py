@@ -10,7 +10,6 @@ vocabulary, which is as large as the tokenizer's file.
 
 from __future__ import annotations
 
-import ctypes
 import json
 import os
 import struct
@@ -29,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
 
+from costgauge.llm.batches import PIECE, pieces
 from costgauge.llm.rows import packed, quoted, stored, unpacked, with_key
 
 COMMON = 500_000
 COMMON_CHARS = 64
 HELD = 1_000_000  # distinct words a task counts at a time
-PIECE = 4 << 20  # bytes of text cut at a time
 LATER = "\u0250"
 RARE = 1 << 31  # from here on, a word number is the place of a word in the document's own list
 
@@ -150,33 +149,6 @@ def _vocabulary(path: str) -> pa.Array:
     return pa.array(listed, pa.string())
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
-    """Batches cut to about PIECE bytes of text; one text is never cut."""
-    for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
-        part = np.cumsum(sizes, dtype=np.int64) // PIECE
-        starts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(starts[:-1], starts[1:], strict=True):
-            if b > a:
-                yield batch.slice(a, b - a)
-                give_back()
-
-
-def give_back() -> None:
-    """Return freed memory to the system; several workers share an executor's."""
-    pa.default_memory_pool().release_unused()
-    if _libc is not None:
-        _libc.malloc_trim(0)
-
-
-def _c_library() -> ctypes.CDLL | None:
-    library = ctypes.CDLL(None)
-    return library if hasattr(library, "malloc_trim") else None
-
-
-_libc = _c_library()
-
-
 class _Cut:
     """Texts of a batch cut into words: each distinct chunk between white space is cut once."""
 
@@ -338,7 +310,7 @@ def _joined(common: Broadcast, packed_at: int, rare_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, offsets, flat = common.value
         press = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in pieces(batches, packed_at, PIECE // 8):
             numbers = [_numbers(p, press) for p in batch.column(packed_at).to_pylist()]
             rare = batch.column(rare_at)
             lists = rare.flatten() if len(rare) else pa.array([], pa.list_(pa.int32()))
@@ -401,13 +373,13 @@ def decode(encoded: DataFrame, path: str, *, ids_col: str = "ids", text_col: str
     at = 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _vocabulary(path)
-        for batch in batches:
+        vocabulary = _vocabulary(path)
+        for batch in pieces(batches, at, PIECE // 8):
             ids = pc.fill_null(batch.column(at), []) if batch.column(at).null_count else batch.column(at)
             flat, sizes = ids.flatten(), ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             numbers = pc.fill_null(flat, -1).to_numpy(zero_copy_only=False)
-            known = (numbers >= 0) & (numbers < len(pieces))
-            joined = pieces.take(pa.array(np.where(known, numbers, 0)))
+            known = (numbers >= 0) & (numbers < len(vocabulary))
+            joined = vocabulary.take(pa.array(np.where(known, numbers, 0)))
             if not known.all() or joined.null_count:
                 good = known & pc.is_valid(joined).to_numpy(zero_copy_only=False)
                 rows = np.repeat(np.arange(len(sizes)), sizes)[good]
