@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 4 << 20
+PIECE = 2 << 20
 
 
 def _c_library() -> ctypes.CDLL | None:

@@ -126,7 +126,7 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> flo
 
 def _sketched(k: int, sketches: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 3, PIECE // 4):
+        for batch in pieces(batches, 3, PIECE // 2):
             words, first = word_hashes(*buffer_of(batch.column("text")), marks=False)
             digests, sizes, keys = [], [], []
             for a, b in zip(first[:-1], first[1:], strict=True):
@@ -149,7 +149,7 @@ def _sketched(k: int, sketches: int, least: int):
 
 def _verified(k: int, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 2, PIECE // 4):
+        for batch in pieces(batches, 2, PIECE // 2):
             sides = [word_hashes(*buffer_of(batch.column(c)), marks=False) for c in ("text_a", "text_b")]
             found = []
             for i in range(batch.num_rows):

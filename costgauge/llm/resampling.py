@@ -63,7 +63,7 @@ def labelled_sample(labels: DataFrame, *, id_col: str = "doc_id", sample: int =
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    for batch in pieces(batches, 0, PIECE // 4):
+    for batch in pieces(batches, 0, PIECE // 2):
         buckets, of = _buckets(batch.column(0))
         raw += np.bincount(buckets, minlength=BUCKETS)
         good = batch.column(1).fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
@@ -78,7 +78,7 @@ def _scorer(ratio: np.ndarray):
     @F.arrow_udf(kind)
     def score(texts: pa.Array) -> pa.Array:
         counts, totals = [np.zeros(0, np.int64)], [np.zeros(0)]
-        for a, b in ranges(texts, PIECE // 4):
+        for a, b in ranges(texts, PIECE // 2):
             buckets, of = _buckets(texts.slice(a, b - a))
             counts.append(np.bincount(of, minlength=b - a))
             totals.append(np.bincount(of, weights=ratio[buckets], minlength=b - a))

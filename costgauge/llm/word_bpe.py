@@ -13,7 +13,6 @@ from __future__ import annotations
 import json
 import os
 import struct
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -33,7 +32,6 @@ from costgauge.llm.rows import packed, quoted, stored, unpacked, with_key
 
 COMMON = 500_000
 COMMON_CHARS = 64
-HELD = 1_000_000  # distinct words a task counts at a time
 LATER = "\u0250"
 RARE = 1 << 31  # from here on, a word number is the place of a word in the document's own list
 
@@ -199,22 +197,12 @@ class _Cut:
 
 
 def distinct_words(docs: DataFrame, text_col: str, path: str) -> DataFrame:
-    """word, n: how often each word occurs in all texts. A task adds up what it reads before anything is shuffled."""
+    """word, n: how often each word occurs in all texts. A task adds up what it reads before it is shuffled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def done() -> pa.RecordBatch:
-            batch = [pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())]
-            held.clear()
-            return pa.RecordBatch.from_arrays(batch, ["word", "n"])
-
         for batch in pieces(batches, 0):
             words, counts = _Cut(batch.column(0), path).counts()
-            held.update(dict(zip(words.to_pylist(), counts.tolist(), strict=True)))
-            if len(held) > HELD:
-                yield done()
-        yield done()
+            yield pa.RecordBatch.from_arrays([words.cast(pa.string()), pa.array(counts, pa.int64())], ["word", "n"])
 
     found = docs.select(quoted(text_col).cast("string").alias("text")).mapInArrow(count, "word string, n long")
     return found.groupBy("word").agg(F.sum("n").alias("n"))
@@ -310,7 +298,7 @@ def _joined(common: Broadcast, packed_at: int, rare_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, offsets, flat = common.value
         press = zstandard.ZstdDecompressor()
-        for batch in pieces(batches, packed_at, PIECE // 8):
+        for batch in pieces(batches, packed_at, PIECE // 4):
             numbers = [_numbers(p, press) for p in batch.column(packed_at).to_pylist()]
             rare = batch.column(rare_at)
             lists = rare.flatten() if len(rare) else pa.array([], pa.list_(pa.int32()))
@@ -374,7 +362,7 @@ def decode(encoded: DataFrame, path: str, *, ids_col: str = "ids", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(path)
-        for batch in pieces(batches, at, PIECE // 8):
+        for batch in pieces(batches, at, PIECE // 4):
             ids = pc.fill_null(batch.column(at), []) if batch.column(at).null_count else batch.column(at)
             flat, sizes = ids.flatten(), ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             numbers = pc.fill_null(flat, -1).to_numpy(zero_copy_only=False)
