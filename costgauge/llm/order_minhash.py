@@ -8,9 +8,11 @@ verified: runs common to both are aligned in order inside the band that the want
 the number aligned over the number of all.
 
 Equal texts are one from the start. In a bucket of texts that share a sketch, all are compared with its first and with its last
-text, which connects the copies of one text without listing their pairs. Where that leaves a bucket in several components, the
-texts of all others are compared with the first text of a component that is not the largest. A text has SKETCHES buckets, so two
-similar texts meet in about half of them, each with other neighbours; what one bucket leaves apart another connects.
+text, which connects the copies of one text without listing their pairs. Where that leaves a bucket in several components, its
+texts are compared with the one that shares most sketches with others, the source of copies that are unlike each other. What
+is then still open is settled for every pair: a text's signature holds the parities of its runs, hashed to places, so two
+signatures differ in at most as many bits as the texts in runs. All pairs of an open bucket that are in different components
+are compared by signature, in blocks of rows, and those whose bits allow the wanted similarity are aligned.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ SKETCHES = 20
 SIMILARITY = 0.8
 SHARED = 2  # sketches a pair must share to be aligned
 WIDE = 1 << 18  # longer texts are sketched one order at a time
+BLOCK_ROWS = 1024  # a larger open bucket is dealt out by pairs of blocks
 
 _SEEDS = mixed(np.arange(1, 129, dtype=np.uint64)) | np.uint64(1)
 
@@ -96,6 +99,44 @@ def sketch(runs: np.ndarray, sketches: int = SKETCHES, least: int = LEAST) -> np
     return key
 
 
+def signature(runs: np.ndarray) -> np.ndarray:
+    """For each place, whether an odd number of labelled runs falls on it; 2 to 4 places a run, a power of two."""
+    places = 64 << max(0, (2 * len(runs) - 1).bit_length() - 6)
+    at = (mixed(labelled(runs)) & np.uint64(places - 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=places) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.uint64)
+
+
+def _folded(signatures: np.ndarray, size: int) -> np.ndarray:
+    """Signatures (rows) as they are with `size` words."""
+    return np.bitwise_xor.reduce(signatures.reshape(len(signatures), -1, size), axis=1)
+
+
+def _allowed(n: np.ndarray | int, m: np.ndarray | int, similarity: float) -> np.ndarray | float:
+    """Runs that only one of two texts of n and m runs may have. Common runs cancel out, so as many bits may differ."""
+    return (n + m) * (1 - similarity) / (1 + similarity) + 1e-6
+
+
+def near_pairs(n: np.ndarray, signatures: list[np.ndarray], comp: np.ndarray, similarity: float) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row the other rows, of other components and each pair once, that its signature does not rule out.
+
+    Rows are in order of their numbers of runs n, so that what can be similar to a row follows it closely.
+    """
+    sizes = np.array([len(s) for s in signatures])
+    ends = np.searchsorted(n, n / similarity + 1e-6, "right")
+    for size in np.unique(sizes):
+        own = np.flatnonzero(sizes == size)
+        first, last = own[0], ends[own[-1]]
+        wide = np.concatenate([
+            _folded(np.stack([signatures[j] for j in range(first, last) if sizes[j] == s]), size)
+            for s in np.unique(sizes[first:last])
+        ]).T.copy()
+        for i in own:
+            others = np.arange(i + 1, ends[i])
+            bits = np.bitwise_count(wide[:, others - first] ^ wide[:, [i - first]]).sum(axis=0, dtype=np.int64)
+            yield i, others[(bits <= _allowed(n[i], n[others], similarity)) & (comp[others] != comp[i])]
+
+
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> float:
     """Share of labelled runs that can be aligned in order inside the band; 0 as soon as it must be under `similarity`.
 
@@ -162,6 +203,65 @@ def _verified(k: int, similarity: float):
     return run
 
 
+def _signed(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 1, PIECE // 2):
+            words, first = word_hashes(*buffer_of(batch.column("text")), marks=False)
+            found = [signature(runs_of(words[a:b], k)).view(np.int64) for a, b in zip(first[:-1], first[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "bits"]
+            )
+
+    return run
+
+
+def _met(similarity: float):
+    """Pairs of a part that signatures allow; a part's rows follow each other."""
+
+    def pairs_of(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = rows.sort_by([("n", "ascending"), ("node", "ascending")])
+        node, n, comp, block = (rows.column(c).to_numpy() for c in ("node", "n", "comp", "block"))
+        bits = rows.column("bits").combine_chunks()
+        flat, at = bits.flatten().to_numpy().view(np.uint64), np.cumsum([0, *bits.value_lengths().to_pylist()])
+        signatures = [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        across = rows.column("low")[0] != rows.column("high")[0]  # pairs inside a block are met in its own part
+        out, size = [], 0
+
+        def listed() -> pa.RecordBatch:
+            a, b = np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
+            swap = node[a] > node[b]
+            a, b = np.where(swap, b, a), np.where(swap, a, b)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (node[a], node[b], n[a], n[b])], ["a", "b", "n_a", "n_b"])
+
+        for i, others in near_pairs(n, signatures, comp, similarity):
+            if across:
+                others = others[block[others] != block[i]]
+            if len(others):
+                out.append((np.full(len(others), i), others))
+                size += len(others)
+                if size > 50_000:
+                    yield listed()
+                    out, size = [], 0
+        if out:
+            yield listed()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            part = [batch.column(c).to_numpy() for c in ("key", "low", "high")]
+            cuts = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in part])) + 1
+            for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+                if held and b > a and any(held[0].column(c)[0].as_py() != x[a] for c, x in zip(("key", "low", "high"), part, strict=True)):
+                    yield from pairs_of(pa.Table.from_batches(held))
+                    held = []
+                if b > a:
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield from pairs_of(pa.Table.from_batches(held))
+
+    return run
+
+
 class _Search:
     """The texts of one table, and the links found between them so far."""
 
@@ -225,31 +325,54 @@ class _Search:
                 )
             ).alias("p")
         )
-        pairs, links = self.verified(met.select("p.*"), bodies, None)
-        if links.isEmpty():
-            return None
+        seen, links = self.verified(met.select("p.*"), bodies, None)
         labels = components(links)
-        # Buckets of three and more that are not one component: the texts outside the largest one meet a first text of theirs.
-        named = members.where("size > 2").select("key", "node", "n").join(
-            labels.select(F.col("node").alias("_node"), "comp"), F.col("node") == F.col("_node"), "left"
-        )
-        named = stored(named.select("key", "node", "n", F.coalesce("comp", "node").alias("comp")), "named")
-        parts = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("_n"), F.min(one).alias("first"))
-        by_chance = F.struct(F.xxhash64("key", "comp").alias("_turn"), "first", "comp")
-        mains = parts.groupBy("key").agg(
-            F.max(F.struct("_n", "comp")).alias("main"), F.min(by_chance).alias("one"),
-            F.max(by_chance).alias("other"), F.count(F.lit(1)).alias("n_parts"),
-        )
-        # Of two components one is not the main one; which it is differs from bucket to bucket.
-        lead = F.when(F.col("one.comp") != F.col("main.comp"), F.col("one")).otherwise(F.col("other"))
-        open_ = mains.where("n_parts > 1").select(F.col("key").alias("_key"), lead.alias("lead"))
-        rest = named.join(stored(open_, "open"), F.col("key") == F.col("_key")).where(F.col("comp") != F.col("lead.comp"))
+        # The first and the last text of a bucket have met all others, so one of three texts is settled.
+        larger = members.where("size > 3").select("key", "node", "n")
+        left = self.opened(larger, labels)
+        if left.isEmpty():
+            return labels
+        weights = left.groupBy(F.col("node").alias("_node")).agg(F.sum("size").alias("weight"))
+        weighted = left.join(stored(weights, "weights"), F.col("node") == F.col("_node"))
+        leads = weighted.groupBy(F.col("key").alias("_key")).agg(F.max(F.struct("weight", "node", "n", "comp")).alias("lead"))
+        rest = left.join(stored(leads, "leads"), F.col("key") == F.col("_key")).where(F.col("comp") != F.col("lead.comp"))
+        low, high = F.col("node") < F.col("lead.node"), F.col("node") >= F.col("lead.node")
         more = rest.select(
-            F.least("node", "lead.first.node").alias("a"), F.greatest("node", "lead.first.node").alias("b"),
-            F.col("n").alias("n_a"), F.col("lead.first.n").alias("n_b"),
+            F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"),
+            F.when(low, F.col("n")).otherwise(F.col("lead.n")).alias("n_a"),
+            F.when(high, F.col("n")).otherwise(F.col("lead.n")).alias("n_b"),
         )
-        _, further = self.verified(more, bodies, pairs)
-        return labels if further.isEmpty() else components(links.unionByName(further))
+        further, found = self.verified(more, bodies, seen)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            labels = components(links)
+            left = self.opened(larger, labels)
+        _, found = self.verified(self.allowed(left, bodies), bodies, seen.unionByName(further))
+        return labels if found.isEmpty() else components(links.unionByName(found))
+
+    def opened(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """The members (key, node, n) of buckets in several components, with comp and the bucket's size."""
+        named = members.join(labels.select(F.col("node").alias("_node"), "comp"), F.col("node") == F.col("_node"), "left")
+        named = stored(named.select("key", "node", "n", F.coalesce("comp", "node").alias("comp")), "named")
+        parts = named.groupBy(F.col("key").alias("_key")).agg(
+            F.min("comp").alias("_least"), F.max("comp").alias("_most"), F.count(F.lit(1)).alias("size")
+        )
+        several = stored(parts.where("_least < _most").select("_key", "size"), "several")
+        return stored(named.join(several, F.col("key") == F.col("_key")).drop("_key"), "open")
+
+    def allowed(self, left: DataFrame, bodies: DataFrame) -> DataFrame:
+        """All pairs of open buckets, in different components, that can be similar by their signatures."""
+        bits = stored(bodies.mapInArrow(_signed(self.k), "node long, bits array<long>").withColumnRenamed("node", "_node"), "bits")
+        blocks = F.ceil(F.col("size") / BLOCK_ROWS)
+        placed = left.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn(
+            "other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+        )
+        parts = placed.select(
+            "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "n", "comp"
+        )
+        signed = parts.join(bits, F.col("node") == F.col("_node")).drop("_node")
+        dealt = signed.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+        return dealt.mapInArrow(_met(self.similarity), "a long, b long, n_a long, n_b long")
 
 
 def _searched(

@@ -158,3 +158,57 @@ def test_components(spark):
             x, y = top(a), top(b)
             up[max(x, y)] = min(x, y)
     assert got == {x: top(x) for x in up}
+
+
+def star(n=1000, size=150):
+    """A source and copies of it at 0.82 to 0.88 whose edits are independent, so that most are under 0.8 to each other."""
+    source = prose(77, size).split()
+    copies = []
+    for seed in range(n):
+        rng = random.Random(seed)
+        w = list(source)
+        while similarity_of_edits(source, w) > 0.88:
+            w[rng.randrange(size)] = f"own{seed}x{rng.randrange(10**6)}"
+        copies.append(" ".join(w))
+    return " ".join(source), copies
+
+
+def similarity_of_edits(a, b):
+    """Of texts that differ in replaced words only."""
+    runs = [[tuple(w[i : i + 5]) for i in range(len(w) - 4)] for w in (a, b)]
+    common = sum(x == y for x, y in zip(*runs, strict=True))
+    return common / (2 * len(runs[0]) - common)
+
+
+def test_star(spark):
+    """Copies meet through their source, wherever it is in their buckets."""
+    source, copies = star()
+    copies = [c for c in copies if similarity_of_edits(source.split(), c.split()) >= 0.82]
+    assert len(copies) > 600
+    pairs = [similarity_of_edits(a.split(), b.split()) for a, b in zip(copies, copies[1:], strict=False)]
+    assert sum(p < 0.8 for p in pairs) > 0.9 * len(pairs)
+    rows = [(1, source)] + [(10 + i, c) for i, c in enumerate(copies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert {r.class_id for r in order_minhash.classes(docs).collect()} == {1}
+
+
+def test_signatures_allow_every_similar_pair():
+    """What blocks of signatures leave out is not similar, at all sizes and components."""
+    rng = np.random.default_rng(3)
+    texts = []
+    for base in (3, 9, 31, 33, 70, 130):
+        runs = rng.integers(0, 2**63, base).astype(np.uint64)
+        for _ in range(12):
+            own = runs.copy()
+            edits = rng.integers(0, base // 5 + 1)
+            own[rng.integers(0, base, edits)] = rng.integers(0, 2**63, edits).astype(np.uint64)
+            texts.append(own[: base - rng.integers(0, base // 8 + 1)])
+    texts.sort(key=len)
+    n = np.array([len(t) for t in texts])
+    comp = np.arange(len(texts)) % 7
+    got = {(i, int(j)) for i, js in order_minhash.near_pairs(n, [order_minhash.signature(t) for t in texts], comp, 0.8) for j in js}
+    wanted = {
+        (i, j) for i in range(len(texts)) for j in range(i + 1, len(texts))
+        if comp[i] != comp[j] and order_minhash.aligned(texts[i], texts[j]) >= 0.8 - 1e-9
+    }
+    assert wanted and wanted <= got and len(got) < 2 * len(wanted) + 20
