@@ -2,17 +2,17 @@
 
 A text is a sequence of runs of K words, each labelled with its occurrence in the text, so that all are different. A sketch
 takes the LEAST runs that come first under one random order and keeps them in text order; two texts share a sketch if they
-share these runs in the same order. Texts that share a sketch are candidates. Of 20 sketches, texts of similarity 0.8 share
-ten on average, and fewer than two once in 80,000 pairs, so candidates that share one only go no further. The others are
-verified: runs common to both are aligned in order inside the band that the wanted similarity leaves, and the similarity is
-the number aligned over the number of all.
+share these runs in the same order. Texts that share a sketch are candidates. Of 20 sketches, long texts of similarity 0.8 share
+ten on average, and none once in 1.7 million pairs; the shortest that can be that similar, of 4 and 5 runs, none once in 27,000.
+Candidates are verified: runs common to both are aligned in order inside the band that the wanted similarity leaves, and the
+similarity is the number aligned over the number of all. A text's signature holds the parities of its runs, hashed to places,
+so two signatures differ in at most as many bits as the texts in runs, and candidates that differ in too many are not aligned.
 
 Equal texts are one from the start. In a bucket of texts that share a sketch, all are compared with its first and with its last
 text, which connects the copies of one text without listing their pairs. Where that leaves a bucket in several components, its
 texts are compared with the one that shares most sketches with others, the source of copies that are unlike each other. What
-is then still open is settled for every pair: a text's signature holds the parities of its runs, hashed to places, so two
-signatures differ in at most as many bits as the texts in runs. All pairs of an open bucket that are in different components
-are compared by signature, in blocks of rows, and those whose bits allow the wanted similarity are aligned.
+is then still open is settled for every pair: all pairs of an open bucket that are in different components are compared by
+signature, in blocks of rows, and those whose bits allow the wanted similarity are aligned.
 """
 
 from __future__ import annotations
@@ -35,7 +35,6 @@ K = 5
 LEAST = 3
 SKETCHES = 20
 SIMILARITY = 0.8
-SHARED = 2  # sketches a pair must share to be aligned
 WIDE = 1 << 18  # longer texts are sketched one order at a time
 BLOCK_ROWS = 1024  # a larger open bucket is dealt out by pairs of blocks
 
@@ -207,23 +206,46 @@ def _signed(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 1, PIECE // 2):
             words, first = word_hashes(*buffer_of(batch.column("text")), marks=False)
-            found = [signature(runs_of(words[a:b], k)).view(np.int64) for a, b in zip(first[:-1], first[1:], strict=True)]
+            runs = [runs_of(words[a:b], k) for a, b in zip(first[:-1], first[1:], strict=True)]
+            found = [signature(x).view(np.int64) for x in runs]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "bits"]
+                [batch.column("node"), pa.array([len(x) for x in runs], pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+                ["node", "n", "bits"],
             )
 
     return run
 
 
+def _signatures(bits: pa.ListArray) -> list[np.ndarray]:
+    flat, at = bits.flatten().to_numpy().view(np.uint64), np.cumsum([0, *bits.value_lengths().to_pylist()])
+    return [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def _worth(similarity: float):
+    """Pairs whose signatures allow the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            differ = np.empty(batch.num_rows, np.int64)
+            sides = zip(_signatures(batch.column("bits_a")), _signatures(batch.column("bits_b")), strict=True)
+            for i, (x, y) in enumerate(sides):
+                if len(x) != len(y):
+                    size = min(len(x), len(y))
+                    x, y = _folded(x[None, :], size)[0], _folded(y[None, :], size)[0]
+                differ[i] = np.bitwise_count(x ^ y).sum()
+            yield batch.select(["a", "b"]).filter(pa.array(differ <= _allowed(n_a, n_b, similarity)))
+
+    return run
+
+
 def _met(similarity: float):
     """Pairs of a part that signatures allow; a part's rows follow each other."""
 
     def pairs_of(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         rows = rows.sort_by([("n", "ascending"), ("node", "ascending")])
         node, n, comp, block = (rows.column(c).to_numpy() for c in ("node", "n", "comp", "block"))
-        bits = rows.column("bits").combine_chunks()
-        flat, at = bits.flatten().to_numpy().view(np.uint64), np.cumsum([0, *bits.value_lengths().to_pylist()])
-        signatures = [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        signatures = _signatures(rows.column("bits").combine_chunks())
         across = rows.column("low")[0] != rows.column("high")[0]  # pairs inside a block are met in its own part
         out, size = [], 0
 
@@ -281,19 +303,17 @@ class _Search:
         self.texts = ranked(texts, ["t1", "t2"], "node").select("node", "t1", "t2", "n", "keys", "first.*")
         self.texts = stored(self.texts, "near")
 
-    def verified(self, pairs: DataFrame, bodies: DataFrame, seen: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    def verified(self, pairs: DataFrame, bodies: DataFrame, bits: DataFrame, seen: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         """New pairs (a < b, with their numbers of runs n_a, n_b), and those of them whose texts align."""
         alike = F.least("n_a", "n_b") >= self.similarity * F.greatest("n_a", "n_b")
         pairs = pairs.where(alike & (F.col("a") < F.col("b"))).select("a", "b").distinct()
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        keys = self.texts.select("node", "keys")
-        sketched = pairs.join(keys.select(F.col("node").alias("b"), F.col("keys").alias("keys_b")), "b").join(
-            keys.select(F.col("node").alias("a"), F.col("keys").alias("keys_a")), "a"
-        )
-        shared = F.size(F.array_intersect("keys_a", "keys_b"))
-        worth = stored(sketched.where(shared >= F.least(F.lit(SHARED), F.size("keys_a"))).select("a", "b"), "worth")
+        signed_a, signed_b = (bits.select(*(F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "bits"))) for side in "ab")
+        signed = pairs.join(signed_b, F.col("b") == F.col("node_b")).join(signed_a, F.col("a") == F.col("node_a"))
+        signed = signed.select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+        worth = stored(signed.mapInArrow(_worth(self.similarity), "a long, b long"), "worth")
         side_a = bodies.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
         side_b = bodies.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         both = worth.join(side_b, "b").join(side_a, "a").select("a", "b", "text_a", "text_b")
@@ -317,6 +337,7 @@ class _Search:
         same = (F.col("x1") == F.col("_x1")) & (F.col("x2") == F.col("_x2")) & F.col("doc").eqNullSafe(F.col("_doc"))
         # Rows that repeat whole give a node its text once.
         bodies = stored(self.source.join(wanted, same).groupBy("node").agg(F.first("text").alias("text")), "texts")
+        bits = stored(bodies.mapInArrow(_signed(self.k), "node long, n long, bits array<long>"), "bits")
         met = members.select(
             F.explode(
                 F.array(
@@ -325,7 +346,7 @@ class _Search:
                 )
             ).alias("p")
         )
-        seen, links = self.verified(met.select("p.*"), bodies, None)
+        seen, links = self.verified(met.select("p.*"), bodies, bits, None)
         labels = components(links)
         # The first and the last text of a bucket have met all others, so one of three texts is settled.
         larger = members.where("size > 3").select("key", "node", "n")
@@ -342,12 +363,12 @@ class _Search:
             F.when(low, F.col("n")).otherwise(F.col("lead.n")).alias("n_a"),
             F.when(high, F.col("n")).otherwise(F.col("lead.n")).alias("n_b"),
         )
-        further, found = self.verified(more, bodies, seen)
+        further, found = self.verified(more, bodies, bits, seen)
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = components(links)
             left = self.opened(larger, labels)
-        _, found = self.verified(self.allowed(left, bodies), bodies, seen.unionByName(further))
+        _, found = self.verified(self.allowed(left, bits), bodies, bits, seen.unionByName(further))
         return labels if found.isEmpty() else components(links.unionByName(found))
 
     def opened(self, members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -360,9 +381,8 @@ class _Search:
         several = stored(parts.where("_least < _most").select("_key", "size"), "several")
         return stored(named.join(several, F.col("key") == F.col("_key")).drop("_key"), "open")
 
-    def allowed(self, left: DataFrame, bodies: DataFrame) -> DataFrame:
+    def allowed(self, left: DataFrame, bits: DataFrame) -> DataFrame:
         """All pairs of open buckets, in different components, that can be similar by their signatures."""
-        bits = stored(bodies.mapInArrow(_signed(self.k), "node long, bits array<long>").withColumnRenamed("node", "_node"), "bits")
         blocks = F.ceil(F.col("size") / BLOCK_ROWS)
         placed = left.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn(
             "other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
@@ -370,7 +390,7 @@ class _Search:
         parts = placed.select(
             "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "n", "comp"
         )
-        signed = parts.join(bits, F.col("node") == F.col("_node")).drop("_node")
+        signed = parts.join(bits.select(F.col("node").alias("_node"), "bits"), F.col("node") == F.col("_node")).drop("_node")
         dealt = signed.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
         return dealt.mapInArrow(_met(self.similarity), "a long, b long, n_a long, n_b long")
 

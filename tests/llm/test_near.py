@@ -212,3 +212,23 @@ def test_signatures_allow_every_similar_pair():
         if comp[i] != comp[j] and order_minhash.aligned(texts[i], texts[j]) >= 0.8 - 1e-9
     }
     assert wanted and wanted <= got and len(got) < 2 * len(wanted) + 20
+
+
+def sketches_of(text):
+    data = text.encode()
+    hashes, _ = word_hashes(np.frombuffer(data, np.uint8), np.array([0, len(data)]), marks=False)
+    return order_minhash.sketch(order_minhash.runs_of(hashes))
+
+
+def test_short_pairs_of_one_sketch(spark):
+    """Texts of 8 and 9 words, 0.8 alike, are one class though they share one sketch of 20 only."""
+    rows, seed = [], 0
+    while len(rows) < 6:
+        text = prose(100_000 + seed, 9).replace("\n", " ")
+        short = text.rsplit(" ", 1)[0]
+        if (sketches_of(text) == sketches_of(short)).sum() == 1:
+            rows += [(2 * len(rows) + 1, text), (2 * len(rows) + 2, short)]
+        seed += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.class_id) for r in order_minhash.classes(docs).collect())
+    assert got == sorted(plain_classes(rows)) and len({c for _, c in got}) == 3
