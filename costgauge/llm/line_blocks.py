@@ -3,7 +3,7 @@
 A page is cut into lines, one for each block element, with the markup stripped. Lines of page furniture (by element, role or
 class) and text inside links weigh nothing; every other line weighs its length. Summed over sliding windows of lines, the
 weights surge where the main text begins and dive where it ends, and the lines between are kept. Where the page names its
-article, lines outside it weigh nothing, so that the surge and the dive are the article's own ends.
+article, and that is no small part of its text (see ARTICLE), the article's own lines are taken in place of the distribution.
 
 A page is worked on where it is read; nothing is shuffled.
 """
@@ -21,6 +21,7 @@ from pyspark.sql.types import StringType
 
 WINDOW = 3
 SURGE = 80
+ARTICLE = 0.25  # least share of a page's text in one article, or twice that in all, for lines outside to weigh nothing
 
 _TAG = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"""
@@ -65,10 +66,11 @@ MAIN_NAMES = {"articlebody", "article-body", "entry-content", "post-content", "a
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "named", "always", "main", "holds_main")
+    __slots__ = ("tag", "parent", "named", "anchor", "always", "main", "holds_main")
 
-    def __init__(self, tag: str, parent: _Element | None, named: bool, always: bool, main: bool) -> None:
+    def __init__(self, tag: str, parent: _Element | None, named: bool, always: bool, main: bool, anchor: bool = False) -> None:
         self.tag, self.parent, self.named, self.always, self.main = tag, parent, named, always, main
+        self.anchor = anchor
         self.holds_main = False
 
 
@@ -80,20 +82,23 @@ class _Line:
 
 
 def _element(tag: str, attributes: str, parent: _Element | None) -> _Element:
-    named = main = False
+    named = main = anchor = False
     always = tag in FURNITURE
     if attributes and not attributes.isspace():
         found = {name.lower(): value.strip("\"'") for name, value in _ATTRIBUTE.findall(attributes)}
         names = f"{found.get('class', '')} {found.get('id', '')}"
         if tag not in ("html", "body"):
             named = any(word.lower() in NAMES for word in _WORDS.findall(names))
+            # The id of a heading or section is made from its title.
+            by_class = named and any(word.lower() in NAMES for word in _WORDS.findall(found.get("class", "")))
+            anchor = named and not by_class and (tag in HEADING or tag == "section")
         role = found.get("role", "").lower()
         hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
         always = always or role in ROLES or (hidden and tag not in ("html", "body"))
         main = role in ("main", "article") or found.get("itemprop", "").lower() == "articlebody"
         main = main or any(name.lower() in MAIN_NAMES for name in names.split())
     main = (main or tag in ("article", "main")) and not named and not always
-    return _Element(tag, parent, named, always, main)
+    return _Element(tag, parent, named, always, main, anchor)
 
 
 def lines_of_page(page: str) -> list[_Line]:
@@ -167,20 +172,21 @@ def lines_of_page(page: str) -> list[_Line]:
     return lines
 
 
-def _state(element: _Element, seen: dict[int, tuple[bool, bool]]) -> tuple[bool, bool]:
-    """Whether an element lies in page furniture, and whether in the article."""
+def _state(element: _Element, seen: dict[int, tuple[bool, _Element | None]]) -> tuple[bool, _Element | None]:
+    """Whether an element lies in page furniture, and the outermost article around it."""
     above: list[_Element] = []
     at: _Element | None = element
     while at is not None and id(at) not in seen:
         above.append(at)
         at = at.parent
-    out, main = seen[id(at)] if at is not None else (False, False)
+    out, main = seen[id(at)] if at is not None else (False, None)
     for one in reversed(above):
         if one.tag == "header" and not main and not one.holds_main:
             out = True
         # A class may name furniture on an element that holds the article; such a name is only about the layout.
-        out = out or one.always or (one.named and not one.holds_main)
-        main = main or one.main
+        named = one.named and not one.holds_main and not (one.anchor and main)
+        out = out or one.always or named
+        main = main or (one if one.main else None)
         seen[id(one)] = out, main
     return out, main
 
@@ -198,12 +204,19 @@ def main_lines(page: str, window: int = WINDOW, surge: int = SURGE) -> list[str]
     """The lines between the surges and dives of the line-block distribution."""
     lines, seen = lines_of_page(page), {}
     states = [_state(line.element, seen) for line in lines]
-    article = any(main and not out and line.size > line.linked for line, (out, main) in zip(lines, states, strict=True))
+    own: dict[int, int] = {}
+    for line, (out, main) in zip(lines, states, strict=True):
+        if not out:
+            key = id(main) if main else 0
+            own[key] = own.get(key, 0) + line.size - line.linked
+    outside = own.pop(0, 0)
+    inside, largest = sum(own.values()), max(own.values(), default=0)
+    article = largest > 0 and (largest >= ARTICLE * (inside + outside) or inside >= 2 * ARTICLE * (inside + outside))
     for line, (out, main) in zip(lines, states, strict=True):
         if not out and (main or not article):
             line.weight = line.size if article else max(0, line.size - 2 * line.linked)
     if article:
-        # The article's ends are known: any weight is a surge, and a dive is where its lines end.
+        # The article's ends are known, so no distribution is taken: all its lines of weight are the main text.
         return [line.text for line in lines if line.weight]
     blocks = [sum(line.weight for line in lines[i : i + window]) for i in range(len(lines))]
     runs: list[list[int]] = []

@@ -51,3 +51,21 @@ def test_column(spark):
     assert got.columns == ["page_id", "url", "_row", "text"]
     assert sorted(r.text for r in got.collect()) == ["", "", "", "", "a b c", "a b c"]
     assert line_blocks.extract(spark.createDataFrame([], schema)).count() == 0
+
+
+TEXT = ["The first long paragraph of the main text goes on with plain words. " * 6, "The second one is about as long as that. " * 9]
+PLAIN = " ".join(t.strip() for t in TEXT)
+
+
+def test_small_articles_are_not_the_page():
+    """Cards of other texts are articles too."""
+    card = "<article><h3>Other</h3><p>A short summary of another text.</p></article>"
+    main = "<div>" + "".join(f"<p>{t}</p>" for t in TEXT) + "</div>"
+    for page in (main + "<ul><li><a href=x>a</a><li><a href=x>b</a><li><a href=x>c</a></ul><div>" + card * n + "</div>" for n in (1, 4)):
+        assert line_blocks.main_text(page).startswith(PLAIN)
+    assert line_blocks.main_text(f"<article>{main}</article><div>Something else, which is not in it.</div>") == PLAIN
+
+
+def test_ids_of_headings_in_the_article():
+    page = f'<article><h2 id="social-history">Social history</h2><section id="search"><p>{TEXT[0]}</section><div id="share">Share</div></article>'
+    assert line_blocks.main_text(page) == "Social history " + TEXT[0].strip()
