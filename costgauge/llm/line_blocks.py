@@ -21,6 +21,7 @@ from pyspark.sql.types import StringType
 
 WINDOW = 3
 SURGE = 80
+HOME = 0.9  # share of the largest run's text in the element that other runs are compared with
 ARTICLE = 0.25  # least share of a page's text in one article, or twice that in all, for lines outside to weigh nothing
 
 _TAG = re.compile(
@@ -200,6 +201,41 @@ def _container(element: _Element) -> _Element:
     return element
 
 
+def _home(lines: list[_Line]) -> _Element:
+    """The innermost element around nearly all of the lines' text (see HOME); the container of most if that is the whole page."""
+    weights: dict[int, int] = {}
+    containers: dict[int, _Element] = {}
+    for line in lines:
+        one = _container(line.element)
+        containers[id(one)] = one
+        weights[id(one)] = weights.get(id(one), 0) + line.weight
+    sums: dict[int, int] = {}
+    for key, one in containers.items():
+        at: _Element | None = one
+        while at is not None:
+            sums[id(at)] = sums.get(id(at), 0) + weights[key]
+            at = at.parent
+    most = containers[max(weights, key=weights.__getitem__)]
+    at, total = most, sum(weights.values())
+    while at.parent is not None and sums[id(at)] < HOME * total:
+        at = at.parent
+    return most if at.tag in ("html", "body") else at
+
+
+def _within(element: _Element, home: _Element, seen: dict[int, bool]) -> bool:
+    """Whether an element lies in home; a whole page as home counts its own lines only."""
+    if home.tag in ("html", "body"):
+        return _container(element) is home
+    above: list[_Element] = []
+    at: _Element | None = element
+    while at is not None and at is not home and id(at) not in seen:
+        above.append(at)
+        at = at.parent
+    found = at is home or (at is not None and seen[id(at)])
+    seen.update((id(one), found) for one in above)
+    return found
+
+
 def main_lines(page: str, window: int = WINDOW, surge: int = SURGE) -> list[str]:
     """The lines between the surges and dives of the line-block distribution."""
     lines, seen = lines_of_page(page), {}
@@ -236,24 +272,17 @@ def main_lines(page: str, window: int = WINDOW, surge: int = SURGE) -> list[str]
         return [line.text for line in lines if line.weight]
     mass = [sum(line.weight for line in lines[a : b + 1]) for a, b in runs]
     top = max(range(len(runs)), key=mass.__getitem__)
-    parents: dict[int, int] = {}
-    a, b = runs[top]
-    for line in lines[a : b + 1]:
-        key = id(_container(line.element))
-        parents[key] = parents.get(key, 0) + line.weight
-    home = max(parents, key=parents.__getitem__)
+    home = _home([line for line in lines[runs[top][0] : runs[top][1] + 1] if line.weight])
+    around: dict[int, bool] = {}
+    at_home = [_within(line.element, home, around) for line in lines]
     kept = set()
     for (a, b), weight in zip(runs, mass, strict=True):
         inside = [i for i in range(a, b + 1) if lines[i].weight]
-        at_home = sum(lines[i].weight for i in inside if id(_container(lines[i].element)) == home)
-        if [a, b] == runs[top] or 2 * at_home >= weight:
+        if [a, b] == runs[top] or 2 * sum(lines[i].weight for i in inside if at_home[i]) >= weight:
             kept.update(inside)
-    # Short lines at the ends, such as a heading, belong to the text if they stand in the same element.
-    kept.update(i for i, line in enumerate(lines) if line.weight and id(_container(line.element)) == home)
-    ends = [i for i in kept if id(_container(lines[i].element)) == home]
-    if ends and len({id(_container(lines[i].element)) for i in kept}) > 1:
-        # Lines before the first and after the last of that element are of other elements: furniture without a name.
-        kept = {i for i in kept if min(ends) - 1 <= i <= max(ends) or lines[i].size >= 2 * surge}
+    # Short lines at the ends, such as a heading, belong to the text if they stand in an element of it.
+    own = {id(home)} | {id(_container(lines[i].element)) for i in kept if at_home[i]}
+    kept.update(i for i, line in enumerate(lines) if line.weight and id(_container(line.element)) in own)
     return [lines[i].text for i in sorted(kept)]
 
 

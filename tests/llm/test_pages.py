@@ -69,3 +69,17 @@ def test_small_articles_are_not_the_page():
 def test_ids_of_headings_in_the_article():
     page = f'<article><h2 id="social-history">Social history</h2><section id="search"><p>{TEXT[0]}</section><div id="share">Share</div></article>'
     assert line_blocks.main_text(page) == "Social history " + TEXT[0].strip()
+
+
+def test_short_paragraphs_in_sections():
+    """All lines between surge and dive are kept, whichever element they stand in."""
+    parts = [PLAIN[:500], "b" * 100, "c" * 100, "d" * 30]
+    wanted = " ".join(x.strip() for x in parts)
+    links = "<ul>" + "<li><a href=x>a link to elsewhere</a>" * 5 + "</ul>"
+    sections = "".join(f"<section><p>{x}</p></section>" for x in parts)
+    assert line_blocks.main_text(f"<div>{sections}</div>") == wanted
+    assert line_blocks.main_text(f"<body>{links}<div>{sections}</div>{links}<div>about</div>") == wanted
+    # Runs of one element belong together, a run of another does not.
+    later = f"<section><p>{'e' * 120}</p></section>"
+    page = f"<div>{sections}{links}{later}</div>{links}<div><p>{'f' * 120}</p></div>"
+    assert line_blocks.main_text(page) == wanted + " " + "e" * 120
