@@ -4,8 +4,8 @@ For tokenizers that drop white space and merge inside words only: a text's ids a
 counted over all documents, each distinct word is encoded once, and the ids are joined back by position. The most frequent
 words (at most COMMON, each at most COMMON_CHARS long, so of a bounded size) are numbered and joined on the way through the
 documents; a document then travels as word numbers, a byte or two for a word. All other words go through a shuffled join of
-their own: a document lists the distinct ones it holds, and gets back the ids of each. Decoding joins ids to the pieces of the
-vocabulary, which is as large as the tokenizer's file.
+their own: a document lists the distinct ones it holds, and gets back the ids of each. Decoding is an array lookup in the task:
+ids index the pieces of the vocabulary, which is as large as the tokenizer's file.
 """
 
 from __future__ import annotations
