@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costgauge.llm import bit_sliced, chat_tree, cube_mix, line_blocks, line_dedup, line_frequency, order_minhash, resampling, secrets, word_bpe
+from costgauge.llm import (
+    bit_sliced,
+    chat_tree,
+    compress_lang,
+    crc_resampling,
+    cube_mix,
+    fill_middle,
+    line_blocks,
+    line_dedup,
+    line_frequency,
+    order_minhash,
+    resampling,
+    secrets,
+    word_bpe,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -231,3 +245,92 @@ def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document: five words, similarity 0.8."""
     return order_minhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# CRC-32 of a word's bytes, by the table of its polynomial.
+SQL_CRC = """list_reduce(list_prepend(4294967295, list_transform(range(1, length(hex(encode(w))) // 2 + 1),
+             lambda p: CAST('0x' || substr(hex(encode(w)), 2 * p - 1, 2) AS BIGINT))),
+             lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))"""
+SQL_HEX = "CAST('0x' || substr({}, {}, 8) AS BIGINT)"
+
+
+@query(
+    "op11_crc_resampling",
+    f"""
+WITH steps AS (SELECT list(list_reduce(list_prepend(i, range(8)),
+                     lambda c, k: if(c & 1 = 1, xor(c >> 1, 3988292384), c >> 1)) ORDER BY i) AS crc FROM range(256) AS r(i)),
+     texts AS (SELECT doc_id, text, false AS aim FROM documents UNION ALL SELECT NULL, text, true FROM benchmark),
+     rows AS (SELECT doc_id, aim, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM texts),
+     words AS (SELECT doc_id, aim, unnest(ws) AS w FROM rows),
+     uses AS (SELECT doc_id, aim, w, count(*) AS n FROM words GROUP BY ALL),
+     bucket AS (SELECT w, xor({SQL_CRC}, 4294967295) % 10000 AS b FROM (SELECT DISTINCT w FROM uses), steps),
+     held AS (SELECT b, coalesce(sum(n) FILTER (NOT aim), 0) AS s, coalesce(sum(n) FILTER (aim), 0) AS t
+              FROM uses JOIN bucket USING (w) GROUP BY b),
+     total AS (SELECT coalesce(sum(s), 0) AS s, coalesce(sum(t), 0) AS t FROM held),
+     gain AS (SELECT b, CAST(floor(1000 * ln((held.t + 1)::DOUBLE * (total.s + 10000)::DOUBLE
+                / ((held.s + 1)::DOUBLE * (total.t + 10000)::DOUBLE))) AS BIGINT) AS g FROM held, total),
+     weighed AS (SELECT doc_id, CAST(sum(n * g) AS BIGINT) AS weight
+                 FROM uses JOIN bucket USING (w) JOIN gain USING (b) WHERE NOT aim GROUP BY doc_id),
+     scored AS (
+       SELECT r.doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+              coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(({SQL_HEX.format("sha256('2024:' || r.doc_id)", 1)} + 0.5)
+                / 4294967296::DOUBLE))) AS BIGINT) AS score
+       FROM rows r LEFT JOIN weighed USING (doc_id) WHERE NOT aim),
+     drawn AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_features >= 20
+               QUALIFY rank <= (SELECT 10 * count(*) // 100 FROM scored WHERE n_features >= 20))
+SELECT doc_id, n_features, weight, score, rank FROM scored LEFT JOIN drawn USING (doc_id)
+""",
+)
+def op11_crc_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and score of every document towards the benchmark texts, and the place of the tenth that is drawn."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return crc_resampling.draw(docs, table(spark, sf_dir, "benchmark"), percent=10, min_words=20, max_run=1, seed=2024)
+
+
+@query(
+    "op12_fill_middle",
+    f"""
+WITH cut AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS x,
+                    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+             FROM documents),
+     h AS (SELECT *, len(u) AS n, {", ".join(f"{SQL_HEX.format('x', 8 * i + 1)} AS h{i + 1}" for i in range(4))} FROM cut),
+     ends AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high FROM h),
+     parts AS (SELECT *, array_to_string(u[1:low], '') AS p, array_to_string(u[low + 1:high], '') AS m,
+                      array_to_string(u[high + 1:], '') AS s,
+                      CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                                OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+               FROM ends)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+""",
+)
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the texts with their middle last, and every text read back from its output."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = fill_middle.transform(docs, rate=50, spm_rate=80, seed=42)
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+@query("op13_compress_lang")
+def op13_compress_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two thirds of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = compress_lang.held_out(F.col("doc_id"))
+    model = compress_lang.fit(docs.where(~out))
+    found = compress_lang.identify(docs.select("doc_id", "text"), model, reject=False)
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "lead", "narrow")

@@ -129,7 +129,7 @@ def test_run(spark, corpus):
 
 def test_registered():
     names = [n for n in queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in queries() and corpus_pipeline.ORACLE_SQL is None and "pipeline" not in oracle_sql()
 
 
