@@ -95,3 +95,64 @@ def test_nothing_runs_while_a_plan_is_built(spark, with_nulls):
     started = tracker.getJobIdsForGroup("planning")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert not started
+
+
+def test_percentiles_beyond_the_sketch(spark, monkeypatch):
+    """Groups larger than their sketch: hot key, ties, null keys and values, NaN, two columns, further aggregates."""
+    monkeypatch.setattr(scale, "KEPT", 64)
+    rng = np.random.default_rng(8)
+    n = 12_000
+    frame = pd.DataFrame(
+        {
+            "k": np.where(rng.random(n) < 0.4, 1, rng.integers(0, 400, n)),
+            "v": np.where(rng.random(n) < 0.3, 5.0, rng.normal(0, 100, n)),
+            "w": np.where(rng.random(n) < 0.5, np.nan, rng.integers(0, 9, n)),
+        }
+    )
+    facts = spark.createDataFrame(frame).withColumns(
+        {"w": F.when(~F.isnan("w"), F.col("w")), "k": F.when(F.col("k") != 7, F.col("k"))}
+    )
+    frame["k"] = frame["k"].where(frame["k"] != 7)
+    wanted = {f"v{p}".replace(".", "_"): ("v", p) for p in (0.0, 0.01, 0.5, 0.95, 0.999, 1.0)} | {"w5": ("w", 0.5), "w9": ("w", 0.9)}
+    got = scale.percentiles(facts, ["k"], wanted, {"rows": F.count(F.lit(1)), "top": F.max("v")})
+    rows = {r.k: r for r in got.collect()}
+    groups = frame.groupby("k", dropna=False)
+    assert len(rows) == groups.ngroups
+    for key, part in groups:
+        row = rows[None if pd.isna(key) else key]
+        assert row.rows == len(part) and row.top == part["v"].max()
+        for name, (column, p) in wanted.items():
+            values = part[column].dropna()
+            assert row[name] == pytest.approx(values.quantile(p), abs=1e-9) if len(values) else row[name] is None
+
+
+def test_percentiles_take_nan_as_greatest(spark):
+    rows = [("a", float(i)) for i in range(5)] + [("a", float("nan")), ("b", 1.0), ("b", 2.0)]
+    got = scale.percentiles(spark.createDataFrame(rows, "k string, v double"), ["k"], {"m": ("v", 0.6), "top": ("v", 1.0)})
+    found = {r.k: (r.m, r.top) for r in got.collect()}
+    assert found["b"] == (1.6, 2.0) and found["a"][0] == 3.0 and np.isnan(found["a"][1])
+
+
+@pytest.mark.parametrize("partitions", [3, 40])
+def test_positions(spark, skewed, partitions):
+    facts, frame = skewed
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = scale.positions(facts, ["g"], ["v", "id"], "n").select("id", "n").toPandas().set_index("id")["n"]
+        ties = scale.positions(facts.withColumn("one", F.lit(999)), ["g"], ["one"], "n").groupBy("g").agg(
+            F.max("n").alias("most"), F.count_distinct("n").alias("different")
+        )
+        sizes = frame.groupby("g").size()
+        assert {r.g: (r.most, r.different) for r in ties.collect()} == {g: (n, n) for g, n in sizes.items()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    ordered = frame.sort_values(["g", "v", "id"])
+    want = pd.Series(ordered.groupby("g").cumcount().values + 1, index=ordered["id"].values)
+    assert (got.sort_index() == want.sort_index()).all()
+
+
+def test_dense_positions_keep_null_groups_and_values(with_nulls):
+    got = {r.id: r.d for r in scale.dense_positions(with_nulls, ["k"], "v", "d").collect()}
+    assert got == {r.id: r.d for r in scale.dense_ranks(with_nulls, ["k"], "v", "d").collect()} and len(got) == len(NULLS)
+    empty = scale.dense_positions(with_nulls.where("id < 0"), ["k"], "v", "d")
+    assert empty.count() == 0
