@@ -96,11 +96,15 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     hashed = rows.select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64(F.lit(SEED), "text").alias("h"))
     single = checkpointed(hashed.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n")))
-    languages = single.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES + 1).collect()
+    counts = single.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("different"))
+    languages = counts.orderBy(F.desc("n"), "lang").limit(LANGUAGES + 1).collect()
     if len(languages) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
+    # The first `sample` hashes are surely among those below a bound that leaves some eight times as many.
+    among = (F.col("h") / float(1 << 64) + 0.5) * F.col("different") < 8 * sample
+    low = single.select("lang", "h").join(F.broadcast(counts), "lang").where((F.col("different") <= 8 * sample) | among)
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = single.withColumn("_place", place).where(F.col("_place") <= sample).select("lang", "h")
+    chosen = low.withColumn("_place", place).where(F.col("_place") <= sample).select("lang", "h")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 1, PIECE):
