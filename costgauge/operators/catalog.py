@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from costgauge.functions.numeric import half_even, number
 from costgauge.functions.prices import annual_of, hourly_price, machine_hourly, monthly_of
 from costgauge.functions.text import COMPUTE_FAMILIES, WORKER_FAMILIES, family_in_description, family_substring
-from costgauge.operators.scale import dense_ranks, dim_join, row_numbers
+from costgauge.operators.scale import dense_positions, dim_join, positions
 from costgauge.sources.local import local_table
 
 # Resource groups that carry compute prices.
@@ -151,8 +151,8 @@ def machine_prices(machines: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def with_ordinals(machines: DataFrame) -> DataFrame:
-    """Rank of the hourly price inside the family, equal prices sharing a rank."""
-    return dense_ranks(machines, ["family"], "hourly_price", "ordinal")
+    """Rank of the hourly price inside the family, equal prices sharing a rank. The distinct prices are put in order at once."""
+    return dense_positions(machines, ["family"], "hourly_price", "ordinal")
 
 
 def specs(entries: DataFrame) -> DataFrame:
@@ -175,15 +175,15 @@ def specs(entries: DataFrame) -> DataFrame:
 
 
 def nested(catalog: DataFrame, chunk_rows: int = 1_000) -> DataFrame:
-    """One row per family with its machines in price order, the shape of the catalog file.
+    """Machines in price order, as lists of ``chunk_rows``: the shape of the catalog file, keyed by family and chunk at every size.
 
-    A family beyond ``chunk_rows`` machines takes several rows, so no row grows
-    with the catalog; readers explode the lists anyway.
+    No row grows with the catalog. The order is taken over all machines at once, so that the many without a price rank are
+    spread over tasks as well.
     """
     entry = F.struct(
         "ordinal", "machine_type", "family", "vcpus", "ram_gb", "hourly_price", "monthly_price", "annual_price"
     )
-    placed = row_numbers(catalog, ["family"], ["ordinal", "machine_type"], "_place")
+    placed = positions(catalog, ["family"], ["ordinal", "machine_type"], "_place")
     chunk = F.floor((F.col("_place") - 1) / chunk_rows).cast("int")
     return placed.groupBy("family", chunk.alias("chunk")).agg(
         F.array_sort(F.collect_list(entry)).alias("machine_types")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costgauge.functions.numeric import half_even, let, stable
-from costgauge.operators.scale import dim_join, row_numbers
+from costgauge.operators.scale import positions, same_join
 
 # Monitoring names the rules know under a short name.
 METRIC_NAMES = {
@@ -48,9 +48,9 @@ def without_metrics(resources: DataFrame, metrics: DataFrame, key: str) -> DataF
 def account_positions(
     df: DataFrame, account: Sequence[str], order: Sequence[str], position: str, total: str
 ) -> DataFrame:
-    """Position of each resource in its account and the size of the account."""
-    sizes = df.groupBy(*account).agg(F.count(F.lit(1)).cast("int").alias(total))
-    return dim_join(row_numbers(df, account, order, position), sizes, account)
+    """Position of each resource in its account and the size of the account, which is its last position."""
+    placed = positions(df, account, order, position)
+    return same_join(placed, placed.groupBy(*account).agg(F.max(position).alias(total)), account)
 
 
 def weekly_growth(points: DataFrame, key: str, ts: str, value: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from costgauge.functions.numeric import half_even
 from costgauge.functions.text import machine_family
-from costgauge.operators.scale import dense_ranks, dim_join, same_join
+from costgauge.operators.scale import dim_join, same_join
 
 # A machine with the fields in front that decide between two that fit.
 RANKED = ("vcpus", "ram_gb", "ordinal", "machine_type", "hourly_cost", "monthly_cost", "annual_cost")
@@ -114,34 +114,64 @@ def best_fit(workloads: DataFrame, catalog: Catalog, pool: str | None = None) ->
     return listed.withColumn("target", _first_fit(F.col("_entries"))).drop("_entries")
 
 
+STEPS = 1_024  # ordinals that are folded as one list
+
+
 def closest_cheaper(catalog: Catalog, keep: int = 3) -> DataFrame:
     """Per group and ordinal, the ``keep`` next cheaper machine types, nearest price first.
 
-    Ordinals may have gaps, so price steps are their dense ranks. The answer for
-    a step lies in the steps below it: each step hands its first types to the
-    next steps above, and no group is ever ordered as a whole. A type listed
-    several times counts once, with its nearest entry. One type is kept
-    to spare for workloads whose own type is among them.
+    What lies below an ordinal is a state of at most ``keep`` + 1 different types, nearest first, which is carried upwards:
+    inside blocks of STEPS ordinals, and over the blocks of a group. Two states combine to the first types of both, so each
+    block is folded on its own, and the work grows with the catalog only. A type listed several times counts once, with its
+    nearest entry. One type is kept to spare for workloads whose own type is among them. Ordinals may have gaps.
     """
-    group = catalog.group
-    steps = dense_ranks(catalog.entries, [group], "ordinal", "_step")
+    group, spare = catalog.group, keep + 1
     entry = F.struct((-F.col("ordinal")).alias("_down"), F.col("machine_type").alias("_name"), *RANKED)
-    spare = keep + 1
-    types = steps.groupBy(group, "_step", "ordinal", "machine_type").agg(F.min(entry).alias("_entry"))
-    place = Window.partitionBy(group, "_step").orderBy("machine_type")
+    if catalog.unique:
+        types = catalog.entries.select(group, "ordinal", "machine_type", entry.alias("_entry"))
+    else:
+        types = catalog.entries.groupBy(group, "ordinal", "machine_type").agg(F.min(entry).alias("_entry"))
+    place = Window.partitionBy(group, "ordinal").orderBy("machine_type")
     firsts = types.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= spare)
-    # So many steps can be taken up by types that are listed nearer already.
-    times = types.groupBy(group, "machine_type").agg(F.count(F.lit(1)).alias("_n"))
-    reach = times.groupBy(group).agg((F.max("_n") * spare).cast("int").alias("_reach"))
-    handed = same_join(firsts, reach, [group]).select(
-        group, F.explode(F.sequence(F.col("_step") + 1, F.col("_step") + F.col("_reach"))).alias("_step"), "_entry"
-    )
-    nearest = handed.groupBy(group, "_step", F.col("_entry.machine_type").alias("_type")).agg(F.min("_entry").alias("_entry"))
-    cheaper = nearest.groupBy(group, "_step").agg(
-        F.slice(F.array_sort(F.collect_list("_entry")), 1, spare).alias("cheaper")
-    )
-    levels = steps.select(group, "_step", "ordinal").distinct()
-    return same_join(levels, cheaper, [group, "_step"]).drop("_step")
+    steps = firsts.groupBy(group, "ordinal").agg(F.array_sort(F.collect_list("_entry")).alias("_own"))
+
+    def listed(at: str) -> Column:
+        """Steps or blocks as one list in order."""
+        return F.sort_array(F.collect_list(F.struct(F.col(at).alias("_at"), "_own"))).alias("_list")
+
+    blocks = steps.groupBy(group, F.floor(F.col("ordinal") / STEPS).alias("_block")).agg(listed("ordinal"))
+    spans = blocks.withColumn("_own", _state_after("_list", spare)).groupBy(group).agg(listed("_block"))
+    nothing = F.flatten(F.slice(F.col("_list")["_own"], 1, 0))
+    carried = spans.select(group, F.inline(_states_before("_list", nothing, spare))).withColumnRenamed("_at", "_block")
+    joined = same_join(blocks, carried, [group, "_block"])
+    found = joined.select(group, F.inline(_states_before("_list", F.col("_before"), spare)))
+    return found.select(group, F.col("_at").alias("ordinal"), F.col("_before").alias("cheaper")).where(F.size("cheaper") > 0)
+
+
+def _nearest(near: Column, far: Column, spare: int) -> Column:
+    """The first different types of a nearer state and a farther one."""
+    new = F.filter(far, lambda e: ~F.exists(near, lambda n: n["machine_type"] == e["machine_type"]))
+    return F.slice(F.concat(near, new), 1, spare)
+
+
+def _state_after(steps: str, spare: int) -> Column:
+    """The state that a list of steps makes by itself."""
+    start = F.flatten(F.slice(F.col(steps)["_own"], 1, 0))
+    return F.aggregate(steps, start, lambda state, step: _nearest(step["_own"], state, spare))
+
+
+def _states_before(steps: str, start: Column, spare: int) -> Column:
+    """For each step of a list, the state below it, where ``start`` is the state below the first."""
+    rows = F.transform(F.slice(steps, 1, 0), lambda s: F.struct(s["_at"].alias("_at"), s["_own"].alias("_before")))
+    first = F.struct(start.alias("state"), rows.alias("rows"))
+
+    def carry(so_far: Column, step: Column) -> Column:
+        here = F.struct(step["_at"].alias("_at"), so_far["state"].alias("_before"))
+        return F.struct(
+            _nearest(step["_own"], so_far["state"], spare).alias("state"), F.concat(so_far["rows"], F.array(here)).alias("rows")
+        )
+
+    return F.aggregate(steps, first, carry)["rows"]
 
 
 def fallback_targets(cheaper: Column, own_type: Column, keep: int = 3) -> Column:

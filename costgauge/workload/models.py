@@ -9,6 +9,7 @@ from costgauge.functions.numeric import half_even
 from costgauge.operators.catalog import specs, with_ordinals
 from costgauge.operators.features import METRIC_NAMES, utilisation
 from costgauge.operators.matching import Catalog
+from costgauge.operators.scale import materialised
 from costgauge.sources import seeds
 from costgauge.workload.registry import r, rs
 
@@ -115,9 +116,8 @@ sku AS (
 
 
 def compute_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    """The part-based catalog with ordinals and costs."""
-    base = machines(spark, sf_dir)
-    entries = specs(with_ordinals(base)).drop("hourly_price")
+    """The part-based catalog with ordinals and costs, ranked and stored once for all its uses."""
+    entries = materialised(specs(with_ordinals(machines(spark, sf_dir))).drop("hourly_price"))
     # A part is listed once, so its type needs no choice between families.
     return Catalog(entries, "family", unique=True)
 
