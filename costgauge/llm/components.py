@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costgauge.llm.rows import stored
+from costgauge.llm.rows import merged, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,13 +19,13 @@ def components(links: DataFrame) -> DataFrame:
     both = stored(both, "links")
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp"))
     while True:
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("comp").alias("_near"))
-        lowered = labels.join(near, F.col("node") == F.col("a")).select(
+        near = both.join(merged(labels), F.col("b") == F.col("node")).groupBy("a").agg(F.min("comp").alias("_near"))
+        lowered = labels.join(merged(near), F.col("node") == F.col("a")).select(
             "node", F.col("comp").alias("_old"), F.least("comp", "_near").alias("_low")
         )
         # A label is a node of the table itself.
         top = lowered.select(F.col("node").alias("_top"), F.col("_low").alias("comp"))
-        jumped = lowered.join(top, F.col("_low") == F.col("_top")).select("node", "_old", "comp")
+        jumped = lowered.join(merged(top), F.col("_low") == F.col("_top")).select("node", "_old", "comp")
         jumped = stored(jumped, "labels")
         labels = jumped.select("node", "comp")
         if jumped.where("comp <> _old").isEmpty():

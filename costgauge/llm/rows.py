@@ -98,6 +98,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """A side that grows with the corpus, to be joined by a merge join at every size, and not by a broadcast while it is small."""
+    return df.hint("merge")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table as Parquet to the shared folder and read it again.
 
