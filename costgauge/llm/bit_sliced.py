@@ -22,19 +22,25 @@ from costgauge.llm.rows import checkpointed, ranked
 
 BLOCK_ROWS = 32_768
 GROUP_ROWS = 128
-LIMIT = 1 << 26  # values of this size and beyond could overflow a score
+LIMIT = 1 << 62  # values of this size and beyond stop the query: they have no score in 64 bits
 
 INDEX = "block long, n int, ids binary, dims int, low binary, bits binary, slices binary"
 FOUND = "query_id long, vec_id long, score long"
 
 
 def quantised(vector: Column, scale: float = 256.0) -> Column:
-    """floor(scale * x) of each component, x as double; null if the vector or a component is null, not finite or too large."""
-    values = F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
-    bad = F.exists(
-        vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) * scale >= LIMIT - 1)
-    )
-    return F.when(vector.isNotNull() & ~bad, values)
+    """floor(scale * x) of each component, x as double; null if the vector or a component is null or not finite.
+
+    A finite component whose value does not fit LIMIT is an error, as it has no score.
+    """
+    too_large = F.raise_error(F.lit("a component is too large for a score of 64 bits")).cast("long")
+
+    def whole(x: Column) -> Column:
+        scaled = x.cast("double") * scale
+        return F.when(F.abs(scaled) < float(LIMIT), F.floor(scaled)).otherwise(too_large)
+
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
+    return F.when(vector.isNotNull() & ~bad, F.transform(vector, whole))
 
 
 def _block(rows: pd.DataFrame) -> pd.DataFrame:
@@ -173,6 +179,8 @@ def _search(k: int):
                 out: list[tuple[int, int, int]] = []
                 for query in row["queries"]:
                     ids, scores = held[1].search(int(query["id"]), [int(x) for x in query["values"]], k)
+                    if any(not -(1 << 63) <= s < 1 << 63 for s in scores):
+                        raise OverflowError(f"a score of query {query['id']} does not fit 64 bits")
                     out += [(int(query["id"]), i, s) for i, s in zip(ids, scores, strict=True)]
                 yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
@@ -192,8 +200,8 @@ def top_k(
     """Each query's k best rows with another id: query_id, rank (int, from 1), vec_id, score (long).
 
     Score: inner product of the quantised vectors; components that one of the two lacks count as 0. Ties go to the smaller
-    id. Vectors that are null, or hold a null, non-finite or too large component (see LIMIT), and rows without id take no
-    part. Rows that repeat an id are candidates each; as a query, an id is used once, with its least vector.
+    id. Vectors that are null, or hold a null or non-finite component, and rows without id take no part. Scores are exact; one of
+    the k best that does not fit a long, and a component beyond LIMIT, stop the query. Rows that repeat an id are candidates each; as a query, an id is used once, with its least vector.
     """
     index = checkpointed(build_index(vectors, id_col=id_col, vector_col=vector_col, block_rows=block_rows))
     asked = queries.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col)).alias("values"))

@@ -18,7 +18,8 @@ def rows_of(n: int, dims: int, spread: int) -> list[tuple]:
     rows = [(i, [rng.randrange(-spread, spread + 1) / 64 for _ in range(dims)], 0, 1, 2) for i in range(n)]
     rows += [(n, None, 0, 1, 2), (n + 1, [0.1, None] + [0.0] * (dims - 2), 0, 1, 2), (n + 2, [math.nan] * dims, 0, 1, 2),
              (n + 3, [math.inf] * dims, 0, 1, 2), (None, [0.5] * dims, 0, 1, 2), (n + 4, [0.5] * (dims - 1), 0, 1, 2),
-             (n + 5, [], 0, 1, 2), (n + 6, [1e30] * dims, 0, 1, 2)]
+             (n + 5, [], 0, 1, 2), (n + 6, [3e5] * dims, 0, 1, 2), (n + 7, [-7e6] + [0.25] * (dims - 1), 0, 1, 2),
+             (n + 8, [1e8] + [0.0] * (dims - 1), 0, 1, 2)]
     return rows + rows[:3]
 
 
@@ -26,7 +27,7 @@ def plain(rows, asked, k):
     good = [
         (i, [math.floor(np.float32(x).item() * 256) for x in v])
         for i, v, *_ in rows
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) and abs(x) < 1e5 for x in v)
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
     ]
     out = []
     for q in sorted({i for i, _ in good if asked(i)}):
@@ -44,6 +45,13 @@ def test_top_k(spark, n, dims, spread, block):
     assert sorted(map(tuple, got.collect())) == plain(rows, lambda i: i % 5 == 0, 5)
 
 
+@pytest.mark.parametrize("large", [[1e30, 0.0], [1e10, 1e10]])
+def test_scores_beyond_64_bits_stop_the_query(spark, large):
+    vectors = spark.createDataFrame([(0, large, 0, 1, 2), (1, large, 0, 1, 2)], SCHEMA)
+    with pytest.raises(Exception, match="64 bits"):
+        bit_sliced.top_k(vectors, vectors).collect()
+
+
 def test_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert bit_sliced.top_k(empty, empty).count() == 0
