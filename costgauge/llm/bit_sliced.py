@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from costgauge.llm.rows import checkpointed, ranked
+from costgauge.llm.rows import checkpointed, quoted, ranked
 
 BLOCK_ROWS = 32_768
 GROUP_ROWS = 128
@@ -74,7 +74,7 @@ def _block(rows: pd.DataFrame) -> pd.DataFrame:
 
 def build_index(vectors: DataFrame, *, id_col: str, vector_col: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row for each block of vectors: its ids, and its bit slices. Rows without id or quantised vector are left out."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col)).alias("values"))
+    rows = vectors.select(quoted(id_col).cast("long").alias("id"), quantised(quoted(vector_col)).alias("values"))
     placed = ranked(rows.where(F.col("id").isNotNull() & F.col("values").isNotNull()), ["id"])
     blocked = placed.withColumn("block", F.floor(F.col("_rank") / block_rows).cast("long")).drop("_rank")
     return blocked.groupBy("block").applyInPandas(_block, INDEX)
@@ -204,7 +204,7 @@ def top_k(
     the k best that does not fit a long, and a component beyond LIMIT, stop the query. Rows that repeat an id are candidates each; as a query, an id is used once, with its least vector.
     """
     index = checkpointed(build_index(vectors, id_col=id_col, vector_col=vector_col, block_rows=block_rows))
-    asked = queries.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col)).alias("values"))
+    asked = queries.select(quoted(id_col).cast("long").alias("id"), quantised(quoted(vector_col)).alias("values"))
     asked = asked.where(F.col("id").isNotNull() & F.col("values").isNotNull())
     single = asked.groupBy("id").agg(F.min("values").alias("values"))
     grouped = ranked(single, ["id"]).withColumn("group", F.floor(F.col("_rank") / group_rows).cast("long"))

@@ -1,9 +1,9 @@
 """Main text of web pages by the distribution of text over blocks of lines.
 
 A page is cut into lines, one for each block element, with the markup stripped. Lines of page furniture (by element, role or
-class) and text inside links weigh nothing; every other line weighs its length. Summed over sliding windows of lines, the
-weights surge where the main text begins and dive where it ends, and the lines between are kept. Where the page names its
-article, and that is no small part of its text (see ARTICLE), the article's own lines are taken in place of the distribution.
+class) and text inside links weigh nothing; every other line weighs its length, and NAMED times that where the page names
+its article. Summed over sliding windows of lines, the weights surge where the main text begins and dive where it ends, and the
+lines between are kept. Where the largest run between a surge and a dive lies in a named article, the article's ends are the run's.
 
 A page is worked on where it is read; nothing is shuffled.
 """
@@ -19,10 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from costgauge.llm.rows import quoted
+
 WINDOW = 3
 SURGE = 80
 HOME = 0.9  # share of the largest run's text in the element that other runs are compared with
-ARTICLE = 0.25  # least share of a page's text in one article, or twice that in all, for lines outside to weigh nothing
+NAMED = 3  # how much more a line weighs in an element that is named as the article
 
 _TAG = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"""
@@ -63,15 +65,23 @@ NAMES = {
     "recommended", "recommendations", "share", "sharing", "sharebar", "social", "breadcrumb", "breadcrumbs", "pagination",
     "pager", "widget", "widgets", "toolbar", "copyright", "search", "form", "disclaimer", "alert", "toast", "outbrain", "taboola",
 }
+# Words that may stand beside those in a name of furniture; inside an article, a name with any other word is about the text.
+LAYOUT = {
+    "area", "section", "box", "block", "wrap", "wrapper", "container", "inner", "outer", "content", "button", "buttons", "bar", "link",
+    "links", "list", "post", "posts", "article", "articles", "story", "stories", "item", "items", "slot", "unit", "top", "bottom",
+    "left", "right", "main", "site", "page", "global", "primary", "secondary", "col", "column", "row", "panel", "card", "cards",
+    "group", "text", "title", "heading", "icon", "icons", "body", "thread", "feed", "mobile", "desktop", "sticky", "fixed", "js", "the",
+    "reader", "readers", "user", "users", "media", "tools", "policy", "message", "to", "up", "by",
+}
 MAIN_NAMES = {"articlebody", "article-body", "entry-content", "post-content", "article-content", "post-body", "story-body"}
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "named", "anchor", "always", "main", "holds_main")
+    __slots__ = ("tag", "parent", "named", "wholly", "anchor", "always", "main", "holds_main")
 
-    def __init__(self, tag: str, parent: _Element | None, named: bool, always: bool, main: bool, anchor: bool = False) -> None:
+    def __init__(self, tag: str, parent: _Element | None, named: bool, always: bool, main: bool, anchor: bool, wholly: bool) -> None:
         self.tag, self.parent, self.named, self.always, self.main = tag, parent, named, always, main
-        self.anchor = anchor
+        self.anchor, self.wholly = anchor, wholly
         self.holds_main = False
 
 
@@ -82,14 +92,21 @@ class _Line:
         self.text, self.size, self.linked, self.element, self.weight = text, len(text), linked, element, 0
 
 
+def _names_furniture(token: str) -> bool:
+    """Whether a whole class or id is a name of furniture, and not a title with such a word in it."""
+    words = [word.lower() for word in _WORDS.findall(token)]
+    return any(w in NAMES for w in words) and all(w in NAMES or w in LAYOUT or w.isdigit() for w in words)
+
+
 def _element(tag: str, attributes: str, parent: _Element | None) -> _Element:
-    named = main = anchor = False
+    named = main = anchor = wholly = False
     always = tag in FURNITURE
     if attributes and not attributes.isspace():
         found = {name.lower(): value.strip("\"'") for name, value in _ATTRIBUTE.findall(attributes)}
         names = f"{found.get('class', '')} {found.get('id', '')}"
         if tag not in ("html", "body"):
             named = any(word.lower() in NAMES for word in _WORDS.findall(names))
+            wholly = named and any(_names_furniture(token) for token in names.split())
             # The id of a heading or section is made from its title.
             by_class = named and any(word.lower() in NAMES for word in _WORDS.findall(found.get("class", "")))
             anchor = named and not by_class and (tag in HEADING or tag == "section")
@@ -99,13 +116,13 @@ def _element(tag: str, attributes: str, parent: _Element | None) -> _Element:
         main = role in ("main", "article") or found.get("itemprop", "").lower() == "articlebody"
         main = main or any(name.lower() in MAIN_NAMES for name in names.split())
     main = (main or tag in ("article", "main")) and not named and not always
-    return _Element(tag, parent, named, always, main, anchor)
+    return _Element(tag, parent, named, always, main, anchor, wholly)
 
 
 def lines_of_page(page: str) -> list[_Line]:
     """The page's lines in order: block text with references decoded and white space made single."""
     lines: list[_Line] = []
-    root = _Element("html", None, False, False, False)
+    root = _Element("html", None, False, False, False, False, False)
     stack, pieces, linked, at = [root], [], 0, 0
     in_link = 0
 
@@ -185,7 +202,7 @@ def _state(element: _Element, seen: dict[int, tuple[bool, _Element | None]]) ->
         if one.tag == "header" and not main and not one.holds_main:
             out = True
         # A class may name furniture on an element that holds the article; such a name is only about the layout.
-        named = one.named and not one.holds_main and not (one.anchor and main)
+        named = (one.wholly if main else one.named) and not one.holds_main and not (one.anchor and main)
         out = out or one.always or named
         main = main or (one if one.main else None)
         seen[id(one)] = out, main
@@ -204,18 +221,20 @@ def _container(element: _Element) -> _Element:
 def _home(lines: list[_Line]) -> _Element:
     """The innermost element around nearly all of the lines' text (see HOME); the container of most if that is the whole page."""
     weights: dict[int, int] = {}
+    sizes: dict[int, int] = {}
     containers: dict[int, _Element] = {}
     for line in lines:
         one = _container(line.element)
         containers[id(one)] = one
         weights[id(one)] = weights.get(id(one), 0) + line.weight
+        sizes[id(one)] = sizes.get(id(one), 0) + line.size
     sums: dict[int, int] = {}
     for key, one in containers.items():
         at: _Element | None = one
         while at is not None:
             sums[id(at)] = sums.get(id(at), 0) + weights[key]
             at = at.parent
-    most = containers[max(weights, key=weights.__getitem__)]
+    most = containers[max(sizes, key=sizes.__getitem__)]
     at, total = most, sum(weights.values())
     while at.parent is not None and sums[id(at)] < HOME * total:
         at = at.parent
@@ -236,50 +255,52 @@ def _within(element: _Element, home: _Element, seen: dict[int, bool]) -> bool:
     return found
 
 
+def runs_of(weights: list[int], window: int = WINDOW, surge: int = SURGE) -> list[tuple[int, int]]:
+    """First and last line of each run from a surge to the dive after it.
+
+    A block is the sum of `window` lines. A run begins at a line of weight whose block reaches `surge`, and ends with the last line of
+    weight before the next block without any.
+    """
+    blocks = [sum(weights[i : i + window]) for i in range(len(weights))]
+    runs, i = [], 0
+    while i < len(weights):
+        if not weights[i] or blocks[i] < surge:
+            i += 1
+            continue
+        end = i
+        while end + 1 < len(weights) and blocks[end + 1] > 0:
+            end += 1
+        last = end
+        while not weights[last]:
+            last -= 1
+        runs.append((i, last))
+        i = end + 1
+    return runs
+
+
 def main_lines(page: str, window: int = WINDOW, surge: int = SURGE) -> list[str]:
     """The lines between the surges and dives of the line-block distribution."""
     lines, seen = lines_of_page(page), {}
     states = [_state(line.element, seen) for line in lines]
-    own: dict[int, int] = {}
     for line, (out, main) in zip(lines, states, strict=True):
         if not out:
-            key = id(main) if main else 0
-            own[key] = own.get(key, 0) + line.size - line.linked
-    outside = own.pop(0, 0)
-    inside, largest = sum(own.values()), max(own.values(), default=0)
-    article = largest > 0 and (largest >= ARTICLE * (inside + outside) or inside >= 2 * ARTICLE * (inside + outside))
-    for line, (out, main) in zip(lines, states, strict=True):
-        if not out and (main or not article):
-            line.weight = line.size if article else max(0, line.size - 2 * line.linked)
-    if article:
-        # The article's ends are known, so no distribution is taken: all its lines of weight are the main text.
-        return [line.text for line in lines if line.weight]
-    blocks = [sum(line.weight for line in lines[i : i + window]) for i in range(len(lines))]
-    runs: list[list[int]] = []
-    i = 0
-    while i < len(lines):
-        if lines[i].weight and blocks[i] >= surge:
-            end = i
-            while end + 1 < len(lines) and blocks[end + 1] > 0:  # the dive: a whole window without weight
-                end += 1
-            while end > i and not lines[end].weight:
-                end -= 1
-            runs.append([i, end])
-            i = end + 1
-        else:
-            i += 1
+            line.weight = NAMED * line.size if main else max(0, line.size - 2 * line.linked)
+    runs = runs_of([line.weight for line in lines], window, surge)
     if not runs:
         return [line.text for line in lines if line.weight]
     mass = [sum(line.weight for line in lines[a : b + 1]) for a, b in runs]
     top = max(range(len(runs)), key=mass.__getitem__)
     home = _home([line for line in lines[runs[top][0] : runs[top][1] + 1] if line.weight])
+    article = _state(home, seen)[1]
+    if article is not None:
+        return [line.text for line, (out, main) in zip(lines, states, strict=True) if not out and main is article]
     around: dict[int, bool] = {}
     at_home = [_within(line.element, home, around) for line in lines]
     kept = set()
     for (a, b), weight in zip(runs, mass, strict=True):
-        inside = [i for i in range(a, b + 1) if lines[i].weight]
-        if [a, b] == runs[top] or 2 * sum(lines[i].weight for i in inside if at_home[i]) >= weight:
-            kept.update(inside)
+        if (a, b) == runs[top] or 2 * sum(lines[i].weight for i in range(a, b + 1) if at_home[i]) >= weight:
+            # Inside a run a line may be mostly link, but not a link alone.
+            kept.update(i for i in range(a, b + 1) if not states[i][0] and lines[i].linked < lines[i].size)
     # Short lines at the ends, such as a heading, belong to the text if they stand in an element of it.
     own = {id(home)} | {id(_container(lines[i].element)) for i in kept if at_home[i]}
     kept.update(i for i, line in enumerate(lines) if line.weight and id(_container(line.element)) in own)
@@ -304,5 +325,5 @@ def extracted(page: Column) -> Column:
 
 def extract(pages: DataFrame, *, html_col: str = "html", text_col: str = "text") -> DataFrame:
     """All columns but the page itself, and its main text as text_col, which replaces a column of that name."""
-    kept = [F.col(c) for c in pages.columns if c not in (html_col, text_col)]
-    return pages.select(*kept, extracted(F.col(html_col)).alias(text_col))
+    kept = [quoted(c) for c in pages.columns if c not in (html_col, text_col)]
+    return pages.select(*kept, extracted(quoted(html_col)).alias(text_col))

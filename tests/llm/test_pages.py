@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
+from hard import hard_documents
 
 from costgauge.llm import line_blocks
 
@@ -66,6 +69,64 @@ def test_small_articles_are_not_the_page():
     assert line_blocks.main_text(f"<article>{main}</article><div>Something else, which is not in it.</div>") == PLAIN
 
 
+def test_text_beside_a_large_card():
+    """A card does not stand for the page, however much of it is text."""
+    main = "<div>" + "".join(f"<p>{t}</p>" for t in (TEXT[0][:250], TEXT[1][:250])) + "</div>"
+    found = line_blocks.main_text(f"<article>{'c' * 200}</article>{main}")
+    assert TEXT[0][:250].strip() in found and TEXT[1][:250].strip() in found
+
+
+def test_linked_paragraph_inside_the_text():
+    linked = "See <a href=x>the long report about all the things that were said here</a> too."
+    page = f"<div><p>{TEXT[0]}</p><p>{linked}</p><p>{TEXT[1]}</p></div>"
+    assert "See the long report" in line_blocks.main_text(page)
+
+
+def test_names_that_are_about_the_text():
+    law = f'<main><p>{TEXT[0]}</p><div id="copyright-law"><p>{TEXT[1]}</p></div><div class="share-buttons">Share this</div></main>'
+    assert line_blocks.main_text(law) == PLAIN
+    period = f'<article><p>{TEXT[0]}</p><p class="notice-period">{TEXT[1]}</p><div class="readerComments"><p>{"No. " * 60}</p></div></article>'
+    assert line_blocks.main_text(period) == PLAIN
+
+
+def plain_runs(weights, window, surge):
+    """Runs by the definition: each line asks alone whether it lies between a surge and the next dive."""
+    n = len(weights)
+    block = lambda i: sum(weights[j] for j in range(i, min(i + window, n)))
+    inside = [False] * n
+    for i in range(n):
+        starts = [j for j in range(i + 1) if weights[j] and block(j) >= surge and all(block(k) > 0 for k in range(j, i + 1))]
+        inside[i] = bool(starts)
+    runs, i = [], 0
+    while i < n:
+        if inside[i]:
+            end = i
+            while end + 1 < n and inside[end + 1]:
+                end += 1
+            runs.append((i, max(j for j in range(i, end + 1) if weights[j])))
+            i = end + 1
+        else:
+            i += 1
+    return runs
+
+
+def test_distribution_equals_its_definition(spark):
+    """Random weights, and the lines of all pages of sf0.01."""
+    rng = random.Random(4)
+    for _ in range(300):
+        weights = [rng.choice([0, 0, 0, 5, 30, 90]) for _ in range(rng.randrange(60))]
+        assert line_blocks.runs_of(weights, 3, 80) == plain_runs(weights, 3, 80)
+    for row in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        weights = [max(0, line.size - 2 * line.linked) for line in line_blocks.lines_of_page(row.html or "")][:150]
+        assert line_blocks.runs_of(weights) == plain_runs(weights, line_blocks.WINDOW, line_blocks.SURGE)
+
+
+def test_clashing_columns(spark):
+    rows = hard_documents(spark).withColumnRenamed("text", "html").withColumnRenamed("doc_id", "page_id")
+    got = line_blocks.extract(rows)
+    assert got.count() == rows.count() and "a.b" in got.columns and "html" not in got.columns
+
+
 def test_ids_of_headings_in_the_article():
     page = f'<article><h2 id="social-history">Social history</h2><section id="search"><p>{TEXT[0]}</section><div id="share">Share</div></article>'
     assert line_blocks.main_text(page) == "Social history " + TEXT[0].strip()
