@@ -28,10 +28,20 @@ class Assessment:
     unhandled: DataFrame
 
 
+def in_file_order(observations: DataFrame) -> DataFrame:
+    """Add ``_file`` and ``_row``, which give the order of the rows however files are packed into tasks.
+
+    Files are ordered by their path. A file of the export is read from its start to its end by one task, so that row numbers
+    grow along it. Tables that do not come straight from files must bring both columns.
+    """
+    if {"_file", "_row"} <= set(observations.columns):
+        return observations
+    return observations.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_row"))
+
+
 def clusters(observations: DataFrame) -> DataFrame:
-    """Attributes of each cluster's first row; a node count that is no number counts as one."""
-    ordered = observations.withColumn("_seq", F.monotonically_increasing_id())
-    first = ingest.first_rows(ordered, "cluster_name", ["_seq"], ATTRIBUTES)
+    """Attributes of each cluster's first row in the order of the files; a node count that is no number counts as one."""
+    first = ingest.first_rows(in_file_order(observations), "cluster_name", ["_file", "_row"], ATTRIBUTES)
     return first.withColumns(
         {
             "current_node_count": F.coalesce(F.col("current_node_count").try_cast("double"), F.lit(1.0)),

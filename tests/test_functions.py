@@ -145,3 +145,8 @@ def test_templates(spark):
     assert [r[0] for r in frame.select(rendered).collect()] == ["a grows 2.2 {other}", "b grows 10.0 {other}"]
     assert column(spark, [12345.5, 999.0], "double", text.thousands) == ["12,346", "999"]
     assert column(spark, [2.5, 3.5, 0.4], "double", lambda x: text.fixed(x, 0)) == ["2", "4", "0"]
+
+
+def test_yearly_price(spark):
+    rows = spark.createDataFrame([(0.0316,), (0.0,), (None,)], "p double").select(prices.yearly_price(F.col("p")).alias("y")).collect()
+    assert [r.y for r in rows] == [276.82, 0.0, 0.0]

@@ -52,3 +52,30 @@ def test_export_to_report(spark, tmp_path):
     assert [r.cluster_name for r in found.healthy.collect()] == ["busy"]
     assert sorted(r.cluster_name for r in found.without_metrics.collect()) == ["odd", "silent"]
     assert found.unhandled.count() == 0
+
+
+def test_first_row_does_not_depend_on_packing(spark, tmp_path):
+    """One file, many files, and many files in one task give the same first row of a cluster."""
+    columns = [c.split()[0] for c in schemas.OBSERVATION.split(",")]
+    rows = [{"cluster_name": f"c{i % 7}", "location": f"place-{i}", "machine_type": f"m{i}"} for i in range(200)]
+    sizes = {"one": [200], "many": [3, 120, 1, 50, 26]}
+    for name, parts in sizes.items():
+        (tmp_path / name).mkdir()
+        at = 0
+        for place, n in enumerate(parts):
+            with (tmp_path / name / f"part-{place:03d}.csv").open("w", newline="", encoding="utf-8") as file:
+                writer = csv.DictWriter(file, columns)
+                writer.writeheader()
+                writer.writerows(rows[at : at + n])
+            at += n
+    wanted = {f"c{i}": f"place-{i}" for i in range(7)}
+    for name in sizes:
+        for bytes_, cost in (("128MB", "4MB"), ("128MB", "1"), ("2KB", "1")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_)
+            spark.conf.set("spark.sql.files.openCostInBytes", cost)
+            try:
+                found = observed.clusters(readers.observations(spark, str(tmp_path / name)))
+                assert {r.cluster_name: r.location for r in found.collect()} == wanted
+            finally:
+                spark.conf.unset("spark.sql.files.maxPartitionBytes")
+                spark.conf.unset("spark.sql.files.openCostInBytes")
