@@ -8,6 +8,10 @@ sequence its tokens attend to besides themselves (its ancestors; neighbours are
 Depth-first order needs no walk: conversations in the order of their paths visit the nodes depth first, so a node belongs to
 the first conversation that holds it, and nodes are ordered by that conversation's rank and their depth. No tree and no
 node's conversations are ever gathered in one place; a conversation's own turns are.
+
+The nodes of one owner are a chain that stands in one piece. What a node sees is therefore the chain before it and, the same
+for all nodes of the chain, one interval of each owner further up the path. Ranks, numbers and intervals are found with keys
+and lengths only; texts are stored once as they come, combined by node key before they are shuffled, and joined at the end.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from costgauge.llm.rows import checkpointed, ranked, running_total, text_of
+from costgauge.llm.rows import checkpointed, quoted, ranked, running_total, stored, text_of
 
 # The template. "&", "<" and, in roles, ">" are written as references, so no text can hold a control string.
 HEAD, HEAD_END, TAIL = "<turn ", ">", "</turn>"
@@ -41,24 +45,27 @@ def formatted(role: Column, text: Column) -> Column:
     return F.concat(head(role), escaped(text), F.lit(TAIL))
 
 
-def keyed_turns(turns: DataFrame, *, conv_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
-    """Each turn with its depth (from 1), the key of its node and of the node above (0 at the root)."""
+def keyed_turns(
+    turns: DataFrame, n_tokens: Callable[[Column], Column], *, conv_col: str, turn_col: str, role_col: str, text_col: str
+) -> DataFrame:
+    """Each turn with its depth (from 1), the key of its node, its tokens and their position in the conversation."""
     rows = turns.select(
-        F.col(conv_col).alias("conv"),
-        F.col(turn_col).alias("turn"),
-        text_of(F.col(role_col)).alias("role"),
-        text_of(F.col(text_col)).alias("text"),
+        quoted(conv_col).alias("conv"),
+        quoted(turn_col).alias("turn"),
+        text_of(quoted(role_col)).alias("role"),
+        text_of(quoted(text_col)).alias("text"),
     )
     order = Window.partitionBy("conv").orderBy("turn", "role", "text")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("depth", F.row_number().over(order))
-    hashed = placed.withColumns(
+    sized = rows.withColumn("depth", F.row_number().over(order)).withColumn(
+        "tokens", n_tokens(formatted(F.col("role"), F.col("text"))).cast("long")
+    )
+    hashed = sized.withColumns(
         {f"h{i}": F.xxhash64(F.lit(i), F.col("depth"), F.char_length("role"), F.col("role"), F.col("text")) for i in (1, 2)}
     )
     return hashed.withColumns(
         {f"k{i}": F.bit_xor(f"h{i}").over(so_far) for i in (1, 2)}
-        | {f"p{i}": F.coalesce(F.bit_xor(f"h{i}").over(before), F.lit(0)) for i in (1, 2)}
+        | {"position": F.sum("tokens").over(so_far) - F.col("tokens")}
     ).drop("h1", "h2", "turn")
 
 
@@ -83,51 +90,79 @@ def build(
     Null roles and texts are empty; rows without a conversation id are one conversation. Tokens are code points unless
     n_tokens says how many a formatted turn has.
     """
-    rows = keyed_turns(turns, conv_col=conv_col, turn_col=turn_col, role_col=role_col, text_col=text_col)
-    path_so_far = Window.partitionBy("conv").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("formatted", formatted(F.col("role"), F.col("text"))).withColumn("tokens", n_tokens(F.col("formatted")).cast("long"))
-    rows = checkpointed(rows.withColumn("position", F.coalesce(F.sum("tokens").over(path_so_far), F.lit(0))))
-    steps = F.array_sort(F.collect_list(F.struct("depth", "k1", "k2")))
-    paths = rows.groupBy("conv").agg(F.transform(steps, lambda s: F.struct(s["k1"], s["k2"])).alias("path"))
-    rank = ranked(paths, ["path", "conv"], "rank").select(F.col("conv").alias("_conv"), "rank")
-    owned = rows.join(rank, F.col("conv").eqNullSafe(F.col("_conv")))
-    lead = F.char_length(head(F.col("role")))
-    distinct = owned.groupBy("k1", "k2").agg(
+    keyed = keyed_turns(turns, n_tokens, conv_col=conv_col, turn_col=turn_col, role_col=role_col, text_col=text_col)
+    rows = stored(keyed, "chat-turns")
+    step = F.struct("depth", "k1", "k2", "tokens", "position")
+    paths = rows.groupBy("conv").agg(F.array_sort(F.collect_list(step)).alias("steps"))
+    rank = ranked(paths, ["steps", "conv"], "rank")
+    on_path = checkpointed(rank.select("conv", "rank", F.inline("steps")))
+    distinct = on_path.groupBy("k1", "k2").agg(
         F.min("rank").alias("owner"),
         F.count(F.lit(1)).alias("conversations"),
-        *[F.first(c).alias(c) for c in ("p1", "p2", "depth", "role", "formatted", "tokens", "position")],
+        *[F.first(c).alias(c) for c in ("depth", "tokens", "position")],
     )
     numbered = ranked(distinct, ["owner", "depth"], "node")
     total = running_total(numbered, ["node"], "tokens", "start").withColumn("end", F.col("start") + F.col("tokens"))
-    is_loss = F.col("role") == loss_role
-    nodes = checkpointed(
-        total.withColumns(
-            {
-                "loss_from": F.when(is_loss, lead),
-                "loss_to": F.when(is_loss, F.char_length("formatted") - len(TAIL)),
-            }
-        ).drop("role")
-    )
+    nodes = checkpointed(total.drop("tokens"))
     # Which nodes a conversation holds. A node that many share is one row on the other side of a join whose large side splits.
     places = nodes.select(F.col("k1").alias("n1"), F.col("k2").alias("n2"), "node", "start", "end", "owner")
-    held = rows.select("conv", "depth", "k1", "k2").join(
-        places, (F.col("k1") == F.col("n1")) & (F.col("k2") == F.col("n2"))
+    steps = on_path.select("conv", "rank", "depth", "k1", "k2")
+    held = steps.join(places, (F.col("k1") == F.col("n1")) & (F.col("k2") == F.col("n2"))).drop("k1", "k2", "n1", "n2")
+    held = checkpointed(held)
+    placed = nodes.join(_chains(held), "owner")
+    begins = F.col("chain_start")
+    own = F.filter(F.array(F.struct(begins.alias("start"), F.col("start").alias("end"))), lambda x: x["start"] < x["end"])
+    placed = placed.select(
+        F.col("k1").alias("n1"),
+        F.col("k2").alias("n2"),
+        "node",
+        F.when(F.col("node") > F.col("chain_node"), F.col("node") - 1).otherwise(F.col("above_node")).alias("parent"),
+        "depth",
+        "start",
+        "end",
+        "position",
+        _merged(F.concat("above", own)).alias("attends"),
+        "conversations",
     )
-    held = checkpointed(held.select("conv", "depth", "node", "start", "end", "owner"))
-    first = rank.withColumnRenamed("rank", "owner")
-    mine = held.drop("owner").join(first, F.col("conv").eqNullSafe(F.col("_conv")))
-    chain = mine.groupBy("owner").agg(F.array_sort(F.collect_list(F.struct("depth", "node", "start", "end"))).alias("chain"))
-    above = nodes.select("node", "owner", "depth").join(chain, "owner")
-    before = F.slice("chain", F.lit(1), F.col("depth") - 1)
-    merged = above.withColumn("_before", before).select(
-        "node", F.get("_before.node", F.col("depth") - 2).alias("parent"), _merged(F.col("_before")).alias("attends")
-    )
-    result = nodes.join(merged, "node").select(
-        "node", "parent", "depth", "formatted", "start", "end", "position", "attends", "loss_from", "loss_to", "conversations"
+    texts = rows.groupBy("k1", "k2").agg(F.first("role").alias("role"), F.first("text").alias("text"))
+    line, is_loss = formatted(F.col("role"), F.col("text")), F.col("role") == loss_role
+    result = placed.join(texts, (F.col("k1") == F.col("n1")) & (F.col("k2") == F.col("n2"))).select(
+        "node",
+        "parent",
+        "depth",
+        line.alias("formatted"),
+        "start",
+        "end",
+        "position",
+        "attends",
+        F.when(is_loss, F.char_length(head(F.col("role")))).alias("loss_from"),
+        F.when(is_loss, F.char_length(line) - len(TAIL)).alias("loss_to"),
+        "conversations",
     )
     return result, held.select("conv", "depth", "node")
 
 
+def _chains(held: DataFrame) -> DataFrame:
+    """Each owner's chain: chain_node and chain_start (where it begins), above (the intervals of the owners further up its
+    path, in order, empty ones left out), above_node (the node it hangs from, null at a root).
+
+    On a path each owner has one interval, combined before the shuffle, so a row holds as many as the path has branches, not
+    as many as it has turns.
+    """
+    parts = held.groupBy("rank", "owner").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min("node").alias("first"), F.max("node").alias("last")
+    )
+    is_own = F.col("owner") == F.col("rank")
+    further_up = F.when(~is_own & (F.col("start") < F.col("end")), F.struct("start", "end"))
+    chains = parts.groupBy("rank").agg(
+        F.min(F.when(is_own, F.col("first"))).alias("chain_node"),
+        F.min(F.when(is_own, F.col("start"))).alias("chain_start"),
+        F.max(F.when(~is_own, F.col("last"))).alias("above_node"),
+        F.array_sort(F.collect_list(further_up)).alias("above"),
+    )
+    return chains.where(F.col("chain_node").isNotNull()).withColumnRenamed("rank", "owner")
+
+
 def _merged(intervals: Column) -> Column:
     """Intervals in order, neighbours that touch made one."""
     starts = F.filter(intervals, lambda x, i: (i == 0) | (F.get(intervals, i - 1)["end"] != x["start"]))
@@ -145,14 +180,22 @@ def read_back(nodes: DataFrame, conversations: DataFrame) -> DataFrame:
 
     role and text are parsed out of the formatted turn and unescaped; loss is the unescaped text under the loss mask.
     """
-    kept = checkpointed(nodes.select(F.col("node").alias("_node"), "formatted", "loss_from", "loss_to"))
-    line = F.col("formatted")
+    lines = nodes.select(F.col("node").alias("_node"), "formatted", "loss_from", "loss_to")
+    joined = conversations.join(lines, F.col("node") == F.col("_node"))
+    turn = F.struct("depth", "formatted", "loss_from", "loss_to")
+    whole = joined.groupBy("conv").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    return whole.select("conv", F.transform("turns", _parsed).alias("turns"))
+
+
+def _parsed(turn: Column) -> Column:
+    """A formatted turn taken apart, after the shuffle, so that a text under the mask does not travel twice."""
+    line = turn["formatted"]
     at = F.instr(line, HEAD_END)
-    role = unescaped(F.substring(line, F.lit(len(HEAD) + 1), at - len(HEAD) - 1))
-    text = unescaped(F.substring(line, at + 1, F.char_length(line) - at - len(TAIL)))
-    loss = unescaped(F.substring(line, F.col("loss_from") + 1, F.col("loss_to") - F.col("loss_from")))
-    joined = conversations.join(kept, F.col("node") == F.col("_node"))
-    parsed = F.struct(
-        "depth", role.alias("role"), text.alias("text"), loss.alias("loss"), F.char_length(line).cast("long").alias("n_chars")
+    begins, ends = turn["loss_from"], turn["loss_to"]
+    return F.struct(
+        turn["depth"].alias("depth"),
+        unescaped(F.substring(line, F.lit(len(HEAD) + 1), at - len(HEAD) - 1)).alias("role"),
+        unescaped(F.substring(line, at + 1, F.char_length(line) - at - len(TAIL))).alias("text"),
+        unescaped(F.substring(line, begins + 1, ends - begins)).alias("loss"),
+        F.char_length(line).cast("long").alias("n_chars"),
     )
-    return joined.select("conv", parsed.alias("turn")).groupBy("conv").agg(F.array_sort(F.collect_list("turn")).alias("turns"))

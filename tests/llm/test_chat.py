@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from costgauge.llm import chat_tree
 
@@ -73,3 +74,35 @@ def test_layout(tree):
 def test_empty(spark):
     nodes, held = chat_tree.build(spark.createDataFrame([], SCHEMA))
     assert nodes.count() == held.count() == chat_tree.read_back(nodes, held).count() == 0
+
+
+def test_long_conversations_share_beginnings(spark):
+    """20,000 turns in one conversation, others that leave it at many depths, and many rows without an id."""
+    long = [(1, i, ("user", "assistant")[i % 2], f"t{i % 7}") for i in range(20_000)]
+    leaving = [row for conv in range(2, 12) for row in [(conv, *r[1:]) for r in long[: conv * 50]] + [(conv, 10**6, "user", f"x{conv}")]]
+    nameless = [(None, i, "user", "n") for i in range(3_000)]
+    rows = [(*row, 1, 2, "clash") for row in long + leaving + nameless]
+    nodes, held = chat_tree.build(spark.createDataFrame(rows, SCHEMA))
+    got = {row.conv: [(t.role, t.text) for t in row.turns] for row in chat_tree.read_back(nodes, held).collect()}
+    assert got == said(rows)
+    found = nodes.select("node", "parent", "depth", "start", "end", "position", "attends").orderBy("node").collect()
+    assert len(found) == 20_000 + 10 + 3_000
+    path: list = []
+    for node in found:
+        del path[node.depth - 1 :]
+        assert node.parent == (path[-1].node if path else None)
+        assert node.position == sum(a.end - a.start for a in node.attends)
+        if path:
+            assert node.position == path[-1].position + path[-1].end - path[-1].start
+            assert node.attends[-1].end == path[-1].end and node.attends[0].start == path[0].start
+        path.append(node)
+
+
+def test_tokens_of_no_length(spark):
+    """Turns may have no tokens: they take no place and no interval."""
+    rows = [(c, i, "user", f"{i if i < 2 else c}") for c in range(3) for i in range(4)]
+    turns = spark.createDataFrame([(*row, 1, 2, "clash") for row in rows], SCHEMA)
+    nodes, _ = chat_tree.build(turns, n_tokens=lambda line: F.when(F.contains(line, F.lit(">0<")), 0).otherwise(2))
+    for node in nodes.collect():
+        assert all(a.start < a.end for a in node.attends)
+        assert node.position == sum(a.end - a.start for a in node.attends)
