@@ -84,30 +84,6 @@ class Service:
         return next((t for t in self.tables if t.fetched), None)
 
 
-def fields(text: str) -> tuple[Field, ...]:
-    """Columns, one per word: ``column``, ``column=path``, ``column=`` (no source), each with ``:kind`` if no string."""
-    found = []
-    for word in text.split():
-        head, equals, path = word.partition("=")
-        column, _, kind = head.partition(":")
-        source = path or None if equals else column
-        found.append(Field(column, {"map": "map<string,string>"}.get(kind, kind or "string"), source))
-    return tuple(found)
-
-
-def measures(prefix: str, interval: str, *rows: tuple[str, str, str]) -> tuple[MetricSpec, ...]:
-    """Specs from (metric, unit, aggregations); ``P95`` means the 95th percentile."""
-    found = []
-    for metric, unit, aggregations in rows:
-        for word in aggregations.split():
-            is_percentile = word[0] == "P" and word[1:].isdigit()
-            found.append(
-                MetricSpec(
-                    f"{prefix}/{metric}",
-                    unit,
-                    "Percentile" if is_percentile else word,
-                    interval,
-                    int(word[1:]) if is_percentile else None,
-                )
-            )
-    return tuple(found)
+def fields(*rows: tuple[str, str, str | None]) -> tuple[Field, ...]:
+    """Columns from (column, type, source path or None)."""
+    return tuple(Field(*row) for row in rows)

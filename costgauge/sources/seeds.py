@@ -9,43 +9,204 @@ from costgauge.schemas import SERVICE_CONFIG
 from costgauge.sources.local import local_table
 from costgauge.sources.readers import explode_job_catalog
 
-# Machine sizes per family and shape, as (vCPUs listed, GB of RAM per vCPU).
-COMPUTE_SHAPES = {
-    "e2-standard": ((2, 4, 8, 16, 32), 4.0),
-    "e2-highmem": ((2, 4, 8, 16), 8.0),
-    "e2-highcpu": ((2, 4, 8, 16, 32), 1.0),
-    "n1-standard": ((1, 2, 4, 8, 16, 32, 64, 96), 3.75),
-    "n1-highmem": ((2, 4, 8, 16, 32, 64, 96), 6.5),
-    "n1-highcpu": ((2, 4, 8, 16, 32, 64, 96), 0.9),
-    "n2-standard": ((2, 4, 8, 16, 32, 48, 64, 80, 96, 128), 4.0),
-    "n2-highmem": ((2, 4, 8, 16, 32, 48, 64, 80), 8.0),
-    "n2-highcpu": ((2, 4, 8, 16, 32, 48, 64, 80, 96), 1.0),
-    "n2d-standard": ((2, 4, 8, 16, 32, 48, 64, 96, 128, 224), 4.0),
-    "n2d-highmem": ((2, 4, 8, 16, 32, 48, 64, 96), 8.0),
-    "n2d-highcpu": ((2, 4, 8, 16, 32, 48, 64, 96), 1.0),
-    "c2-standard": ((4, 8, 16, 30, 60), 4.0),
-    "c2d-standard": ((2, 4, 8, 16, 32, 56, 112), 4.0),
-    "c2d-highmem": ((2, 4, 8, 16, 32, 56, 112), 8.0),
-    "c2d-highcpu": ((2, 4, 8, 16, 32, 56, 112), 1.0),
-    "t2d-standard": ((1, 2, 4, 8, 16, 32, 48, 60), 4.0),
-    "t2a-standard": ((1, 2, 4, 8, 16, 32, 48), 4.0),
-}
-# Shared-core machines as (type, vCPUs, GB of RAM).
-SHARED_CORE = (("e2-micro", 0.25, 1.0), ("e2-small", 0.5, 2.0), ("e2-medium", 1.0, 4.0))
+# Machines as (type, vCPUs, GB of RAM).
+COMPUTE_MACHINES = (
+    ("e2-micro", 0.25, 1),
+    ("e2-small", 0.5, 2),
+    ("e2-medium", 1, 4),
+    ("e2-standard-2", 2, 8),
+    ("e2-standard-4", 4, 16),
+    ("e2-standard-8", 8, 32),
+    ("e2-standard-16", 16, 64),
+    ("e2-standard-32", 32, 128),
+    ("e2-highmem-2", 2, 16),
+    ("e2-highmem-4", 4, 32),
+    ("e2-highmem-8", 8, 64),
+    ("e2-highmem-16", 16, 128),
+    ("e2-highcpu-2", 2, 2),
+    ("e2-highcpu-4", 4, 4),
+    ("e2-highcpu-8", 8, 8),
+    ("e2-highcpu-16", 16, 16),
+    ("e2-highcpu-32", 32, 32),
+    ("n1-standard-1", 1, 3.75),
+    ("n1-standard-2", 2, 7.5),
+    ("n1-standard-4", 4, 15),
+    ("n1-standard-8", 8, 30),
+    ("n1-standard-16", 16, 60),
+    ("n1-standard-32", 32, 120),
+    ("n1-standard-64", 64, 240),
+    ("n1-standard-96", 96, 360),
+    ("n1-highmem-2", 2, 13),
+    ("n1-highmem-4", 4, 26),
+    ("n1-highmem-8", 8, 52),
+    ("n1-highmem-16", 16, 104),
+    ("n1-highmem-32", 32, 208),
+    ("n1-highmem-64", 64, 416),
+    ("n1-highmem-96", 96, 624),
+    ("n1-highcpu-2", 2, 1.8),
+    ("n1-highcpu-4", 4, 3.6),
+    ("n1-highcpu-8", 8, 7.2),
+    ("n1-highcpu-16", 16, 14.4),
+    ("n1-highcpu-32", 32, 28.8),
+    ("n1-highcpu-64", 64, 57.6),
+    ("n1-highcpu-96", 96, 86.4),
+    ("n2-standard-2", 2, 8),
+    ("n2-standard-4", 4, 16),
+    ("n2-standard-8", 8, 32),
+    ("n2-standard-16", 16, 64),
+    ("n2-standard-32", 32, 128),
+    ("n2-standard-48", 48, 192),
+    ("n2-standard-64", 64, 256),
+    ("n2-standard-80", 80, 320),
+    ("n2-standard-96", 96, 384),
+    ("n2-standard-128", 128, 512),
+    ("n2-highmem-2", 2, 16),
+    ("n2-highmem-4", 4, 32),
+    ("n2-highmem-8", 8, 64),
+    ("n2-highmem-16", 16, 128),
+    ("n2-highmem-32", 32, 256),
+    ("n2-highmem-48", 48, 384),
+    ("n2-highmem-64", 64, 512),
+    ("n2-highmem-80", 80, 640),
+    ("n2-highcpu-2", 2, 2),
+    ("n2-highcpu-4", 4, 4),
+    ("n2-highcpu-8", 8, 8),
+    ("n2-highcpu-16", 16, 16),
+    ("n2-highcpu-32", 32, 32),
+    ("n2-highcpu-48", 48, 48),
+    ("n2-highcpu-64", 64, 64),
+    ("n2-highcpu-80", 80, 80),
+    ("n2-highcpu-96", 96, 96),
+    ("n2d-standard-2", 2, 8),
+    ("n2d-standard-4", 4, 16),
+    ("n2d-standard-8", 8, 32),
+    ("n2d-standard-16", 16, 64),
+    ("n2d-standard-32", 32, 128),
+    ("n2d-standard-48", 48, 192),
+    ("n2d-standard-64", 64, 256),
+    ("n2d-standard-96", 96, 384),
+    ("n2d-standard-128", 128, 512),
+    ("n2d-standard-224", 224, 896),
+    ("n2d-highmem-2", 2, 16),
+    ("n2d-highmem-4", 4, 32),
+    ("n2d-highmem-8", 8, 64),
+    ("n2d-highmem-16", 16, 128),
+    ("n2d-highmem-32", 32, 256),
+    ("n2d-highmem-48", 48, 384),
+    ("n2d-highmem-64", 64, 512),
+    ("n2d-highmem-96", 96, 768),
+    ("n2d-highcpu-2", 2, 2),
+    ("n2d-highcpu-4", 4, 4),
+    ("n2d-highcpu-8", 8, 8),
+    ("n2d-highcpu-16", 16, 16),
+    ("n2d-highcpu-32", 32, 32),
+    ("n2d-highcpu-48", 48, 48),
+    ("n2d-highcpu-64", 64, 64),
+    ("n2d-highcpu-96", 96, 96),
+    ("c2-standard-4", 4, 16),
+    ("c2-standard-8", 8, 32),
+    ("c2-standard-16", 16, 64),
+    ("c2-standard-30", 30, 120),
+    ("c2-standard-60", 60, 240),
+    ("c2d-standard-2", 2, 8),
+    ("c2d-standard-4", 4, 16),
+    ("c2d-standard-8", 8, 32),
+    ("c2d-standard-16", 16, 64),
+    ("c2d-standard-32", 32, 128),
+    ("c2d-standard-56", 56, 224),
+    ("c2d-standard-112", 112, 448),
+    ("c2d-highmem-2", 2, 16),
+    ("c2d-highmem-4", 4, 32),
+    ("c2d-highmem-8", 8, 64),
+    ("c2d-highmem-16", 16, 128),
+    ("c2d-highmem-32", 32, 256),
+    ("c2d-highmem-56", 56, 448),
+    ("c2d-highmem-112", 112, 896),
+    ("c2d-highcpu-2", 2, 2),
+    ("c2d-highcpu-4", 4, 4),
+    ("c2d-highcpu-8", 8, 8),
+    ("c2d-highcpu-16", 16, 16),
+    ("c2d-highcpu-32", 32, 32),
+    ("c2d-highcpu-56", 56, 56),
+    ("c2d-highcpu-112", 112, 112),
+    ("t2d-standard-1", 1, 4),
+    ("t2d-standard-2", 2, 8),
+    ("t2d-standard-4", 4, 16),
+    ("t2d-standard-8", 8, 32),
+    ("t2d-standard-16", 16, 64),
+    ("t2d-standard-32", 32, 128),
+    ("t2d-standard-48", 48, 192),
+    ("t2d-standard-60", 60, 240),
+    ("t2a-standard-1", 1, 4),
+    ("t2a-standard-2", 2, 8),
+    ("t2a-standard-4", 4, 16),
+    ("t2a-standard-8", 8, 32),
+    ("t2a-standard-16", 16, 64),
+    ("t2a-standard-32", 32, 128),
+    ("t2a-standard-48", 48, 192),
+)
 # The same for data pipeline workers.
-WORKER_SHAPES = {
-    "n1-standard": ((1, 2, 4, 8, 16, 32, 64), 3.75),
-    "n1-highmem": ((2, 4, 8, 16, 32), 6.5),
-    "n1-highcpu": ((2, 4, 8, 16, 32), 0.9),
-    "n2-standard": ((2, 4, 8, 16, 32, 48, 64), 4.0),
-    "n2-highmem": ((2, 4, 8, 16), 8.0),
-    "n2-highcpu": ((2, 4, 8, 16, 32), 1.0),
-    "e2-standard": ((2, 4, 8, 16, 32), 4.0),
-    "e2-highmem": ((2, 4, 8, 16), 8.0),
-    "e2-highcpu": ((2, 4, 8, 16, 32), 1.0),
-    "c2-standard": ((4, 8, 16, 30, 60), 4.0),
-    "n2d-standard": ((2, 4, 8, 16, 32, 48, 64), 4.0),
-}
+WORKER_MACHINES = (
+    ("n1-standard-1", 1, 3.75),
+    ("n1-standard-2", 2, 7.5),
+    ("n1-standard-4", 4, 15),
+    ("n1-standard-8", 8, 30),
+    ("n1-standard-16", 16, 60),
+    ("n1-standard-32", 32, 120),
+    ("n1-standard-64", 64, 240),
+    ("n1-highmem-2", 2, 13),
+    ("n1-highmem-4", 4, 26),
+    ("n1-highmem-8", 8, 52),
+    ("n1-highmem-16", 16, 104),
+    ("n1-highmem-32", 32, 208),
+    ("n1-highcpu-2", 2, 1.8),
+    ("n1-highcpu-4", 4, 3.6),
+    ("n1-highcpu-8", 8, 7.2),
+    ("n1-highcpu-16", 16, 14.4),
+    ("n1-highcpu-32", 32, 28.8),
+    ("n2-standard-2", 2, 8),
+    ("n2-standard-4", 4, 16),
+    ("n2-standard-8", 8, 32),
+    ("n2-standard-16", 16, 64),
+    ("n2-standard-32", 32, 128),
+    ("n2-standard-48", 48, 192),
+    ("n2-standard-64", 64, 256),
+    ("n2-highmem-2", 2, 16),
+    ("n2-highmem-4", 4, 32),
+    ("n2-highmem-8", 8, 64),
+    ("n2-highmem-16", 16, 128),
+    ("n2-highcpu-2", 2, 2),
+    ("n2-highcpu-4", 4, 4),
+    ("n2-highcpu-8", 8, 8),
+    ("n2-highcpu-16", 16, 16),
+    ("n2-highcpu-32", 32, 32),
+    ("e2-standard-2", 2, 8),
+    ("e2-standard-4", 4, 16),
+    ("e2-standard-8", 8, 32),
+    ("e2-standard-16", 16, 64),
+    ("e2-standard-32", 32, 128),
+    ("e2-highmem-2", 2, 16),
+    ("e2-highmem-4", 4, 32),
+    ("e2-highmem-8", 8, 64),
+    ("e2-highmem-16", 16, 128),
+    ("e2-highcpu-2", 2, 2),
+    ("e2-highcpu-4", 4, 4),
+    ("e2-highcpu-8", 8, 8),
+    ("e2-highcpu-16", 16, 16),
+    ("e2-highcpu-32", 32, 32),
+    ("c2-standard-4", 4, 16),
+    ("c2-standard-8", 8, 32),
+    ("c2-standard-16", 16, 64),
+    ("c2-standard-30", 30, 120),
+    ("c2-standard-60", 60, 240),
+    ("n2d-standard-2", 2, 8),
+    ("n2d-standard-4", 4, 16),
+    ("n2d-standard-8", 8, 32),
+    ("n2d-standard-16", 16, 64),
+    ("n2d-standard-32", 32, 128),
+    ("n2d-standard-48", 48, 192),
+    ("n2d-standard-64", 64, 256),
+)
 # Worker prices per hour as (type, vCPUs, GB of RAM, dollars), in price list order.
 BATCH_WORKERS = (
     ("n1-standard-1", 1, 3.75, 0.069339),
@@ -135,24 +296,20 @@ SERVICE_CONFIGURATION = (
 )
 
 
-def machine_rows(shapes: dict, extra: tuple = ()) -> list[tuple[str, str, float, float]]:
-    """(family, machine type, vCPUs, RAM) of every listed size."""
-    rows = [(name.split("-")[0], name, float(v), float(r)) for name, v, r in extra]
-    for shape, (sizes, ram_per_vcpu) in shapes.items():
-        family = shape.split("-")[0]
-        rows += [(family, f"{shape}-{n}", float(n), round(n * ram_per_vcpu, 2)) for n in sizes]
-    return rows
+def machine_rows(machines: tuple) -> list[tuple[str, str, float, float]]:
+    """(family, machine type, vCPUs, RAM) of every listed machine."""
+    return [(name.split("-")[0], name, float(vcpus), float(ram)) for name, vcpus, ram in machines]
 
 
 MACHINE_COLUMNS = "family string, machine_type string, vcpus double, ram_gb double"
 
 
 def compute_machines(spark: SparkSession) -> DataFrame:
-    return local_table(spark, machine_rows(COMPUTE_SHAPES, SHARED_CORE), MACHINE_COLUMNS)
+    return local_table(spark, machine_rows(COMPUTE_MACHINES), MACHINE_COLUMNS)
 
 
 def worker_machines(spark: SparkSession) -> DataFrame:
-    return local_table(spark, machine_rows(WORKER_SHAPES), MACHINE_COLUMNS)
+    return local_table(spark, machine_rows(WORKER_MACHINES), MACHINE_COLUMNS)
 
 
 _LISTED = "array<struct<machine_type: string, family: string, vcpus: double, ram_gb: double, hourly_price: double, ordinal: int>>"

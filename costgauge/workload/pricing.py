@@ -217,7 +217,7 @@ def component_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _seed_values() -> str:
-    rows = seeds.machine_rows(seeds.COMPUTE_SHAPES, seeds.SHARED_CORE)
+    rows = seeds.machine_rows(seeds.COMPUTE_MACHINES)
     return ", ".join(f"('{f}', '{t}', CAST({v} AS DOUBLE), CAST({ram} AS DOUBLE))" for f, t, v, ram in rows)
 
 
