@@ -182,19 +182,16 @@ def family_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.with_default_family(node_prices(spark, sf_dir))
 
 
-@query(
-    "family_prices_first",
-    m.lines(
-        FEED,
-        f"""worker_feed AS (
+WORKER_FEED = f"""worker_feed AS (
   SELECT {_SUBSTRING} AS family, hourly, seq, resource_group = 'RAM' AS is_memory FROM feed
   WHERE resource_family = 'Compute' AND usage_type = 'OnDemand' AND in_region
-    AND description NOT ILIKE '%preemptible%' AND description NOT ILIKE '%spot%' AND hourly <> 0)""",
-    )
-    + """SELECT family, coalesce(arg_min(hourly, seq) FILTER (WHERE NOT is_memory), CAST(0 AS DOUBLE)) AS cpu_hourly_price,
+    AND description NOT ILIKE '%preemptible%' AND description NOT ILIKE '%spot%' AND hourly <> 0)"""
+FIRST = """SELECT family, coalesce(arg_min(hourly, seq) FILTER (WHERE NOT is_memory), CAST(0 AS DOUBLE)) AS cpu_hourly_price,
   coalesce(arg_min(hourly, seq) FILTER (WHERE is_memory), CAST(0 AS DOUBLE)) AS ram_hourly_price_per_gb, count(*) AS n_skus
-FROM worker_feed WHERE family IS NOT NULL GROUP BY family""",
-)
+FROM worker_feed WHERE family IS NOT NULL GROUP BY family"""
+
+
+@query("family_prices_first", m.lines(FEED, WORKER_FEED) + FIRST)
 def family_prices_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.family_prices_first(catalog.worker_skus(feed(spark, sf_dir), REGION), "seq")
 
@@ -216,12 +213,12 @@ def component_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.component_prices(catalog.network_skus(feed(spark, sf_dir), REGION), "seq")
 
 
-def _seed_values() -> str:
-    rows = seeds.machine_rows(seeds.COMPUTE_MACHINES)
+def _seed_values(machines: tuple) -> str:
+    rows = seeds.machine_rows(machines)
     return ", ".join(f"('{f}', '{t}', CAST({v} AS DOUBLE), CAST({ram} AS DOUBLE))" for f, t, v, ram in rows)
 
 
-PRICED = f"""seed AS (SELECT * FROM (VALUES {_seed_values()}) t(family, machine_type, vcpus, ram_gb)),
+PRICED = f"""seed AS (SELECT * FROM (VALUES {_seed_values(seeds.COMPUTE_MACHINES)}) t(family, machine_type, vcpus, ram_gb)),
 priced AS (
   SELECT seed.*, {r('vcpus * cpu_hourly_price + ram_gb * ram_hourly_price_per_gb', 6)} AS hourly_price
   FROM seed JOIN with_default USING (family))"""
@@ -239,6 +236,25 @@ def catalog_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.with_ordinals(catalog.machine_prices(seeds.compute_machines(spark), prices))
 
 
+@query(
+    "worker_catalog_price",
+    m.lines(
+        FEED,
+        WORKER_FEED,
+        f"first_prices AS ({FIRST})",
+        f"""seed AS (SELECT * FROM (VALUES {_seed_values(seeds.WORKER_MACHINES)}) t(family, machine_type, vcpus, ram_gb))""",
+        f"""priced AS (
+  SELECT seed.*, {r('vcpus * cpu_hourly_price + ram_gb * ram_hourly_price_per_gb', 6)} AS hourly_price
+  FROM seed JOIN first_prices USING (family))""",
+    )
+    + f"""SELECT *, {r('hourly_price * 730', 4)} AS monthly_price, {r('hourly_price * 8760', 4)} AS annual_price,
+  CAST(dense_rank() OVER (PARTITION BY family ORDER BY hourly_price) AS INTEGER) AS ordinal FROM priced""",
+)
+def worker_catalog_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog of data pipeline workers: the first price in feed order, and no default for a family that the feed lacks."""
+    return catalog.with_ordinals(catalog.machine_prices(seeds.worker_machines(spark), family_prices_first(spark, sf_dir)))
+
+
 def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = catalog.with_ordinals(m.machines(spark, sf_dir))
     return flat.withColumns(
