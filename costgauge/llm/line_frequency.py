@@ -1,9 +1,9 @@
 """Quality rules: lines that many documents of a host share do not count as a document's own text.
 
-A host's boilerplate is found by counting, for each line, the distinct texts of that host which hold it. Lines above the
+A host's boilerplate is found by counting, for each line, the distinct documents of that host which hold it. Lines above the
 limit are removed, and a document that keeps too little of its text is rejected. Only 128-bit hashes of lines travel; the
-text is read twice and never shuffled. Documents with the same text count once: copies of a text are a matter for
-dedup and make none of its lines boilerplate.
+text is read twice and never shuffled. With distinct_texts, documents with the same text count once: copies of a text are
+then a matter for dedup and make none of its lines boilerplate.
 """
 
 from __future__ import annotations
@@ -82,15 +82,19 @@ def with_text_counts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
 
 
 def _identified(docs: DataFrame, *, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """_row (all columns but the text), text, _host, _t (hash of the text), _r1, _r2 (the row by id, text and host)."""
+    """_row (all columns but the text), text, _host, _r1, _r2 (the row by id, text and host)."""
     rows = packed(docs, drop=[text_col], _id=id_col, text=text_col, _host=host_col)
-    hashed = rows.withColumn("_t", F.xxhash64(F.lit(3), F.col("text").isNull(), F.col("text")))
-    return with_key(hashed, F.col("_id"), F.col("text"), F.col("_host"))
+    return with_key(rows, F.col("_id"), F.col("text"), F.col("_host"))
 
 
-def host_lines(docs: DataFrame, *, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """One row for each line with a key: h1, h2, _host, _t, pos, size (code points of the key), _r1, _r2."""
+def host_lines(docs: DataFrame, *, id_col: str, text_col: str, host_col: str, distinct_texts: bool = False) -> DataFrame:
+    """One row for each line with a key: h1, h2, _host, _t, pos, size (code points of the key), _r1, _r2.
+
+    _t is what counts once: the document, or with distinct_texts its text.
+    """
     source = _identified(docs, id_col=id_col, text_col=text_col, host_col=host_col)
+    counted = F.xxhash64(F.lit(3), F.col("text").isNull(), F.col("text")) if distinct_texts else F.col("_r1")
+    source = source.withColumn("_t", counted)
     keys = line_keys(lines_of(F.col("text")))
     rows = source.select("_r1", "_r2", "_t", "_host", F.posexplode(keys).alias("pos", "key"))
     return rows.where(F.col("key.size") > 0).select(
@@ -105,13 +109,16 @@ def removed_chars(
     text_col: str = "text",
     host_col: str = "source",
     max_docs: int = 10,
+    distinct_texts: bool = False,
 ) -> DataFrame:
     """For each row that holds lines above the limit: _r1, _r2, removed (code points of these lines' keys).
 
-    A line is above the limit if more than max_docs different texts of its host hold it. A null host is a host of its own.
+    A line is above the limit if more than max_docs documents of its host hold it, or with distinct_texts that many different
+    texts. Rows of one id and text are one document. A null host is a host of its own.
     """
-    lines = checkpointed(host_lines(docs, id_col=id_col, text_col=text_col, host_col=host_col))
-    # Distinct by text first, so that a line which a whole host shares is counted in many tasks.
+    found = host_lines(docs, id_col=id_col, text_col=text_col, host_col=host_col, distinct_texts=distinct_texts)
+    lines = checkpointed(found)
+    # Distinct by document first, so that a line which a whole host shares is counted in many tasks.
     texts = lines.groupBy("h1", "h2", "_host", "_t").agg(F.count(F.lit(1)).alias("_copies"))
     counts = texts.groupBy("h1", "h2", "_host").agg(F.count("_copies").alias("n"))
     # Stored, so that both sides of the join come straight from a shuffle and a hot line's partition can be split.
@@ -137,6 +144,7 @@ def judge(
     min_share: float = 0.3,
     min_words: int = 50,
     max_repeat_percent: int = 50,
+    distinct_texts: bool = False,
 ) -> DataFrame:
     """All columns but the text, the counts of with_text_counts, own_share, base_failed and kept.
 
@@ -144,13 +152,14 @@ def judge(
     hold; 1 without lines. base_failed: fewer than min_words words, or more than max_repeat_percent % of the words are
     repeated. kept: not base_failed, and own_share is at least min_share. Rows that repeat whole get equal results.
     """
-    keyed = _identified(docs, id_col=id_col, text_col=text_col, host_col=host_col).drop("_t", "_id", "_host")
+    keyed = _identified(docs, id_col=id_col, text_col=text_col, host_col=host_col).drop("_id", "_host")
     sizes = F.transform(lines_of(F.col("text")), lambda line: F.char_length(F.btrim(line, F.lit(WHITE))))
     keyed = keyed.withColumn(
         "_chars", F.aggregate(sizes, F.lit(0).cast("long"), lambda total, size: total + size.cast("long"))
     )
     counted = with_text_counts(keyed, text_col="text").drop("text")
-    removed = removed_chars(docs, id_col=id_col, text_col=text_col, host_col=host_col, max_docs=max_docs)
+    columns = {"id_col": id_col, "text_col": text_col, "host_col": host_col}
+    removed = removed_chars(docs, **columns, max_docs=max_docs, distinct_texts=distinct_texts)
     joined = counted.join(removed, ["_r1", "_r2"], "left")
     own = F.col("_chars") - F.coalesce("removed", F.lit(0))
     share = F.when(F.col("_chars") > 0, own / F.col("_chars")).otherwise(F.lit(1.0))

@@ -83,18 +83,18 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "op7_line_frequency",
     f"""
-WITH docs AS (SELECT doc_id, source, coalesce(text, '') AS text, text AS raw FROM documents),
+WITH docs AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
      words AS (SELECT doc_id, list_filter(string_split_regex(text, '[ \\t\\n\\x0b\\f\\r]+'), lambda w: w <> '') AS w FROM docs),
      places AS (SELECT doc_id, unnest(generate_series(1, len(w) - 2)) AS i, w FROM words WHERE len(w) >= 3),
      grams AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram FROM places),
      again AS (SELECT doc_id, gram FROM grams GROUP BY ALL HAVING count(*) > 1),
      starts AS (SELECT g.doc_id, g.i FROM grams g JOIN again a USING (doc_id, gram)),
      covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM starts, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
-     lines AS (SELECT doc_id, source, raw, unnest(string_split(text, chr(10))) AS line FROM docs),
+     lines AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM docs),
      keyed AS (SELECT *, {SQL_KEY} AS key FROM lines),
      filled AS (SELECT * FROM keyed WHERE key <> ''),
      dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n, sum(length(key)) AS chars FROM filled GROUP BY doc_id),
-     frequent AS (SELECT key, source FROM filled GROUP BY key, source HAVING count(DISTINCT raw) > 10),
+     frequent AS (SELECT key, source FROM filled GROUP BY key, source HAVING count(DISTINCT doc_id) > 10),
      gone AS (SELECT l.doc_id, sum(length(l.key)) AS chars FROM filled l JOIN frequent f
               ON l.key = f.key AND l.source IS NOT DISTINCT FROM f.source GROUP BY l.doc_id),
      counted AS (
@@ -112,7 +112,7 @@ FROM failed
 """,
 )
 def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of each text, and the verdict after lines that more than 10 texts of a host share are removed."""
+    """Counts of each text, and the verdict after lines that more than 10 documents of a host share are removed."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     judged = line_frequency.judge(docs, max_docs=10, min_share=0.3)
     return judged.select("doc_id", *line_frequency.COUNTS, "base_failed", "kept")

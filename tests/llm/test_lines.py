@@ -72,11 +72,11 @@ def plain_counts(text):
     return len(w), sum(map(len, w)), symbols, len(filled) - len(set(filled)), len(covered)
 
 
-def plain_kept(rows, max_docs, min_share):
+def plain_kept(rows, max_docs, min_share, distinct_texts):
     texts = defaultdict(set)
-    for _, text, host in rows:
+    for i, text, host in rows:
         for line in (text or "").split("\n"):
-            texts[key(line), host].add(text)
+            texts[key(line), host].add(text if distinct_texts else (i, text))
     out = []
     for i, text, host in rows:
         keys = [key(line) for line in (text or "").split("\n")]
@@ -88,14 +88,15 @@ def plain_kept(rows, max_docs, min_share):
     return sorted(out, key=str)
 
 
+@pytest.mark.parametrize("distinct_texts", [False, True])
 @pytest.mark.parametrize(("max_docs", "min_share"), [(10, 0.3), (10, 0.95), (1, 0.5)])
-def test_judge(spark, max_docs, min_share):
+def test_judge(spark, max_docs, min_share, distinct_texts):
     docs = hard_documents(spark)
-    found = line_frequency.judge(docs, max_docs=max_docs, min_share=min_share)
+    found = line_frequency.judge(docs, max_docs=max_docs, min_share=min_share, distinct_texts=distinct_texts)
     assert [c for c in docs.columns if c not in ("text", "kept")] == found.columns[: len(docs.columns) - 2]
     got = [(r.doc_id, *[r[c] for c in line_frequency.COUNTS], r.base_failed, r.kept) for r in found.collect()]
     rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
-    assert sorted(got, key=str) == plain_kept(rows, max_docs, min_share)
+    assert sorted(got, key=str) == plain_kept(rows, max_docs, min_share, distinct_texts)
 
 
 def test_repeated_words(spark):
