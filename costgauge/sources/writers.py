@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -42,6 +43,16 @@ def _read_existing(spark: SparkSession, path: str, schema: T.StructType) -> Data
         raise
 
 
+def staged(df: DataFrame) -> tuple[DataFrame, int]:
+    """A table written once to the shared folder and read from there, and its number of rows, observed by that write."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/staged-{uuid.uuid4().hex}"
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get.get("rows", 0)
+
+
 def upsert_path(
     source: DataFrame,
     path: str,
@@ -58,10 +69,8 @@ def upsert_path(
     still reads.
     """
     spark = source.sparkSession
-    ensure_checkpoint_dir(spark)
-    # Computed once: it is looked at several times below.
-    source = source.checkpoint()
-    rows = source.count()
+    # Computed once: it is looked at several times below. Its rows are counted as they are written.
+    source, rows = staged(source)
     if rows == 0:
         return 0
     parts = list(partition_by)
@@ -150,6 +159,7 @@ __all__ = [
     "merge_into",
     "reload",
     "reload_path",
+    "staged",
     "upsert_path",
     "write_catalog",
     "write_observations",

@@ -355,3 +355,18 @@ def test_times_are_utc_in_any_session(spark, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert (row.t, row.f) == ("2024-02-01T00:34:56Z", "2024-02-01T00:00:00Z")
+
+
+def test_rows_are_counted_as_they_are_written(spark):
+    """One job writes and counts; empty tables count zero."""
+    context = spark.sparkContext
+    context.setJobGroup("staged", "write and count")
+    try:
+        rows, n = writers.staged(spark.range(1_000, numPartitions=4).withColumn("x", F.col("id") % 7))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert n == 1_000 == rows.count()
+    assert len(context.statusTracker().getJobIdsForGroup("staged")) == 1
+    empty, none = writers.staged(rows.limit(0))
+    assert none == 0 == empty.count() and empty.schema == rows.schema
+    assert writers.staged(spark.createDataFrame([], "a int"))[1] == 0
