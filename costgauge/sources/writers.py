@@ -62,8 +62,9 @@ def upsert_path(
 ) -> int:
     """Upsert into partitioned parquet files; returns the number of source rows, 0 means nothing was done.
 
-    Read and rewritten are the partitions the source goes to and those that hold
-    an older row of a source key. A row may move between partitions (a later
+    Rewritten are the partitions the source goes to and those that hold an older
+    row of a source key; the keys are looked for only in partitions of the
+    source's tenants (partition columns that are part of the key). A row may move between partitions (a later
     month replaces an earlier one); partitions left empty are removed. The
     merged rows are checkpointed because a job must not overwrite files it
     still reads.
@@ -80,6 +81,7 @@ def upsert_path(
         merged = latest_per_key(source, key, order)
         before = []
     else:
+        existing = _may_hold(existing, source, [c for c in parts if c in key])
         holding = existing.join(source.select(*key).distinct(), list(key), "left_semi").select(*parts)
         touched = touched.unionByName(holding).distinct().checkpoint()
         old = existing.join(touched, parts, "left_semi")
@@ -98,6 +100,22 @@ def upsert_path(
     return rows
 
 
+def _may_hold(existing: DataFrame, source: DataFrame, pinned: Sequence[str]) -> DataFrame:
+    """Stored rows whose partition may hold a source key: partition columns that are part of the key (tenants) prune the scan.
+
+    The values that occur in the source are collected: they name folders, as do the partitions below.
+    """
+    if not pinned:
+        return existing
+    values = [F.collect_set(c).alias(c) for c in pinned]
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_no_{c}") for c in pinned]
+    found = source.agg(*values, *nulls).first()
+    for c in pinned:
+        inside = F.col(c).isin(*found[c]) if found[c] else F.lit(False)
+        existing = existing.where(F.col(c).isNull() | inside if found[f"_no_{c}"] else inside)
+    return existing
+
+
 def _remove_partitions(spark: SparkSession, path: str, parts: Sequence[str], values: Sequence[Sequence]) -> None:
     """Delete the folders of emptied partitions."""
     jvm = spark.sparkContext._jvm

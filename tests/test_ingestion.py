@@ -370,3 +370,21 @@ def test_rows_are_counted_as_they_are_written(spark):
     empty, none = writers.staged(rows.limit(0))
     assert none == 0 == empty.count() and empty.schema == rows.schema
     assert writers.staged(spark.createDataFrame([], "a int"))[1] == 0
+
+
+def test_upsert_reads_no_other_tenant(spark, tmp_path):
+    """The files of another tenant are not even opened; a tenant without a name is one of its own."""
+    path = tmp_path / "table"
+    rows = [("c", "m1", 1, 1, "a"), ("d", "m1", 1, 1, "other"), (None, "m1", 1, 1, "nameless")]
+    writers.upsert_path(snapshot(spark, rows), str(path), KEY, ORDER, PARTS)
+    others = [*(path / "client_id=d").rglob("*.parquet")]
+    assert others
+    for file in others:
+        file.write_bytes(b"not parquet")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    assert writers.upsert_path(snapshot(spark, [("c", "m2", 1, 2, "b"), ("c", "m2", 2, 2, "n")]), str(path), KEY, ORDER, PARTS) == 2
+    assert writers.upsert_path(snapshot(spark, [(None, "m2", 1, 2, "later")]), str(path), KEY, ORDER, PARTS) == 1
+    stored = spark.read.schema("client_id string, year_month string, id int, v string").parquet(str(path))
+    mine = stored.where("client_id IS NULL OR client_id <> 'd'").collect()
+    assert {(r.client_id, r.year_month, r.id, r.v) for r in mine} >= {("c", "m2", 1, "b"), ("c", "m2", 2, "n"), (None, "m2", 1, "later")}
+    assert ("c", "m1") not in {(r.client_id, r.year_month) for r in mine}
