@@ -32,8 +32,14 @@ def with_text_counts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
 
     word_chars: code points in words. n_symbols: characters of SYMBOLS. n_dup_lines: lines with a word that equal an earlier
     line. n_repeat_words: words that lie in a window of three words which the text holds at least twice, its first place
-    included; each word counts once. Null and empty text have 0 of all.
+    included; each word counts once. Null and empty text have 0 of all. Columns of these names are replaced, all others stay.
     """
+    counted = _text_counts(packed(docs, _in=text_col), "_in")
+    return unpacked(counted, docs.columns, {c: F.col(c) for c in COUNTS})
+
+
+def _text_counts(docs: DataFrame, text_col: str) -> DataFrame:
+    """Add the counts to a table whose names cannot clash with those used here."""
     text = text_of(F.col(text_col))
     split = docs.withColumns({"_text": text, "_words": words_of(F.col(text_col))})
     n = F.size("_words")
@@ -157,7 +163,7 @@ def judge(
     keyed = keyed.withColumn(
         "_chars", F.aggregate(sizes, F.lit(0).cast("long"), lambda total, size: total + size.cast("long"))
     )
-    counted = with_text_counts(keyed, text_col="text").drop("text")
+    counted = _text_counts(keyed, "text").drop("text")
     columns = {"id_col": id_col, "text_col": text_col, "host_col": host_col}
     removed = removed_chars(docs, **columns, max_docs=max_docs, distinct_texts=distinct_texts)
     joined = counted.join(removed, ["_r1", "_r2"], "left")

@@ -104,3 +104,12 @@ def test_repeated_words(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     got = {r.doc_id: r.n_repeat_words for r in line_frequency.with_text_counts(docs).collect()}
     assert got == {i: plain_counts(t)[4] for i, t in enumerate(texts)}
+
+
+def test_counts_keep_a_tables_own_columns(spark):
+    """Columns that have the names used inside stay, and so does one whose name holds a dot."""
+    docs = hard_documents(spark).withColumnsRenamed({"n": "_words", "times": "_grams"})
+    found = line_frequency.with_text_counts(docs)
+    assert found.columns == [*docs.columns, *line_frequency.COUNTS]
+    got = [tuple(row) for row in found.collect()]
+    assert sorted(got, key=str) == sorted(((*r, *plain_counts(r.text)) for r in docs.collect()), key=str)
