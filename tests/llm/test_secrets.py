@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 
 from hard import empty_documents, hard_documents
 from pyspark.sql import functions as F
@@ -70,3 +72,58 @@ def test_empty(spark):
     assert secrets.scan(empty_documents(spark), model(spark)).count() == 0
     untrained = secrets.train(spark.createDataFrame([(None, None)], "text string, is_random boolean"))
     assert len(untrained) == secrets.STATES**2 and set(untrained) == {0.0}
+
+
+def states_of(text):
+    """The characters as the model sees them, between two starts."""
+    return ["", *[c if c in secrets.ALPHABET else "" for c in text], ""]
+
+
+def plain_ratio(samples):
+    """log P(after | before) of the random strings less that of the ordinary ones, one added to each count."""
+    counts = {True: Counter(), False: Counter()}
+    for text, is_random in samples:
+        if text is not None and is_random is not None:
+            counts[is_random].update(zip(states_of(text), states_of(text)[1:], strict=False))
+    totals = {kind: Counter() for kind in counts}
+    for kind, pairs in counts.items():
+        for (before, _), n in pairs.items():
+            totals[kind][before] += n
+
+    def log(kind, pair):
+        return math.log((counts[kind][pair] + 1) / (totals[kind][pair[0]] + secrets.STATES))
+
+    return lambda pair: log(True, pair) - log(False, pair)
+
+
+def test_models_scores_and_added_spans_equal_brute_force(spark):
+    samples = [("q9Xz+w", True), ("q9Xz+w", True), ("7f7f", True), ("reading", False), ("a-b é", False), ("", False),
+               (None, True), ("lost", None)]
+    trained = secrets.train(spark.createDataFrame(samples, "text string, is_random boolean"))
+    ratio = plain_ratio(samples)
+    states = ["", *secrets.ALPHABET]
+    for i, before in enumerate(states):
+        for j, after in enumerate(states):
+            assert math.isclose(trained[i * secrets.STATES + j], ratio((before, after)), abs_tol=1e-12)
+
+    def plain_score(token):
+        pairs = zip(states_of(token), states_of(token)[1:], strict=False)
+        return sum(map(ratio, pairs)) / max(len(token), 1)
+
+    docs = hard_documents(spark).select("doc_id", "text")
+    more = [(200, "q9Xz+w" * 5), (201, "reading-" * 4), (202, f"é {'q9Xz+w' * 4} {'7f' * 12} {'reading' * 4}"), (203, "q9Xz+w")]
+    docs = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    for least in (-0.05, 0.0, 0.05):
+        found = secrets.scan(docs, trained, min_score=least).collect()
+        texts = {r.doc_id: r.text or "" for r in docs.collect()}
+        n_added = 0
+        for row in found:
+            base = plain(texts[row.doc_id])
+            tokens = [(m.start(), m.end(), m[0]) for m in re.finditer("[A-Za-z0-9+/_=.-]{20,}", texts[row.doc_id])]
+            free = [t for t in tokens if all(t[1] <= a or t[0] >= b for a, _, b in base)]
+            wanted = [(a, b, plain_score(token)) for a, b, token in free if plain_score(token) > least]
+            added = [(s.start, s.end, s.score) for s in row.spans if s.kind == secrets.MARKOV]
+            assert [a[:2] for a in added] == [w[:2] for w in wanted], row.doc_id
+            assert all(math.isclose(a[2], w[2], abs_tol=1e-9) for a, w in zip(added, wanted, strict=True))
+            n_added += len(added)
+        assert n_added > 0
