@@ -147,3 +147,41 @@ def test_queries_equal_sql(spark):
         found = connection.execute(sql)
         wanted = pd.DataFrame(found.fetchall(), columns=[d[0] for d in found.description], dtype=object)
         assert check.differences(got, wanted) is None, name
+
+
+def test_draw_is_gumbel_top_k(spark, corpus):
+    """Noise, keys, k and the drawn rows by plain Python, from the rows' identities and weights."""
+    import math
+    import struct
+
+    import xxhash
+    from pyspark.sql import functions as F
+
+    from costgauge.llm.rows import with_key
+
+    folder, rows = corpus
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = resampling.fit(docs, labels)
+    scored = resampling.with_scores(docs, model, id_col="doc_id", text_col="text")
+    keyed = with_key(docs.select("doc_id", "text"), F.col("doc_id"), F.col("text")).collect()
+    identity = {r.doc_id: (r._r1, r._r2) for r in keyed}
+    assert len(identity) == len(rows) and None not in identity
+
+    def noise(pair):
+        seed = xxhash.xxh64_intdigest(struct.pack("<i", resampling.SEED), seed=42)
+        for half in pair:
+            seed = xxhash.xxh64_intdigest(struct.pack("<q", half), seed=seed)
+        return -math.log(-math.log(((seed >> 11) + 0.5) / float(1 << 53)))
+
+    got = [(r._id, r._n, r._ratio, r._weight, r._key) for r in scored.collect()]
+    keys = {}
+    for i, n, ratio, weight, key in got:
+        assert (weight is None) == (key is None) == (not n)
+        if n:
+            assert math.isclose(weight, ratio - model.rate * n, abs_tol=1e-9)
+            assert math.isclose(key, weight + noise(identity[i]), abs_tol=1e-9)
+            keys[i] = weight + noise(identity[i])
+    k = sum(weight is not None and weight >= 0 for *_, weight, _ in got)
+    assert 0 < k < len(keys)
+    kept = {r.doc_id for r in resampling.classify(docs, labels).collect() if r.kept}
+    assert kept == set(sorted(keys, key=keys.get, reverse=True)[:k])
