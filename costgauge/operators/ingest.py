@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +63,22 @@ def map_fields(records: DataFrame, mapping: Mapping[str, str], keep: Sequence[st
     return records.select(*[F.col(c) for c in keep], *columns)
 
 
+def read_fields(
+    records: DataFrame, record: str, fields: Sequence[tuple[str, str, str]], keep: Sequence[str] = ()
+) -> DataFrame:
+    """Project (column, type, dot path) from a variant column, whose records may each have a shape of their own.
+
+    A missing path, a null, a path through a list and a value that is not of the type give null. As a string, nested values are
+    JSON text, flags ``true`` or ``false``, and numbers are without zeros at the end.
+    """
+
+    def at(path: str) -> str:
+        return "$" + "".join(f"['{segment}']" for segment in path.split("."))
+
+    columns = [F.try_variant_get(F.col(record), at(path), kind).alias(name) for name, kind, path in fields]
+    return records.select(*[F.col(c) for c in keep], *columns)
+
+
 def flatten_scoped(entries: DataFrame, members: str = "items", alternative: str = "instances") -> DataFrame:
     """Members of aggregated list entries, plus the entries that are no aggregates.
 
@@ -238,8 +255,22 @@ def first_rows(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[
     return df.where(_filled(F.col(key)).isNotNull()).groupBy(key).agg(first.alias("_first")).select(key, "_first.*")
 
 
+def observed_counts(tables: Mapping[str, DataFrame], write: Callable[[DataFrame], None]) -> dict[str, int]:
+    """Rows per table, counted by the one job that ``write`` runs on all of them together; tables without rows count 0.
+
+    ``write`` is given the rows of all tables: ``table_name``, and the whole row as JSON text in ``line``.
+    """
+    names = list(tables)
+    parts = [t.select(F.lit(name).alias("table_name"), F.to_json(F.struct("*")).alias("line")) for name, t in tables.items()]
+    rows = reduce(DataFrame.unionByName, parts)
+    seen = Observation()
+    counts = [F.count_if(F.col("table_name") == name).alias(f"n{i}") for i, name in enumerate(names)]
+    write(rows.observe(seen, *counts))
+    return {name: seen.get.get(f"n{i}", 0) for i, name in enumerate(names)}
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows per table, for dry runs."""
+    """Rows per table as a lazy table, by a job of their own; ``observed_counts`` needs none."""
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows") for t, df in tables.items()]
     out = parts[0]
     for part in parts[1:]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from costgauge.sources.local import local_table
 from costgauge.sources.writers import upsert_path
 
 PARENT_ID = "parent_id"
+RECORD = "record"
 
 
 def snapshot(
@@ -51,13 +52,22 @@ def snapshot(
 
 
 def _mapped(records: DataFrame, table: ResourceTable, keep: list[str]) -> DataFrame:
-    """Declared columns that have a source; one source may fill several columns."""
+    """Declared columns that have a source; one source may fill several columns.
+
+    Records come as columns of their own or, read without a schema, in one variant column ``record``.
+    """
+    if isinstance(_kind(records, RECORD), T.VariantType):
+        return ingest.read_fields(records, RECORD, [(f.column, f.kind, f.path) for f in table.fields if f.path], keep)
     firsts = {path: columns[0] for path, columns in table.mapping.items()}
     rows = ingest.map_fields(records, firsts, keep)
     copies = {c: F.col(columns[0]) for columns in table.mapping.values() for c in columns[1:]}
     return rows.withColumns(copies) if copies else rows
 
 
+def _kind(rows: DataFrame, column: str) -> T.DataType | None:
+    return rows.schema[column].dataType if column in rows.columns else None
+
+
 def metric_rows(
     points: DataFrame, resources: DataFrame, service: Service, params: RunParams
 ) -> DataFrame:
@@ -114,6 +124,24 @@ def run_service(
     return tables
 
 
+def run_export(exported: DataFrame, services: Iterable[Service], params: RunParams) -> dict[str, DataFrame]:
+    """Tables of all given services from one folder of exported records (``readers.exported_records``), by table name.
+
+    A table reads only the files of its own kind of record; child records name their parent in ``parent_id``.
+    """
+    parent = F.try_variant_get(F.col(RECORD), f"$.{PARENT_ID}", "string").alias(PARENT_ID)
+    tables: dict[str, DataFrame] = {}
+    for service in services:
+        records = {t.name: exported.where(F.col("table_name") == t.name).select(RECORD, parent) for t in service.tables}
+        tables |= run_service(service, records, None, params)
+    return tables
+
+
+def dry_run(tables: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Rows a run would store, by table name: every row is computed in full, by one job, and written nowhere."""
+    return ingest.observed_counts(tables, lambda rows: rows.write.format("noop").mode("overwrite").save())
+
+
 def store(service: Service, tables: Mapping[str, DataFrame], warehouse: str) -> dict[str, int]:
     """Upsert the tables of a run under the warehouse folder; returns rows per table."""
     declared = {t.name: (t.key, t.partition_by) for t in service.tables}

@@ -55,13 +55,17 @@ class ResourceTable:
         return found
 
     @property
-    def ddl(self) -> str:
-        """The declared columns: id and name first, run columns last."""
+    def columns(self) -> tuple[tuple[str, str], ...]:
+        """The stored columns and their types: id and name first, run columns last."""
         own = [(f.column, f.kind) for f in self.fields]
         names = {c for c, _ in own}
         head = [(c, "string") for c in ("resource_id", "resource_name") if c not in names]
         service = [("service_name", "string")] if self.with_service and "service_name" not in names else []
-        return ", ".join(f"`{c}` {k}" for c, k in (*head, *own, *service, *STAMPED))
+        return (*head, *own, *service, *STAMPED)
+
+    @property
+    def ddl(self) -> str:
+        return ", ".join(f"`{c}` {k}" for c, k in self.columns)
 
 
 @dataclass(frozen=True)

@@ -36,9 +36,19 @@ def resources(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).json(path)
 
 
-def billing_skus(spark: SparkSession, path: str) -> DataFrame:
-    """Every price of every exported billing page."""
-    return explode_pages(spark.read.schema(schemas.BILLING_PAGE).option("multiLine", True).json(path))
+def exported_records(spark: SparkSession, path: str) -> DataFrame:
+    """Resource records of any kind, one JSON object per line, each in a column ``record`` with a shape of its own.
+
+    The folder has one part for each kind of record (``table_name=...``), so that a filter on ``table_name`` prunes files. A
+    line that is no JSON stops the job once its record is looked at.
+    """
+    lines = spark.read.text(path)
+    return lines.select("table_name", F.parse_json("value").alias("record"))
+
+
+def billing_skus(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """Every price of every exported billing page: a page per file, or a page per line, which lets files be split."""
+    return explode_pages(spark.read.schema(schemas.BILLING_PAGE).option("multiLine", not one_per_line).json(path))
 
 
 def explode_pages(pages: DataFrame) -> DataFrame:

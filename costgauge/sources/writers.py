@@ -43,11 +43,16 @@ def _read_existing(spark: SparkSession, path: str, schema: T.StructType) -> Data
         raise
 
 
+def shared_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder, not yet made, in the one the cluster shares."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{kind}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame) -> tuple[DataFrame, int]:
     """A table written once to the shared folder and read from there, and its number of rows, observed by that write."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/staged-{uuid.uuid4().hex}"
+    path = shared_folder(spark, "staged")
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), seen.get.get("rows", 0)
@@ -156,6 +161,16 @@ def export_flat(
     return joined
 
 
+def write_records(records: DataFrame, path: str) -> None:
+    """Exported records (columns ``table_name`` and ``line``, a JSON object) as text, a folder for each kind of record."""
+    records.select("table_name", "line").write.mode("overwrite").partitionBy("table_name").text(path)
+
+
+def write_pages(pages: DataFrame, path: str) -> None:
+    """Billing pages as JSON, one a line."""
+    pages.select("skus").write.mode("overwrite").json(path)
+
+
 def write_observations(rows: DataFrame, path: str) -> None:
     """The flat export as CSV with its fixed header; quotes are doubled inside quoted values."""
     out = conform(rows, parsed(OBSERVATION)).write.mode("overwrite").option("header", True)
@@ -177,9 +192,12 @@ __all__ = [
     "merge_into",
     "reload",
     "reload_path",
+    "shared_folder",
     "staged",
     "upsert_path",
     "write_catalog",
     "write_observations",
+    "write_pages",
+    "write_records",
     "write_report",
 ]

@@ -14,7 +14,7 @@ from costgauge.operators import ingest, rules, upsert
 from costgauge.operators.features import account_positions
 from costgauge.params import RunParams, parse_params
 from costgauge.schemas import parsed
-from costgauge.sources import writers
+from costgauge.sources import readers, writers
 from costgauge.sources.local import local_table
 from costgauge.workload import models as m
 from costgauge.workload.registry import query, r
@@ -53,8 +53,9 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def resource_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = records(spark, sf_dir)
-    exported = rows.select(F.to_json(F.struct(*[c for c in rows.columns if c != "c_custkey"])).alias("line"))
-    scanned = exported.select(F.from_json("line", RECORD).alias("x")).select("x.*")
+    path = writers.shared_folder(spark, "resources")
+    rows.drop("c_custkey").write.json(path)
+    scanned = readers.resources(spark, path, parsed(RECORD))
     return scanned.select(
         "name",
         "location",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from costgauge.functions.prices import hourly_price
 from costgauge.functions.text import COMPUTE_FAMILIES, family_in_description, family_substring
 from costgauge.operators import catalog
-from costgauge.sources import readers, seeds
+from costgauge.sources import readers, seeds, writers
 from costgauge.workload import models as m
 from costgauge.workload.registry import query, r
 
@@ -98,7 +98,9 @@ def billing_sku_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = F.struct(*[c for c in entries.columns if c != "seq"])
     # Pages of the size the price service hands out: bounded lists by construction.
     pages = entries.groupBy((F.col("seq") / PAGE_SIZE).cast("bigint").alias("page")).agg(F.collect_list(row).alias("skus"))
-    return readers.explode_pages(pages).select(
+    path = writers.shared_folder(spark, "pages")
+    writers.write_pages(pages, path)
+    return readers.billing_skus(spark, path, one_per_line=True).select(
         F.col("skuId").alias("sku_id"),
         "description",
         F.col("category.resourceGroup").alias("resource_group"),
@@ -292,10 +294,9 @@ def catalog_nest(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "annual_cost AS annual_price, ordinal FROM sku",
 )
 def sku_catalog_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nested = catalog.nested(_flat(spark, sf_dir))
-    entry = F.struct(F.lit(REGION).alias("region"), "machine_types")
-    keyed = nested.select(F.create_map("family", entry).alias("catalog"))
-    return readers.explode_family_catalog(keyed).drop("region")
+    path = writers.shared_folder(spark, "catalog")
+    writers.write_catalog(catalog.nested(_flat(spark, sf_dir)), path)
+    return readers.catalog_lines(spark, path)
 
 
 @query(

@@ -12,6 +12,7 @@ from costgauge.operators import features, timeseries
 from costgauge.operators.ingest import point_value
 from costgauge.operators.scale import percentiles
 from costgauge.services import all_specs
+from costgauge.sources import readers, writers
 from costgauge.sources.local import local_table
 from costgauge.workload import models as m
 from costgauge.workload.registry import query, r, rs
@@ -39,11 +40,19 @@ def scan_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_id") % 17 == 0, "None")
         .otherwise(F.col("value").cast("string"))
     )
-    return events.select(
-        "event_id",
+    path = writers.shared_folder(spark, "export")
+    exported = events.select(
+        F.col("event_id").cast("string").alias("resource_id"),
         F.col("user_id").cast("string").alias("cluster_name"),
         F.col("event_type").alias("metric_name"),
-        half_even(number(text), 6).alias("metric_value"),
+        text.alias("metric_value"),
+    )
+    writers.write_observations(exported, path)
+    return readers.observations(spark, path).select(
+        F.col("resource_id").cast("bigint").alias("event_id"),
+        "cluster_name",
+        "metric_name",
+        half_even(number(F.col("metric_value")), 6).alias("metric_value"),
     )
 
 
