@@ -369,8 +369,18 @@ class _Search:
                 )
             ).alias("p")
         )
-        seen, links = self.verified(met.select("p.*"), bodies, bits, None)
+        met = met.select("p.*").where("a < b")
+        # One pair for each text first: most texts of a large group of near copies are then in one component, and pairs inside
+        # a component cannot change it. All others are verified after that.
+        one = F.min_by(F.struct("a", "n_a", "n_b"), F.col("a"))
+        firsts = met.groupBy("b").agg(one.alias("first")).select("first.a", "b", "first.n_a", "first.n_b")
+        seen, links = self.verified(firsts, bodies, bits, None)
         labels = components(links)
+        further, found = self.verified(self.apart(met, labels), bodies, bits, seen)
+        seen = seen.unionByName(further)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            labels = components(links)
         # The first and the last text of a bucket have met all others, so one of three texts is settled.
         larger = members.where("size > 3").select("key", "node", "n")
         left = self.opened(larger, labels)
@@ -394,6 +404,15 @@ class _Search:
         _, found = self.verified(self.allowed(left, bits), bodies, bits, seen.unionByName(further))
         return labels if found.isEmpty() else components(links.unionByName(found))
 
+    def apart(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        """The distinct pairs (a, b, n_a, n_b) whose texts are in different components."""
+        pairs = pairs.distinct()
+        for side in ("a", "b"):
+            named = labels.select(F.col("node").alias(f"_{side}"), F.col("comp").alias(f"_comp_{side}"))
+            pairs = pairs.join(merged(named), F.col(side) == F.col(f"_{side}"), "left")
+        different = F.coalesce("_comp_a", "a") != F.coalesce("_comp_b", "b")
+        return pairs.where(different).select("a", "b", "n_a", "n_b")
+
     def opened(self, members: DataFrame, labels: DataFrame) -> DataFrame:
         """The members (key, node, n) of buckets in several components, with comp and the bucket's size."""
         named = members.join(merged(labels.select(F.col("node").alias("_node"), "comp")), F.col("node") == F.col("_node"), "left")
