@@ -376,7 +376,7 @@ class _Search:
         firsts = met.groupBy("b").agg(one.alias("first")).select("first.a", "b", "first.n_a", "first.n_b")
         seen, links = self.verified(firsts, bodies, bits, None)
         labels = components(links)
-        further, found = self.verified(self.apart(met, labels), bodies, bits, seen)
+        further, found = self.verified(self.apart(members, labels), bodies, bits, seen)
         seen = seen.unionByName(further)
         if not found.isEmpty():
             links = links.unionByName(found)
@@ -404,14 +404,24 @@ class _Search:
         _, found = self.verified(self.allowed(left, bits), bodies, bits, seen.unionByName(further))
         return labels if found.isEmpty() else components(links.unionByName(found))
 
-    def apart(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
-        """The distinct pairs (a, b, n_a, n_b) whose texts are in different components."""
-        pairs = pairs.distinct()
-        for side in ("a", "b"):
-            named = labels.select(F.col("node").alias(f"_{side}"), F.col("comp").alias(f"_comp_{side}"))
-            pairs = pairs.join(merged(named), F.col(side) == F.col(f"_{side}"), "left")
-        different = F.coalesce("_comp_a", "a") != F.coalesce("_comp_b", "b")
-        return pairs.where(different).select("a", "b", "n_a", "n_b")
+    def apart(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """Pairs (a, b, n_a, n_b) of a bucket's first or last text and another of its texts in a different component.
+
+        Components are joined to the members of buckets, whose number a large group does not raise, and not to pairs.
+        """
+        left = self.opened(members.select("key", "node", "n"), labels)
+        one = F.struct("node", "n", "comp")
+        ends = left.groupBy(F.col("key").alias("_key")).agg(F.min(one).alias("first"), F.max(one).alias("last"))
+        both = left.join(merged(stored(ends, "ends")), F.col("key") == F.col("_key"))
+
+        def pair(side: str, a: Column, n_a: Column, b: Column, n_b: Column) -> Column:
+            made = F.struct(a.alias("a"), n_a.alias("n_a"), b.alias("b"), n_b.alias("n_b"))
+            return F.when(F.col("comp") != F.col(f"{side}.comp"), made)
+
+        own = F.col("node"), F.col("n")
+        first = pair("first", F.col("first.node"), F.col("first.n"), *own)
+        last = pair("last", *own, F.col("last.node"), F.col("last.n"))
+        return both.select(F.explode(F.array_compact(F.array(first, last))).alias("p")).select("p.*")
 
     def opened(self, members: DataFrame, labels: DataFrame) -> DataFrame:
         """The members (key, node, n) of buckets in several components, with comp and the bucket's size."""
