@@ -63,10 +63,13 @@ def template_or(template: Column | None, default: str) -> Column:
 
 
 def fixed(x: Column, digits: int) -> Column:
-    """Fixed-decimal text of a number, rounded half to even."""
+    """Fixed-decimal text of a number, rounded half to even; a negative number that rounds to zero keeps its sign (-0.0)."""
     if digits == 0:
-        return F.rint(x).cast("bigint").cast("string")
-    return F.format_string(f"%.{digits}f", half_even(x, digits))
+        text = F.rint(F.abs(x)).cast("bigint").cast("string")
+    else:
+        text = F.format_string(f"%.{digits}f", F.abs(half_even(x, digits)))
+    negative = x.cast("double").cast("string").startswith("-")
+    return F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), text)
 
 
 def thousands(x: Column) -> Column:

@@ -147,6 +147,12 @@ def test_templates(spark):
     assert column(spark, [2.5, 3.5, 0.4], "double", lambda x: text.fixed(x, 0)) == ["2", "4", "0"]
 
 
+@pytest.mark.parametrize("digits", [0, 1, 2])
+def test_fixed_equals_python_format(spark, digits):
+    values = [-0.35 / 7, -0.01, -0.0, 0.0, 0.04, -0.25, -0.5, -1.25, 2.675, -999.85 / 7, 1e6]
+    assert column(spark, values, "double", lambda x: text.fixed(x, digits)) == [f"{v:.{digits}f}" for v in values]
+
+
 def test_yearly_price(spark):
     rows = spark.createDataFrame([(0.0316,), (0.0,), (None,)], "p double").select(prices.yearly_price(F.col("p")).alias("y")).collect()
     assert [r.y for r in rows] == [276.82, 0.0, 0.0]
