@@ -11,9 +11,9 @@ A text's signature holds the parities of its words, labelled with their occurren
 in at most as many bits as the texts in words, and candidates that differ in too many are not aligned.
 
 Equal texts are one from the start. In a bucket of texts that share a sketch, all are compared with its first and with its last
-text, which connects the copies of one text without listing their pairs. Where that leaves a bucket in several components, its
-texts are compared with the one that shares most sketches with others, the source of copies that are unlike each other. What
-is then still open is settled for every pair: all pairs of an open bucket that are in different components are compared by
+text, which connects the copies of one text without listing their pairs. Where one pair for each text leaves a bucket in several
+components, its texts are also compared with the one whose buckets are largest, the source of copies that are unlike each other.
+What is then still open is settled for every pair: all pairs of an open bucket that are in different components are compared by
 signature, in blocks of rows, and those whose bits allow the wanted similarity are aligned.
 
 Joins whose sides both grow with the corpus are merge joins at every size. Texts are compressed before they are shuffled.
@@ -26,12 +26,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from costgauge.llm.batches import PIECE, pieces
-from costgauge.llm.components import components
+from costgauge.llm.components import raised, tops
 from costgauge.llm.grams import buffer_of, mixed, word_hashes
 from costgauge.llm.rows import hash128, merged, packed, quoted, ranked, stored, text_of, unpacked
 
@@ -216,25 +216,25 @@ def _words(bodies: pa.Array) -> list[np.ndarray]:
 
 
 def _verified(similarity: float):
+    """Pairs with their similarity; those whose signatures do not allow `similarity` are left out before their texts are read."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 2, PIECE // 4):
+        for batch in pieces((_worth(batch, similarity) for batch in batches), 4, PIECE // 4):
             sides = zip(_words(batch.column("body_a")), _words(batch.column("body_b")), strict=True)
             found = [aligned(a, b, similarity) for a, b in sides]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], ["a", "b", "similarity"]
-            )
+            kept = batch.select(["a", "b", "top_a", "top_b"])
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(found, pa.float64())], [*kept.schema.names, "similarity"])
 
     return run
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each compressed text with its number of words and its signature."""
     for batch in pieces(batches, 1, PIECE // 4):
         words = _words(batch.column("body"))
         found = [signature(x).view(np.int64) for x in words]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.array([len(x) for x in words], pa.int64()), pa.array(found, pa.list_(pa.int64()))],
-            ["node", "n", "bits"],
-        )
+        sizes, bits = pa.array([len(x) for x in words], pa.int64()), pa.array(found, pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([*batch.columns, sizes, bits], ["node", "body", "n", "bits"])
 
 
 def _signatures(bits: pa.ListArray) -> list[np.ndarray]:
@@ -242,22 +242,17 @@ def _signatures(bits: pa.ListArray) -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
-def _worth(similarity: float):
+def _worth(batch: pa.RecordBatch, similarity: float) -> pa.RecordBatch:
     """Pairs whose signatures allow the similarity."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
-            differ = np.empty(batch.num_rows, np.int64)
-            sides = zip(_signatures(batch.column("bits_a")), _signatures(batch.column("bits_b")), strict=True)
-            for i, (x, y) in enumerate(sides):
-                if len(x) != len(y):
-                    size = min(len(x), len(y))
-                    x, y = _folded(x[None, :], size)[0], _folded(y[None, :], size)[0]
-                differ[i] = np.bitwise_count(x ^ y).sum()
-            yield batch.select(["a", "b"]).filter(pa.array(differ <= _allowed(n_a, n_b, similarity)))
-
-    return run
+    n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+    differ = np.empty(batch.num_rows, np.int64)
+    sides = zip(_signatures(batch.column("bits_a")), _signatures(batch.column("bits_b")), strict=True)
+    for i, (x, y) in enumerate(sides):
+        if len(x) != len(y):
+            size = min(len(x), len(y))
+            x, y = _folded(x[None, :], size)[0], _folded(y[None, :], size)[0]
+        differ[i] = np.bitwise_count(x ^ y).sum()
+    return batch.filter(pa.array(differ <= _allowed(n_a, n_b, similarity)))
 
 
 def _met(similarity: float):
@@ -274,7 +269,8 @@ def _met(similarity: float):
             a, b = np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
             swap = node[a] > node[b]
             a, b = np.where(swap, b, a), np.where(swap, a, b)
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (node[a], node[b], n[a], n[b])], ["a", "b", "n_a", "n_b"])
+            columns = node[a], node[b], comp[a], comp[b]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["a", "b", "top_a", "top_b"])
 
         for i, others in near_pairs(n, signatures, comp, similarity):
             if across:
@@ -324,25 +320,24 @@ class _Search:
         self.texts = ranked(texts, ["t1", "t2"], "node").select("node", "t1", "t2", "n", "keys", "first.*")
         self.texts = stored(self.texts, "near")
 
-    def verified(self, pairs: DataFrame, bodies: DataFrame, bits: DataFrame, seen: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """New pairs (a < b, with their numbers of words n_a, n_b), and those of them whose texts align."""
-        alike = F.least("n_a", "n_b") >= self.similarity * F.greatest("n_a", "n_b")
-        pairs = pairs.where(alike & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+    def verified(self, pairs: DataFrame, texts: DataFrame, seen: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """New pairs (a < b, with the tops of their components), and those of them whose texts align."""
+        pairs = pairs.where("a < b").select("a", "b", "top_a", "top_b").distinct()
         if seen is not None:
-            pairs = pairs.join(merged(seen), ["a", "b"], "left_anti")
+            pairs = pairs.join(merged(seen.select("a", "b")), ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        signed_a, signed_b = (bits.select(*(F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "bits"))) for side in "ab")
-        signed = pairs.join(merged(signed_b), F.col("b") == F.col("node_b")).join(merged(signed_a), F.col("a") == F.col("node_a"))
-        signed = signed.select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-        worth = stored(signed.mapInArrow(_worth(self.similarity), "a long, b long"), "worth")
-        side_a = bodies.select(F.col("node").alias("a"), F.col("body").alias("body_a"))
-        side_b = bodies.select(F.col("node").alias("b"), F.col("body").alias("body_b"))
-        both = worth.join(merged(side_b), "b").join(merged(side_a), "a").select("a", "b", "body_a", "body_b")
-        found = both.mapInArrow(_verified(self.similarity), "a long, b long, similarity double")
+        side_a, side_b = (texts.select(*(F.col(c).alias(f"{c}_{side}") for c in texts.columns)) for side in "ab")
+        both = pairs.join(merged(side_b), F.col("b") == F.col("node_b")).join(merged(side_a), F.col("a") == F.col("node_a"))
+        both = both.select("a", "b", "top_a", "top_b", "body_a", "body_b", "n_a", "n_b", "bits_a", "bits_b")
+        found = both.mapInArrow(_verified(self.similarity), "a long, b long, top_a long, top_b long, similarity double")
         return pairs, stored(found.where(F.col("similarity") >= self.similarity - 1e-9), "links")
 
+    def alike(self, a: str, b: str) -> Column:
+        """Whether texts of a and b words can be similar."""
+        return F.least(a, b) >= self.similarity * F.greatest(a, b)
+
     def labels(self) -> DataFrame | None:
-        """node and comp of every text that is linked with another."""
+        """node and comp of every text that is linked with a lesser one."""
         buckets = self.texts.select("node", "n", F.explode("keys").alias("key"))
         one = F.struct("node", "n")
         ends = buckets.groupBy("key").agg(F.min(one).alias("low"), F.max(one).alias("high"), F.count(F.lit(1)).alias("size"))
@@ -359,8 +354,8 @@ class _Search:
         fields = [self.source.schema[c] for c in ("doc", "x1", "x2")]
         texts = self.source.mapInArrow(_compressed, StructType(fields).add("body", "binary"))
         # Rows that repeat whole give a node its text once.
-        bodies = stored(texts.join(merged(wanted), same).groupBy("node").agg(F.first("body").alias("body")), "texts")
-        bits = stored(bodies.mapInArrow(_signed, "node long, n long, bits array<long>"), "bits")
+        bodies = texts.join(merged(wanted), same).groupBy("node").agg(F.first("body").alias("body"))
+        texts = stored(bodies.mapInArrow(_signed, "node long, body binary, n long, bits array<long>"), "texts")
         met = members.select(
             F.explode(
                 F.array(
@@ -369,69 +364,59 @@ class _Search:
                 )
             ).alias("p")
         )
-        met = met.select("p.*").where("a < b")
+        met = met.select("p.*").where((F.col("a") < F.col("b")) & self.alike("n_a", "n_b"))
         # One pair for each text first: most texts of a large group of near copies are then in one component, and pairs inside
         # a component cannot change it. All others are verified after that.
-        one = F.min_by(F.struct("a", "n_a", "n_b"), F.col("a"))
-        firsts = met.groupBy("b").agg(one.alias("first")).select("first.a", "b", "first.n_a", "first.n_b")
-        seen, links = self.verified(firsts, bodies, bits, None)
-        labels = components(links)
-        further, found = self.verified(self.apart(members, labels), bodies, bits, seen)
-        seen = seen.unionByName(further)
+        firsts = met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b", F.col("a").alias("top_a"), F.col("b").alias("top_b"))
+        seen, found = self.verified(firsts, texts, None)
+        labels = tops(found)
+        further, found = self.verified(self.apart(members, labels), texts, seen)
         if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = components(links)
+            labels = raised(labels, tops(found.select(F.col("top_a").alias("a"), F.col("top_b").alias("b"))))
         # The first and the last text of a bucket have met all others, so one of three texts is settled.
-        larger = members.where("size > 3").select("key", "node", "n")
-        left = self.opened(larger, labels)
-        if left.isEmpty():
+        larger = stored(self.named(members.where("size > 3"), labels).select("key", "node", "n", "size", "comp"), "named")
+        parts = larger.groupBy(F.col("key").alias("_key")).agg(F.min("comp").alias("_least"), F.max("comp").alias("_most"))
+        several = stored(parts.where("_least < _most").select("_key"), "several")
+        if several.isEmpty():
             return labels
-        weights = left.groupBy(F.col("node").alias("_node")).agg(F.sum("size").alias("weight"))
-        weighted = left.join(merged(stored(weights, "weights")), F.col("node") == F.col("_node"))
-        leads = weighted.groupBy(F.col("key").alias("_key")).agg(F.max(F.struct("weight", "node", "n", "comp")).alias("lead"))
-        rest = left.join(merged(stored(leads, "leads")), F.col("key") == F.col("_key")).where(F.col("comp") != F.col("lead.comp"))
-        low, high = F.col("node") < F.col("lead.node"), F.col("node") >= F.col("lead.node")
-        more = rest.select(
-            F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"),
-            F.when(low, F.col("n")).otherwise(F.col("lead.n")).alias("n_a"),
-            F.when(high, F.col("n")).otherwise(F.col("lead.n")).alias("n_b"),
-        )
-        further, found = self.verified(more, bodies, bits, seen)
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = components(links)
-            left = self.opened(larger, labels)
-        _, found = self.verified(self.allowed(left, bits), bodies, bits, seen.unionByName(further))
-        return labels if found.isEmpty() else components(links.unionByName(found))
+        left = larger.join(merged(several), F.col("key") == F.col("_key")).drop("_key")
+        _, found = self.verified(self.allowed(left, texts), texts, seen.unionByName(further))
+        if found.isEmpty():
+            return labels
+        return raised(labels, tops(found.select(F.col("top_a").alias("a"), F.col("top_b").alias("b"))))
+
+    def named(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """The members of buckets with comp, the top of their component."""
+        known = labels.select(F.col("node").alias("_node"), F.col("comp").alias("_comp"))
+        met = members.join(merged(known), F.col("node") == F.col("_node"), "left")
+        return met.select(*members.columns, F.coalesce("_comp", "node").alias("comp"))
 
     def apart(self, members: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs (a, b, n_a, n_b) of a bucket's first or last text and another of its texts in a different component.
+        """Pairs of different components in a bucket: of its first, its last or its leading text with any other of its texts.
 
-        Components are joined to the members of buckets, whose number a large group does not raise, and not to pairs.
+        The leading text is the one with the largest buckets. Components are joined to the members of buckets, whose number a
+        large group does not raise, and not to pairs.
         """
-        left = self.opened(members.select("key", "node", "n"), labels)
-        one = F.struct("node", "n", "comp")
-        ends = left.groupBy(F.col("key").alias("_key")).agg(F.min(one).alias("first"), F.max(one).alias("last"))
-        both = left.join(merged(stored(ends, "ends")), F.col("key") == F.col("_key"))
-
-        def pair(side: str, a: Column, n_a: Column, b: Column, n_b: Column) -> Column:
-            made = F.struct(a.alias("a"), n_a.alias("n_a"), b.alias("b"), n_b.alias("n_b"))
-            return F.when(F.col("comp") != F.col(f"{side}.comp"), made)
-
-        own = F.col("node"), F.col("n")
-        first = pair("first", F.col("first.node"), F.col("first.n"), *own)
-        last = pair("last", *own, F.col("last.node"), F.col("last.n"))
-        return both.select(F.explode(F.array_compact(F.array(first, last))).alias("p")).select("p.*")
-
-    def opened(self, members: DataFrame, labels: DataFrame) -> DataFrame:
-        """The members (key, node, n) of buckets in several components, with comp and the bucket's size."""
-        named = members.join(merged(labels.select(F.col("node").alias("_node"), "comp")), F.col("node") == F.col("_node"), "left")
-        named = stored(named.select("key", "node", "n", F.coalesce("comp", "node").alias("comp")), "named")
-        parts = named.groupBy(F.col("key").alias("_key")).agg(
-            F.min("comp").alias("_least"), F.max("comp").alias("_most"), F.count(F.lit(1)).alias("size")
+        # A text is in one bucket for each sketch at most, which bounds the window.
+        weight = F.sum("size").over(Window.partitionBy("node"))
+        named = stored(self.named(members.select("key", "node", "n", "size"), labels).withColumn("weight", weight), "named")
+        one = "node", "n", "comp"
+        ends = named.groupBy(F.col("key").alias("_key")).agg(
+            F.min(F.struct(*one)).alias("first"), F.max(F.struct(*one)).alias("last"), F.max(F.struct("weight", *one)).alias("lead"),
+            F.min("comp").alias("_least"), F.max("comp").alias("_most"),
+        )
+        ends = stored(ends.where("_least < _most").select("_key", "first", "last", "lead"), "ends")
+        both = named.join(merged(ends), F.col("key") == F.col("_key"))
+
+        def pair(end: str) -> Column:
+            own, other = F.struct("node", "n", "comp"), F.struct(f"{end}.node", f"{end}.n", f"{end}.comp")
+            made = F.struct(F.least(own, other).alias("low"), F.greatest(own, other).alias("high"))
+            return F.when((F.col("comp") != F.col(f"{end}.comp")) & self.alike("n", f"{end}.n"), made)
+
+        pairs = both.select(F.explode(F.array_compact(F.array(pair("first"), pair("last"), pair("lead")))).alias("p"))
+        return pairs.select(
+            F.col("p.low.node").alias("a"), F.col("p.high.node").alias("b"), F.col("p.low.comp").alias("top_a"), F.col("p.high.comp").alias("top_b")
         )
-        several = stored(parts.where("_least < _most").select("_key", "size"), "several")
-        return stored(named.join(merged(several), F.col("key") == F.col("_key")).drop("_key"), "open")
 
     def allowed(self, left: DataFrame, bits: DataFrame) -> DataFrame:
         """All pairs of open buckets, in different components, that can be similar by their signatures."""
@@ -444,7 +429,7 @@ class _Search:
         )
         signed = parts.join(merged(bits.select(F.col("node").alias("_node"), "bits")), F.col("node") == F.col("_node")).drop("_node")
         dealt = signed.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-        return dealt.mapInArrow(_met(self.similarity), "a long, b long, n_a long, n_b long")
+        return dealt.mapInArrow(_met(self.similarity), "a long, b long, top_a long, top_b long")
 
 
 def _searched(

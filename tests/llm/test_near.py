@@ -155,6 +155,22 @@ def test_components(spark):
     assert got == {x: top(x) for x in up}
 
 
+def test_components_store_few_tables(spark, monkeypatch):
+    """Links of a hub with the greatest id are read again by their tops only, and short chains end in one job."""
+    sizes = []
+
+    def counted(df, name):
+        sizes.append(df.count())
+        return stored(df, name)
+
+    stored = components.stored
+    monkeypatch.setattr(components, "stored", counted)
+    links = [(i, 10_000) for i in range(500)] + [(20_000 + i, 20_001 + i) for i in range(2)]
+    got = {r.node: r.comp for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(500)}, 10_000: 0, **{20_000 + i: 20_000 for i in range(3)}}
+    assert len(sizes) <= 4 and sum(sizes) < 2.1 * len(links)
+
+
 def star(n=1000, size=150):
     """A source and copies of it at 0.82 to 0.88 whose edits are independent, so that most are under 0.8 to each other."""
     source = prose(77, size).split()
