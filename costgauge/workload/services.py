@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from costgauge.functions.numeric import half_even, stable
 from costgauge.operators import features
 from costgauge.operators.rules import savings_by_formula
-from costgauge.operators.scale import percentiles
+from costgauge.operators.scale import materialised, percentiles
 from costgauge.plans import machines as plan
 from costgauge.plans import messaging, network, pipeline, storage
 from costgauge.sources import seeds
@@ -788,9 +788,13 @@ ALL_SQL = "\nUNION ALL\n".join(
 
 
 def portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every recommendation of every service: the fired rows of each rule through the dispatcher."""
+    """Every recommendation of every service: the fired rows of each rule through the dispatcher.
+
+    What two rules read is aggregated once and stored: a shared shuffle alone would leave each rule to order all values anew.
+    """
     over = (spark, sf_dir)
-    job, topic, task, bucket, origin, zone = (f(*over) for f in (jobs, topics, scheduled, buckets, origins, zones))
+    job, topic, bucket, origin = (materialised(f(*over)) for f in (jobs, topics, buckets, origins))
+    task, zone = scheduled(*over), zones(*over)
     fired = {
         "GKE_IDLE": compute.idle_windows(*over),
         "GKE_OVERPROVISIONED": compute.over_users(*over),

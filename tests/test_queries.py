@@ -8,7 +8,7 @@ import pytest
 import check
 from __spark_entry__ import entry, oracle_sql, queries
 from costgauge.workload import QUERIES as ALL
-from costgauge.workload import SQL
+from costgauge.workload import SQL, services
 
 
 
@@ -45,3 +45,9 @@ def test_filters_and_columns_reach_the_scan(spark, tiny):
     upsert = ALL["upsert_latest"](spark, tiny)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(l_returnflag,A)" in upsert
 
+
+def test_portfolio_reads_shared_aggregates_once(spark, tiny):
+    """Both rules of a service read its stored rows, and not each the shuffled samples."""
+    plan = services.portfolio(spark, tiny)._jdf.queryExecution().optimizedPlan().toString()
+    used = [line for line in plan.split("\n") if "Relation [" not in line]
+    assert not any("l_tax" in line or "o_totalprice" in line for line in used)
